@@ -231,3 +231,321 @@ def append_schema_merge(spark, sf_dir):
     old = X.customer_v1(t).select("c_custkey", "c_name", "c_mktsegment")
     new = X.customer_v2(t).select("c_custkey", "c_name", "c_acctbal")
     return union_schema_merge(old, new)
+
+
+# --------------------------------------------------------------------------- lookups, flagship
+
+def _flag_dim(t: Tables) -> DataFrame:
+    """Dimension built from sentinel-cleaned sources (the minimum end-to-end slice)."""
+    cols = ["c_name", "c_mktsegment"]
+    first = S.scd2_first_load(fx.null_sentinels(X.customer_entity(X.customer_v1(t)), cols), BK, SK, TS1)
+    return S.scd2_apply(first, fx.null_sentinels(X.customer_entity(X.customer_v2(t)), cols), BK, SK, TS2)
+
+
+def _orders_fact(t: Tables) -> DataFrame:
+    return t.orders.select("o_orderkey", F.col("o_custkey").cast("string").alias(BK),
+                           (F.col("o_custkey") % 2 + 1).cast("int").alias("CountryCode"),
+                           "o_totalprice", "o_orderdate")
+
+
+def _with_country(dim: DataFrame) -> DataFrame:
+    return dim.withColumn("CountryCode", (F.col(BK).cast("bigint") % 2 + 1).cast("int"))
+
+
+@query
+def fact_lookup_sk(spark, sf_dir):
+    """Facts pick up current surrogate keys on (natural key, country)."""
+    from lakehand.operators.joins import lookup
+    t = _t(spark, sf_dir)
+    return lookup(_orders_fact(t), _with_country(dim_merge(t)), [BK, "CountryCode"],
+                  dim_columns=[SK, "c_mktsegment"])
+
+
+@query
+def revenue_by_segment(spark, sf_dir):
+    """Flagship: sentinels -> keys -> SCD2 x2 -> current SK lookup -> revenue by segment."""
+    from lakehand.operators.joins import lookup
+    t = _t(spark, sf_dir)
+    f = lookup(_orders_fact(t), _with_country(_flag_dim(t)), [BK, "CountryCode"], dim_columns=[SK, "c_mktsegment"])
+    return f.groupBy("c_mktsegment").agg(
+        F.count(F.lit(1)).alias("orders"),
+        F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("decimal(18,2)").alias("revenue"))
+
+
+# --------------------------------------------------------------------------- incremental
+
+@query
+def wm_bounds(spark, sf_dir):
+    """A3: low/high watermark of a source column."""
+    from lakehand.operators.incremental import wm_bounds as bounds
+    return bounds(_t(spark, sf_dir).orders, "o_orderdate")
+
+
+@query
+def wm_range(spark, sf_dir):
+    """low < column <= high, pushed to the scan."""
+    from lakehand.operators.incremental import wm_filter
+    return wm_filter(_t(spark, sf_dir).orders, "o_orderdate", "1996-12-31 00:00:00", "1998-08-02 00:00:00")
+
+
+@query
+def wm_last_per_source(spark, sf_dir):
+    """Latest non-NULL high watermark per source (ties kept)."""
+    from lakehand.operators.incremental import last_watermark_per_source
+    return last_watermark_per_source(X.extract_status(_t(spark, sf_dir)))
+
+
+@query
+def wm_batch_init(spark, sf_dir):
+    """M1: one new status row per enabled source, low mark = last high mark; task list."""
+    from lakehand.plans.control import batch_init
+    t = _t(spark, sf_dir)
+    return batch_init(X.extract_status(t), X.extract_manifest(t), "20240201", created_at=TS2)
+
+
+@query
+def wm_full_vs_delta(spark, sf_dir):
+    """F7 + F6 + S9: per source, full or incremental query text with its bounds."""
+    from lakehand.plans.control import source_queries
+    t = _t(spark, sf_dir)
+    return source_queries(X.extract_manifest(t), X.extract_status(t), high="2024-02-01 00:00:00")
+
+
+@query
+def src_query_or_table(spark, sf_dir):
+    """The manifest query, else SELECT * FROM [schema].[table]."""
+    from lakehand.operators.incremental import base_query
+    return X.extract_manifest(_t(spark, sf_dir)).select("SourceID", base_query().alias("BaseQuery"))
+
+
+@query
+def trusted_query(spark, sf_dir):
+    """SQL template with a {tableFqn} slot over the sanitised frame."""
+    from lakehand.operators.shape import sanitize_columns, trusted_query as tq
+    df = sanitize_columns(_t(spark, sf_dir).orders)
+    return tq(spark, "SELECT o_orderkey, o_custkey, o_totalprice * 2 AS double_price FROM {tableFqn} "
+                     "WHERE o_orderstatus = 'F'", df)
+
+
+# --------------------------------------------------------------------------- shape
+
+@query
+def project_exprs(spark, sf_dir):
+    """declarative projection list."""
+    from lakehand.operators.shape import project_exprs as pe
+    return pe(_t(spark, sf_dir).part, ["p_partkey", "upper(p_brand) AS brand", "p_retailprice * 2 AS price2",
+                                       "concat(p_type, '-', p_size) AS type_size"])
+
+
+@query
+def prefix_columns(spark, sf_dir):
+    """prefix every column."""
+    from lakehand.operators.shape import prefix_columns as pc
+    return pc(_t(spark, sf_dir).part, "src_")
+
+
+@query
+def sanitize_columns(spark, sf_dir):
+    """space, comma and parentheses become '_'."""
+    from lakehand.operators.shape import sanitize_columns as sc
+    p = _t(spark, sf_dir).part.select(F.col("p_partkey").alias("p key"), F.col("p_name").alias("p name (full)"),
+                                      F.col("p_brand").alias("brand, maker"), "p_size")
+    return sc(p, style="select")
+
+
+@query
+def drop_key_columns(spark, sf_dir):
+    """drop the key columns of an entity (fact form)."""
+    from lakehand.operators.shape import drop_key_columns as dk
+    return dk(dim_first(_t(spark, sf_dir)), keys=[SK, BK])
+
+
+@query
+def null_sentinels(spark, sf_dir):
+    """'' -> (~empty~), NULL -> (~null~) on every string column."""
+    p = _t(spark, sf_dir).part
+    k = F.col("p_partkey")
+    p = p.withColumn("p_name", F.when(k % 7 == 0, F.lit(None)).when(k % 5 == 0, F.lit("")).otherwise(F.col("p_name")))
+    return fx.null_sentinels(p)
+
+
+# --------------------------------------------------------------------------- unions, history
+
+def _orgs(t: Tables):
+    v1 = X.customer_v1(t)
+    return v1.where(F.col("c_nationkey") % 2 == 0), v1.where(F.col("c_nationkey") % 2 == 1)
+
+
+@query
+def union_orgs(spark, sf_dir):
+    """One entity from two organisations, prefixed key and country tag."""
+    from lakehand.operators.union import union_orgs as uo
+    a, b = _orgs(_t(spark, sf_dir))
+    a, b = (fx.null_sentinels(x, ["c_mktsegment"]) for x in (a, b))
+    return uo([(1, "1001", a), (2, "2002", b)], "c_custkey", BK)
+
+
+@query
+def unionise_query(spark, sf_dir):
+    """One SQL text run per organisation, tagged and unioned."""
+    from lakehand.operators.union import unionise
+    a, b = _orgs(_t(spark, sf_dir))
+    return unionise(spark, "SELECT c_custkey, c_name, c_acctbal FROM {customer} WHERE c_acctbal > 0",
+                    [(1, {"customer": a}), (2, {"customer": b})])
+
+
+def _li_base(t: Tables) -> DataFrame:
+    li = t.lineitem
+    y = F.year("l_shipdate")
+    return li.select(
+        F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("Lineitem_BK"),
+        "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag",
+        F.make_timestamp_ntz(y, F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0)).alias("_Created"),
+        fx.ts_lit(None).alias("_Ended"), F.lit(1).alias("_Current"), y.alias("_year"))
+
+
+def _li_current(t: Tables) -> DataFrame:
+    b = _li_base(t).where(F.col("_year") >= 2000)
+    return b.select(F.concat(F.lit("cur-"), F.col("Lineitem_BK")).alias("Lineitem_SK"), "*").drop("_year")
+
+
+def _li_history(t: Tables) -> DataFrame:
+    """Yearly snapshots: a row shipped in year y is in the y and y+1 snapshots."""
+    b = _li_base(t).withColumn("as_at", F.explode(F.array(F.col("_year"), F.col("_year") + 1))).drop("_year")
+    return b.select(F.concat(F.col("as_at").cast("string"), F.lit("-"), F.col("Lineitem_BK")).alias("Lineitem_SK"), "*")
+
+
+@query
+def history_union_fact(spark, sf_dir):
+    """Current ∪ history snapshots, keys dropped, distinct."""
+    from lakehand.operators.union import history_union
+    t = _t(spark, sf_dir)
+    return history_union(_li_current(t), _li_history(t).drop("as_at"), drop=["Lineitem_SK", "Lineitem_BK"])
+
+
+@query
+def history_union_override(spark, sf_dir):
+    """One snapshot gets fixed dates before the distinct union."""
+    from lakehand.operators.union import history_union, override_snapshot
+    t = _t(spark, sf_dir)
+    h = override_snapshot(_li_history(t), "as_at", 1996, _Created=fx.ts_lit("2022-04-25 00:00:00"),
+                          _Ended=fx.ts_lit("2022-05-01 00:00:00"))
+    return history_union(_li_current(t), h.drop("as_at"), drop=["Lineitem_SK", "Lineitem_BK"])
+
+
+@query
+def history_union_dim(spark, sf_dir):
+    """U4: dimension form (all columns) of current ∪ dated snapshots."""
+    from lakehand.operators.union import history_union, union_all
+    t = _t(spark, sf_dir)
+    snaps = union_all([S.scd2_first_load(X.customer_entity(X.customer_v1(t)), BK, SK, TS1),
+                       S.scd2_first_load(X.customer_entity(X.customer_v2(t)), BK, SK, TS2)])
+    return history_union(dim_merge_second(t), snaps)
+
+
+@query
+def history_replay(spark, sf_dir):
+    """H2: replay three as-at periods with start = end - 6 days and end = as-at."""
+    from lakehand.operators.history import replay_periods
+    t = _t(spark, sf_dir)
+    periods = [(TS1, X.customer_entity(X.customer_v1(t))), (TS2, X.customer_entity(X.customer_v2(t))),
+               (TS3, X.customer_entity(X.customer_v3(t)))]
+    return replay_periods(periods, BK, SK, days=6)
+
+
+@query
+def period_filter(spark, sf_dir):
+    """keep one year of a yyyyMMdd date key."""
+    from lakehand.operators.shape import period_filter as pf
+    li = _t(spark, sf_dir).lineitem.select("l_orderkey", "l_linenumber",
+                                           F.date_format("l_shipdate", "yyyyMMdd").alias("DateKey"))
+    return pf(li, "DateKey", 1997)
+
+
+@query
+def empty_clone(spark, sf_dir):
+    """Same columns, zero rows."""
+    from lakehand.operators.shape import empty_clone as ec
+    return ec(_t(spark, sf_dir).lineitem)
+
+
+# --------------------------------------------------------------------------- control tables
+
+@query
+def config_pivot(spark, sf_dir):
+    """key/value config pivoted to one row per key group (MAX)."""
+    from lakehand.plans.control import config_pivot as cp
+    return cp(X.event_config(_t(spark, sf_dir)), ["Key0", "Key1", "Key2", "Key3"])
+
+
+@query
+def register_source(spark, sf_dir):
+    """M3: register a batch of new sources (ids, paths and defaults from config)."""
+    from lakehand.plans.control import register_sources
+    t = _t(spark, sf_dir)
+    return register_sources(X.extract_manifest(t), X.ingestion_sheet(t), created_at=TS2)
+
+
+@query
+def limit_or_all(spark, sf_dir):
+    """First N sheet rows in order; 0 means 999."""
+    from lakehand.operators.shape import limit_or_all as loa
+    return loa(X.ingestion_sheet(_t(spark, sf_dir)), 0, order_by="SheetRow")
+
+
+@query
+def system_selection(spark, sf_dir):
+    """Selected systems (blank = all enabled), distinct and ordered."""
+    from lakehand.plans.control import system_selection as ss
+    return ss(X.extract_manifest(_t(spark, sf_dir)), " click, view,, purchase ")
+
+
+@query
+def list_to_rows(spark, sf_dir):
+    """2.10: delimited text -> rows (explode(split))."""
+    s = X.extract_status(_t(spark, sf_dir))
+    return s.select("ID", fx.list_to_rows("RawPath", "/").alias("Segment")).where(F.col("Segment") != "")
+
+
+@query
+def group_list(spark, sf_dir):
+    """Transforms per parallel group, in order."""
+    from lakehand.plans.control import group_plan
+    return group_plan(X.transform_manifest(_t(spark, sf_dir)))
+
+
+@query
+def transform_init(spark, sf_dir):
+    """M2: transform status rows for enabled transforms, with the group list."""
+    from lakehand.plans.control import transform_init as ti
+    t = _t(spark, sf_dir)
+    tm = X.transform_manifest(t)
+    existing = X.log_table(t).where(F.col("TransformStatusID").isNotNull()).select(
+        F.col("TransformStatusID").alias("ID"))
+    return ti(existing, tm, "20240201", created_at=TS2)
+
+
+@query
+def status_from_events(spark, sf_dir):
+    """M4: last value per (row, property) from appended status events, pivoted."""
+    from lakehand.plans.control import fold_status_events
+    return fold_status_events(X.status_events(_t(spark, sf_dir)), ["RawStatus", "TrustedStatus", "SinkRowCount"])
+
+
+@query
+def log_routing(spark, sf_dir):
+    """M5: log rows routed to the extract or the transform id."""
+    from lakehand.plans.control import route_logs
+    ev = _t(spark, sf_dir).events
+    msgs = ev.select(F.col("event_id").alias("ID"), (F.col("event_id") % 2 == 0).alias("IsTransform"),
+                     F.col("event_type").alias("ActivityType"), F.col("props").alias("Message"),
+                     F.col("ts").alias("CreatedDTS"))
+    return route_logs(msgs)
+
+
+@query
+def end_system_stamp(spark, sf_dir):
+    """M8: stamp the end of one system's run in one batch."""
+    from lakehand.plans.control import end_system_stamp as es
+    s = X.extract_status(_t(spark, sf_dir))
+    return es(s, "20240115", "click", TS2).select("ID", "BatchID", "SystemCode", "EndedDTS")

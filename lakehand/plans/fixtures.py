@@ -220,3 +220,46 @@ def column_metadata(t: Tables) -> DataFrame:
         F.when(tab % 3 == 0, F.concat(F.lit('{"SynapseTableSchema":"syn","SynapseTableName":"S'), tab.cast("string"),
                                       F.lit('"}'))).alias("ExtendedProperties"),
     )
+
+
+def ingestion_sheet(t: Tables) -> DataFrame:
+    """New sources to register (part keys 50 and up); keys divisible by 7 name known sources."""
+    p = F.col("p_partkey")
+    sysc = (F.when(p % 7 == 0, _system_code(p % 50))
+            .when(p % 10 == 0, F.concat(F.lit("NEWSYS"), (p % 3).cast("string")))
+            .otherwise(_system_code(p)))
+    return t.part.where(p >= 50).select(
+        p.alias("SheetRow"),
+        sysc.alias("SystemCode"),
+        F.when(p % 7 == 0, F.lit("dbo")).when(p % 11 == 0, F.lit("sales data")).otherwise(F.lit("dbo"))
+         .alias("TableSchema"),
+        F.when(p % 7 == 0, F.concat(F.lit("T"), (p % 50).cast("string")))
+         .otherwise(F.concat(F.lit("T"), p.cast("string"))).alias("TableName"),
+        F.lit(None).cast("string").alias("SourceQuery"),
+        F.when(p % 2 == 0, F.lit("ModifiedDTS")).alias("WatermarkColumn"),
+        F.when(p % 13 == 0, F.lit("csv-load")).alias("SourceHandler"),
+        F.when(p % 13 == 0, F.lit("csv")).when(p % 17 == 0, F.lit("")).alias("RawFileExtension"),
+        F.when(p % 19 == 0, F.concat(F.lit("kv-"), p.cast("string"))).alias("KeyVaultSecret"),
+        F.lit(None).cast("string").alias("ExtendedProperties"),
+    )
+
+
+def event_config(t: Tables) -> DataFrame:
+    """Key/value config rows from events: group = event type, key = Key<user_id % 4>."""
+    return t.events.select(
+        F.col("event_type").alias("KeyGroup"),
+        F.concat(F.lit("Key"), (F.col("user_id") % 4).cast("string")).alias("Key"),
+        F.lpad(F.get_json_object("props", "$.k"), 3, "0").alias("Value"))
+
+
+def status_events(t: Tables) -> DataFrame:
+    """Status-update events (ID, Property, Value, Seq) derived from the status rows."""
+    s = extract_status(t)
+    return s.select("ID", F.explode(F.array(
+        F.struct(F.lit("RawStatus").alias("Property"), F.lit("In Progress").alias("Value"), F.lit(1).alias("Seq")),
+        F.struct(F.lit("RawStatus").alias("Property"), F.col("RawStatus").alias("Value"), F.lit(2).alias("Seq")),
+        F.struct(F.lit("TrustedStatus").alias("Property"), F.lit("In Progress").alias("Value"), F.lit(3).alias("Seq")),
+        F.struct(F.lit("TrustedStatus").alias("Property"), F.col("TrustedStatus").alias("Value"), F.lit(4).alias("Seq")),
+        F.struct(F.lit("SinkRowCount").alias("Property"), F.col("SinkRowCount").cast("string").alias("Value"),
+                 F.lit(5).alias("Seq")),
+    )).alias("e")).select("ID", "e.*")

@@ -131,3 +131,161 @@ ORACLE.update({
     "append_schema_merge": with_ctes("""SELECT c_custkey, c_name, c_mktsegment, CAST(NULL AS DOUBLE) AS c_acctbal FROM v1
         UNION ALL SELECT c_custkey, c_name, CAST(NULL AS VARCHAR), c_acctbal FROM v2""", v1=CUSTOMER_V1, v2=CUSTOMER_V2),
 })
+
+from lakehand.plans.oracle_fixtures import EVENT_CONFIG, INGESTION_SHEET, STATUS_EVENTS  # noqa: E402
+
+_SENT = "CASE WHEN {c} = '' THEN '(~empty~)' WHEN {c} IS NULL THEN '(~null~)' ELSE {c} END"
+
+
+def _sent_entity(v: str) -> str:
+    return (f"SELECT CAST(c_custkey AS VARCHAR) AS Customer_BK, {_SENT.format(c='c_name')} AS c_name, c_nationkey, "
+            f"c_acctbal, {_SENT.format(c='c_mktsegment')} AS c_mktsegment FROM {v}")
+
+
+_FACT = """SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS Customer_BK, CAST(o_custkey % 2 + 1 AS INTEGER) AS CountryCode,
+  o_totalprice, o_orderdate FROM orders"""
+_DIMC = "SELECT Customer_SK, Customer_BK, c_mktsegment, CAST(CAST(Customer_BK AS BIGINT) % 2 + 1 AS INTEGER) AS CountryCode FROM {d} WHERE _Current = 1"
+_LOOKUP = """SELECT f.Customer_BK, f.CountryCode, f.o_orderkey, f.o_totalprice, f.o_orderdate, d.Customer_SK, d.c_mktsegment
+  FROM fact f JOIN dim d ON f.Customer_BK = d.Customer_BK AND f.CountryCode = d.CountryCode"""
+
+_LAST_WM = """SELECT SourceID, HighWatermark FROM (SELECT SourceID, HighWatermark,
+  RANK() OVER (PARTITION BY SourceID ORDER BY CreatedDTS DESC) AS r FROM st WHERE HighWatermark IS NOT NULL) WHERE r = 1"""
+_BASEQ = ("CASE WHEN SourceQuery IS NOT NULL AND trim(SourceQuery) <> '' THEN SourceQuery "
+          "ELSE 'SELECT * FROM [' || SourceSchema || '].[' || SourceTableName || ']' END")
+_HI = "'2024-02-01 00:00:00'"
+_INC = "(WatermarkColumn IS NOT NULL AND trim(WatermarkColumn) <> '')"
+
+_LI_BASE = """SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS Lineitem_BK,
+  l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_returnflag,
+  make_timestamp(year(l_shipdate), 1, 1, 0, 0, 0) AS _Created, CAST(NULL AS TIMESTAMP) AS _Ended, 1 AS _Current,
+  year(l_shipdate) AS _year FROM lineitem"""
+_LI_COLS = "l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_returnflag, _Created, _Ended, _Current"
+_LI_HIST = f"""SELECT _year AS as_at, {_LI_COLS} FROM lib UNION ALL SELECT _year + 1 AS as_at, {_LI_COLS} FROM lib"""
+
+
+def _upd(ts_first, ts2, ts3, e1, e2, e3):
+    c = {"v1": CUSTOMER_V1, "s1": entity("v1"), "d1": first_load_sql("s1", ts_first, end=e1),
+         "v2": CUSTOMER_V2, "s2": entity("v2"), "d2": scd2_step_sql("d1", "s2", ts2, end=e2),
+         "v3": CUSTOMER_V3, "s3": entity("v3"), "d3": scd2_step_sql("d2", "s3", ts3, end=e3)}
+    return c
+
+
+_CODE = ("CASE {n} % 5 WHEN 0 THEN 'click' WHEN 1 THEN 'error' WHEN 2 THEN 'purchase' "
+         "WHEN 3 THEN 'signup' ELSE 'view' END")
+
+_REGISTER = """
+WITH m AS ({m}), sh AS ({sh}),
+new0 AS (SELECT sh.* FROM sh WHERE NOT EXISTS (SELECT 1 FROM m WHERE m.SystemCode = sh.SystemCode
+          AND m.SourceSchema = sh.TableSchema AND m.SourceTableName = sh.TableName)),
+sysm AS (SELECT SystemCode, max(SourceID) AS LastSourceID FROM m GROUP BY SystemCode),
+mo AS (SELECT COALESCE(max(CAST(substring(CAST(SourceID AS VARCHAR), 1, 2) AS INTEGER)), 19) AS max_order FROM m),
+new1 AS (SELECT new0.*, sysm.LastSourceID,
+         ROW_NUMBER() OVER (PARTITION BY new0.SystemCode ORDER BY TableSchema, TableName) AS rn
+         FROM new0 LEFT JOIN sysm ON new0.SystemCode = sysm.SystemCode),
+fresh AS (SELECT SystemCode, DENSE_RANK() OVER (ORDER BY SystemCode) AS sysrank
+          FROM (SELECT DISTINCT SystemCode FROM new1 WHERE LastSourceID IS NULL))
+SELECT CAST(CASE WHEN new1.LastSourceID IS NOT NULL THEN new1.LastSourceID + rn
+            ELSE ((SELECT max_order FROM mo) + fresh.sysrank) * 1000 + rn END AS BIGINT) AS SourceID,
+  new1.SystemCode, TableSchema AS SourceSchema, TableName AS SourceTableName, SourceQuery,
+  COALESCE(KeyVaultSecret, '<FILL-ME-IN>') AS SourceKeyVaultSecret,
+  COALESCE(SourceHandler, 'sql-load') AS SourceHandler, WatermarkColumn,
+  replace(replace(replace(replace(replace('/raw/$SYSTEM$/$SCHEMA$_$TABLE$/$yyyy$/$MM$/$dd$/$HH$$mm$/$guid$.$EXT$',
+     '$SYSTEM$', new1.SystemCode), '$SCHEMA$', TableSchema), '$TABLE$', TableName),
+     '$EXT$', COALESCE(RawFileExtension, 'parquet')),
+     '$guid$.', CASE WHEN RawFileExtension = '' THEN '' ELSE '$guid$.' END) AS RawPath,
+  'raw-load' AS RawHandler, 'trusted-load' AS TrustedHandler,
+  replace(replace(replace('/trusted/$SYSTEM$/$SCHEMA$_$TABLE$/', '$SYSTEM$', new1.SystemCode), '$SCHEMA$', TableSchema),
+     '$TABLE$', TableName) AS TrustedPath,
+  replace(replace(TableSchema, '\\', ''), ' ', '') AS DestinationSchema,
+  replace(replace(TableName, '\\', ''), ' ', '') AS DestinationTableName,
+  ExtendedProperties, TRUE AS Enabled, {ts2} AS CreatedDTS
+FROM new1 LEFT JOIN fresh ON new1.SystemCode = fresh.SystemCode"""
+
+ORACLE.update({
+    "fact_lookup_sk": with_ctes(_LOOKUP, **dim_ctes(upto=2), fact=_FACT, dim=_DIMC.format(d="d2")),
+    "revenue_by_segment": with_ctes(
+        """SELECT c_mktsegment, COUNT(*) AS orders, CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS revenue
+           FROM (""" + _LOOKUP + ") GROUP BY c_mktsegment",
+        v1=CUSTOMER_V1, s1=_sent_entity("v1"), d1=first_load_sql("s1", TS1),
+        v2=CUSTOMER_V2, s2=_sent_entity("v2"), d2=scd2_step_sql("d1", "s2", TS2),
+        fact=_FACT, dim=_DIMC.format(d="d2")),
+    "wm_bounds": "SELECT min(o_orderdate) AS LowWatermark, max(o_orderdate) AS HighWatermark FROM orders",
+    "wm_range": """SELECT * FROM orders WHERE o_orderdate > TIMESTAMP '1996-12-31 00:00:00'
+                   AND o_orderdate <= TIMESTAMP '1998-08-02 00:00:00'""",
+    "wm_last_per_source": with_ctes(_LAST_WM, st=EXTRACT_STATUS),
+    "wm_batch_init": with_ctes(f"""SELECT '20240201' AS BatchID,
+        CAST((SELECT COALESCE(max(ID), 0) FROM st) + ROW_NUMBER() OVER (ORDER BY m.SystemCode, m.SourceID) AS BIGINT) AS ID,
+        l.HighWatermark AS LowWatermark, m.SourceID, m.SystemCode, m.SourceSchema, m.SourceTableName, m.SourceQuery,
+        m.SourceHandler, m.WatermarkColumn, m.DestinationSchema, m.DestinationTableName, m.TrustedPath,
+        m.ExtendedProperties, {TS2} AS CreatedDTS
+        FROM m LEFT JOIN lastwm l ON l.SourceID = m.SourceID WHERE m.Enabled""",
+                               st=EXTRACT_STATUS, m=EXTRACT_MANIFEST, lastwm=_LAST_WM),
+    "wm_full_vs_delta": with_ctes(f"""SELECT m.SourceID, {_INC} AS IsDelta, {_BASEQ} AS BaseQuery,
+        l.HighWatermark AS LowWatermark, {_HI} AS HighWatermark,
+        CASE WHEN NOT {_INC} THEN {_BASEQ}
+             WHEN l.HighWatermark IS NULL THEN 'SELECT * FROM (' || {_BASEQ} || ') T WHERE [' || WatermarkColumn || '] <= ''' || {_HI} || ''''
+             ELSE 'SELECT * FROM (' || {_BASEQ} || ') T WHERE [' || WatermarkColumn || '] > ''' || l.HighWatermark ||
+                  ''' AND [' || WatermarkColumn || '] <= ''' || {_HI} || '''' END AS Query
+        FROM m LEFT JOIN lastwm l ON l.SourceID = m.SourceID""", st=EXTRACT_STATUS, m=EXTRACT_MANIFEST,
+                                  lastwm=_LAST_WM),
+    "src_query_or_table": with_ctes(f"SELECT SourceID, {_BASEQ} AS BaseQuery FROM m", m=EXTRACT_MANIFEST),
+    "trusted_query": "SELECT o_orderkey, o_custkey, o_totalprice * 2 AS double_price FROM orders WHERE o_orderstatus = 'F'",
+    "project_exprs": """SELECT p_partkey, upper(p_brand) AS brand, p_retailprice * 2 AS price2,
+        p_type || '-' || CAST(p_size AS VARCHAR) AS type_size FROM part""",
+    "prefix_columns": """SELECT p_partkey AS src_p_partkey, p_name AS src_p_name, p_brand AS src_p_brand,
+        p_type AS src_p_type, p_size AS src_p_size, p_retailprice AS src_p_retailprice FROM part""",
+    "sanitize_columns": 'SELECT p_partkey AS p_key, p_name AS p_name__full_, p_brand AS brand__maker, p_size FROM part',
+    "drop_key_columns": with_ctes(f"SELECT {', '.join(ATTRS)}, _Created, _Ended, _Current FROM d1", **dim_ctes(upto=1)),
+    "null_sentinels": f"""SELECT p_partkey,
+        {_SENT.format(c="CASE WHEN p_partkey % 7 = 0 THEN NULL WHEN p_partkey % 5 = 0 THEN '' ELSE p_name END")} AS p_name,
+        {_SENT.format(c='p_brand')} AS p_brand, {_SENT.format(c='p_type')} AS p_type, p_size, p_retailprice FROM part""",
+    "union_orgs": with_ctes(f"""SELECT '1001' || CAST(c_custkey AS VARCHAR) AS Customer_BK, c_name, c_nationkey, c_acctbal,
+        {_SENT.format(c='c_mktsegment')} AS c_mktsegment, 1 AS CountryCode FROM v1 WHERE c_nationkey % 2 = 0
+        UNION ALL SELECT '2002' || CAST(c_custkey AS VARCHAR), c_name, c_nationkey, c_acctbal,
+        {_SENT.format(c='c_mktsegment')}, 2 FROM v1 WHERE c_nationkey % 2 = 1""", v1=CUSTOMER_V1),
+    "unionise_query": with_ctes("""SELECT c_custkey, c_name, c_acctbal, 1 AS Organisation FROM v1
+        WHERE c_nationkey % 2 = 0 AND c_acctbal > 0 UNION ALL
+        SELECT c_custkey, c_name, c_acctbal, 2 FROM v1 WHERE c_nationkey % 2 = 1 AND c_acctbal > 0""", v1=CUSTOMER_V1),
+    "history_union_fact": with_ctes(f"""SELECT {_LI_COLS} FROM lib WHERE _year >= 2000
+        UNION SELECT {_LI_COLS} FROM hist""", lib=_LI_BASE, hist=_LI_HIST),
+    "history_union_override": with_ctes(f"""SELECT {_LI_COLS} FROM lib WHERE _year >= 2000
+        UNION SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_returnflag,
+          CASE WHEN as_at = 1996 THEN TIMESTAMP '2022-04-25 00:00:00' ELSE _Created END,
+          CASE WHEN as_at = 1996 THEN TIMESTAMP '2022-05-01 00:00:00' ELSE _Ended END, _Current FROM hist""",
+                                        lib=_LI_BASE, hist=_LI_HIST),
+    "history_union_dim": with_ctes(f"""SELECT * FROM d3 UNION SELECT * FROM d1
+        UNION SELECT * FROM ({first_load_sql('s2', TS2)})""", **dim_ctes()),
+    "history_replay": with_ctes("SELECT * FROM d3", **_upd(
+        "TIMESTAMP '2023-12-26 00:00:00'", "TIMESTAMP '2024-01-26 00:00:00'", "TIMESTAMP '2024-02-24 00:00:00'",
+        TS1, TS2, TS3)),
+    "period_filter": """SELECT l_orderkey, l_linenumber, strftime(l_shipdate, '%Y%m%d') AS DateKey FROM lineitem
+        WHERE substring(strftime(l_shipdate, '%Y%m%d'), 1, 4) = '1997'""",
+    "empty_clone": "SELECT * FROM lineitem LIMIT 0",
+    "config_pivot": with_ctes("""SELECT KeyGroup, max(CASE WHEN Key = 'Key0' THEN Value END) AS Key0,
+        max(CASE WHEN Key = 'Key1' THEN Value END) AS Key1, max(CASE WHEN Key = 'Key2' THEN Value END) AS Key2,
+        max(CASE WHEN Key = 'Key3' THEN Value END) AS Key3 FROM cfg GROUP BY KeyGroup""", cfg=EVENT_CONFIG),
+    "register_source": _REGISTER.format(m=EXTRACT_MANIFEST, sh=INGESTION_SHEET, ts2=TS2),
+    "limit_or_all": with_ctes("SELECT * FROM sh ORDER BY SheetRow LIMIT 999", sh=INGESTION_SHEET),
+    "system_selection": with_ctes("""SELECT DISTINCT substring(CAST(SourceID AS VARCHAR), 1, 2) AS "Order", SystemCode
+        FROM m WHERE Enabled AND SystemCode IN ('click', 'view', 'purchase')""", m=EXTRACT_MANIFEST),
+    "list_to_rows": with_ctes("""SELECT ID, Segment FROM (SELECT ID, unnest(string_split(RawPath, '/')) AS Segment FROM st)
+        WHERE Segment <> ''""", st=EXTRACT_STATUS),
+    "group_list": with_ctes("""SELECT ParallelGroup, string_agg(CAST(TransformID AS VARCHAR), ',' ORDER BY TransformID) AS Transforms,
+        COUNT(*) AS Tasks FROM tm WHERE Enabled GROUP BY ParallelGroup""", tm=TRANSFORM_MANIFEST),
+    "transform_init": with_ctes(f"""SELECT '20240201' AS BatchID,
+        CAST((SELECT COALESCE(max(TransformStatusID), 0) FROM lg) + ROW_NUMBER() OVER (ORDER BY TransformID) AS BIGINT) AS ID,
+        TransformID, EntityType, EntityName, ProcessorType, Command, ParallelGroup,
+        (SELECT string_agg(CAST(g AS VARCHAR), ',' ORDER BY g) FROM (SELECT DISTINCT ParallelGroup AS g FROM tm)) AS List,
+        {TS2} AS CreatedDTS FROM tm WHERE Enabled""", tm=TRANSFORM_MANIFEST, lg=LOG),
+    "status_from_events": with_ctes("""SELECT ID, max(CASE WHEN Property = 'RawStatus' THEN v END) AS RawStatus,
+        max(CASE WHEN Property = 'TrustedStatus' THEN v END) AS TrustedStatus,
+        max(CASE WHEN Property = 'SinkRowCount' THEN v END) AS SinkRowCount
+        FROM (SELECT ID, Property, arg_max(Value, Seq) AS v FROM ev GROUP BY ID, Property) GROUP BY ID""",
+                                    ev=STATUS_EVENTS),
+    "log_routing": """SELECT CASE WHEN NOT (event_id % 2 = 0) THEN event_id END AS ExtractLoadStatusID,
+        CASE WHEN event_id % 2 = 0 THEN event_id END AS TransformStatusID, event_type AS ActivityType,
+        props AS Message, ts AS CreatedDTS FROM events""",
+    "end_system_stamp": with_ctes(f"""SELECT ID, BatchID, SystemCode,
+        CASE WHEN BatchID = '20240115' AND SystemCode = 'click' THEN {TS2} ELSE EndedDTS END AS EndedDTS FROM st""",
+                                  st=EXTRACT_STATUS),
+})

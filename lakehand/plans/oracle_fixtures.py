@@ -119,3 +119,26 @@ def with_ctes(body: str, **ctes: str) -> str:
     if not ctes:
         return body
     return "WITH " + ",\n".join(f"{k} AS ({v})" for k, v in ctes.items()) + "\n" + body
+
+INGESTION_SHEET = f"""SELECT p_partkey AS SheetRow,
+  CASE WHEN p_partkey % 7 = 0 THEN {_SYS.format(n='(p_partkey % 50)')}
+       WHEN p_partkey % 10 = 0 THEN 'NEWSYS' || CAST(p_partkey % 3 AS VARCHAR)
+       ELSE {_SYS.format(n='p_partkey')} END AS SystemCode,
+  CASE WHEN p_partkey % 7 = 0 THEN 'dbo' WHEN p_partkey % 11 = 0 THEN 'sales data' ELSE 'dbo' END AS TableSchema,
+  CASE WHEN p_partkey % 7 = 0 THEN 'T' || CAST(p_partkey % 50 AS VARCHAR) ELSE 'T' || CAST(p_partkey AS VARCHAR) END AS TableName,
+  CAST(NULL AS VARCHAR) AS SourceQuery,
+  CASE WHEN p_partkey % 2 = 0 THEN 'ModifiedDTS' END AS WatermarkColumn,
+  CASE WHEN p_partkey % 13 = 0 THEN 'csv-load' END AS SourceHandler,
+  CASE WHEN p_partkey % 13 = 0 THEN 'csv' WHEN p_partkey % 17 = 0 THEN '' END AS RawFileExtension,
+  CASE WHEN p_partkey % 19 = 0 THEN 'kv-' || CAST(p_partkey AS VARCHAR) END AS KeyVaultSecret,
+  CAST(NULL AS VARCHAR) AS ExtendedProperties
+  FROM part WHERE p_partkey >= 50"""
+
+EVENT_CONFIG = """SELECT event_type AS KeyGroup, 'Key' || CAST(user_id % 4 AS VARCHAR) AS Key,
+  lpad(json_extract_string(props, '$.k'), 3, '0') AS Value FROM events"""
+
+STATUS_EVENTS = f"""SELECT ID, 'RawStatus' AS Property, 'In Progress' AS Value, 1 AS Seq FROM ({EXTRACT_STATUS})
+  UNION ALL SELECT ID, 'RawStatus', RawStatus, 2 FROM ({EXTRACT_STATUS})
+  UNION ALL SELECT ID, 'TrustedStatus', 'In Progress', 3 FROM ({EXTRACT_STATUS})
+  UNION ALL SELECT ID, 'TrustedStatus', TrustedStatus, 4 FROM ({EXTRACT_STATUS})
+  UNION ALL SELECT ID, 'SinkRowCount', CAST(SinkRowCount AS VARCHAR), 5 FROM ({EXTRACT_STATUS})"""
