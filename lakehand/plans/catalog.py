@@ -549,3 +549,114 @@ def end_system_stamp(spark, sf_dir):
     from lakehand.plans.control import end_system_stamp as es
     s = X.extract_status(_t(spark, sf_dir))
     return es(s, "20240115", "click", TS2).select("ID", "BatchID", "SystemCode", "EndedDTS")
+
+
+# --------------------------------------------------------------------------- monitoring
+
+def _mon(t: Tables):
+    return X.extract_status(t), X.extract_manifest(t), X.log_table(t)
+
+
+@query
+def log_parsed(spark, sf_dir):
+    """V1: parsed log (top-level size paths, as in that view)."""
+    from lakehand.plans.monitor import log_parsed as lp
+    return lp(X.log_table(_t(spark, sf_dir)))
+
+
+@query
+def first_log_per_task(spark, sf_dir):
+    """First copy log per task (sizes)."""
+    from lakehand.plans.monitor import task_log_facts
+    return task_log_facts(X.log_table(_t(spark, sf_dir))).select(
+        "ExtractLoadStatusID", "FirstCopyLogID", "DataRead", "DataWritten")
+
+
+@query
+def last_log_per_task(spark, sf_dir):
+    """Last log per task (run id, status, error) and log count."""
+    from lakehand.plans.monitor import task_log_facts
+    return task_log_facts(X.log_table(_t(spark, sf_dir))).select(
+        "ExtractLoadStatusID", "LastLogID", "JsonPipelineRunId", "Status", "Error", "Logs")
+
+
+@query
+def latest_per_key(spark, sf_dir):
+    """Latest refresh per report (ties kept)."""
+    from lakehand.plans.monitor import report_lineage
+    return report_lineage(X.report_refresh(_t(spark, sf_dir)))
+
+
+@query
+def task_status_flags(spark, sf_dir):
+    """F16: stage status, current stage and task flags."""
+    from lakehand.plans.monitor import task_status
+    s, m, _ = _mon(_t(spark, sf_dir))
+    return task_status(s, m, TS2).select("ID", "RawStatus", "TrustedStatus", "CurrentStage", "RawDuration",
+                                         "TrustedDuration", "TotalDuration", "Pending", "InProgress", "Success", "Fail")
+
+
+@query
+def stage_ranks(spark, sf_dir):
+    """Dense ranks of stage times within (batch, system)."""
+    from lakehand.plans.monitor import stage_ranks as sr, task_status
+    s, m, _ = _mon(_t(spark, sf_dir))
+    return sr(task_status(s, m, TS2)).select("ID", "RawStartRank", "RawEndRank", "TrustedStartRank", "TrustedEndRank")
+
+
+@query
+def system_rollup(spark, sf_dir):
+    """System-level counts, times and status."""
+    from lakehand.plans.monitor import system_rollup as sr, task_status
+    s, m, _ = _mon(_t(spark, sf_dir))
+    return sr(task_status(s, m, TS2), TS2).select(
+        "ID", "SystemPendingTasks", "SystemInProgressTasks", "SystemSuccessTasks", "SystemFailTasks",
+        "SystemCompletedTasks", "SystemFinishedTasks", "SystemTotalTasks", "SystemStartDTS", "SystemEndDTS",
+        "SystemDuration", "SystemStatus")
+
+
+@query
+def batch_rollup(spark, sf_dir):
+    """Batch-level counts, times, status and ranks."""
+    from lakehand.plans.monitor import batch_rollup as br, stage_ranks as sr, task_status
+    s, m, _ = _mon(_t(spark, sf_dir))
+    return br(sr(task_status(s, m, TS2)), TS2).select(
+        "ID", "BatchPendingTasks", "BatchInProgressTasks", "BatchSuccessTasks", "BatchFailTasks",
+        "BatchCompletedTasks", "BatchTotalTasks", "BatchStartDTS", "BatchEndDTS", "BatchDuration", "BatchStatus",
+        "BatchTaskRank", "BatchSystemRank", "BatchRank")
+
+
+@query
+def latest_batch_flag(spark, sf_dir):
+    """Global dense rank of batch ends and the latest-batch flag."""
+    from lakehand.plans.monitor import batch_rollup as br, latest_batches, task_status
+    s, m, _ = _mon(_t(spark, sf_dir))
+    return latest_batches(br(task_status(s, m, TS2), TS2))
+
+
+@query
+def batch_status_log(spark, sf_dir):
+    """V2: the full batch status log."""
+    from lakehand.plans.monitor import batch_status_log as bsl
+    s, m, lg = _mon(_t(spark, sf_dir))
+    return bsl(s, m, lg, TS2)
+
+
+def _lineage(t: Tables) -> DataFrame:
+    from lakehand.plans.monitor import object_lineage as ol
+    return ol(X.log_table(t), X.report_refresh(t), X.transform_manifest(t), X.extract_manifest(t))
+
+
+@query
+def object_lineage(spark, sf_dir):
+    """V4: report -> curated -> trusted -> source lineage."""
+    return _lineage(_t(spark, sf_dir))
+
+
+@query
+def health_dashboard(spark, sf_dir):
+    """V3: batch log x lineage with success rate, quarter and age."""
+    from lakehand.plans.monitor import batch_status_log as bsl, health_dashboard as hd
+    t = _t(spark, sf_dir)
+    s, m, lg = _mon(t)
+    return hd(bsl(s, m, lg, TS2), _lineage(t), X.transform_manifest(t), m, TS2)

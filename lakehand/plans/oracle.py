@@ -289,3 +289,7 @@ ORACLE.update({
         CASE WHEN BatchID = '20240115' AND SystemCode = 'click' THEN {TS2} ELSE EndedDTS END AS EndedDTS FROM st""",
                                   st=EXTRACT_STATUS),
 })
+
+from lakehand.plans.oracle_monitor import MONITOR  # noqa: E402
+
+ORACLE.update(MONITOR)
