@@ -57,3 +57,17 @@ STATUS_IN_PROGRESS = "In Progress"
 STATUS_COMPLETED = "Completed"
 STATUS_SKIPPED = "Skipped"
 COPY_ACTIVITY = "copy-data"
+
+# Fixed values of the generated-SQL view (text must match the reference output):
+#   create-schema text        BEGIN TRY DECLARE @Schema VARCHAR(8000) = REPLACE('CREATE SCHEMA [<schema>]', '\\', '\') EXEC(@Schema) END TRY BEGIN CATCH END CATCH
+#   create-table text         CREATE TABLE [<schema>].[<table>] (<column definitions joined by ,>)
+#   column definition         [<column>] [<type>]<size> NULL | NOT NULL
+#   size                      (<length or MAX>) for *char/*binary, (<precision>,<scale>) for numeric/decimal, (7) for datetime2
+#   select text               SELECT <[column] [clean column] joined by ,> FROM [<schema>].[<table>]   (trailing space)
+#   external table suffix     " WITH (LOCATION ='/external-tables/<system>/<schema>_<table>/' ,DATA_SOURCE = [DLS-Synapse-EDS], FILE_FORMAT = [SynapseParquetFormat] )"
+#   external schema names     D365FO -> D365, EDW1 and EDW2 -> EDW, else the system code
+CREATE_SCHEMA_SQL = ("BEGIN TRY DECLARE @Schema VARCHAR(8000) = REPLACE('CREATE SCHEMA [{schema}]', '\\\\', '\\') "
+                     "EXEC(@Schema) END TRY BEGIN CATCH END CATCH ")
+EXTERNAL_DATA_SOURCE = "DLS-Synapse-EDS"
+EXTERNAL_FILE_FORMAT = "SynapseParquetFormat"
+EXTERNAL_SCHEMA_MAP = {"D365FO": "D365", "EDW1": "EDW", "EDW2": "EDW"}

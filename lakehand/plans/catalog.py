@@ -660,3 +660,116 @@ def health_dashboard(spark, sf_dir):
     t = _t(spark, sf_dir)
     s, m, lg = _mon(t)
     return hd(bsl(s, m, lg, TS2), _lineage(t), X.transform_manifest(t), m, TS2)
+
+
+# --------------------------------------------------------------------------- metadata
+
+def _meta_manifest(t: Tables) -> DataFrame:
+    from lakehand.sources.metadata import metadata_json
+    return metadata_json(X.column_metadata(t))
+
+
+@query
+def meta_capture(spark, sf_dir):
+    """Column metadata captured per table as a JSON array (ordinal order)."""
+    return _meta_manifest(_t(spark, sf_dir))
+
+
+@query
+def meta_generated_sql(spark, sf_dir):
+    """V5: create-schema, create-table, select and external-table texts per table."""
+    from lakehand.plans.metadata import generated_sql
+    return generated_sql(_meta_manifest(_t(spark, sf_dir)))
+
+
+@query
+def manifest_refresh(spark, sf_dir):
+    """V6: the generated select written back as the manifest's source query."""
+    from lakehand.plans.metadata import generated_sql, refresh_manifest
+    t = _t(spark, sf_dir)
+    return refresh_manifest(X.extract_manifest(t), generated_sql(_meta_manifest(t)))
+
+
+# --------------------------------------------------------------------------- scalar functions
+
+@query
+def path_template(spark, sf_dir):
+    """2.10: landing path template filled from the task row and its time."""
+    from lakehand.constants import INGESTION_DEFAULTS
+    s = X.extract_status(_t(spark, sf_dir))
+    ts = F.col("CreatedDTS")
+    path = fx.fill_template(INGESTION_DEFAULTS["RawPath"], {
+        "$SYSTEM$": F.col("SystemCode"), "$SCHEMA$": F.lit("dbo"),
+        "$TABLE$": F.concat(F.lit("T"), (F.col("SourceID") - 20001).cast("string")),
+        "$yyyy$": F.date_format(ts, "yyyy"), "$MM$": F.date_format(ts, "MM"), "$dd$": F.date_format(ts, "dd"),
+        "$HH$": F.date_format(ts, "HH"), "$mm$": F.date_format(ts, "mm"),
+        "$guid$": F.concat(F.lit("g"), F.col("ID").cast("string")), "$EXT$": F.lit("parquet")})
+    return s.select("ID", path.alias("RawPath"))
+
+
+@query
+def date_key_parse(spark, sf_dir):
+    """2.10: yyyyMMdd key -> date."""
+    o = _t(spark, sf_dir).orders.select("o_orderkey", F.date_format("o_orderdate", "yyyyMMdd").cast("int").alias("DateKey"))
+    return o.withColumn("OrderDate", fx.date_key_parse("DateKey"))
+
+
+@query
+def quarter_label(spark, sf_dir):
+    """2.10: 'Q' + quarter."""
+    return _t(spark, sf_dir).events.select("event_id", fx.quarter_label("ts").alias("Period"))
+
+
+@query
+def tz_stamp(spark, sf_dir):
+    """2.10: UTC -> local wall-clock stamp."""
+    return _t(spark, sf_dir).events.select(
+        "event_id", fx.tz_stamp("ts", "Australia/Sydney").cast("timestamp_ntz").alias("LocalTS"))
+
+
+@query
+def duration_seconds(spark, sf_dir):
+    """2.10: durations in whole seconds (open stages measured to as-of)."""
+    s = X.extract_status(_t(spark, sf_dir))
+    return s.select("ID", fx.duration_seconds("RawStartDTS", "RawEndDTS", TS2).alias("RawSeconds"),
+                    fx.duration_seconds("CreatedDTS", "EndedDTS").alias("TaskSeconds"))
+
+
+@query
+def unit_format(spark, sf_dir):
+    """2.10: bytes -> MB text (fixed and parity divisors), fixed-point text."""
+    lg = X.log_table(_t(spark, sf_dir)).where(F.col("ActivityType") == "copy-data")
+    b = fx.json_value(F.col("Message"), "$.Output.dataRead").try_cast("decimal(16,2)")
+    return lg.select("ID", fx.scaled_units(b).alias("DataReadMB"), fx.scaled_units(b, 1026).alias("DataReadParity"),
+                     fx.fixed2(fx.json_value(F.col("Message"), "$.Output.throughput")).alias("Throughput"))
+
+
+@query
+def json_scalar_paths(spark, sf_dir):
+    """2.10: scalar JSON paths, array index path, object guard."""
+    lg = X.log_table(_t(spark, sf_dir))
+    m = fx.strip_crlf("Message")
+    return lg.select("ID", fx.json_value(m, "$.PipelineRunId").alias("RunId"),
+                     fx.json_value(m, "$.Status").alias("Status"),
+                     fx.json_value(m, "$.Output.errors[0].Message").alias("CopyError"),
+                     fx.json_value(m, "$.Error").alias("PlainError"),
+                     fx.json_value(m, "$.Output.runOutput.CuratedTransform.Destination").alias("Destination"))
+
+
+@query
+def props_to_rows(spark, sf_dir):
+    """M9: run-output counts object -> (property, value) rows."""
+    lg = X.log_table(_t(spark, sf_dir)).where(F.col("TransformStatusID").isNotNull())
+    counts = F.get_json_object(fx.strip_crlf("Message"), "$.Output.runOutput.Counts")
+    return lg.select("ID", fx.props_to_rows(counts).alias("Property", "Value"))
+
+
+@query
+def json_pages_explode(spark, sf_dir):
+    """Landed JSON pages -> one row per element of the response property."""
+    from lakehand.sources.files import explode_pages
+    ev = _t(spark, sf_dir).events
+    pages = ev.select("event_id", F.concat(F.lit('{"Response":[{"n":1,"v":'), F.col("props"),
+                                           F.lit('},{"n":2,"v":'), F.col("props"), F.lit("}]}")).alias("page"))
+    rows = explode_pages(pages, "Response", page_col="page", element_schema="struct<n:int,v:struct<k:bigint>>")
+    return rows.select("event_id", "n", F.col("v.k").alias("k"))

@@ -293,3 +293,7 @@ ORACLE.update({
 from lakehand.plans.oracle_monitor import MONITOR  # noqa: E402
 
 ORACLE.update(MONITOR)
+
+from lakehand.plans.oracle_meta import META  # noqa: E402
+
+ORACLE.update(META)
