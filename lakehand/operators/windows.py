@@ -56,8 +56,11 @@ def partition_agg(df: DataFrame, keys, aggs: dict[str, Column]) -> DataFrame:
     return df.join(g, on, "left").drop(*[f"__g_{k}" for k in keys])
 
 
+SMALL_ROWS = 2_000_000
+
+
 def rank_within(df: DataFrame, group, order, out: str, method: str = "dense_rank",
-                num_partitions: int | None = None) -> DataFrame:
+                num_partitions: int | None = None, small_rows: int = SMALL_ROWS) -> DataFrame:
     """RANK-family number per group that does not put a hot group into one task.
 
     1. range-partition on (group, order): a hot group spans several partitions and
@@ -66,15 +69,24 @@ def rank_within(df: DataFrame, group, order, out: str, method: str = "dense_rank
     3. per (group, partition) counts -> prefix sums over the partitions of a group
        (a tiny table) -> add as offsets.
     ``method`` is ``dense_rank`` or ``row_number``.
+
+    When the whole input is proven to hold at most ``small_rows`` rows a plain
+    window is used (no group can be larger).  The range-split frame is
+    checkpointed to the shared checkpoint folder: range bounds come from sampling,
+    so both uses of the frame must read one materialisation.
     """
+    from lakehand.operators.joins import bounded_rows
+    from lakehand.session import cut_lineage
     group = _cols(group)
     orders = order if isinstance(order, (list, tuple)) else [order]
     o = [F.col(x) if isinstance(x, str) else x for x in orders]
+    local = F.dense_rank() if method == "dense_rank" else F.row_number()
+    if small_rows and bounded_rows(df, small_rows):
+        return df.withColumn(out, local.over(Window.partitionBy(*group).orderBy(*o)).cast("int"))
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     r = df.repartitionByRange(n, *[F.col(g) for g in group], *o).withColumn("__pid", F.spark_partition_id())
     w = Window.partitionBy(*group, "__pid").orderBy(*o)
-    local = F.dense_rank() if method == "dense_rank" else F.row_number()
-    r = r.withColumn("__local", local.over(w))
+    r = cut_lineage(r.withColumn("__local", local.over(w)))
     cnt = r.groupBy(*group, "__pid").agg(F.max("__local").alias("__n"))
     prev = Window.partitionBy(*group).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     off = cnt.withColumn("__off", F.coalesce(F.sum("__n").over(prev), F.lit(0))).drop("__n")
@@ -89,10 +101,11 @@ def rank_within(df: DataFrame, group, order, out: str, method: str = "dense_rank
         "__pid", "__opid", "__local", "__off", *[f"__g_{g}" for g in group])
 
 
-def dense_rank_global(df: DataFrame, order_col: str, out: str, desc: bool = False) -> DataFrame:
+def dense_rank_global(df: DataFrame, order_col: str, out: str, desc: bool = False,
+                      small_rows: int = SMALL_ROWS) -> DataFrame:
     """DENSE_RANK() over the whole table (W8) without a one-partition window:
     the distinct values are ranked by :func:`rank_within` and joined back."""
     vals = df.select(order_col).distinct().withColumn("__all", F.lit(1))
     o = F.col(order_col).desc_nulls_last() if desc else F.col(order_col).asc_nulls_first()
-    ranked = rank_within(vals, "__all", o, out).drop("__all").withColumnRenamed(order_col, "__v")
+    ranked = rank_within(vals, "__all", o, out, small_rows=small_rows).drop("__all").withColumnRenamed(order_col, "__v")
     return df.join(ranked, df[order_col].eqNullSafe(ranked["__v"]), "left").drop("__v")

@@ -12,16 +12,26 @@ rows is spread over many tasks.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakehand.constants import COPY_ACTIVITY, STATUS_FAIL_ALIASES, STATUS_IN_PROGRESS, STATUS_SUCCESS
 from lakehand.functions.scalar import (duration_seconds, fixed2, json_value, quarter_label, scaled_units,
                                        strip_crlf, ts_lit)
-from lakehand.operators.joins import lookup
+from lakehand.operators.joins import bounded_rows, lookup
 from lakehand.operators.windows import dense_rank_global, latest_per_key, partition_agg, rank_within
 
 MB = 1048576
+# A window over one partition key group runs in one task; above this many rows in
+# the largest batch the skew-safe (range-split) path is used instead.
+GROUP_ROWS_LIMIT = 2_000_000
+
+
+def hot_groups(tasks: DataFrame, limit: int = GROUP_ROWS_LIMIT) -> bool:
+    """True when the largest batch (the widest PARTITION BY used here) exceeds ``limit``
+    rows.  One partial-aggregated count per batch; one number reaches the driver."""
+    mx = tasks.groupBy("BatchID").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+    return (mx or 0) > limit
 
 
 def _error(msg: Column, with_plain: bool = True) -> Column:
@@ -120,16 +130,23 @@ STAGE_RANKS = {"RawStartRank": "RawStartDTS", "RawEndRank": "RawEndDTS",
                "TrustedStartRank": "TrustedStartDTS", "TrustedEndRank": "TrustedEndDTS"}
 
 
-def stage_ranks(tasks: DataFrame) -> DataFrame:
+def stage_ranks(tasks: DataFrame, skew_safe: bool | None = None) -> DataFrame:
     """DENSE_RANK of each stage start/end within (BatchID, SystemCode), NULLs first.
 
-    Ranked on the distinct (batch, system, time) values and joined back.
+    Bounded groups: four windows sharing one shuffle.  Hot groups: ranked on the
+    distinct (batch, system, time) values with :func:`rank_within` and joined back.
     """
     g = ["BatchID", "SystemCode"]
+    if skew_safe is None:
+        skew_safe = hot_groups(tasks)
+    if not skew_safe:
+        w = Window.partitionBy(*g)
+        return tasks.withColumns({n: F.dense_rank().over(w.orderBy(F.col(c).asc_nulls_first()))
+                                  for n, c in STAGE_RANKS.items()})
     out = tasks
     for name, col in STAGE_RANKS.items():
         vals = tasks.select(*g, F.col(col).alias("__v")).distinct()
-        r = rank_within(vals, g, F.col("__v").asc_nulls_first(), name)
+        r = rank_within(vals, g, F.col("__v").asc_nulls_first(), name, small_rows=0)
         r = r.select(*[F.col(x).alias(f"__r_{x}") for x in g], F.col("__v").alias("__rv"), name)
         on = out[col].eqNullSafe(r["__rv"])
         for x in g:
@@ -138,17 +155,28 @@ def stage_ranks(tasks: DataFrame) -> DataFrame:
     return out
 
 
-def system_rollup(tasks: DataFrame, as_of) -> DataFrame:
-    """W4-W6 at system level (BatchID, SystemCode), with the reference's completed count."""
+def _windowed(df: DataFrame, keys, aggs: dict) -> DataFrame:
+    w = Window.partitionBy(*keys)
+    return df.withColumns({n: c.over(w) for n, c in aggs.items()})
+
+
+def system_rollup(tasks: DataFrame, as_of, skew_safe: bool | None = None) -> DataFrame:
+    """W4-W6 at system level (BatchID, SystemCode), with the reference's completed count.
+
+    ``skew_safe``: grouped aggregates joined back instead of window aggregates.
+    """
     now = ts_lit(as_of)
     g = ["BatchID", "SystemCode"]
-    t = partition_agg(tasks, g, {
+    if skew_safe is None:
+        skew_safe = hot_groups(tasks)
+    agg = partition_agg if skew_safe else _windowed
+    t = agg(tasks, g, {
         "SystemPendingTasks": F.sum("Pending"), "SystemInProgressTasks": F.sum("InProgress"),
         "SystemSuccessTasks": F.sum("Success"), "SystemFailTasks": F.sum("Fail"),
         "SystemTotalTasks": F.count("ID"), "SystemStartDTS": F.min("CreatedDTS"),
         "SystemEndDTS": F.max("EndedDTS"), "SystemFinishedTasks": F.sum(F.col("Success") + F.col("Fail")),
     })
-    t = partition_agg(t, g + ["SourceID"], {"__n_src": F.count(F.lit(1))})
+    t = agg(t, g + ["SourceID"], {"__n_src": F.count(F.lit(1))})
     # SUM(COALESCE(SystemSuccessTasks, SystemFailTasks)) OVER (batch, system, source): a constant summed per row
     t = t.withColumn("SystemCompletedTasks",
                      F.coalesce(F.col("SystemSuccessTasks"), F.col("SystemFailTasks")) * F.col("__n_src")).drop("__n_src")
@@ -159,10 +187,13 @@ def system_rollup(tasks: DataFrame, as_of) -> DataFrame:
     })
 
 
-def batch_rollup(tasks: DataFrame, as_of) -> DataFrame:
+def batch_rollup(tasks: DataFrame, as_of, skew_safe: bool | None = None) -> DataFrame:
     """W4-W6 at batch level, batch status, and the batch-level ranks."""
     now = ts_lit(as_of)
-    t = partition_agg(tasks, ["BatchID"], {
+    if skew_safe is None:
+        skew_safe = hot_groups(tasks)
+    agg = partition_agg if skew_safe else _windowed
+    t = agg(tasks, ["BatchID"], {
         "BatchPendingTasks": F.sum("Pending"), "BatchInProgressTasks": F.sum("InProgress"),
         "BatchSuccessTasks": F.sum("Success"), "BatchFailTasks": F.sum("Fail"),
         "BatchCompletedTasks": F.sum(F.col("Success") + F.col("Fail")), "BatchTotalTasks": F.count("ID"),
@@ -179,6 +210,19 @@ def batch_rollup(tasks: DataFrame, as_of) -> DataFrame:
         # DENSE_RANK over the batch ordered by TrustedEndRank: every system's ranks are
         # dense from 1, so the batch's distinct values are 1..max and the rank is the value.
         t = t.withColumn("BatchTaskRank", F.col("TrustedEndRank"))
+    return batch_rank(t)
+
+
+def batch_rank(t: DataFrame, limit: int = GROUP_ROWS_LIMIT) -> DataFrame:
+    """DENSE_RANK() OVER (ORDER BY BatchEndDTS DESC) without ranking every row.
+
+    The distinct batch ends are ranked (one window when their count is proven
+    small, else :func:`dense_rank_global`) and joined back (broadcast when small).
+    """
+    ends = t.select(F.col("BatchEndDTS").alias("__e")).distinct()
+    if bounded_rows(ends, limit):
+        ranked = ends.withColumn("BatchRank", F.dense_rank().over(Window.orderBy(F.col("__e").desc_nulls_last())))
+        return t.join(F.broadcast(ranked), t["BatchEndDTS"].eqNullSafe(ranked["__e"]), "left").drop("__e")
     return dense_rank_global(t, "BatchEndDTS", "BatchRank", desc=True)
 
 
@@ -193,9 +237,10 @@ def batch_status_log(status: DataFrame, manifest: DataFrame, log: DataFrame, as_
     """V2: task stage/status/durations -> system roll-up -> batch roll-up -> ranks,
     with the last log, the first copy log's sizes and the latest-batch flag."""
     t = task_status(status, manifest, as_of)
-    t = stage_ranks(t)
-    t = system_rollup(t, as_of)
-    t = batch_rollup(t, as_of)
+    hot = hot_groups(t)
+    t = stage_ranks(t, hot)
+    t = system_rollup(t, as_of, hot)
+    t = batch_rollup(t, as_of, hot)
     facts = task_log_facts(log, divisor).select(
         F.col("ExtractLoadStatusID").alias("__lid"), "Logs", "DataRead", "DataWritten", "Error")
     out = t.join(facts, t["ID"] == facts["__lid"], "left").drop("__lid")

@@ -60,9 +60,15 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
 
 
 def cut_lineage(df, spark: SparkSession | None = None):
-    """Reliable checkpoint into the shared checkpoint folder (never local)."""
+    """Reliable checkpoint into the shared checkpoint folder (never ``localCheckpoint``).
+
+    Uses ``spark.checkpoint.dir``; where the cluster names none, a ``_checkpoints``
+    folder under the (shared) warehouse location.
+    """
     spark = spark or df.sparkSession
-    checkpoint_dir(spark)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir"))
+    sc = spark.sparkContext
+    if not sc.getCheckpointDir():
+        d = spark.conf.get("spark.checkpoint.dir", None) or (
+            spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints")
+        sc.setCheckpointDir(d)
     return df.checkpoint(eager=True)
