@@ -46,7 +46,8 @@ def null_sentinels(df: DataFrame, columns=None) -> DataFrame:
 def json_value(c, path: str) -> Column:
     """Scalar JSON path like SQL Server JSON_VALUE: objects/arrays give NULL."""
     v = F.get_json_object(col_or(c), path)
-    return F.when(v.startswith("{") | v.startswith("["), F.lit(None).cast("string")).otherwise(v)
+    # the path is parsed once: the guard filters a one-element array
+    return F.get(F.filter(F.array(v), lambda x: ~(x.startswith("{") | x.startswith("["))), 0)
 
 
 def strip_crlf(c) -> Column:

@@ -22,6 +22,8 @@ from lakehand.operators.joins import bounded_rows, lookup
 from lakehand.operators.windows import dense_rank_global, latest_per_key, partition_agg, rank_within
 
 MB = 1048576
+RUN_OUTPUT_SCHEMA = ("struct<Output: struct<runOutput: struct<CuratedTransform: "
+                     "struct<Destination: string, Tables: array<string>>>>>")
 # A window over one partition key group runs in one task; above this many rows in
 # the largest batch the skew-safe (range-split) path is used instead.
 GROUP_ROWS_LIMIT = 2_000_000
@@ -259,11 +261,12 @@ def object_lineage(log: DataFrame, refresh: DataFrame, transform_manifest: DataF
     Name matches are case-insensitive like the reference's collation (N7).  Log
     rows are reduced to distinct (destination, source table) pairs before any join.
     """
-    msg = strip_crlf("Message")
+    # one JSON parse per log row for both fields
+    run = F.from_json(strip_crlf("Message"), RUN_OUTPUT_SCHEMA)["Output"]["runOutput"]["CuratedTransform"]
+    dest = run["Destination"]
     pairs = (log.where(F.col("TransformStatusID").isNotNull())
-             .select(json_value(msg, "$.Output.runOutput.CuratedTransform.Destination").alias("__dest"),
-                     F.explode(F.from_json(F.get_json_object(msg, "$.Output.runOutput.CuratedTransform.Tables"),
-                                           "array<string>")).alias("SourceTable"))
+             .select(F.when(~(dest.startswith("{") | dest.startswith("[")), dest).alias("__dest"),
+                     F.explode(run["Tables"]).alias("SourceTable"))
              .distinct())
     reports = report_lineage(refresh)
     c = (pairs.join(reports.select("ReportName", F.col("SourceTable").alias("CuratedDestination")),
