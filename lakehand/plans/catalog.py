@@ -747,13 +747,14 @@ def unit_format(spark, sf_dir):
 @query
 def json_scalar_paths(spark, sf_dir):
     """2.10: scalar JSON paths, array index path, object guard."""
-    lg = X.log_table(_t(spark, sf_dir))
+    from lakehand.plans.monitor import RUN_OUTPUT_SCHEMA, _scalar, parse_message
     m = fx.strip_crlf("Message")
-    return lg.select("ID", fx.json_value(m, "$.PipelineRunId").alias("RunId"),
-                     fx.json_value(m, "$.Status").alias("Status"),
-                     fx.json_value(m, "$.Output.errors[0].Message").alias("CopyError"),
-                     fx.json_value(m, "$.Error").alias("PlainError"),
-                     fx.json_value(m, "$.Output.runOutput.CuratedTransform.Destination").alias("Destination"))
+    lg = X.log_table(_t(spark, sf_dir)).select("ID", parse_message(m).alias("__p"),
+                                               F.from_json(m, RUN_OUTPUT_SCHEMA).alias("__r"))
+    p, run = F.col("__p"), F.col("__r")["Output"]["runOutput"]["CuratedTransform"]
+    return lg.select("ID", _scalar(p["PipelineRunId"]).alias("RunId"), _scalar(p["Status"]).alias("Status"),
+                     _scalar(F.get(p["Output"]["errors"], 0)["Message"]).alias("CopyError"),
+                     _scalar(p["Error"]).alias("PlainError"), _scalar(run["Destination"]).alias("Destination"))
 
 
 @query

@@ -36,10 +36,32 @@ def hot_groups(tasks: DataFrame, limit: int = GROUP_ROWS_LIMIT) -> bool:
     return (mx or 0) > limit
 
 
-def _error(msg: Column, with_plain: bool = True) -> Column:
-    parts = [json_value(msg, "$.Output.errors[0].Message"), json_value(msg, "$.Error.message")]
+_COUNTERS = "dataRead string, dataWritten string, rowsRead string, rowsCopied string, copyDuration string, " \
+            "throughput string"
+# Fields the views read from a log message.  String-typed fields keep the JSON text
+# of whatever value is there (objects included), like a path lookup would.
+LOG_MESSAGE_SCHEMA = (f"PipelineRunId string, Status string, Error string, {_COUNTERS}, "
+                      f"Output struct<{_COUNTERS.replace(' string', ': string')}, "
+                      "errors: array<struct<Message: string>>>")
+
+
+def _scalar(c: Column) -> Column:
+    """JSON_VALUE on an already extracted field: objects and arrays give NULL.
+    ``c`` is a cheap field access of a parsed struct, so repeating it is free."""
+    return F.when(~(c.startswith("{") | c.startswith("[")), c)
+
+
+def parse_message(msg: Column) -> Column:
+    """One JSON parse per log row (instead of one per path)."""
+    return F.from_json(msg, LOG_MESSAGE_SCHEMA)
+
+
+def _error(p: Column, with_plain: bool = True) -> Column:
+    """First of errors[0].Message, Error.message (and Error itself when a scalar)."""
+    parts = [_scalar(F.get(p["Output"]["errors"], 0)["Message"]),
+             json_value(p["Error"], "$.message")]
     if with_plain:
-        parts.append(json_value(msg, "$.Error"))
+        parts.append(_scalar(p["Error"]))
     return F.coalesce(*parts)
 
 
@@ -50,23 +72,24 @@ def log_parsed(log: DataFrame, size_path: str = "$", divisor: int = MB) -> DataF
     ``divisor=1026`` reproduces the reference's ``1024 ^ 2`` (N9).
     """
     m = strip_crlf("Message")
-    p = size_path.rstrip(".")
+    top = size_path.rstrip(".") in ("$", "")
 
-    def jv(k):
-        return json_value(F.col("Message"), f"{p}.{k}")
+    def counter(k):
+        return _scalar(F.col("__p")[k] if top else F.col("__p")["Output"][k])
 
     base = log.select("ID", "ExtractLoadStatusID", "ActivityType", m.alias("Message"), "CreatedDTS")
+    base = base.withColumn("__p", parse_message(F.col("Message")))
     return base.select(
-        "*",
-        json_value(F.col("Message"), "$.PipelineRunId").alias("JsonPipelineRunId"),
-        json_value(F.col("Message"), "$.Status").alias("Status"),
-        scaled_units(jv("dataRead").try_cast("decimal(16,2)"), divisor).alias("DataRead"),
-        scaled_units(jv("dataWritten").try_cast("decimal(16,2)"), divisor).alias("DataWritten"),
-        jv("rowsRead").try_cast("int").cast("string").alias("RowsRead"),
-        jv("rowsCopied").try_cast("int").cast("string").alias("RowsCopied"),
-        jv("copyDuration").try_cast("int").cast("string").alias("CopyDuration"),
-        fixed2(jv("throughput")).alias("Throughput"),
-        _error(F.col("Message"), with_plain=False).alias("Error"),
+        "ID", "ExtractLoadStatusID", "ActivityType", "Message", "CreatedDTS",
+        _scalar(F.col("__p")["PipelineRunId"]).alias("JsonPipelineRunId"),
+        _scalar(F.col("__p")["Status"]).alias("Status"),
+        scaled_units(counter("dataRead").try_cast("decimal(16,2)"), divisor).alias("DataRead"),
+        scaled_units(counter("dataWritten").try_cast("decimal(16,2)"), divisor).alias("DataWritten"),
+        counter("rowsRead").try_cast("int").cast("string").alias("RowsRead"),
+        counter("rowsCopied").try_cast("int").cast("string").alias("RowsCopied"),
+        counter("copyDuration").try_cast("int").cast("string").alias("CopyDuration"),
+        fixed2(counter("throughput")).alias("Throughput"),
+        _error(F.col("__p"), with_plain=False).alias("Error"),
     )
 
 
@@ -82,15 +105,16 @@ def task_log_facts(log: DataFrame, divisor: int = MB) -> DataFrame:
         F.max(F.col("ID")).alias("LastLogID"),
         F.min(F.when(is_copy, F.col("ID"))).alias("FirstCopyLogID"),
     )
+    # parse each message once in its own projection, then read fields
+    g = g.select("*", parse_message(F.col("__last")).alias("__pl"), parse_message(F.col("__copy")).alias("__pc"))
+    last, copy = F.col("__pl"), F.col("__pc")
     return g.select(
         "ExtractLoadStatusID", "Logs", "LastLogID", "FirstCopyLogID",
-        json_value(F.col("__last"), "$.PipelineRunId").alias("JsonPipelineRunId"),
-        json_value(F.col("__last"), "$.Status").alias("Status"),
-        _error(F.col("__last")).alias("Error"),
-        scaled_units(json_value(F.col("__copy"), "$.Output.dataRead").try_cast("decimal(16,2)"), divisor)
-        .alias("DataRead"),
-        scaled_units(json_value(F.col("__copy"), "$.Output.dataWritten").try_cast("decimal(16,2)"), divisor)
-        .alias("DataWritten"),
+        _scalar(last["PipelineRunId"]).alias("JsonPipelineRunId"),
+        _scalar(last["Status"]).alias("Status"),
+        _error(last).alias("Error"),
+        scaled_units(_scalar(copy["Output"]["dataRead"]).try_cast("decimal(16,2)"), divisor).alias("DataRead"),
+        scaled_units(_scalar(copy["Output"]["dataWritten"]).try_cast("decimal(16,2)"), divisor).alias("DataWritten"),
     )
 
 
@@ -262,9 +286,11 @@ def object_lineage(log: DataFrame, refresh: DataFrame, transform_manifest: DataF
     rows are reduced to distinct (destination, source table) pairs before any join.
     """
     # one JSON parse per log row for both fields
-    run = F.from_json(strip_crlf("Message"), RUN_OUTPUT_SCHEMA)["Output"]["runOutput"]["CuratedTransform"]
+    parsed = (log.where(F.col("TransformStatusID").isNotNull())
+              .select(F.from_json(strip_crlf("Message"), RUN_OUTPUT_SCHEMA).alias("__r")))
+    run = F.col("__r")["Output"]["runOutput"]["CuratedTransform"]
     dest = run["Destination"]
-    pairs = (log.where(F.col("TransformStatusID").isNotNull())
+    pairs = (parsed
              .select(F.when(~(dest.startswith("{") | dest.startswith("[")), dest).alias("__dest"),
                      F.explode(run["Tables"]).alias("SourceTable"))
              .distinct())
