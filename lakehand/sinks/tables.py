@@ -1,18 +1,20 @@
 """Table writers.
 
 Delta is not available, so a type 2 table is kept as a *snapshot table*
-(:class:`SnapshotTable`): ``current/v=<n>/`` is rewritten each batch (one row per
-key) and ``closed/batch=<n>/`` is append-only.  The table is a view over
-``current/v=<n>`` plus every ``closed/batch<=n``; a commit writes both folders for
-``n+1`` and then swaps the view.  Readers keep the old version until the swap; a
-failed run leaves only folders above ``n``, which the retry overwrites.
+(:class:`SnapshotTable`).  Each save writes one folder ``v=<n>/`` partitioned by
+``_part``: ``_part=current`` holds the current versions (one row per key) and
+``_part=closed`` only the rows closed by that batch.  Version ``n`` of the table
+is ``v=<n>/_part=current`` plus every earlier ``_part=closed``; history is never
+rewritten.  The commit is a small ``_version`` file written after the data, so
+readers keep the old version until then and a failed run leaves only a folder
+above ``n``, which the retry overwrites.
 """
 
 from __future__ import annotations
 
-import os
+import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lakehand.constants import SCD_CURRENT
@@ -60,63 +62,46 @@ class SnapshotTable:
     def __init__(self, spark: SparkSession, root: str, name: str | None = None):
         self.spark, self.root, self.name = spark, root.rstrip("/"), name
 
-    # -- version bookkeeping (folder listing through the Hadoop FileSystem API)
-    def _fs(self):
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(self.root)
-        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), jvm
-
-    def _versions(self, sub: str, key: str) -> list[int]:
-        fs, jvm = self._fs()
-        p = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{sub}")
-        if not fs.exists(p):
-            return []
-        out = []
-        for st in fs.listStatus(p):
-            n = st.getPath().getName()
-            if n.startswith(f"{key}=") and fs.exists(jvm.org.apache.hadoop.fs.Path(f"{st.getPath()}/_SUCCESS")):
-                out.append(int(n.split("=", 1)[1]))
-        return sorted(out)
+    def _meta(self) -> dict:
+        """Committed state: {"v": last version, "closed": versions with closed rows}."""
+        if not _has(self.spark, f"{self.root}/_version"):
+            return {"v": 0, "closed": []}
+        return json.loads(self.spark.read.text(f"{self.root}/_version").first()[0])
 
     def version(self) -> int:
         """Last committed version (0 = table absent)."""
-        fs, jvm = self._fs()
-        p = jvm.org.apache.hadoop.fs.Path(f"{self.root}/_version")
-        if not fs.exists(p):
-            return 0
-        return int(self.spark.read.text(f"{self.root}/_version").first()[0])
+        return self._meta()["v"]
 
     def exists(self) -> bool:
         return self.version() > 0
 
     def read(self, version: int | None = None) -> DataFrame:
-        n = version or self.version()
+        meta = self._meta()
+        n = version or meta["v"]
         if n == 0:
             raise FileNotFoundError(self.root)
-        cur = self.spark.read.parquet(f"{self.root}/current/v={n}")
-        closed = [b for b in self._versions("closed", "batch") if b <= n]
+        cur = self.spark.read.parquet(f"{self.root}/v={n}/_part=current")
+        closed = [f"{self.root}/v={k}/_part=closed" for k in meta["closed"] if k <= n]
         if not closed:
             return cur
-        hist = (self.spark.read.option("basePath", f"{self.root}/closed")
-                .parquet(*[f"{self.root}/closed/batch={b}" for b in closed]).drop("batch"))
-        return cur.unionByName(hist)
+        return cur.unionByName(self.spark.read.parquet(*closed))
 
-    def _commit(self, n: int) -> None:
-        self.spark.createDataFrame([(str(n),)], "v string").coalesce(1).write.mode("overwrite").text(
+    def _commit(self, n: int, closed: list) -> None:
+        state = json.dumps({"v": n, "closed": closed})
+        self.spark.createDataFrame([(state,)], "v string").coalesce(1).write.mode("overwrite").text(
             f"{self.root}/_version")
         if self.name:
-            self.spark.sql(f"DROP VIEW IF EXISTS {self.name}")
             self.read(n).createOrReplaceTempView(self.name)
 
     def overwrite(self, df: DataFrame) -> int:
-        """K1/K3: new full version (no history kept)."""
+        """K1/K3: a new full version; earlier history no longer belongs to the table."""
         n = self.version() + 1
-        df.write.mode("overwrite").parquet(f"{self.root}/current/v={n}")
-        self._commit(n)
+        df.write.mode("overwrite").parquet(f"{self.root}/v={n}/_part=current")
+        self._commit(n, [])
         return n
 
     def upsert(self, df: DataFrame, keys) -> int:
-        """Create on first call, SCD1 merge afterwards."""
+        """Create on the first call, SCD1 merge afterwards."""
         from lakehand.operators.scd import scd1_upsert
         if not self.exists():
             return self.overwrite(df)
@@ -124,40 +109,48 @@ class SnapshotTable:
 
     def save_scd2(self, source: DataFrame, bk, sk: str, start, end=None, on_duplicate: str = "error",
                   **kw) -> int:
-        """Type 2 save.  Current rows are rewritten; closed rows only appended."""
+        """Type 2 save.  One write per batch: the new current versions and the
+        rows closed by this batch, split by ``_part``.  Stored history is not read
+        back or rewritten.  Run counts are observed on the write itself (A11) and
+        kept in ``self.last_metrics``."""
         from lakehand.operators.keys import check_unique_keys
         from lakehand.operators.scd import ACTION, scd2_apply, scd2_first_load
         check_unique_keys(source, bk, on_duplicate)
-        n = self.version() + 1
+        meta = self._meta()
+        n = meta["v"] + 1
         if n == 1:
-            scd2_first_load(source, bk, sk, start, end).write.mode("overwrite").parquet(f"{self.root}/current/v=1")
-            self._commit(1)
-            return 1
-        merged = scd2_apply(self.read(), source, bk, sk, start, end, with_action=True, **kw)
-        merged = merged.where(F.col(ACTION) != "history")    # history is already stored
-        # one pass over the merge result, split by the partition column on write
-        staged = merged.withColumn("_part", F.when(F.col(SCD_CURRENT) == 1, F.lit("current")).otherwise("closed"))
-        tmp = f"{self.root}/_staging/v={n}"
-        staged.drop(ACTION).write.mode("overwrite").partitionBy("_part").parquet(tmp)
-        cur = self.spark.read.parquet(f"{tmp}/_part=current") if _has(self.spark, f"{tmp}/_part=current") else None
-        cols = [c for c in self.read().columns]
-        if cur is None:
-            cur = self.spark.createDataFrame([], self.read().schema)
-        cur.select(cols).write.mode("overwrite").parquet(f"{self.root}/current/v={n}")
-        if _has(self.spark, f"{tmp}/_part=closed"):
-            self.spark.read.parquet(f"{tmp}/_part=closed").select(cols).write.mode("overwrite").parquet(
-                f"{self.root}/closed/batch={n}")
-        self._commit(n)
+            merged = scd2_first_load(source, bk, sk, start, end).withColumn(ACTION, F.lit("insert"))
+        else:
+            merged = scd2_apply(self.read(), source, bk, sk, start, end, with_action=True, **kw)
+            merged = merged.where(F.col(ACTION) != "history")
+        obs = Observation(f"scd2_v{n}")
+        staged = merged.observe(obs, F.count_if(F.col(ACTION) == "insert").alias("InsertCount"),
+                                F.count_if(F.col(ACTION) == "close").alias("UpdateCount"),
+                                F.count_if(F.col(SCD_CURRENT) == 1).alias("CurrentCount"),
+                                F.count_if(F.col(SCD_CURRENT) != 1).alias("ClosedCount"))
+        staged = staged.withColumn("_part", F.when(F.col(SCD_CURRENT) == 1, F.lit("current"))
+                                   .otherwise(F.lit("closed"))).drop(ACTION)
+        staged.write.mode("overwrite").partitionBy("_part").parquet(f"{self.root}/v={n}")
+        m = obs.get
+        self.last_metrics = m
+        if not m.get("CurrentCount"):
+            self.spark.createDataFrame([], staged.drop("_part").schema).write.mode("overwrite").parquet(
+                f"{self.root}/v={n}/_part=current")
+        closed = meta["closed"] + ([n] if m.get("ClosedCount") else [])
+        self._commit(n, closed)
         return n
 
     def retain(self, keep: int = 2) -> list[str]:
-        """Remove current versions older than the last ``keep`` (closed batches stay)."""
-        fs, jvm = self._fs()
+        """Delete the current-version folders of old versions (their closed rows stay)."""
+        meta = self._meta()
         removed = []
-        for v in self._versions("current", "v")[:-keep]:
-            p = f"{self.root}/current/v={v}"
-            fs.delete(jvm.org.apache.hadoop.fs.Path(p), True)
-            removed.append(p)
+        jvm = self.spark.sparkContext._jvm
+        for v in range(1, meta["v"] - keep + 1):
+            p = jvm.org.apache.hadoop.fs.Path(f"{self.root}/v={v}/_part=current")
+            fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+            if fs.exists(p):
+                fs.delete(p, True)
+                removed.append(str(p))
         return removed
 
 
@@ -165,8 +158,3 @@ def _has(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
-def local_dir(path: str) -> str:
-    os.makedirs(path, exist_ok=True)
-    return path
