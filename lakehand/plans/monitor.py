@@ -125,7 +125,7 @@ def task_status(status: DataFrame, manifest: DataFrame, as_of) -> DataFrame:
     s = lookup(status, m, "SourceID")
     raw_ip = F.col("RawStartDTS").isNotNull() & F.col("RawEndDTS").isNull()
     tr_ip = F.col("TrustedStartDTS").isNotNull() & F.col("TrustedEndDTS").isNull()
-    fail = F.lit(list(STATUS_FAIL_ALIASES)[0])
+    fail = list(STATUS_FAIL_ALIASES)          # 'Fail' and 'Failed' both count (N17)
     t = s.select(
         "ID", "BatchID", "SystemCode", "SourceID", "SourceSchema", "SourceTableName", "SourceRowCount",
         "SinkRowCount",
@@ -147,7 +147,7 @@ def task_status(status: DataFrame, manifest: DataFrame, as_of) -> DataFrame:
         "InProgress": F.col("CurrentStage").isNotNull().cast("int"),
         "Success": F.coalesce((F.col("TrustedStatus") == STATUS_SUCCESS) & (F.col("RawStatus") == STATUS_SUCCESS),
                               F.lit(False)).cast("int"),
-        "Fail": F.coalesce(F.col("TrustedStatus").isin(fail) | F.col("RawStatus").isin(fail), F.lit(False))
+        "Fail": F.coalesce(F.col("TrustedStatus").isin(*fail) | F.col("RawStatus").isin(*fail), F.lit(False))
         .cast("int"),
     })
 

@@ -40,6 +40,11 @@ def write_table(df: DataFrame, path: str, name: str | None = None, mode: str = "
         spark.catalog.refreshTable(name)
 
 
+def save_as_table(df: DataFrame, name: str, mode: str = "overwrite", fmt: str = "parquet") -> None:
+    """K5: CTAS-style overwrite of a catalog table."""
+    df.write.mode(mode).format(fmt).saveAsTable(name)
+
+
 def read_merged(spark: SparkSession, path: str) -> DataFrame:
     """Read an append-with-schema-merge folder (K2)."""
     return spark.read.option("mergeSchema", "true").parquet(path)

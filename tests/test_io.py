@@ -89,6 +89,10 @@ def test_append_merge_and_insert_into(spark, tmp):
     spark.sql(f"CREATE TABLE ins_t (id INT, a STRING) USING parquet LOCATION '{tmp}/ins_t'")
     insert_into(spark.createDataFrame([("y", 3)], "a string, id int"), "ins_t")
     assert spark.table("ins_t").first().id == 3
+    from lakehand.sinks.tables import save_as_table
+    save_as_table(spark.table("ins_t"), "ctas_t")
+    save_as_table(spark.table("ins_t").union(spark.table("ins_t")), "ctas_t")
+    assert spark.table("ctas_t").count() == 2
 
 
 def test_jdbc_roundtrip(spark, tmp):
