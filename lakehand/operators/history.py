@@ -36,10 +36,14 @@ def load_snapshot_folder(spark: SparkSession, root: str, as_at: str, reference_t
 
 def replay_periods(periods, bk, sk, days: int = 6, target=None, **kw) -> DataFrame:
     """H2: re-run a type 2 save for each (as_at, source) in order, with
-    start = as_at - ``days`` and end = as_at.  Each step is a distributed merge;
-    only the short list of periods is looped on the driver."""
+    start = as_at - ``days`` and end = as_at.  Each step is a distributed merge
+    whose result is checkpointed before the next period reads it; only the short
+    list of periods is looped on the driver."""
+    from lakehand.session import cut_lineage
     t = target
-    for as_at, src in periods:
+    for i, (as_at, src) in enumerate(periods):
+        if t is not None and i > 0:
+            t = cut_lineage(t)       # the saved period is the next period's target
         end = as_at if isinstance(as_at, dt.datetime) else dt.datetime.fromisoformat(str(as_at))
         start = end - dt.timedelta(days=days)
         if t is None:

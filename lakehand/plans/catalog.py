@@ -43,7 +43,10 @@ def dim_merge(t: Tables, batch_key: bool = False) -> DataFrame:
 
 
 def dim_merge_second(t: Tables, batch_key: bool = False) -> DataFrame:
-    return S.scd2_apply(dim_merge(t, batch_key), X.customer_entity(X.customer_v3(t)), BK, SK, TS3)
+    # each batch is saved before the next one reads it; the checkpoint stands in for
+    # that write so the previous merge is not recomputed for every use of the target
+    from lakehand.session import cut_lineage
+    return S.scd2_apply(cut_lineage(dim_merge(t, batch_key)), X.customer_entity(X.customer_v3(t)), BK, SK, TS3)
 
 
 # --------------------------------------------------------------------------- scans, counts

@@ -315,7 +315,11 @@ def health_dashboard(batch_log: DataFrame, lineage: DataFrame, transform_manifes
     ``SuccessRatio`` is the plain ratio.
     """
     l = lineage.select(F.col("SourceID").alias("__sid"), "TransformID", "CuratedTable", "ReportName")
-    j = batch_log.join(l, batch_log["SourceID"] == l["__sid"]).drop("__sid")
+    # few sources carry every task row: a shuffle join on SourceID would make each
+    # one a hot key, so the (report x table sized) lineage side is broadcast once
+    # its size is proven
+    side = F.broadcast(l) if bounded_rows(l, GROUP_ROWS_LIMIT) else l
+    j = batch_log.join(side, batch_log["SourceID"] == side["__sid"]).drop("__sid")
     j = j.join(transform_manifest.select("TransformID"), "TransformID", "left_semi")
     j = j.join(extract_manifest.select(F.col("SourceID").alias("__e")), F.col("SourceID") == F.col("__e"),
                "left_semi")
