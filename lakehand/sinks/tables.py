@@ -64,8 +64,50 @@ def land_parquet(df: DataFrame, path: str, partition_by=None) -> None:
 class SnapshotTable:
     """Versioned Parquet table for SCD2 and overwrite/upsert targets."""
 
-    def __init__(self, spark: SparkSession, root: str, name: str | None = None):
+    def __init__(self, spark: SparkSession, root: str, name: str | None = None, buckets: int | None = None,
+                 bucket_keys=None):
+        """``buckets``/``bucket_keys``: store each version bucketed (and sorted) by the
+        business key, so the next merge reads the current versions already
+        partitioned on the join key and only the (small) batch is shuffled."""
         self.spark, self.root, self.name = spark, root.rstrip("/"), name
+        self.buckets = buckets
+        self.bucket_keys = [bucket_keys] if isinstance(bucket_keys, str) else list(bucket_keys or [])
+        if buckets and not self.bucket_keys:
+            raise ValueError("bucketed snapshot tables need bucket_keys")
+        self._tag = "lh_" + "".join(ch if ch.isalnum() else "_" for ch in self.root)[-60:]
+
+    # -- bucketed layout: one catalog table per version over its folder
+    def _tname(self, n: int) -> str:
+        return f"{self._tag}_v{n}"
+
+    def _table(self, n: int) -> DataFrame:
+        t = self._tname(n)
+        if not self.spark.catalog.tableExists(t):
+            # re-register after a new session: schema from the files, layout from the constructor
+            schema = self.spark.read.parquet(f"{self.root}/v={n}").schema
+            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields if f.name != "_part")
+            keys = ", ".join(f"`{k}`" for k in self.bucket_keys)
+            self.spark.sql(f"CREATE TABLE {t} ({cols}, `_part` string) USING parquet PARTITIONED BY (`_part`) "
+                           f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {self.buckets} BUCKETS "
+                           f"LOCATION '{self.root}/v={n}'")
+            self.spark.sql(f"ALTER TABLE {t} RECOVER PARTITIONS")
+        return self.spark.table(t)
+
+    def _part(self, n: int, part: str) -> DataFrame:
+        if self.buckets:
+            return self._table(n).where(F.col("_part") == part).drop("_part")
+        return self.spark.read.parquet(f"{self.root}/v={n}/_part={part}")
+
+    def _write(self, df: DataFrame, n: int, partitioned: bool = True) -> None:
+        if not partitioned:
+            df = df.withColumn("_part", F.lit("current"))
+        if self.buckets:
+            t = self._tname(n)
+            self.spark.sql(f"DROP TABLE IF EXISTS {t}")
+            (df.write.mode("overwrite").partitionBy("_part").bucketBy(self.buckets, *self.bucket_keys)
+             .sortBy(*self.bucket_keys).option("path", f"{self.root}/v={n}").saveAsTable(t))
+        else:
+            df.write.mode("overwrite").partitionBy("_part").parquet(f"{self.root}/v={n}")
 
     def _meta(self) -> dict:
         """Committed state: {"v": last version, "closed": versions with closed rows}."""
@@ -85,11 +127,14 @@ class SnapshotTable:
         n = version or meta["v"]
         if n == 0:
             raise FileNotFoundError(self.root)
-        cur = self.spark.read.parquet(f"{self.root}/v={n}/_part=current")
-        closed = [f"{self.root}/v={k}/_part=closed" for k in meta["closed"] if k <= n]
+        cur = self._part(n, "current")
+        closed = [k for k in meta["closed"] if k <= n]
         if not closed:
             return cur
-        return cur.unionByName(self.spark.read.parquet(*closed))
+        if self.buckets:
+            from lakehand.operators.union import union_all
+            return cur.unionByName(union_all([self._part(k, "closed") for k in closed]))
+        return cur.unionByName(self.spark.read.parquet(*[f"{self.root}/v={k}/_part=closed" for k in closed]))
 
     def _commit(self, n: int, closed: list) -> None:
         state = json.dumps({"v": n, "closed": closed})
@@ -101,7 +146,7 @@ class SnapshotTable:
     def overwrite(self, df: DataFrame) -> int:
         """K1/K3: a new full version; earlier history no longer belongs to the table."""
         n = self.version() + 1
-        df.write.mode("overwrite").parquet(f"{self.root}/v={n}/_part=current")
+        self._write(df, n, partitioned=False)
         self._commit(n, [])
         return n
 
@@ -135,10 +180,10 @@ class SnapshotTable:
                                 F.count_if(F.col(SCD_CURRENT) != 1).alias("ClosedCount"))
         staged = staged.withColumn("_part", F.when(F.col(SCD_CURRENT) == 1, F.lit("current"))
                                    .otherwise(F.lit("closed"))).drop(ACTION)
-        staged.write.mode("overwrite").partitionBy("_part").parquet(f"{self.root}/v={n}")
+        self._write(staged, n)
         m = obs.get
         self.last_metrics = m
-        if not m.get("CurrentCount"):
+        if not m.get("CurrentCount") and not self.buckets:
             self.spark.createDataFrame([], staged.drop("_part").schema).write.mode("overwrite").parquet(
                 f"{self.root}/v={n}/_part=current")
         closed = meta["closed"] + ([n] if m.get("ClosedCount") else [])

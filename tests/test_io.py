@@ -110,3 +110,23 @@ def test_jdbc_roundtrip(spark, tmp):
     assert back.count() == 100 and back.rdd.getNumPartitions() == 4
     q = read_jdbc(spark, url, query="SELECT ID FROM T1 WHERE V > 100", properties=props)
     assert q.count() == 49
+
+
+def test_bucketed_snapshot_merge_shuffles_only_the_batch(spark, tmp):
+    t = SnapshotTable(spark, f"{tmp}/bdim", buckets=4, bucket_keys="K_BK")
+    s1 = spark.range(200).select(F.col("id").cast("string").alias("K_BK"), (F.col("id") % 7).alias("v"))
+    t.save_scd2(s1, "K_BK", "K_SK", "2024-01-01 00:00:00")
+    s2 = spark.range(150, 260).select(F.col("id").cast("string").alias("K_BK"), (F.col("id") % 5).alias("v"))
+    from lakehand.operators.scd import scd2_apply
+    import contextlib
+    import io
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        scd2_apply(t.read(), s2, "K_BK", "K_SK", "2024-01-02 00:00:00", reopen=True).explain("formatted")
+    head = buf.getvalue().split("\n\n(1)")[0]
+    join = head[head.index("SortMergeJoin FullOuter"):]
+    assert join.count("Exchange") == 1            # the stored current side arrives bucketed on the key
+    t.save_scd2(s2, "K_BK", "K_SK", "2024-01-02 00:00:00")
+    rows = t.read().collect()
+    assert len(rows) == 260 + sum(1 for i in range(150, 200) if i % 7 != i % 5)
+    assert t.read().where("_Current = 1").count() == 260
