@@ -19,20 +19,37 @@ def bounded_rows(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def salted_join(fact: DataFrame, dim: DataFrame, on, how: str = "inner", salt_buckets: int = 16) -> DataFrame:
+    """Equi-join whose fact side may hold hot keys: each fact row gets a
+    deterministic salt (a hash of the whole row, so task retries agree) and every
+    dimension row is replicated once per salt value.  A hot key is then spread
+    over ``salt_buckets`` tasks; the dimension grows ``salt_buckets`` times."""
+    on = [on] if isinstance(on, str) else list(on)
+    salted = fact.withColumn("__salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in fact.columns]),
+                                              F.lit(salt_buckets)))
+    rep = dim.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salt_buckets - 1).cast("long"))))
+    return salted.join(rep, on + ["__salt"], how).drop("__salt")
+
+
 def lookup(fact: DataFrame, dim: DataFrame, on, how: str = "inner", versions: str = "current",
-           max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, dim_columns=None) -> DataFrame:
+           max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, dim_columns=None,
+           salt_buckets: int | None = None) -> DataFrame:
     """Fact -> dimension lookup on (natural key, organisation) columns.
 
     ``versions="current"`` joins only current dimension rows, so dimension history
     cannot multiply facts; ``"all"`` keeps the reference behaviour (N6).  The
     dimension is broadcast only after :func:`bounded_rows` proves its size; beyond
     the bound it is a shuffle join, where AQE's skew handling splits hot fact keys
-    (the dimension side has one row per key, so hot keys live on the fact side).
+    (the dimension side has one row per key, so hot keys live on the fact side);
+    ``salt_buckets`` salts the fact side explicitly instead (:func:`salted_join`).
     """
     on = [on] if isinstance(on, str) else list(on)
     if versions == "current" and SCD_CURRENT in dim.columns:
         dim = dim.where(F.col(SCD_CURRENT) == 1)
     if dim_columns:
         dim = dim.select(*on, *[c for c in dim_columns if c not in on])
-    side = F.broadcast(dim) if bounded_rows(dim, max_broadcast_rows) else dim
-    return fact.join(side, on, how)
+    if bounded_rows(dim, max_broadcast_rows):
+        return fact.join(F.broadcast(dim), on, how)
+    if salt_buckets and how in ("inner", "left", "left_outer", "left_semi", "left_anti"):
+        return salted_join(fact, dim, on, how, salt_buckets)
+    return fact.join(dim, on, how)

@@ -166,9 +166,9 @@ def log_table(t: Tables) -> DataFrame:
 
 def transform_manifest(t: Tables) -> DataFrame:
     """One transform per event type; ids by dense rank of the (few) distinct types."""
-    from pyspark.sql import Window
-    types = t.events.select("event_type").distinct()
-    tid = F.dense_rank().over(Window.orderBy("event_type"))
+    from lakehand.operators.windows import dense_rank_global
+    types = dense_rank_global(t.events.select("event_type").distinct(), "event_type", "TransformID")
+    tid = F.col("TransformID")
     return types.select(
         tid.alias("TransformID"),
         F.lit("Dimension").alias("EntityType"),
