@@ -236,16 +236,20 @@ def batch_rollup(tasks: DataFrame, as_of, skew_safe: bool | None = None) -> Data
         # DENSE_RANK over the batch ordered by TrustedEndRank: every system's ranks are
         # dense from 1, so the batch's distinct values are 1..max and the rank is the value.
         t = t.withColumn("BatchTaskRank", F.col("TrustedEndRank"))
-    return batch_rank(t)
+    return batch_rank(t, tasks)
 
 
-def batch_rank(t: DataFrame, limit: int = GROUP_ROWS_LIMIT) -> DataFrame:
+def batch_rank(t: DataFrame, tasks: DataFrame | None = None, limit: int = GROUP_ROWS_LIMIT) -> DataFrame:
     """DENSE_RANK() OVER (ORDER BY BatchEndDTS DESC) without ranking every row.
 
-    The distinct batch ends are ranked (one window when their count is proven
-    small, else :func:`dense_rank_global`) and joined back (broadcast when small).
+    The distinct batch ends (one MAX(EndedDTS) per batch, a cheap aggregate of the
+    input tasks) are ranked - one window when their count is proven small, else
+    :func:`dense_rank_global` - and joined back (broadcast when small).
     """
-    ends = t.select(F.col("BatchEndDTS").alias("__e")).distinct()
+    if tasks is not None:
+        ends = tasks.groupBy("BatchID").agg(F.max("EndedDTS").alias("__e")).select("__e").distinct()
+    else:
+        ends = t.select(F.col("BatchEndDTS").alias("__e")).distinct()
     if bounded_rows(ends, limit):
         ranked = ends.withColumn("BatchRank", F.dense_rank().over(Window.orderBy(F.col("__e").desc_nulls_last())))
         return t.join(F.broadcast(ranked), t["BatchEndDTS"].eqNullSafe(ranked["__e"]), "left").drop("__e")
@@ -263,7 +267,7 @@ def batch_status_log(status: DataFrame, manifest: DataFrame, log: DataFrame, as_
     """V2: task stage/status/durations -> system roll-up -> batch roll-up -> ranks,
     with the last log, the first copy log's sizes and the latest-batch flag."""
     t = task_status(status, manifest, as_of)
-    hot = hot_groups(t)
+    hot = hot_groups(status)          # the raw rows bound the joined ones
     t = stage_ranks(t, hot)
     t = system_rollup(t, as_of, hot)
     t = batch_rollup(t, as_of, hot)
