@@ -69,10 +69,33 @@ def _key_not_null(keys) -> Column:
     return c
 
 
+def schema_drift(target: DataFrame, source: DataFrame, bk, sk: str | None = None) -> dict:
+    """Schema-drift report between a target and a new source (N27), from schemas only:
+    source columns the target lacks, target attributes the source lacks, type changes."""
+    sys_cols = system_columns(sk, _as_list(bk))
+    t = {f.name: f.dataType for f in target.schema.fields if f.name not in sys_cols}
+    s = {f.name: f.dataType for f in source.schema.fields if f.name not in sys_cols}
+    return {"added": [c for c in s if c not in t], "missing": [c for c in t if c not in s],
+            "type_changed": [c for c in t if c in s and t[c] != s[c]]}
+
+
+def evolve_target(target: DataFrame, source: DataFrame, bk, sk: str | None = None) -> DataFrame:
+    """Add the source's new attribute columns to the target (NULL on stored rows),
+    placed before the SCD columns."""
+    added = schema_drift(target, source, bk, sk)["added"]
+    if not added:
+        return target
+    first_scd = next((i for i, c in enumerate(target.columns) if c in (SCD_CREATED, SCD_ENDED, SCD_CURRENT,
+                                                                    SCD_BATCH)), len(target.columns))
+    new = [F.lit(None).cast(source.schema[c].dataType).alias(c) for c in added]
+    cols = [F.col(f"`{c}`") for c in target.columns]
+    return target.select(*cols[:first_scd], *new, *cols[first_scd:])
+
+
 def scd2_apply(target: DataFrame, source: DataFrame, bk, sk: str, start, end=None, *,
                null_safe: bool = True, with_batch_key: bool | None = None, reopen: bool = False,
                hash_method: str | None = None, close_batch_from: str = "closed",
-               compare=None, with_action: bool = False) -> DataFrame:
+               compare=None, with_action: bool = False, evolve: bool = False) -> DataFrame:
     """Type 2 merge of ``source`` (plain rows with the business key) into ``target``.
 
     Per business key:
@@ -82,9 +105,12 @@ def scd2_apply(target: DataFrame, source: DataFrame, bk, sk: str, start, end=Non
       * source only                    -> new version, unless the key exists only as
         closed rows (not reopened, as in the reference; ``reopen=True`` changes that).
     Keys missing from the source are left alone (no delete detection, N28).  The
-    compared columns come from the target schema (N27).
+    compared columns come from the target schema (N27); ``evolve=True`` first adds
+    the source's new columns to the target (see :func:`schema_drift`).
     """
     keys = _as_list(bk)
+    if evolve:
+        target = evolve_target(target, source, keys, sk)
     bk_col = keys[0]
     has_batch = (SCD_BATCH in target.columns) if with_batch_key is None else with_batch_key
     sys_cols = system_columns(sk, keys)
@@ -232,6 +258,6 @@ def load_counts(df: DataFrame) -> DataFrame:
     return df.groupBy(SCD_CREATED).agg(F.count(F.lit(1)).alias("Counts"))
 
 
-__all__ = ["wrap_system_columns", "scd2_first_load", "changed_predicate", "current_rows", "scd2_apply",
+__all__ = ["schema_drift", "evolve_target", "wrap_system_columns", "scd2_first_load", "changed_predicate", "current_rows", "scd2_apply",
            "scd2_changed_rows", "scd2_staged_rows", "scd1_upsert", "scd1_update", "seed_if_absent",
            "restamp", "run_metrics", "load_counts", "key_time_text", "ACTION"]

@@ -121,3 +121,15 @@ def test_scd1_upsert_and_update(spark):
     assert sorted(map(tuple, S.scd1_upsert(t, s, "k").collect())) == [(1, "a"), (2, "B"), (3, "C")]
     seeded = S.seed_if_absent(t, s, "k")
     assert sorted((r.k, r._Action) for r in seeded.collect()) == [(1, None), (2, None), (3, "INSERT")]
+
+
+def test_schema_drift_and_evolve(spark):
+    t = S.scd2_first_load(spark.createDataFrame([("1", "a")], f"{BK} string, v string"), BK, SK, "2024-01-01 00:00:00")
+    src = spark.createDataFrame([("1", "a", 5), ("2", "b", 6)], f"{BK} string, v string, w int")
+    assert S.schema_drift(t, src, BK, SK) == {"added": ["w"], "missing": [], "type_changed": []}
+    plain = S.scd2_apply(t, src, BK, SK, "2024-01-02 00:00:00")               # new column ignored
+    assert "w" not in plain.columns and plain.count() == 2
+    evolved = S.scd2_apply(t, src, BK, SK, "2024-01-02 00:00:00", evolve=True)
+    assert evolved.columns[:4] == [SK, BK, "v", "w"]
+    got = {(r[BK], r.w, r._Current) for r in evolved.collect()}
+    assert got == {("1", 5, 1), ("1", None, 0), ("2", 6, 1)}
