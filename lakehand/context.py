@@ -73,7 +73,6 @@ def run_entity(ctx: JobContext, transform, table, on_duplicate: str = "error") -
     Returns the committed version and the run-output JSON.  The counts come from
     one aggregation over the saved version.
     """
-    from lakehand.operators.scd import load_counts  # noqa: F401  (documented alternative)
     src = transform(ctx)
     version = table.save_scd2(src, ctx.bk, ctx.sk, ctx.start, ctx.end, on_duplicate=on_duplicate)
     cur = table.read(version)

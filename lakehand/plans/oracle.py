@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from lakehand.plans.oracle_fixtures import (COLUMN_METADATA, CUSTOMER_V1, CUSTOMER_V2, CUSTOMER_V3,
-                                            EXTRACT_MANIFEST, EXTRACT_STATUS, LOG, REPORT_REFRESH,
-                                            TRANSFORM_MANIFEST, TS1, TS2, TS3, entity, with_ctes)
+from lakehand.plans.oracle_fixtures import (CUSTOMER_V1, CUSTOMER_V2, CUSTOMER_V3, EXTRACT_MANIFEST,
+                                            EXTRACT_STATUS, LOG, TRANSFORM_MANIFEST, TS1, TS2, TS3, entity,
+                                            with_ctes)
 
 ORACLE: dict[str, str] = {}
 ATTRS = ["c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
