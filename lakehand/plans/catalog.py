@@ -318,7 +318,8 @@ def wm_full_vs_delta(spark, sf_dir):
 def src_query_or_table(spark, sf_dir):
     """The manifest query, else SELECT * FROM [schema].[table]."""
     from lakehand.operators.incremental import base_query
-    return X.extract_manifest(_t(spark, sf_dir)).select("SourceID", base_query().alias("BaseQuery"))
+    sheet = X.ingestion_sheet(_t(spark, sf_dir))
+    return sheet.select("SheetRow", base_query("TableSchema", "TableName", "SourceQuery").alias("BaseQuery"))
 
 
 @query
@@ -499,8 +500,13 @@ def limit_or_all(spark, sf_dir):
 @query
 def system_selection(spark, sf_dir):
     """Selected systems (blank = all enabled), distinct and ordered."""
-    from lakehand.plans.control import system_selection as ss
-    return ss(X.extract_manifest(_t(spark, sf_dir)), " click, view,, purchase ")
+    from lakehand.plans.control import register_sources, system_selection as ss
+    t = _t(spark, sf_dir)
+    m = X.extract_manifest(t)
+    registered = register_sources(m, X.ingestion_sheet(t), created_at=TS2)
+    full = m.select("SourceID", "SystemCode", "Enabled").unionByName(
+        registered.select("SourceID", "SystemCode", "Enabled"))
+    return ss(full, " click, view,, purchase, NEWSYS1 ")
 
 
 @query

@@ -228,7 +228,9 @@ ORACLE.update({
                   ''' AND [' || WatermarkColumn || '] <= ''' || {_HI} || '''' END AS Query
         FROM m LEFT JOIN lastwm l ON l.SourceID = m.SourceID""", st=EXTRACT_STATUS, m=EXTRACT_MANIFEST,
                                   lastwm=_LAST_WM),
-    "src_query_or_table": with_ctes(f"SELECT SourceID, {_BASEQ} AS BaseQuery FROM m", m=EXTRACT_MANIFEST),
+    "src_query_or_table": with_ctes("""SELECT SheetRow, CASE WHEN SourceQuery IS NOT NULL AND trim(SourceQuery) <> ''
+        THEN SourceQuery ELSE 'SELECT * FROM [' || TableSchema || '].[' || TableName || ']' END AS BaseQuery FROM sh""",
+                                    sh=INGESTION_SHEET),
     "trusted_query": "SELECT o_orderkey, o_custkey, o_totalprice * 2 AS double_price FROM orders WHERE o_orderstatus = 'F'",
     "project_exprs": """SELECT p_partkey, upper(p_brand) AS brand, p_retailprice * 2 AS price2,
         p_type || '-' || CAST(p_size AS VARCHAR) AS type_size FROM part""",
@@ -267,7 +269,10 @@ ORACLE.update({
     "register_source": _REGISTER.format(m=EXTRACT_MANIFEST, sh=INGESTION_SHEET, ts2=TS2),
     "limit_or_all": with_ctes("SELECT * FROM sh ORDER BY SheetRow LIMIT 999", sh=INGESTION_SHEET),
     "system_selection": with_ctes("""SELECT DISTINCT substring(CAST(SourceID AS VARCHAR), 1, 2) AS "Order", SystemCode
-        FROM m WHERE Enabled AND SystemCode IN ('click', 'view', 'purchase')""", m=EXTRACT_MANIFEST),
+        FROM (SELECT SourceID, SystemCode, Enabled FROM m UNION ALL SELECT SourceID, SystemCode, Enabled FROM reg)
+        WHERE Enabled AND SystemCode IN ('click', 'view', 'purchase', 'NEWSYS1')""",
+                                  m=EXTRACT_MANIFEST,
+                                  reg=_REGISTER.format(m=EXTRACT_MANIFEST, sh=INGESTION_SHEET, ts2=TS2).strip()),
     "list_to_rows": with_ctes("""SELECT ID, Segment FROM (SELECT ID, unnest(string_split(RawPath, '/')) AS Segment FROM st)
         WHERE Segment <> ''""", st=EXTRACT_STATUS),
     "group_list": with_ctes("""SELECT ParallelGroup, string_agg(CAST(TransformID AS VARCHAR), ',' ORDER BY TransformID) AS Transforms,
