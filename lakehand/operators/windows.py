@@ -16,14 +16,6 @@ def _cols(x) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
 
-def _nullsafe_on(left: DataFrame, right: DataFrame, keys) -> Column:
-    cond = None
-    for k in keys:
-        c = left[k].eqNullSafe(right[k])
-        cond = c if cond is None else cond & c
-    return cond
-
-
 def latest_per_key(df: DataFrame, keys, order_col: str, desc: bool = True) -> DataFrame:
     """Rows with RANK() = 1 per key (ties kept): latest (``desc``) or first.
 
@@ -34,9 +26,11 @@ def latest_per_key(df: DataFrame, keys, order_col: str, desc: bool = True) -> Da
     """
     keys = _cols(keys)
     agg = F.max(order_col) if desc else F.min(order_col)
-    best = df.groupBy(*keys).agg(agg.alias("__best"))
-    j = df.join(best, _nullsafe_on(df, best, keys) & df[order_col].eqNullSafe(best["__best"]), "left_semi")
-    return j
+    best = df.groupBy(*[F.col(k).alias(f"__lk_{k}") for k in keys]).agg(agg.alias("__best"))
+    on = df[order_col].eqNullSafe(best["__best"])
+    for k in keys:
+        on = on & df[k].eqNullSafe(best[f"__lk_{k}"])
+    return df.join(best, on, "left_semi")
 
 
 def partition_agg(df: DataFrame, keys, aggs: dict[str, Column]) -> DataFrame:
