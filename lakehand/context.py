@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 class JobContext:
     spark: SparkSession
     entity_type: str                   # "Dimension" | "Fact"
-    name: str                          # entity name, e.g. "BookingType"
+    name: str                          # entity name, e.g. "Customer"
     start: str | None = None           # batch start; default now (UTC)
     end: str | None = None             # explicit end date (history replay)
     source: str = "trusted"
@@ -32,7 +32,7 @@ class JobContext:
 
     @property
     def entity_name(self) -> str:
-        """First letter of the entity type + '_' + name (e.g. D_BookingType)."""
+        """First letter of the entity type + '_' + name (e.g. D_Customer)."""
         return f"{self.entity_type[:1]}_{self.name}"
 
     @property
