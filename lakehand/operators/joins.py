@@ -8,6 +8,37 @@ from pyspark.sql import functions as F
 from lakehand.constants import SCD_CURRENT
 
 DEFAULT_BROADCAST_ROWS = 2_000_000
+DEFAULT_BROADCAST_BYTES = 256 * 1024 * 1024
+_STRING_BYTES = 64          # assumed average width of a string/binary value
+
+
+def row_bytes(df: DataFrame) -> int:
+    """Estimated bytes per row from the schema (fixed-width types exact)."""
+    from pyspark.sql import types as T
+    total = 0
+    for f in df.schema.fields:
+        dt = f.dataType
+        if isinstance(dt, (T.StringType, T.BinaryType)):
+            total += _STRING_BYTES
+        elif isinstance(dt, (T.ArrayType, T.MapType, T.StructType)):
+            total += 4 * _STRING_BYTES
+        elif isinstance(dt, (T.BooleanType, T.ByteType)):
+            total += 1
+        elif isinstance(dt, T.ShortType):
+            total += 2
+        elif isinstance(dt, (T.IntegerType, T.FloatType, T.DateType)):
+            total += 4
+        elif isinstance(dt, T.DecimalType):
+            total += 16
+        else:                                   # long, double, timestamps
+            total += 8
+    return max(total, 8)
+
+
+def broadcast_budget(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                     max_bytes: int = DEFAULT_BROADCAST_BYTES) -> int:
+    """Row bound for broadcasting ``df``: the row cap, tightened for wide rows."""
+    return max(1, min(max_rows, max_bytes // row_bytes(df)))
 
 
 def bounded_rows(df: DataFrame, max_rows: int) -> bool:
@@ -48,7 +79,7 @@ def lookup(fact: DataFrame, dim: DataFrame, on, how: str = "inner", versions: st
         dim = dim.where(F.col(SCD_CURRENT) == 1)
     if dim_columns:
         dim = dim.select(*on, *[c for c in dim_columns if c not in on])
-    if bounded_rows(dim, max_broadcast_rows):
+    if bounded_rows(dim, broadcast_budget(dim, max_broadcast_rows)):
         return fact.join(F.broadcast(dim), on, how)
     if salt_buckets and how in ("inner", "left", "left_outer", "left_semi", "left_anti"):
         return salted_join(fact, dim, on, how, salt_buckets)

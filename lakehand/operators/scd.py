@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from lakehand.constants import SCD_BATCH, SCD_CREATED, SCD_CURRENT, SCD_ENDED
 from lakehand.functions.scalar import any_of, ts_lit
-from lakehand.operators.joins import DEFAULT_BROADCAST_ROWS, bounded_rows
+from lakehand.operators.joins import DEFAULT_BROADCAST_ROWS, bounded_rows, broadcast_budget
 from lakehand.operators.keys import (_as_list, batch_key, inject_sk, key_time_text,
                                      scd_columns)
 
@@ -141,7 +141,7 @@ def scd2_apply(target: DataFrame, source: DataFrame, bk, sk: str, start, end=Non
         # proven-small batch's keys are broadcast and the history is filtered map-side
         hist = target.where(~is_cur & nn).select(*[F.col(k).alias(a) for k, a in zip(keys, kcols)])
         batch_keys = s.select(*kcols)
-        if bounded_rows(batch_keys, max_broadcast_rows):
+        if bounded_rows(batch_keys, broadcast_budget(batch_keys, max_broadcast_rows)):
             hist = hist.join(F.broadcast(batch_keys), kcols, "left_semi")
         closed_keys = hist.distinct().withColumn("__hist", F.lit(True))
         s = s.join(closed_keys, kcols, "left")
@@ -215,7 +215,7 @@ def scd1_upsert(target: DataFrame, source: DataFrame, keys,
     src = source.select(target.columns)
     nn = _key_not_null(keys)
     src_keys = src.where(nn).select(*keys)
-    if bounded_rows(src_keys, max_broadcast_rows):      # small batch: the target is not shuffled
+    if bounded_rows(src_keys, broadcast_budget(src_keys, max_broadcast_rows)):   # small batch: no target shuffle
         src_keys = F.broadcast(src_keys)
     kept = target.where(nn).join(src_keys, keys, "left_anti").select(target.columns)
     return kept.unionByName(target.where(~nn)).unionByName(src)
@@ -228,7 +228,7 @@ def scd1_update(target: DataFrame, source: DataFrame, bk, sk: str | None = None,
     sys_cols = system_columns(sk, keys)
     attrs = [c for c in target.columns if c not in sys_cols and c in source.columns]
     s = source.select(*keys, *[F.col(c).alias(f"__s_{c}") for c in attrs]).withColumn("__m", F.lit(True))
-    if bounded_rows(s, max_broadcast_rows):             # small batch: every version stays in place
+    if bounded_rows(s, broadcast_budget(s, max_broadcast_rows)):   # small batch: every version stays in place
         s = F.broadcast(s)
     j = target.join(s, keys, "left")
     return j.select([

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from lakehand.constants import COPY_ACTIVITY, STATUS_FAIL_ALIASES, STATUS_IN_PROGRESS, STATUS_SUCCESS
 from lakehand.functions.scalar import (duration_seconds, fixed2, json_value, quarter_label, scaled_units,
                                        strip_crlf, ts_lit)
-from lakehand.operators.joins import bounded_rows, lookup
+from lakehand.operators.joins import bounded_rows, broadcast_budget, lookup
 from lakehand.operators.windows import dense_rank_global, latest_per_key, partition_agg, rank_within
 
 MB = 1048576
@@ -250,7 +250,7 @@ def batch_rank(t: DataFrame, tasks: DataFrame | None = None, limit: int = GROUP_
         ends = tasks.groupBy("BatchID").agg(F.max("EndedDTS").alias("__e")).select("__e").distinct()
     else:
         ends = t.select(F.col("BatchEndDTS").alias("__e")).distinct()
-    if bounded_rows(ends, limit):
+    if bounded_rows(ends, min(limit, broadcast_budget(ends))):
         ranked = ends.withColumn("BatchRank", F.dense_rank().over(Window.orderBy(F.col("__e").desc_nulls_last())))
         return t.join(F.broadcast(ranked), t["BatchEndDTS"].eqNullSafe(ranked["__e"]), "left").drop("__e")
     return dense_rank_global(t, "BatchEndDTS", "BatchRank", desc=True)
@@ -322,7 +322,7 @@ def health_dashboard(batch_log: DataFrame, lineage: DataFrame, transform_manifes
     # few sources carry every task row: a shuffle join on SourceID would make each
     # one a hot key, so the (report x table sized) lineage side is broadcast once
     # its size is proven
-    side = F.broadcast(l) if bounded_rows(l, GROUP_ROWS_LIMIT) else l
+    side = F.broadcast(l) if bounded_rows(l, broadcast_budget(l)) else l
     j = batch_log.join(side, batch_log["SourceID"] == side["__sid"]).drop("__sid")
     j = j.join(transform_manifest.select("TransformID"), "TransformID", "left_semi")
     j = j.join(extract_manifest.select(F.col("SourceID").alias("__e")), F.col("SourceID") == F.col("__e"),
