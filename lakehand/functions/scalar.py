@@ -99,9 +99,10 @@ def fill_template(template, mapping: dict) -> Column:
     return out
 
 
-def tz_stamp(ts, tz: str) -> Column:
-    """UTC timestamp -> wall clock of ``tz`` (reference stamps in its local zone)."""
-    return F.from_utc_timestamp(col_or(ts), tz)
+def tz_stamp(ts, tz: str, source_tz: str = "UTC") -> Column:
+    """Wall clock of ``source_tz`` -> wall clock of ``tz`` (the reference stamps in its
+    local zone).  Works on TIMESTAMP_NTZ, so the session time zone does not matter."""
+    return F.convert_timezone(F.lit(source_tz), F.lit(tz), col_or(ts).cast("timestamp_ntz"))
 
 
 def tsql_concat(*cols) -> Column:

@@ -733,7 +733,7 @@ def quarter_label(spark, sf_dir):
 def tz_stamp(spark, sf_dir):
     """2.10: UTC -> local wall-clock stamp."""
     return _t(spark, sf_dir).events.select(
-        "event_id", fx.tz_stamp("ts", "Australia/Sydney").cast("timestamp_ntz").alias("LocalTS"))
+        "event_id", fx.tz_stamp("ts", "Australia/Sydney").alias("LocalTS"))
 
 
 @query
