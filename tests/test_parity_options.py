@@ -53,3 +53,41 @@ def test_format_parity():
     from lakehand.sources.files import detect_format
     assert detect_format("/raw/json_feed/x.parquet", parity=True) == "json"                   # N1
     assert detect_format("/raw/json_feed/x.parquet") == "parquet"
+
+
+def test_composite_key_text_collides_but_merge_uses_columns(spark):
+    from lakehand.operators.keys import business_key
+    df = spark.createDataFrame([("1", "23", "a"), ("12", "3", "b")], "k1 string, k2 string, v string")
+    assert df.select(business_key("k1,k2").alias("bk")).distinct().count() == 1               # N4 text collides
+    t = df.withColumn("_Current", F.lit(1))
+    src = spark.createDataFrame([("12", "3", "B")], "k1 string, k2 string, v string")
+    out = S.scd1_upsert(t.drop("_Current"), src, ["k1", "k2"])
+    assert sorted((r.k1, r.k2, r.v) for r in out.collect()) == [("1", "23", "a"), ("12", "3", "B")]
+
+
+def test_merge_inserts_get_end_of_day(spark):
+    t = S.scd2_first_load(spark.createDataFrame([("1", "a")], "K_BK string, v string"), "K_BK", "K_SK",
+                          "2024-01-01 00:00:00", end="2024-01-07 00:00:00")
+    t = S.scd2_apply(t, spark.createDataFrame([("1", "b")], "K_BK string, v string"), "K_BK", "K_SK",
+                     "2024-01-08 00:00:00", end="2024-01-14 00:00:00")
+    ends = {r.v: str(r._Ended) for r in t.collect()}
+    assert ends == {"a": "2024-01-07 23:59:59", "b": "2024-01-14 23:59:59"}                    # N14
+
+
+def test_failed_literal_counts_as_failure(spark):
+    from lakehand.plans.monitor import task_status
+    st = spark.createDataFrame(
+        [(1, "b", "s", 7, "Failed", "Success")], "ID long, BatchID string, SystemCode string, SourceID long, "
+        "RawStatus string, TrustedStatus string").select(
+        "*", F.lit(None).cast("long").alias("SourceRowCount"), F.lit(None).cast("long").alias("SinkRowCount"),
+        *[F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias(c) for c in
+          ("RawStartDTS", "RawEndDTS", "TrustedStartDTS", "TrustedEndDTS", "CreatedDTS", "EndedDTS")])
+    m = spark.createDataFrame([(7, "dbo", "T7")], "SourceID long, SourceSchema string, SourceTableName string")
+    assert task_status(st, m, "2024-01-02 00:00:00").first().Fail == 1                            # N17
+
+
+def test_upsert_requires_key(spark):
+    import pytest
+    t = spark.createDataFrame([(1, "a")], "k int, v string")
+    with pytest.raises(ValueError):
+        S.scd1_upsert(t, t, [])                                                                 # N26
