@@ -6,10 +6,15 @@
 * :func:`scd1_upsert` (D6), :func:`scd1_update` (D12), :func:`seed_if_absent` (D13).
 
 Scale notes: the only large shuffle is the key join of *current* rows with the
-source.  Business keys are unique on both sides of it (one current version per
-key; duplicated source keys are rejected by :func:`check_unique_keys` before a
-save), so no key can be hot.  Rows whose key is NULL never match anything, so
-they are routed around the join instead of all hashing into one partition.
+source (and with a bucketed :class:`~lakehand.sinks.tables.SnapshotTable` the
+stored side arrives already partitioned, so only the batch moves).  Business
+keys are unique on both sides of it (one current version per key; duplicated
+source keys are rejected by :func:`check_unique_keys` before a save), so no key
+can be hot.  Rows whose key is NULL never match anything, so they are routed
+around the join instead of all hashing into one partition.  Stored history is
+only consulted for the batch's keys: a proven-small batch is broadcast and the
+history filtered map-side.  The SCD1 merges broadcast a proven-small batch the
+same way, so the target is never shuffled for them.
 """
 
 from __future__ import annotations
