@@ -190,6 +190,16 @@ def scd2_apply(target: DataFrame, source: DataFrame, bk, sk: str, start, end=Non
     return out if with_action else out.drop(ACTION)
 
 
+def scd2_delta(target: DataFrame, source: DataFrame, bk, sk: str, start, end=None, **kw):
+    """The type 2 merge as the two frames a sink writes: (new current versions,
+    rows closed by this batch).  Stored history is not part of either."""
+    merged = scd2_apply(target, source, bk, sk, start, end, with_action=True, **kw)
+    changed = merged.where(F.col(ACTION) != "history")
+    current = changed.where(F.col(SCD_CURRENT) == 1).drop(ACTION)
+    closed = changed.where(F.col(SCD_CURRENT) != 1).drop(ACTION)
+    return current, closed
+
+
 def scd2_changed_rows(source: DataFrame, target: DataFrame, bk, null_safe: bool = True, compare=None,
                       sk: str | None = None) -> DataFrame:
     """Source rows whose current target version differs (F8 + J2)."""
@@ -278,5 +288,5 @@ def load_counts(df: DataFrame) -> DataFrame:
 
 
 __all__ = ["schema_drift", "evolve_target", "wrap_system_columns", "scd2_first_load", "changed_predicate", "current_rows", "scd2_apply",
-           "scd2_changed_rows", "scd2_staged_rows", "scd1_upsert", "scd1_update", "seed_if_absent",
+           "scd2_delta", "scd2_changed_rows", "scd2_staged_rows", "scd1_upsert", "scd1_update", "seed_if_absent",
            "restamp", "run_metrics", "load_counts", "key_time_text", "ACTION"]

@@ -133,3 +133,10 @@ def test_schema_drift_and_evolve(spark):
     assert evolved.columns[:4] == [SK, BK, "v", "w"]
     got = {(r[BK], r.w, r._Current) for r in evolved.collect()}
     assert got == {("1", 5, 1), ("1", None, 0), ("2", 6, 1)}
+
+
+def test_scd2_delta_frames(spark):
+    t = _run(spark)[2]                          # 1:V1 closed, 1:V2 and 2:V1 current
+    cur, closed = S.scd2_delta(t, _src(spark, [(1, "V3"), (2, "V1")]), BK, SK, "2024-01-09 00:00:00")
+    assert {(r[BK], r.TestingName) for r in cur.collect()} == {("1", "V3"), ("2", "V1")}
+    assert {(r[BK], r.TestingName) for r in closed.collect()} == {("1", "V2")}
