@@ -11,10 +11,12 @@ from lakehand.operators.scd import scd2_apply, scd2_first_load
 
 
 def snapshot_periods(df: DataFrame, period, as_at_col: str = "as_at") -> DataFrame:
-    """Assign each row to its snapshot(s): ``period`` is a Column or array Column."""
+    """H1 as data: tag each row with its snapshot(s) as a partition column instead of
+    a database per date.  ``period`` is a Column (one snapshot) or an array Column
+    (a row belonging to several snapshots)."""
     from pyspark.sql import types as T
-    p = period
-    return df.withColumn(as_at_col, F.explode(p) if isinstance(df.select(p).schema[0].dataType, T.ArrayType) else p)
+    is_array = isinstance(df.select(period).schema[0].dataType, T.ArrayType)
+    return df.withColumn(as_at_col, F.explode(period) if is_array else period)
 
 
 def load_snapshot_folder(spark: SparkSession, root: str, as_at: str, reference_tables: dict,

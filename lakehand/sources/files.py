@@ -112,9 +112,15 @@ def binary_inventory(spark: SparkSession, path: str, glob: str | None = None, re
 
 
 def read_json_pages(spark: SparkSession, path: str, prop: str = "Response",
-                    element_schema: T.DataType | str | None = None) -> DataFrame:
-    """One landed JSON document per page; rows = elements of ``prop``."""
-    df = spark.read.option("multiLine", "true").json(path)
+                    element_schema: str | None = None) -> DataFrame:
+    """One landed JSON document per page; rows = elements of ``prop``.
+
+    ``element_schema`` (a DDL struct body such as ``"id bigint, name string"``)
+    skips schema inference over all pages."""
+    r = spark.read.option("multiLine", "true")
+    if element_schema:
+        r = r.schema(f"{prop} array<struct<{element_schema}>>")
+    df = r.json(path)
     return explode_pages(df.withColumn("_page", F.input_file_name()), prop)
 
 

@@ -89,3 +89,16 @@ def test_history_snapshot_folder(spark, tmp):
     got = load_snapshot_folder(spark, f"{tmp}/hist", "20240107", ref)
     assert list(got) == ["dbo_x"]
     assert got["dbo_x"].first().asDict() == {"a": 1, "b": "", "as_at": "20240107"}
+
+
+def test_snapshot_periods_and_typed_pages(spark, tmp):
+    from lakehand.operators.history import snapshot_periods
+    df = spark.createDataFrame([(1, 2020), (2, 2021)], "id int, y int")
+    one = snapshot_periods(df, F.col("y"))
+    two = snapshot_periods(df, F.array(F.col("y"), F.col("y") + 1))
+    assert one.count() == 2 and sorted(r.as_at for r in two.collect()) == [2020, 2021, 2021, 2022]
+    os.makedirs(f"{tmp}/tp")
+    with open(f"{tmp}/tp/p.json", "w") as f:
+        f.write('{"data": [{"id": 1, "name": "a"}]}')
+    rows = read_json_pages(spark, f"{tmp}/tp", prop="data", element_schema="id bigint, name string")
+    assert [(r.id, r.name) for r in rows.collect()] == [(1, "a")]
