@@ -29,11 +29,19 @@ RUN_OUTPUT_SCHEMA = ("struct<Output: struct<runOutput: struct<CuratedTransform:
 GROUP_ROWS_LIMIT = 2_000_000
 
 
+def batch_shape(tasks: DataFrame) -> tuple[int, int]:
+    """(rows in the largest batch, number of distinct batch end times) in one job:
+    a partial-aggregated count and MAX(EndedDTS) per batch, reduced to two numbers."""
+    per = tasks.groupBy("BatchID").agg(F.count(F.lit(1)).alias("n"), F.max("EndedDTS").alias("e"))
+    r = per.agg(F.max("n").alias("mx"), F.count_distinct("e").alias("ends"),
+                F.count_if(F.col("e").isNull()).alias("null_ends")).first()
+    return int(r["mx"] or 0), int(r["ends"] or 0) + (1 if r["null_ends"] else 0)
+
+
 def hot_groups(tasks: DataFrame, limit: int = GROUP_ROWS_LIMIT) -> bool:
     """True when the largest batch (the widest PARTITION BY used here) exceeds ``limit``
     rows.  One partial-aggregated count per batch; one number reaches the driver."""
-    mx = tasks.groupBy("BatchID").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
-    return (mx or 0) > limit
+    return batch_shape(tasks)[0] > limit
 
 
 _COUNTERS = "dataRead string, dataWritten string, rowsRead string, rowsCopied string, copyDuration string, " \
@@ -213,7 +221,8 @@ def system_rollup(tasks: DataFrame, as_of, skew_safe: bool | None = None) -> Dat
     })
 
 
-def batch_rollup(tasks: DataFrame, as_of, skew_safe: bool | None = None) -> DataFrame:
+def batch_rollup(tasks: DataFrame, as_of, skew_safe: bool | None = None,
+                 ends_small: bool | None = None) -> DataFrame:
     """W4-W6 at batch level, batch status, and the batch-level ranks."""
     now = ts_lit(as_of)
     if skew_safe is None:
@@ -236,10 +245,11 @@ def batch_rollup(tasks: DataFrame, as_of, skew_safe: bool | None = None) -> Data
         # DENSE_RANK over the batch ordered by TrustedEndRank: every system's ranks are
         # dense from 1, so the batch's distinct values are 1..max and the rank is the value.
         t = t.withColumn("BatchTaskRank", F.col("TrustedEndRank"))
-    return batch_rank(t, tasks)
+    return batch_rank(t, tasks, small=ends_small)
 
 
-def batch_rank(t: DataFrame, tasks: DataFrame | None = None, limit: int = GROUP_ROWS_LIMIT) -> DataFrame:
+def batch_rank(t: DataFrame, tasks: DataFrame | None = None, limit: int = GROUP_ROWS_LIMIT,
+               small: bool | None = None) -> DataFrame:
     """DENSE_RANK() OVER (ORDER BY BatchEndDTS DESC) without ranking every row.
 
     The distinct batch ends (one MAX(EndedDTS) per batch, a cheap aggregate of the
@@ -250,7 +260,9 @@ def batch_rank(t: DataFrame, tasks: DataFrame | None = None, limit: int = GROUP_
         ends = tasks.groupBy("BatchID").agg(F.max("EndedDTS").alias("__e")).select("__e").distinct()
     else:
         ends = t.select(F.col("BatchEndDTS").alias("__e")).distinct()
-    if bounded_rows(ends, min(limit, broadcast_budget(ends))):
+    if small is None:
+        small = bounded_rows(ends, min(limit, broadcast_budget(ends)))
+    if small:
         ranked = ends.withColumn("BatchRank", F.dense_rank().over(Window.orderBy(F.col("__e").desc_nulls_last())))
         return t.join(F.broadcast(ranked), t["BatchEndDTS"].eqNullSafe(ranked["__e"]), "left").drop("__e")
     return dense_rank_global(t, "BatchEndDTS", "BatchRank", desc=True)
@@ -267,10 +279,12 @@ def batch_status_log(status: DataFrame, manifest: DataFrame, log: DataFrame, as_
     """V2: task stage/status/durations -> system roll-up -> batch roll-up -> ranks,
     with the last log, the first copy log's sizes and the latest-batch flag."""
     t = task_status(status, manifest, as_of)
-    hot = hot_groups(status)          # the raw rows bound the joined ones
+    # one job sizes both decisions; the raw rows bound the joined ones
+    max_batch, n_ends = batch_shape(status)
+    hot = max_batch > GROUP_ROWS_LIMIT
     t = stage_ranks(t, hot)
     t = system_rollup(t, as_of, hot)
-    t = batch_rollup(t, as_of, hot)
+    t = batch_rollup(t, as_of, hot, ends_small=n_ends <= min(GROUP_ROWS_LIMIT, 1_000_000))
     facts = task_log_facts(log, divisor).select(
         F.col("ExtractLoadStatusID").alias("__lid"), "Logs", "DataRead", "DataWritten", "Error")
     out = t.join(facts, t["ID"] == facts["__lid"], "left").drop("__lid")
