@@ -62,3 +62,19 @@ def test_batch_status_log_paths_agree(spark):
     b = M.batch_rollup(M.system_rollup(M.stage_ranks(ts, True), X.TS2, True), X.TS2, True)
     cols = sorted(a.columns)
     assert sorted(map(tuple, a.select(cols).collect()), key=str) == sorted(map(tuple, b.select(cols).collect()), key=str)
+
+
+def test_batch_status_log_switches_to_skew_safe_plan(spark, monkeypatch):
+    """With a tiny row bound every batch counts as hot: the automatic choice takes the
+    range-split ranks and grouped aggregates, and the view is unchanged."""
+    from tests.conftest import SF_SMALL
+    from lakehand.plans import fixtures as X
+    from lakehand.plans import monitor as M
+    t = X.Tables(spark, SF_SMALL)
+    s, m, lg = X.extract_status(t), X.extract_manifest(t), X.log_table(t)
+    default = M.batch_status_log(s, m, lg, X.TS2)
+    cols = sorted(default.columns)
+    expected = sorted(map(tuple, default.select(cols).collect()), key=str)
+    monkeypatch.setattr(M, "GROUP_ROWS_LIMIT", 3)
+    hot = M.batch_status_log(s, m, lg, X.TS2)
+    assert sorted(map(tuple, hot.select(cols).collect()), key=str) == expected
