@@ -191,7 +191,10 @@ class SnapshotTable:
         return n
 
     def retain(self, keep: int = 2) -> list[str]:
-        """Delete the current-version folders of old versions (their closed rows stay)."""
+        """Delete the current-version folders of old versions (their closed rows stay).
+
+        Deleting folders has no DataFrame API, so this one call uses the Hadoop
+        FileSystem of the path through the JVM gateway."""
         meta = self._meta()
         removed = []
         jvm = self.spark.sparkContext._jvm
@@ -205,6 +208,5 @@ class SnapshotTable:
 
 
 def _has(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    from lakehand.sources.files import path_exists
+    return path_exists(spark, path)

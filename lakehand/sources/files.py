@@ -82,11 +82,16 @@ def read_csv_borrowed_schema(spark: SparkSession, path: str, reference: DataFram
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Existence check through the Hadoop FileSystem of the path (any scheme)."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.globStatus(hpath)) and len(fs.globStatus(hpath)) > 0
+    """Existence check with the public reader: resolving a missing path raises
+    ``PATH_NOT_FOUND`` when the DataFrame is created (only the listing runs)."""
+    from pyspark.errors import AnalysisException
+    try:
+        spark.read.format("text").load(path)
+        return True
+    except AnalysisException as ex:
+        if "PATH_NOT_FOUND" in str(ex) or "Path does not exist" in str(ex):
+            return False
+        raise
 
 
 def read_optional(spark: SparkSession, path: str, schema: T.StructType, fmt: str | None = None,
