@@ -3,11 +3,14 @@
 ``as_of`` replaces the reference's "now" so results are reproducible; durations
 are whole seconds (bigint) instead of TIME values that wrap at 24 h (N11).
 
-Scale: every PARTITION BY aggregate is a grouped aggregate joined back
-(:func:`partition_agg`), the per-task log facts are one grouped pass with
-``max_by``/``min_by`` (partial aggregation, no sort of a task's logs), and the
-DENSE_RANKs use :func:`rank_within` so a batch or system holding a third of all
-rows is spread over many tasks.
+Scale: one job measures the largest batch (``batch_shape``).  When it is within
+``GROUP_ROWS_LIMIT`` rows, the PARTITION BY aggregates and DENSE_RANKs are plain
+windows that share one shuffle.  Otherwise, the aggregates become grouped
+aggregates joined back (:func:`partition_agg`), and the ranks use
+:func:`rank_within`, which spreads a batch or system holding a third of all rows
+over many tasks.  The per-task log facts are always one grouped pass with
+``max_by``/``min_by`` (partial aggregation, no sort of a task's logs).  Each log
+message is parsed once into a fixed schema.
 """
 
 from __future__ import annotations
