@@ -131,10 +131,10 @@ class SnapshotTable:
         closed = [k for k in meta["closed"] if k <= n]
         if not closed:
             return cur
-        if self.buckets:
-            from lakehand.operators.union import union_all
-            return cur.unionByName(union_all([self._part(k, "closed") for k in closed]))
-        return cur.unionByName(self.spark.read.parquet(*[f"{self.root}/v={k}/_part=closed" for k in closed]))
+        # closed rows are never joined on the bucket key: one multi-path scan, however
+        # many daily versions there are (bucketed files are plain Parquet underneath)
+        hist = self.spark.read.parquet(*[f"{self.root}/v={k}/_part=closed" for k in closed])
+        return cur.unionByName(hist.select(*cur.columns))
 
     def _commit(self, n: int, closed: list) -> None:
         state = json.dumps({"v": n, "closed": closed})
