@@ -78,3 +78,23 @@ def test_batch_status_log_switches_to_skew_safe_plan(spark, monkeypatch):
     monkeypatch.setattr(M, "GROUP_ROWS_LIMIT", 3)
     hot = M.batch_status_log(s, m, lg, X.TS2)
     assert sorted(map(tuple, hot.select(cols).collect()), key=str) == expected
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+ROWS = st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.one_of(st.none(), st.integers(0, 6))),
+                min_size=1, max_size=40)
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(ROWS, st.integers(1, 6), st.booleans())
+def test_rank_within_random(spark, rows, parts, dense):
+    df = spark.createDataFrame([(i, g, v) for i, (g, v) in enumerate(rows)], "id int, g string, v int")
+    method = "dense_rank" if dense else "row_number"
+    order = [F.col("v").asc_nulls_first()] + ([] if dense else [F.col("id")])
+    fn = F.dense_rank() if dense else F.row_number()
+    exp = {(r.id, r.r) for r in df.withColumn("r", fn.over(Window.partitionBy("g").orderBy(*order))).collect()}
+    got = {(r.id, r.r) for r in rank_within(df, "g", order, "r", method=method, num_partitions=parts,
+                                            small_rows=0).collect()}
+    assert got == exp
