@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -60,15 +61,24 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
 
 
 def cut_lineage(df, spark: SparkSession | None = None):
-    """Reliable checkpoint into the shared checkpoint folder (never ``localCheckpoint``).
+    """Reliable checkpoint into the shared folder (see ``shared_dir``)."""
+    spark = spark or df.sparkSession
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(shared_dir(spark))
+    return df.checkpoint(eager=True)
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder every executor and the driver can write to: ``spark.checkpoint.dir``.
 
-    Uses ``spark.checkpoint.dir``; where the cluster names none, a ``_checkpoints``
-    folder under the (shared) warehouse location.
+    Only a local master, where driver and executors are one process, may go without
+    it and gets a temporary folder; a cluster that names none is an error.
     """
-    spark = spark or df.sparkSession
     sc = spark.sparkContext
-    if not sc.getCheckpointDir():
-        d = spark.conf.get("spark.checkpoint.dir", None) or (
-            spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints")
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not d:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        d = tempfile.mkdtemp(prefix="lakehand-")
         sc.setCheckpointDir(d)
-    return df.checkpoint(eager=True)
+    return d
