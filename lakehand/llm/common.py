@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 import uuid
 
+import lakehand
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +20,19 @@ SPACE = r"[\x20\x09-\x0D]+"
 DOC_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def ship(spark: SparkSession) -> None:
+    """Send the package to the executors, once per Spark context, so Python tasks can import it
+    wherever the driver found it (as ``--py-files`` would)."""
+    sc = spark.sparkContext
+    if getattr(sc, "_lakehand_shipped", False):
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(lakehand.__file__)))
+    if os.path.isdir(root):
+        folder = tempfile.mkdtemp(prefix="lakehand-ship-")
+        sc.addPyFile(shutil.make_archive(f"{folder}/lakehand_package", "zip", root, "lakehand"))
+    sc._lakehand_shipped = True
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakehand.llm.common import written
+from lakehand.llm.common import ship, written
 from lakehand.llm.token_binary import ids_crc32
 from lakehand.llm.tokens import default_path, encoder
 
@@ -107,6 +107,7 @@ def pack_group(window: int):
 
 def pack(docs: DataFrame, tokenizer: str | None = None, end_id: int = 1, window: int = WINDOW) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
+    ship(docs.sparkSession)
     pieces = written(docs.select(F.col("doc_id").cast("long"), "text")
                      .mapInArrow(cut_pieces(tokenizer or default_path(), end_id, window), _PIECES), "pieces")
     groups = max(1, -(-pieces.count() // GROUP_PIECES))

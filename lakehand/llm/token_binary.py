@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lakehand.llm import simple8b
+from lakehand.llm.common import ship
 from lakehand.llm.tokens import default_path, encoder
 
 #: Documents per run; a run is decoded as a whole.
@@ -60,6 +61,7 @@ def encode_runs(path: str, end_id: int):
 
 def write_tokens(docs: DataFrame, out: str, tokenizer: str | None = None, end_id: int = 2) -> None:
     """Encode ``docs`` (doc_id, text) and write the token files to the folder ``out``."""
+    ship(docs.sparkSession)
     ordered = (docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange("doc_id")
                .sortWithinPartitions("doc_id", "text"))
     ordered.mapInArrow(encode_runs(tokenizer or default_path(), end_id), _RUNS).write.parquet(out)
@@ -85,6 +87,7 @@ def read_tokens(spark, folder: str) -> DataFrame:
     Starts are prefix sums in two levels (runs of a shard, then shards), so no task
     sees more than the runs of one shard or one row per shard.
     """
+    ship(spark)
     files = spark.read.schema(_RUNS).parquet(folder)
     docs = files.mapInArrow(decode_runs, _DOCS)
     sizes = files.select("shard", "run", "n_ids")
