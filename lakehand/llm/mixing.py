@@ -89,11 +89,15 @@ def budgets(leaves: DataFrame, epochs: int, percent: int) -> DataFrame:
     # A leaf without weight takes nothing, so no limit above it may count on it.
     weighed = F.least(*[weight(x, w) for x, w in weights.items()], F.lit(1))
     caps = leaves.where(weighed > 0).withColumn("cap", F.col("tokens") * epochs)
-    down = caps.agg(F.expr(f"coalesce(sum(tokens), 0) * {percent} div 100").alias("total"))
     for depth, level in enumerate(LEVELS):
         keys = LEVELS[:depth + 1]
-        nodes = caps.groupBy(*keys).agg(F.sum("cap").alias("cap")).withColumn("w", weight(level, weights[level]).cast("long"))
-        nodes = nodes.join(down, keys[:-1]) if depth else nodes.join(F.broadcast(down))    # one row
+        nodes = caps.groupBy(*keys).agg(F.sum("cap").alias("cap"), F.sum("tokens").alias("own"))
+        nodes = nodes.withColumn("w", weight(level, weights[level]).cast("long"))
+        if depth:
+            nodes = nodes.join(down, keys[:-1])
+        else:     # one row per domain
+            nodes = nodes.withColumn("total", F.sum("own").over(Window.partitionBy(F.lit(1)))).withColumn(
+                "total", F.expr(f"total * {percent} div 100"))
         down = shared_out(nodes, keys[:-1] or [F.lit(1)]).select(*keys, F.col("budget").alias("total"))
     return leaves.join(down, LEVELS, "left").select(*LEVELS, "tokens", F.coalesce("total", F.lit(0)).alias("budget"))
 
@@ -105,7 +109,7 @@ def leaf_cuts(sized: DataFrame, epochs: int, percent: int) -> DataFrame:
     leaf = leaf.withColumn("full", F.expr("if(tokens = 0, 0, budget div tokens)")).withColumn(
         "rest", F.expr("if(tokens = 0, 0, budget % tokens)"))
     leaf = written(leaf, "leaves")
-    hashed = sized.join(leaf, LEVELS).select(*LEVELS, "rest", "tokens", order_hash(F.col("full")).alias("h"))
+    hashed = sized.join(leaf.drop("tokens"), LEVELS).select(*LEVELS, "rest", "tokens", order_hash(F.col("full")).alias("h"))
     hashed = hashed.withColumn("b", F.substring("h", 1, BUCKET_DIGITS))
     counts = hashed.groupBy(*LEVELS, "rest", "b").agg(F.sum("tokens").alias("n"))
     own = Window.partitionBy(*LEVELS).orderBy("b")
@@ -135,14 +139,16 @@ def copies() -> Column:
 def selection(docs: DataFrame, epochs: int = EPOCHS, percent: int = BUDGET_PERCENT) -> DataFrame:
     """doc_id, domain, lang, source, tokens, leaf_budget, copies for every document."""
     sized = sized_docs(docs)
-    cuts = leaf_cuts(sized, epochs, percent).withColumnRenamed("tokens", "leaf_tokens")
+    cuts = written(leaf_cuts(sized, epochs, percent).drop("tokens"), "cuts")
     return sized.join(cuts, LEVELS).select("doc_id", *LEVELS, "tokens", F.col("budget").alias("leaf_budget"), copies().alias("copies"))
 
 
 def mixed(docs: DataFrame, epochs: int = EPOCHS, percent: int = BUDGET_PERCENT) -> DataFrame:
     """``docs`` with every row repeated as often as it is taken (or left out)."""
-    cuts = leaf_cuts(sized_docs(docs), epochs, percent).select(*[F.col(c).alias(f"_{c}") for c in LEVELS], "full", "cut")
-    cuts = cuts.withColumnsRenamed({"full": "_full", "cut": "_cut"})
+    tree = [f"_{c}" for c in LEVELS]
+    # A row per leaf; its known size lets the join broadcast it, so that no text is shuffled.
+    cuts = written(leaf_cuts(sized_docs(docs), epochs, percent).select(
+        *[F.col(c).alias(t) for c, t in zip(LEVELS, tree, strict=True)], F.col("full").alias("_full"), F.col("cut").alias("_cut")), "cuts")
     taken = F.col("_full") + (order_hash(F.col("_full")) <= F.col("_cut")).cast("long")
-    rows = tree_columns(docs).join(cuts, ["_domain", "_lang", "_source"])
-    return (rows.withColumn("_copy", F.explode(F.sequence(F.lit(0), taken))).where("_copy > 0").select(*docs.columns))
+    rows = tree_columns(docs).join(cuts, tree).withColumn("_taken", taken).where("_taken > 0")
+    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_taken")))).select(*docs.columns)

@@ -186,3 +186,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     component = F.coalesce("label", "rep", "doc_id")
     return member.select("doc_id", "n_shingles", component.alias("component_id"),
                          F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+
+
+def deduplicated(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` without the near duplicates of a document with a smaller id, all columns kept.
+
+    Rows that share a doc_id are one document and stay or go together; null ids stay.
+    """
+    gone = (near_duplicates(docs, width, percent).where("not kept").select(F.col("doc_id").alias("_gone")).distinct())
+    return docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")

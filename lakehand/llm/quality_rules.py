@@ -96,8 +96,8 @@ def fences(counted: DataFrame) -> DataFrame:
     sketch = (values.select("lang", "source", "x.metric", bucket("x.v").cast("long").alias("b"))
               .groupBy("lang", "source", "metric", "b").agg(F.count("*").alias("n")))
     none = F.lit(None).cast("string")
-    levels = F.array(F.struct(F.lit(0).alias("level"), F.col("lang").alias("l"), F.col("source").alias("s")),
-                     F.struct(F.lit(1), F.col("lang"), none), F.struct(F.lit(2), none, none))
+    level = lambda n, lang, source: F.struct(F.lit(n).alias("level"), lang.alias("l"), source.alias("s"))
+    levels = F.array(level(0, F.col("lang"), F.col("source")), level(1, F.col("lang"), none), level(2, none, none))
     merged = (sketch.select(F.explode(levels).alias("k"), "metric", "b", "n").select("k.*", "metric", "b", "n")
               .groupBy("level", "l", "s", "metric", "b").agg(F.sum("n").alias("n")))
     group = Window.partitionBy("level", "l", "s", "metric")
@@ -112,13 +112,16 @@ def fences(counted: DataFrame) -> DataFrame:
     pick = lambda m, c: F.max(F.when(F.col("metric") == m, F.col(c)))
     wide = quart.groupBy("level", "l", "s").agg(F.max("total").alias("total"), *[pick(m, "hi").alias(m + "_hi") for m in METRICS],
                                                 *[pick(m, "lo").alias(m + "_lo") for m in TWO_SIDED])
+    wide = written(wide, "fences")     # a row per source, language and for all
     limits = [m + "_hi" for m in METRICS] + [m + "_lo" for m in TWO_SIDED]
     own = wide.where("level = 0").select(F.col("l").alias("lang"), F.col("s").alias("source"), F.struct("total", *limits).alias("own"))
     lang = wide.where("level = 1").select(F.col("l").alias("lang"), F.struct("total", *limits).alias("of_lang"))
-    whole = wide.where("level = 2").select(F.struct("total", *limits).alias("of_all"))
+    whole = wide.where("level = 2").first()     # one row, or none if no text passes
+    of_all = F.struct(F.lit(whole["total"] if whole else 0).cast("long").alias("total"),
+                      *[F.lit(whole[c] if whole else None).cast(wide.schema[c].dataType).alias(c) for c in limits])
     best = F.when(F.col("own.total") >= MIN_GROUP, F.col("own")).when(
-        F.col("of_lang.total") >= MIN_GROUP, F.col("of_lang")).otherwise(F.col("of_all"))
-    return (own.join(lang, "lang").join(F.broadcast(whole)).select("lang", "source", best.alias("f"))     # one row
+        F.col("of_lang.total") >= MIN_GROUP, F.col("of_lang")).otherwise(of_all)
+    return (own.join(lang, "lang").select("lang", "source", best.alias("f"))
             .select("lang", "source", *[f"f.{c}" for c in limits]))
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
 from lakehand.llm import (fingerprints, mixing, near_dedup, packing, pii, quality_classifier, quality_rules, secret_scan,
@@ -67,6 +68,7 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_mixing": op9_mixing,
     "op10_near_dedup": op10_near_dedup,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE: dict[str, str] = {}

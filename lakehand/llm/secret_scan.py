@@ -88,8 +88,12 @@ def found(text: Column) -> dict[str, Column]:
 def spans(docs: DataFrame) -> DataFrame:
     """``docs`` with the column ``secrets``: array<struct<start,rank,kind,end>> by start, then kind."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = [F.transform(c, lambda x, r=r, k=k: F.struct(x["start"].alias("start"), F.lit(r).alias("rank"), F.lit(k).alias("kind"),
-                                                        x["end"].alias("end"))) for r, (k, c) in enumerate(found(text).items())]
+
+    def ranked(rank: int, kind: str, column: Column) -> Column:
+        return F.transform(column, lambda x: F.struct(x["start"].alias("start"), F.lit(rank).alias("rank"), F.lit(kind).alias("kind"),
+                                                      x["end"].alias("end")))
+
+    rows = [ranked(r, k, c) for r, (k, c) in enumerate(found(text).items())]
     return docs.withColumn("secrets", F.sort_array(F.concat(*rows)))
 
 
