@@ -11,7 +11,8 @@
    with the list's hubs (the member whose values are the most common, which is the
    centre of a group of copies, and the one with the smallest id).  Later rounds pair the
    members of lists that still hold several components with a hub outside the first
-   hub's component; what is left after ``ROUNDS`` is paired in full.
+   hub's component.  What is open after ``ROUNDS`` is paired in full, but only across
+   components and where the set sizes allow the threshold.
 4. The sketch of each pair's union estimates its resemblance; pairs that cannot
    reach the threshold (5 standard deviations) fall out.  The others are verified
    on full shingle sets: a hub's text meets its members in groups of bounded size.
@@ -133,36 +134,47 @@ def star_pairs(lists: DataFrame) -> DataFrame:
     return lists.join(hubs, "v").where("id <> b").select(F.col("id").alias("a"), "b").distinct()
 
 
+def open_members(lists: DataFrame, labels: DataFrame) -> DataFrame:
+    """The members, with their component (``label``), of lists that hold several; ``top`` is the first hub's."""
+    named = lists.select("v", "id", "common", "n_shingles").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    size = named.groupBy("v").agg(F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi"),
+                                  F.max(F.struct("common", -F.col("id"), "label"))["label"].alias("top"))
+    return written(named.join(size.where("n > 2 and lo < hi"), "v").select("v", "id", "common", "n_shingles", "label", "top"), "open")
+
+
+def outside_pairs(members: DataFrame) -> DataFrame:
+    """Members of open lists paired with a hub outside the first hub's component."""
+    hubs = (members.where("label <> top").groupBy("v").agg(F.max(F.struct("common", -F.col("id"), "label")).alias("h"))
+            .select("v", (-F.col("h")["col2"]).alias("b"), F.col("h")["label"].alias("hub_label")))
+    return members.join(hubs, "v").where("label <> hub_label").select(F.col("id").alias("a"), "b").distinct()
+
+
+def rest_pairs(members: DataFrame, percent: int) -> DataFrame:
+    """Pairs of members in different components whose set sizes allow the similarity asked for."""
+    side = lambda c: members.select("v", F.col("id").alias(c), F.col("label").alias("l" + c),
+                                    F.col("n_shingles").alias("n" + c))
+    return (side("a").join(side("b"), "v").where("a < b and la <> lb")
+            .where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)").select("a", "b").distinct())
+
+
 def linked(docs: DataFrame, reps: DataFrame, width: int, percent: int) -> DataFrame | None:
     """(id, label) of the representatives that have a link."""
-    lists = written(overlaps(reps), "lists")
+    lists = written(overlaps(reps).join(reps.select("id", "n_shingles"), "id"), "lists")
     least = percent / 100 - MARGIN
-    pairs = star_pairs(lists)
-    links, labels, open_lists = None, None, lists
-    for last in [False] * (ROUNDS - 1) + [True]:
+    none = docs.sparkSession.createDataFrame([], "id long, label long")
+    links, labels, members = None, none, lists
+    for n in range(ROUNDS + 1):
+        if n:
+            members = open_members(members, labels)
+            if members.isEmpty():
+                break
+        pairs = star_pairs(members) if n == 0 else outside_pairs(members) if n < ROUNDS else rest_pairs(members, percent)
         candidates = written(estimated(pairs, reps, least, K), "candidates")
         found = written(verified(candidates, docs, width, percent), "links")
-        links = found if links is None else links.unionByName(found)
-        if links.isEmpty():
-            return None
-        labels = components(links)
-        # Lists whose members are not yet one component, and hold more than the pairs compared.
-        named = open_lists.select("v", "id", "common").join(labels, "id", "left").withColumn(
-            "label", F.coalesce("label", "id"))
-        size = named.groupBy("v").agg(F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi"),
-                                      F.max(F.struct("common", -F.col("id"), "label"))["label"].alias("top"))
-        open_lists = named.join(size.where("n > 3 and lo < hi"), "v")
-        if last:
-            break
-        open_lists = written(open_lists, "open")
-        outside = open_lists.where("label <> top")
-        hubs = (outside.groupBy("v").agg(F.max(F.struct("common", -F.col("id"), "label")).alias("h"))
-                .select("v", (-F.col("h")["col2"]).alias("b"), F.col("h")["label"].alias("hub_label")))
-        pairs = (open_lists.join(hubs, "v").where("label <> hub_label")
-                 .select(F.col("id").alias("a"), "b").distinct())
-        if pairs.isEmpty():
-            break
-    return labels
+        if not found.isEmpty():
+            links = found if links is None else links.unionByName(found)
+            labels = components(links)
+    return None if links is None else labels
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -177,7 +189,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
                      .select("doc_id", "n_shingles", "sign1",
                              F.expr("if(n_shingles > 0 and doc_id is not null, rep, null)").alias("rep")), "classes")
     reps = (some.join(member.where("doc_id = rep").select("doc_id", "sign1").distinct(), ["doc_id", "sign1"])
-            .select(F.col("doc_id").alias("id"), "sign1", "sketch"))
+            .select(F.col("doc_id").alias("id"), "sign1", "n_shingles", "sketch"))
     labels = linked(docs, written(reps, "representatives"), width, percent)
     if labels is not None:
         member = member.join(labels.select(F.col("id").alias("rep"), "label"), "rep", "left")
