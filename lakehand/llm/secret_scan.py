@@ -67,7 +67,8 @@ def top_entropy(s: Column) -> Column:
 def _suspect(text: Column, x: Column) -> Column:
     """Entropy over the class's limit, and nothing on the allow-list."""
     hit = x["hit"]
-    before = F.substring(text, F.greatest(x["start"] - 10, F.lit(0)) + 1, F.least(x["start"], F.lit(10)))
+    # A candidate may itself begin with the slashes of an address.
+    before = F.substring(text, F.greatest(x["start"] - 10, F.lit(0)) + 1, F.least(x["start"], F.lit(10)) + 2)
     allowed = hit.rlike(ALLOWED) | before.rlike("://|www\\.")
     limit = F.coalesce(*[F.when(hit.rlike(p), F.lit(v)) for p, v in CLASSES.values()])
     return F.when(limit.isNull() | allowed, F.lit(False)).otherwise(top_entropy(hit) >= limit)
