@@ -19,10 +19,18 @@ SPACE = r"[\x20\x09-\x0D]+"
 
 DOC_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
+#: Bytes and rows of a batch that Spark hands to a Python task; a task's memory follows them.
+BATCH_BYTES, BATCH_ROWS = 8 << 20, 2000
+
 
 def ship(spark: SparkSession) -> None:
     """Send the package to the executors, once per Spark context, so Python tasks can import it
-    wherever the driver found it (as ``--py-files`` would)."""
+    wherever the driver found it (as ``--py-files`` would), and bound the session's Arrow batches."""
+    for key, most in (("maxBytesPerBatch", BATCH_BYTES), ("maxRecordsPerBatch", BATCH_ROWS)):
+        key = f"spark.sql.execution.arrow.{key}"
+        now = spark.conf.get(key).rstrip("bB")
+        if not now.isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(key, str(most))
     sc = spark.sparkContext
     if getattr(sc, "_lakehand_shipped", False):
         return

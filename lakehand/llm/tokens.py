@@ -16,9 +16,9 @@ from collections.abc import Iterator
 import numpy as np
 
 #: Pieces kept by a worker before its cache starts anew; only speed depends on it.
-CACHE_PIECES = 400_000
+CACHE_PIECES = 100_000
 #: Parts of pieces (a word without the punctuation after it) kept likewise.
-CACHE_PARTS = 800_000
+CACHE_PARTS = 200_000
 #: Characters of text that are cut into pieces at a time.
 CHUNK_CHARS = 1_000_000
 _LONG_PIECE = 200
