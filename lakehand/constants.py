@@ -20,7 +20,6 @@ Fixed values (stated as text, in natural order):
   default raw file extension       parquet
   status literals                  Success, Fail (also read: Failed), In Progress, Completed, Skipped
   copy log activity type           copy-data
-  sheet row limit when 0           999
 """
 
 EMPTY_SENTINEL = "(~empty~)"
@@ -48,7 +47,6 @@ DEFAULT_SOURCE_HANDLER = "sql-load"
 RAW_HANDLER = "raw-load"
 TRUSTED_HANDLER = "trusted-load"
 DEFAULT_RAW_EXTENSION = "parquet"
-SHEET_LIMIT_WHEN_ZERO = 999
 
 STATUS_SUCCESS = "Success"
 STATUS_FAIL = "Fail"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -112,7 +113,7 @@ def tsql_concat(*cols) -> Column:
 
 def list_to_rows(c, sep: str = ",") -> Column:
     """'a, b,,c' -> rows a, b, c (trimmed, blanks dropped by the caller)."""
-    return F.explode(F.split(col_or(c), sep))
+    return F.explode(F.split(col_or(c), re.escape(sep)))
 
 
 def props_to_rows(c, value_type: str = "bigint") -> Column:

@@ -7,7 +7,6 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakehand.constants import SHEET_LIMIT_WHEN_ZERO
 from lakehand.functions.scalar import null_sentinels  # noqa: F401  (re-export, F10)
 
 
@@ -79,11 +78,12 @@ def period_filter(df: DataFrame, date_key: str, year) -> DataFrame:
 
 
 def limit_or_all(df: DataFrame, n: int, order_by=None) -> DataFrame:
-    """L2: first ``n`` rows in order; 0 means the reference's cap of 999."""
-    n = SHEET_LIMIT_WHEN_ZERO if not n else int(n)
+    """L2: first ``n`` rows in order; 0 means no limit (all rows, unsorted)."""
+    if not n:
+        return df
     if order_by:
         df = df.orderBy(*([order_by] if isinstance(order_by, str) else order_by))
-    return df.limit(n)
+    return df.limit(int(n))
 
 
 def empty_clone(df: DataFrame) -> DataFrame:

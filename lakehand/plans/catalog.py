@@ -492,7 +492,7 @@ def register_source(spark, sf_dir):
 
 @query
 def limit_or_all(spark, sf_dir):
-    """First N sheet rows in order; 0 means 999."""
+    """First N sheet rows in order; 0 means no limit."""
     from lakehand.operators.shape import limit_or_all as loa
     return loa(X.ingestion_sheet(_t(spark, sf_dir)), 0, order_by="SheetRow")
 

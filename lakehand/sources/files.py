@@ -144,6 +144,6 @@ def explode_pages(pages: DataFrame, prop: str = "Response", page_col: str | None
 
 
 def read_sheet(spark: SparkSession, path: str, limit: int = 0, order_by: str | None = None) -> DataFrame:
-    """Ingestion sheet (CSV) with a row limit; 0 means the sheet cap."""
+    """Ingestion sheet (CSV) with a row limit; 0 means all rows."""
     from lakehand.operators.shape import limit_or_all
     return limit_or_all(read_source(spark, path, fmt="csv"), limit, order_by)

@@ -44,7 +44,7 @@ def test_pages_sheet_capture(spark, tmp):
     assert sorted(r.id for r in items.collect()) == [0, 1, 2, 3] and "_page" in items.columns
     with open(f"{tmp}/sheet.csv", "w") as f:
         f.write("SystemCode,TableName\n" + "".join(f"S,T{i}\n" for i in range(1200)))
-    assert read_sheet(spark, f"{tmp}/sheet.csv", 0).count() == 999
+    assert read_sheet(spark, f"{tmp}/sheet.csv", 0).count() == 1200
     assert read_sheet(spark, f"{tmp}/sheet.csv", 5, order_by="TableName").count() == 5
     df = spark.createDataFrame([], "id int, name string, amt decimal(10,2)")
     cols = capture_schema(spark, df, "dbo", "T").withColumn("SystemCode", F.lit("S")) \
@@ -102,3 +102,10 @@ def test_snapshot_periods_and_typed_pages(spark, tmp):
         f.write('{"data": [{"id": 1, "name": "a"}]}')
     rows = read_json_pages(spark, f"{tmp}/tp", prop="data", element_schema="id bigint, name string")
     assert [(r.id, r.name) for r in rows.collect()] == [(1, "a")]
+
+
+def test_list_separator_is_plain_text(spark):
+    from lakehand.functions.scalar import list_to_rows
+    from pyspark.sql import functions as F
+    rows = spark.createDataFrame([("a.b|c",)], "s string").select(list_to_rows(F.col("s"), "|").alias("x")).collect()
+    assert [r.x for r in rows] == ["a.b", "c"]
