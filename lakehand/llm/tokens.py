@@ -12,22 +12,20 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 
 #: Pieces kept by a worker before its cache starts anew; only speed depends on it.
-CACHE_PIECES = 100_000
-#: Parts of pieces (a word without the punctuation after it) kept likewise.
-CACHE_PARTS = 200_000
+CACHE_PIECES = 400_000
 #: Characters of text that are cut into pieces at a time.
 CHUNK_CHARS = 1_000_000
 _LONG_PIECE = 200
+#: New pieces that go through the library as one text.
 _JOINED = 200
 
 _ODD_SPACE = re.compile(r"\s |\s\Z")
 _CUT = re.compile(r"(?<=\S)(?= )")
-# A run of letters ends before such a character: the vocabulary's pattern never joins the two.
-_PART = re.compile(r"(?<=[^\W\d_])(?=[,.!?;:*$%&#|<>])")
 _encoders: dict[str, PieceEncoder] = {}
 
 
@@ -51,7 +49,10 @@ class PieceEncoder:
         self._tok = Tokenizer.from_file(path)
         added = [t.content for t in self._tok.get_added_tokens_decoder().values()]
         self._special = re.compile("|".join(map(re.escape, added))) if added else None
-        self._part: dict[str, bytes] = {}
+        vocabulary = self._tok.get_vocab()
+        self._bytes = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
+        for token, i in vocabulary.items():     # one character of a byte-level token is one byte
+            self._bytes[i] = len(token)
         self._clear()
 
     def _clear(self):
@@ -61,47 +62,38 @@ class PieceEncoder:
         self._used = self._n = 0
 
     def _library(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self._tok.encode_batch(texts, add_special_tokens=False)]
-
-    def _parts_ids(self, parts: list[str]) -> list:
-        """Ids of every part.  Parts that begin with a space and end without one are encoded
-        many at a time: a cut between two of them is a cut of their joined text."""
-        out = {}
-        single = [p for p in parts if p[:1] != " " or p[-1:].isspace()]
-        joint = [p for p in parts if p[:1] == " " and not p[-1:].isspace()]
-        groups = [joint[i:i + _JOINED] for i in range(0, len(joint), _JOINED)]
-        for group, e in zip(groups, self._tok.encode_batch(["".join(g) for g in groups], add_special_tokens=False),
-                            strict=True):
-            ends = np.cumsum([len(p) for p in group])
-            ids = np.array(e.ids, np.uint32)
-            at = np.searchsorted(np.array([o[0] for o in e.offsets]), ends)
-            cuts = [0, *at.tolist()]
-            if np.any(np.diff(cuts) < 1):
-                single += group
-                continue
-            out.update((p, ids[cuts[k]:cuts[k + 1]]) for k, p in enumerate(group))
-        out.update(zip(single, self._library(single), strict=True))
-        return [out[p] for p in parts]
+        return [e.ids for e in self._tok.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _joint_ids(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids and number of ids of pieces that begin with a space and end without one: a cut
+        between two of them is a cut of their joined text, found again by the tokens' bytes."""
+        texts = ["".join(pieces[i:i + _JOINED]) for i in range(0, len(pieces), _JOINED)]
+        flat = np.fromiter(chain.from_iterable(self._library(texts)), np.uint32)
+        ends = np.cumsum(np.fromiter((len(p) if p.isascii() else len(p.encode()) for p in pieces), np.int64, len(pieces)))
+        token_ends = np.cumsum(self._bytes[flat])
+        cuts = np.searchsorted(token_ends, ends)
+        if len(cuts) and (cuts[-1] != len(flat) - 1 or np.any(token_ends[cuts] != ends)):
+            return None
+        return flat, np.diff(cuts, prepend=-1)
 
     def _learn(self, pieces: list[str]):
-        split = [_PART.split(p) for p in pieces]
-        new = list(dict.fromkeys(p for own in split for p in own if p not in self._part))
-        if len(self._part) > CACHE_PARTS:
-            self._part = {}
-            new = list(dict.fromkeys(p for own in split for p in own))
-        for part, ids in zip(new, self._parts_ids(new), strict=True):
-            self._part[part] = np.asarray(ids, np.uint32).tobytes()
-        rows = [b"".join([self._part[p] for p in own]) for own in split]
-        flat = np.frombuffer(b"".join(rows), np.uint32)
+        joint = [p for p in pieces if p[:1] == " " and not p[-1:].isspace()]
+        found = self._joint_ids(joint)
+        single = [p for p in pieces if p[:1] != " " or p[-1:].isspace()] if found else pieces
+        joined, joined_sizes = found or (np.zeros(0, np.uint32), np.zeros(0, np.int64))
+        rows = self._library(single)
+        pieces = [*joint, *single] if found else pieces
+        sizes = np.concatenate([joined_sizes, np.fromiter(map(len, rows), np.int64, len(rows))])
+        flat = np.concatenate([joined, np.fromiter(chain.from_iterable(rows), np.uint32)])
         if self._used + len(flat) > len(self._ids):
             self._ids = np.concatenate([self._ids, np.zeros(max(len(self._ids), len(flat)), np.uint32)])
-        if self._n + len(rows) + 1 > len(self._off):
-            self._off = np.concatenate([self._off, np.zeros(max(len(self._off), len(rows) + 1), np.int64)])
+        if self._n + len(pieces) + 1 > len(self._off):
+            self._off = np.concatenate([self._off, np.zeros(max(len(self._off), len(pieces) + 1), np.int64)])
         self._ids[self._used:self._used + len(flat)] = flat
-        self._off[self._n + 1:self._n + 1 + len(rows)] = self._used + np.cumsum([len(r) // 4 for r in rows])
-        self._row.update(zip(pieces, range(self._n, self._n + len(rows)), strict=True))
+        self._off[self._n + 1:self._n + 1 + len(pieces)] = self._used + np.cumsum(sizes)
+        self._row.update(zip(pieces, range(self._n, self._n + len(pieces)), strict=True))
         self._used += len(flat)
-        self._n += len(rows)
+        self._n += len(pieces)
 
     @staticmethod
     def _pieces(text: str) -> list[str]:
