@@ -17,6 +17,11 @@ def _ext_schema(system: Column) -> Column:
     return out.otherwise(system)
 
 
+def _create_schema(name: Column) -> Column:
+    before, after = CREATE_SCHEMA_SQL.split("{schema}")
+    return F.concat(F.lit(before), name, F.lit(after))
+
+
 def _size(dtype: Column, length: Column, prec: Column, scale: Column) -> Column:
     s = lambda c: F.coalesce(c.cast("string"), F.lit(""))  # noqa: E731  (CONCAT treats NULL as '')
     return (F.when(dtype.endswith("char") | dtype.endswith("binary"),
@@ -54,11 +59,9 @@ def generated_sql(manifest: DataFrame) -> DataFrame:
     sc, tb = F.col("TableSchema"), F.col("TableName")
     g = g.select(
         "SystemCode", "ExtendedProperties", "TableSchema", "TableName",
-        F.replace(F.lit(CREATE_SCHEMA_SQL.format(schema="$SS$")), F.lit("$SS$"), sc).alias("CreateSchema"),
-        F.replace(F.lit(CREATE_SCHEMA_SQL.format(schema="$SS$")), F.lit("$SS$"), _ext_schema(F.col("SystemCode")))
-        .alias("CreateExternalSchema"),
+        _create_schema(sc).alias("CreateSchema"), _create_schema(_ext_schema(F.col("SystemCode"))).alias("CreateExternalSchema"),
         F.concat(F.lit("CREATE TABLE ["), sc, F.lit("].["), tb, F.lit("] ("), F.col("__cols"), F.lit(")"))
-        .alias("CreateTableSQL"),
+        .alias("CreateTableSQL"), "__cols",
         F.concat(F.lit("SELECT "), F.col("__sel"), F.lit(" FROM ["), sc, F.lit("].["), tb, F.lit("] "))
         .alias("SelectSQL"))
     ext = manifest.select(
@@ -68,20 +71,23 @@ def generated_sql(manifest: DataFrame) -> DataFrame:
         F.col("ExtendedProperties").alias("__ep")).where(F.col("__ep").isNotNull())
     j = g.join(ext, (g["SystemCode"] == ext["__sys"]) & (g["TableSchema"] == ext["__ss"])
                & (g["TableName"] == ext["__st"]), "left")
-    suffix = F.concat(F.lit(" WITH (LOCATION ='/external-tables/"), F.col("SystemCode"), F.lit("/"), sc, F.lit("_"), tb,
-                      F.lit(f"/' ,DATA_SOURCE = [{EXTERNAL_DATA_SOURCE}], FILE_FORMAT = [{EXTERNAL_FILE_FORMAT}] )"))
-    stmt = F.replace(F.concat(F.col("CreateTableSQL"), suffix), F.lit("CREATE TABLE"), F.lit("CREATE EXTERNAL TABLE"))
     has_ext = F.coalesce(F.length("ExtendedProperties"), F.lit(0)) >= 1
     tname = F.when(has_ext, F.coalesce(F.col("SynapseTableName"), F.lit(""))).otherwise(tb)
     sname = F.when(has_ext, F.coalesce(F.col("SynapseTableSchema"), F.lit(""))).otherwise(_ext_schema(F.col("SystemCode")))
-    stmt = F.replace(stmt, F.concat(F.lit("["), tb, F.lit("]")), F.concat(F.lit("[ext_"), tname, F.lit("]")))
-    stmt = F.replace(stmt, F.concat(F.lit("["), sc, F.lit("]")), F.concat(F.lit("["), sname, F.lit("]")))
-    return j.select(*g.columns, stmt.alias("CreateExternalTableSQL"))
+    stmt = F.concat(F.lit("CREATE EXTERNAL TABLE ["), sname, F.lit("].[ext_"), tname, F.lit("] ("), F.col("__cols"),
+                    F.lit(") WITH (LOCATION ='/external-tables/"), F.col("SystemCode"), F.lit("/"), sc, F.lit("_"), tb,
+                    F.lit(f"/' ,DATA_SOURCE = [{EXTERNAL_DATA_SOURCE}], FILE_FORMAT = [{EXTERNAL_FILE_FORMAT}] )"))
+    return j.select(*[c for c in g.columns if c != "__cols"], stmt.alias("CreateExternalTableSQL"))
 
 
 def refresh_manifest(manifest: DataFrame, generated: DataFrame) -> DataFrame:
-    """V6: write the generated select back as the source query (schema + table match)."""
-    gen = generated.select(F.col("TableSchema").alias("__gs"), F.col("TableName").alias("__gt"), "SelectSQL")
+    """V6: write the generated select back as the source query (schema + table match).
+
+    A table that several systems have takes the select of the first system code, so no
+    manifest row is multiplied.
+    """
+    gen = (generated.groupBy(F.col("TableSchema").alias("__gs"), F.col("TableName").alias("__gt"))
+           .agg(F.min_by("SelectSQL", "SystemCode").alias("SelectSQL")))
     j = manifest.join(gen, (manifest["SourceSchema"] == gen["__gs"]) & (manifest["SourceTableName"] == gen["__gt"]),
                       "left")
     return j.select(*[F.coalesce(F.col("SelectSQL"), F.col("SourceQuery")).alias("SourceQuery")

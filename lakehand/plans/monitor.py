@@ -349,8 +349,8 @@ def health_dashboard(batch_log: DataFrame, lineage: DataFrame, transform_manifes
     return j.withColumns({
         "LastRun": F.col("BatchEndDTS"),
         "NextRefresh": duration_seconds(F.col("BatchEndDTS"), ts_lit(as_of)),
-        "SuccessRate": rate.cast("decimal(10,6)"),
-        "SuccessRatio": ratio.cast("decimal(10,6)"),
+        "SuccessRate": rate.cast("decimal(20,10)"),
+        "SuccessRatio": ratio.cast("decimal(20,10)"),
         "Period": quarter_label("RawStartDTS"),
         "Latest": F.col("LatestBatch"),
     })
