@@ -7,7 +7,9 @@ prior for the kind, plus what a checksum confirms, plus or minus what words with
 ``NEAR`` characters say.
 
 The patterns are written with possessive quantifiers and look-behinds so that each
-match takes linear time on any text; they match the same spans as the plain ones.
+match takes linear time on any text; the base kinds match the same spans as the plain
+ones.  An iban is proposed at the length its country has, whatever follows it, and every
+place where one can begin is tried, also inside another proposal.
 
 DataFrame functions only.  Spans count code points, end exclusive.  Edge cases: null
 and empty texts have no spans; spans of different kinds may overlap (``redacted``
@@ -28,7 +30,18 @@ EMAIL = r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Z
 IP = r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9]++(?:[\x20-][0-9]++)++|[0-9]{13,}+"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])"
+#: Characters of an IBAN by country: those of the registry, then those that use one without being in it.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST AO CV GW MZ", 26: "IS TR DZ IR", 27: "BI DJ FR GR IT MC MR SM CF CG CM GA GQ KM MG TD",
+    28: "AL AZ BY CY DO GT HN HU LB NI PL SV BF BJ CI MA ML NE SN TG", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU",
+}
+_OF_LENGTH = [rf"(?:{c.replace(' ', '|')})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n - 4}}}" for n, c in IBAN_LENGTHS.items()]
+#: Takes the first four characters; group 1 looks ahead over the whole, the longest one for any other country.
+IBAN = (r"(?<![A-Za-z0-9])(?=[A-Z]{2}[0-9]{2})(?=(" + "|".join(_OF_LENGTH) + "|(?!" + "|".join(
+    IBAN_LENGTHS.values()).replace(" ", "|") + r")[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30})(?![A-Za-z0-9]))[A-Z]{2}[0-9]{2}")
 NATIONAL = r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])"
 LOCAL_PHONE = r"(?<![0-9A-Za-z+.-])(?:\([0-9]{2,4}\)\x20?|[0-9]{2,4}[\x20.-])[0-9]{3,4}[\x20.-][0-9]{3,4}(?![0-9A-Za-z.-])"
 
@@ -73,6 +86,12 @@ def _ip_parts(hit: Column) -> Column:
         "^(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])$"))
 
 
+def ibans(text: Column) -> Column:
+    """What can be an IBAN by its country's length; proposals may overlap."""
+    return F.transform(matches(text, IBAN, 1), lambda x: F.struct(
+        x["start"].alias("start"), (x["start"] + F.length(x["part"])).alias("end"), x["part"].alias("hit"), x["part"].alias("part")))
+
+
 def found(text: Column) -> dict[str, Column]:
     """For each kind the confirmed matches of a text, before scores."""
     none = F.array().cast("array<struct<start:int,end:int,hit:string,part:string>>")
@@ -83,7 +102,7 @@ def found(text: Column) -> dict[str, Column]:
         "ip": F.filter(matches(text, IP), lambda x: _ip_parts(x["hit"])),
         "card": F.filter(matches(text, CARD), lambda x: n(x).between(13, 19) & luhn(digits(x["hit"]))),
         "phone": if_any(F.contains(text, F.lit("+")), F.filter(matches(text, PHONE), lambda x: n(x).between(9, 15))),
-        "iban": F.filter(matches(text, IBAN), lambda x: mod97(x["hit"])),
+        "iban": F.filter(ibans(text), lambda x: mod97(x["hit"])),
         "national": matches(text, NATIONAL),
         "local_phone": F.filter(matches(text, LOCAL_PHONE), lambda x: n(x).between(9, 12)),
     }

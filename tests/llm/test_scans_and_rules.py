@@ -88,6 +88,25 @@ def test_added_spans(make_docs):
     assert secrets[9].count("entropy:") == 1     # the address and the example are on the allow-list
 
 
+def test_ibans_before_words_and_digits(make_docs):
+    de, gb, no = "DE89 3704 0044 0532 0130 00", "GB29 NWBK 6016 1331 9268 19", "NO93 8601 1117 947"
+    cases = [(f"{de} Bank", [de]), (f"{de} BIC COBADEFF", [de]), (f"{de} 12 EUR", [de]), (f"{de}. End", [de]),
+             (f"{de.replace(' ', '')} KONTO 7", [de.replace(" ", "")]), (f"{de} {gb} {no} A", [de, gb, no]),
+             (f"FR12 {de} 1 2", [de]), (f"ZZ12 {gb} X", [gb]), (f"{no} Oslo", [no]),
+             (f"{de[:-1]}1 Bank", []), (f"{de}x", []), (f"{de}7", []), (f"X{de} Bank", []),
+             ("QQ" + "%02d" % (98 - int("0123456789012" + "2626" + "00") % 97) + "012345 6789 012 Bank", None)]
+    docs = make_docs([(i, f"\U0001f600 account {t}", "en", "s") for i, (t, _) in enumerate(cases)])
+    found = {r.doc_id: r.spans for r in pii.report(docs).collect()}
+    clean = {r.doc_id: r.text for r in pii.redacted(docs).collect()}
+    for i, (text, hits) in enumerate(cases):
+        got = [tuple(map(int, s.split(":")[1:])) for s in found[i].split(",") if s.startswith("iban:")]
+        whole = f"\U0001f600 account {text}"
+        if hits is None:                          # a country without a known length: the longest run
+            hits = [text[:-5]]
+        assert [whole[a:b] for a, b in got] == hits, text
+        assert not any(h in clean[i] for h in hits) and clean[i].count("[IBAN]") == len(hits), text
+
+
 def test_redacted_text(make_docs):
     docs = make_docs([(1, "mail a.b@x.org now", "en", "s"), (2, "clean", "en", "s"), (3, None, None, None)], extra=True)
     out = pii.redacted(docs)
