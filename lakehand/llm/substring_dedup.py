@@ -10,6 +10,12 @@ inside the batch for all but the first; so copies by the thousand send one posti
 batch.  Each block reports, for every window, the first document that holds it, as
 runs with a source position.
 
+The number of blocks follows the size of the texts, and the windows to post are counted
+by block first.  Where that count is too much for one task (an anchor that is part of a
+common phrase), the windows go by their own hash to as many further blocks as the count
+asks for; equal windows still meet.  So a block grows with the input only through one
+and the same window, by one posting a batch.
+
 Parsing then walks a document's runs greedily: a factor grows while the next window
 continues in the same source, the next factor starts where it ends, and the windows
 across a factor's boundary, which the walk jumps over, are looked up as well (they may
@@ -41,8 +47,12 @@ from lakehand.llm.words import mix, window_hashes, word_slices
 
 WIDTH = 13
 ANCHOR = 3
-#: Reference blocks for each shuffle partition; a task holds one block at a time.
+#: Reference blocks for each shuffle partition, at least; a task holds one block at a time.
 BLOCKS_PER_PARTITION = 4
+#: Windows a block should hold at most and is not split under; over ``HOT`` times its share a block is split.
+BLOCK_WINDOWS, LEAST_WINDOWS, HOT = 250_000, 5_000, 4
+#: Bytes of a word with its space, to size the blocks before the windows are counted.
+WORD_BYTES = 6
 
 _U = np.uint64
 _POST = [("g", "<u4"), ("doc", "<i8"), ("crc", "<u4"), ("pos", "<u4"), ("off", "u1"), ("n", "u1")]
@@ -103,39 +113,65 @@ def _batch_windows(texts: pa.Array, width: int):
     return [np.concatenate(c) for c in zip(*out)] if out else None
 
 
-def index_batches(width: int, blocks: int):
+def _answer(batch: pa.RecordBatch, width: int):
+    """Texts, ids and windows of a batch by doc_id; of each window the first equal one, and whether an earlier document holds that."""
+    batch = batch.take(pc.sort_indices(batch.column("doc_id")))
+    texts = batch.column("text").cast(pa.large_binary())
+    found = _batch_windows(texts, width)
+    if found is None:
+        return None
+    ids = batch.column("doc_id").to_numpy()
+    first = _first_of_equal(found[2])
+    return texts, ids, found, first, ids[found[0]][first] < ids[found[0]]
+
+
+def _home(gram: np.ndarray, blocks: int) -> np.ndarray:
+    """Block of an anchor by its mixed hash."""
+    return ((gram >> _U(32)) % _U(blocks)).astype(np.int64)
+
+
+def count_batches(width: int, blocks: int):
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            answer = _answer(batch, width)
+            if answer is not None:
+                _, _, found, _, known = answer
+                block, n = np.unique(_home(mix(found[4][~known]), blocks), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(block), pa.array(n.astype(np.int64))], ["block", "n"])
+    return count
+
+
+def index_batches(width: int, blocks: int, hot: np.ndarray, parts: np.ndarray):
+    """``hot``: sorted blocks whose windows go to ``parts`` further blocks by their own hash."""
     kinds, run_kinds = [k for _, k in _POST] + ["<u4", "u1"], [k for _, k in _RUN]
+    base = blocks + np.cumsum(parts) - parts
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            batch = batch.take(pc.sort_indices(batch.column("doc_id")))
-            texts = batch.column("text").cast(pa.large_binary())
-            found = _batch_windows(texts, width)
-            if found is None:
+            answer = _answer(batch, width)
+            if answer is None:
                 continue
-            row, pos, hashes, anchor, gram = found
-            ids = batch.column("doc_id").to_numpy()
+            texts, ids, (row, pos, hashes, anchor, gram), first, known = answer
             crc = np.array([zlib.crc32(t or b"") for t in texts.to_pylist()], np.uint32)
             doc = ids[row]
-            first = _first_of_equal(hashes)
-            known = doc[first] < doc
             k = np.flatnonzero(known)
             runs = _runs(doc[k], crc[row[k]], pos[k], doc[first[k]], pos[first[k]], row[k])
-            # Postings of the windows that this batch cannot answer, one for each anchor's run of windows.
+            # Postings of the windows that this batch cannot answer, one for each anchor's run of windows in a block.
             k = np.flatnonzero(~known)
             row, pos, hashes, anchor, gram = row[k], pos[k], hashes[k], anchor[k], mix(gram[k])
+            block = _home(gram, blocks)
+            if len(hot):
+                at = np.minimum(np.searchsorted(hot, block), len(hot) - 1)
+                block = np.where(hot[at] == block, base[at] + ((hashes >> _U(40)) % parts[at].astype(np.uint64)).astype(np.int64), block)
             new = np.ones(len(k), bool)
-            new[1:] = (row[1:] != row[:-1]) | (anchor[1:] != anchor[:-1]) | (pos[1:] != pos[:-1] + 1)
+            new[1:] = (row[1:] != row[:-1]) | (anchor[1:] != anchor[:-1]) | (pos[1:] != pos[:-1] + 1) | (block[1:] != block[:-1])
             at = np.flatnonzero(new)
             size = np.diff(np.append(at, len(k)))
-            block = ((gram[at] >> _U(32)) % _U(blocks)).astype(np.int64)
-            order = np.argsort(block, kind="stable")
-            bounds = np.searchsorted(block[order], np.arange(blocks + 1))
+            order = np.argsort(block[at], kind="stable")
+            present, begin = np.unique(block[at][order], return_index=True)
             out_block, out_posts, out_runs = [], [], []
-            for b in range(blocks):
-                p = order[bounds[b]:bounds[b + 1]]
-                if not len(p):
-                    continue
+            for b, lo, to in zip(present.tolist(), begin.tolist(), [*begin[1:].tolist(), len(at)], strict=True):
+                p = order[lo:to]
                 a, s = at[p], size[p]
                 w = np.repeat(a - (np.cumsum(s) - s), s) + np.arange(s.sum())
                 out_block.append(b)
@@ -147,7 +183,7 @@ def index_batches(width: int, blocks: int):
                 out_block.append(int(runs[0][0]) % blocks)
                 out_posts.append(b"")
                 out_runs.append(pack(runs, run_kinds))
-            yield pa.RecordBatch.from_arrays([pa.array(out_block, pa.int32()), pa.array(out_posts, pa.binary()),
+            yield pa.RecordBatch.from_arrays([pa.array(out_block, pa.int64()), pa.array(out_posts, pa.binary()),
                                               pa.array(out_runs, pa.binary())], ["block", "posts", "runs"])
     return index
 
@@ -191,14 +227,24 @@ def search_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield from rows(_search_block(blobs))
 
 
+def index_blocks(docs: DataFrame, width: int = WIDTH) -> DataFrame:
+    """block, posts, runs: the postings of every batch by block, and the runs that the batch answers."""
+    ship(docs.sparkSession)
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    docs = docs.select(F.col("doc_id").cast("long"), "text").where("doc_id is not null and text is not null")
+    words = (docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // WORD_BYTES
+    blocks = max(BLOCKS_PER_PARTITION * partitions, -(-words // BLOCK_WINDOWS))
+    share = min(max(words // blocks, LEAST_WINDOWS), BLOCK_WINDOWS)
+    rows = sorted(docs.mapInArrow(count_batches(width, blocks), "block long, n long").groupBy("block")
+                  .agg(F.sum("n").alias("n")).where(F.col("n") > HOT * share).collect())
+    hot, n = (np.array([r[c] for r in rows], np.int64) for c in ("block", "n"))
+    return docs.mapInArrow(index_batches(width, blocks, hot, -(-n // share)), "block long, posts binary, runs binary")
+
+
 def found_windows(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """Runs of ``n`` successive windows of a document that an earlier one holds, with the source."""
-    ship(docs.sparkSession)
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    index = (docs.select(F.col("doc_id").cast("long"), "text").where("doc_id is not null and text is not null")
-             .mapInArrow(index_batches(width, BLOCKS_PER_PARTITION * partitions),
-                         "block int, posts binary, runs binary"))
-    return (index.repartition(partitions, "block").sortWithinPartitions("block")
+    return (index_blocks(docs, width).repartition(partitions, "block").sortWithinPartitions("block")
             .mapInArrow(search_blocks, _RUN_SCHEMA))
 
 

@@ -3,8 +3,12 @@
 import hashlib
 import random
 import re
+from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 from lakehand.llm import fingerprints, near_dedup, substring_dedup
+from lakehand.llm.words import window_hashes, word_slices
 from pyspark.sql import functions as F
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -111,6 +115,28 @@ def test_substring_dedup_is_the_brute_force_one(make_docs):
         assert any(r.factors for r in got)
 
 
+def test_common_phrase_is_dealt_over_blocks(spark, make_docs, monkeypatch):
+    rng = random.Random(9)
+    # The phrase of the least hash among many, so that it is the anchor of the windows around it.
+    vocab = [f"w{i}" for i in range(3000)]
+    texts = pa.array([" ".join(rng.choices(vocab, k=3)) for _ in range(3000)])
+    grams = [window_hashes(w[o[i]:o[i + 1]], 3)[0] for _, _, w, o in word_slices(texts) for i in range(len(o) - 1)]
+    phrase = texts[int(np.argmin(grams))].as_py()
+    rows = [(i, " ".join([*rng.choices(vocab, k=15), phrase, *rng.choices(vocab, k=15)]), "en", "s") for i in range(300)]
+    rows += [(300 + i, f"{rows[i][1]} tail{i}", "en", "s") for i in range(0, 300, 3)]
+    monkeypatch.setattr(substring_dedup, "LEAST_WINDOWS", 100)
+    docs = make_docs(rows).repartition(8, "doc_id")
+    held = Counter()
+    for r in substring_dedup.index_blocks(docs).collect():
+        if r.posts:
+            held[r.block] += len(substring_dedup.unpack(r.posts, [k for _, k in substring_dedup._POST] + ["<u4", "u1"])[-1])
+    share = sum(len(words(t)) for _, t, _, _ in rows) // (4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    assert max(held.values()) <= 5 * max(share, 100)
+    got = substring_dedup.dedup(docs).collect()
+    assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in got} == brute_substring([r[:2] for r in rows])
+    assert sum(r.n_removed > 0 for r in got) == 100
+
+
 def test_substring_dedup_odd_rows(odd_docs, no_docs):
     got = substring_dedup.dedup(odd_docs).collect()
     assert len(got) == odd_docs.count() and not any(r.n_removed for r in got)
