@@ -30,6 +30,18 @@ def test_simple8b_round_trip(ids):
     assert simple8b.decode(words).tolist() == ids
 
 
+@given(st.lists(st.one_of(st.integers(0, 3), st.integers(0, 2**32 - 1), st.integers(2**58 - 1, 2**64 - 1)), max_size=900),
+       st.integers(0, 700))
+@settings(max_examples=60, deadline=None)
+def test_simple8b_blocks_decode_by_themselves(ids, zeros):
+    ids = ids + [0] * zeros + ids[:50]
+    words, offsets = simple8b.encode(np.array(ids, np.uint64))
+    whole = simple8b.decode(words).tolist()
+    assert whole == ids and len(offsets) == -(-len(ids) // simple8b.BLOCK)
+    for b in range(len(offsets)):
+        assert simple8b.decode_block(words, offsets, b).tolist() == whole[b * simple8b.BLOCK:(b + 1) * simple8b.BLOCK]
+
+
 def test_simple8b_packs_small_ids():
     words, _ = simple8b.encode(np.ones(6000, np.uint32))
     assert len(words) < 300
