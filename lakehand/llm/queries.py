@@ -7,9 +7,10 @@ import uuid
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from lakehand.llm import (fingerprints, mixing, near_dedup, packing, pii, quality_classifier, quality_rules, secret_scan,
+from lakehand.llm import (filter_audit, fingerprints, mixing, near_dedup, packing, pii, quality_classifier, quality_rules, secret_scan,
                           substring_dedup, token_binary)
 from lakehand.llm.common import documents
+from lakehand.llm.oracles import ORACLE  # noqa: F401 - read by __spark_entry__
 from lakehand.session import shared_dir
 
 
@@ -57,6 +58,10 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(documents(spark, sf_dir), width=3, percent=85)
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.report(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_token_binary": op2_token_binary,
@@ -68,7 +73,6 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_mixing": op9_mixing,
     "op10_near_dedup": op10_near_dedup,
+    "op11_filter_audit": op11_filter_audit,
     "pipeline": corpus_pipeline.run,
 }
-
-ORACLE: dict[str, str] = {}
