@@ -8,6 +8,7 @@ import tempfile
 import uuid
 
 import lakehand
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,6 +58,49 @@ def written(df: DataFrame, name: str = "part") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def open_folder(uri: str):
+    """(file system, path) of a folder's URI, for tasks that write or read files of a format Spark has no
+    source for.  Works in the driver and in tasks; the scheme decides on the store."""
+    if uri.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + uri[5:].lstrip("/")
+    if "://" not in uri:
+        return fs.LocalFileSystem(), uri
+    return fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete the files of frames made by ``written`` that nothing will read again."""
+    for df in frames:
+        for file in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            store, path = open_folder(file)
+            store.delete_dir(path)
+
+
+#: A key with more than this share of all rows is hot, so there are at most 1 / HOT_SHARE hot keys.
+HOT_SHARE = 1 / 1000
+
+
+def hot_safe_lookup(rows: DataFrame, table: DataFrame, key: str, spread: str) -> DataFrame:
+    """``rows`` left joined with ``table`` on ``key`` without a hot task.
+
+    ``table`` has one row per key, the number of rows that hold it as ``n`` and columns ``rows`` does
+    not have.  Keys with more than a thousandth of these rows, so a thousand keys at most, are
+    broadcast; their rows are dealt by ``spread`` in the join of the others.
+    """
+    table = written(table, "lookup")
+    held = table.agg(F.sum("n")).first()[0] or 0
+    values = [c for c in table.columns if c not in (key, "n")]
+    names = ["hot" + c for c in values]
+    hot = table.where(F.col("n") > held * HOT_SHARE).select(F.col(key).alias("hotkey"), *[F.col(c).alias(n) for c, n in zip(values, names)])
+    cold = table.where(F.col("n") <= held * HOT_SHARE).select(F.col(key).alias("coldkey"), *values)
+    first = rows.join(F.broadcast(hot), F.col(key) == F.col("hotkey"), "left")
+    # hot rows are in no partition of their key: the second join key deals them, and matches nothing
+    dealt = F.when(F.col("hotkey").isNull() & F.col(key).isNotNull(), F.lit(0).cast("long")).otherwise(F.xxhash64(spread).bitwiseOR(F.lit(1)))
+    cold = cold.withColumn("colddealt", F.lit(0).cast("long"))
+    both = first.withColumn("dealt", dealt).join(cold, (F.col(key) == F.col("coldkey")) & (F.col("dealt") == F.col("colddealt")), "left")
+    return both.select(*rows.columns, *[F.coalesce(n, c).alias(c) for c, n in zip(values, names)])
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` computed once per row, also where ``body`` uses it in a lambda."""
     return F.element_at(F.transform(F.array(value), body), 1)

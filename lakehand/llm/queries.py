@@ -8,7 +8,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
 from lakehand.llm import (filter_audit, fingerprints, mixing, near_dedup, packing, pii, quality_classifier, quality_rules, secret_scan,
-                          substring_dedup, token_binary)
+                          substring_dedup, token_binary, warc)
 from lakehand.llm.common import documents
 from lakehand.llm.oracles import ORACLE  # noqa: F401 - read by __spark_entry__
 from lakehand.session import shared_dir
@@ -62,6 +62,13 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.report(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{shared_dir(spark)}/lakehand-warc-{uuid.uuid4().hex}"
+    warc.write_archives(spark.read.parquet(f"{sf_dir}/pages.parquet"), folder)
+    return warc.page_records(warc.read_archives(spark, folder)).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_token_binary": op2_token_binary,
@@ -74,5 +81,6 @@ QUERIES = {
     "op9_mixing": op9_mixing,
     "op10_near_dedup": op10_near_dedup,
     "op11_filter_audit": op11_filter_audit,
+    "op12_warc": op12_warc,
     "pipeline": corpus_pipeline.run,
 }
