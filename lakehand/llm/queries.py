@@ -7,7 +7,7 @@ import uuid
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from lakehand.llm import (filter_audit, fingerprints, mixing, near_dedup, packing, pii, quality_classifier, quality_rules, secret_scan,
+from lakehand.llm import (alignment, filter_audit, fingerprints, mixing, near_dedup, packing, pii, quality_classifier, quality_rules, secret_scan,
                           substring_dedup, token_binary, warc)
 from lakehand.llm.common import documents
 from lakehand.llm.oracles import ORACLE  # noqa: F401 - read by __spark_entry__
@@ -69,6 +69,10 @@ def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_token_binary": op2_token_binary,
@@ -82,5 +86,6 @@ QUERIES = {
     "op10_near_dedup": op10_near_dedup,
     "op11_filter_audit": op11_filter_audit,
     "op12_warc": op12_warc,
+    "op13_alignment": op13_alignment,
     "pipeline": corpus_pipeline.run,
 }
