@@ -47,4 +47,21 @@ SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) A
 FROM counted
 """
 
-ORACLE: dict[str, str] = {"op11_filter_audit": OP11}
+#: The alphabet of base 32; five hex digits of a digest are four of its letters.
+OP12 = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+firsts AS (SELECT html, min(page_id) AS first FROM p GROUP BY html),
+hashed AS (
+  SELECT p.page_id, octet_length(encode(p.html)) AS payload_bytes, sha1(p.html) AS hex, f.first
+  FROM p JOIN firsts f ON f.html = p.html),
+digits AS (
+  SELECT *, [('0x' || hex[5 * k + 1:5 * k + 5])::INTEGER FOR k IN [0, 1, 2, 3, 4, 5, 6, 7]] AS fives FROM hashed)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
+  array_to_string(flatten([['ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[((v >> s) & 31) + 1] FOR s IN [15, 10, 5, 0]] FOR v IN fives]), '')
+    AS payload_digest,
+  CASE WHEN page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id > first THEN first END AS refers_to
+FROM digits
+"""
+
+ORACLE: dict[str, str] = {"op11_filter_audit": OP11, "op12_warc": OP12}
