@@ -27,6 +27,18 @@ def business_key(columns, prefix: str | None = None) -> Column:
     return F.concat(F.lit(prefix), key) if prefix else key
 
 
+#: Between the parts of a composite key's text; inside a part it and the escape are escaped.
+KEY_SEPARATOR, KEY_ESCAPE = "|", "\\"
+
+
+def composite_key(columns) -> Column:
+    """Text of a key of several columns that no other key shares; NULL where a part is NULL."""
+    sep, esc = F.lit(KEY_SEPARATOR), F.lit(KEY_ESCAPE)
+    parts = [F.replace(F.replace(F.col(c).cast("string"), esc, F.lit(2 * KEY_ESCAPE)), sep, F.lit(KEY_ESCAPE + KEY_SEPARATOR))
+             for c in _as_list(columns)]
+    return F.concat(*[x for p in parts for x in (sep, p)][1:])
+
+
 def key_time_text(ts) -> Column:
     return F.date_format(ts if isinstance(ts, Column) else ts_lit(ts), KEY_TIME_FORMAT)
 

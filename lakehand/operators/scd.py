@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from lakehand.constants import SCD_BATCH, SCD_CREATED, SCD_CURRENT, SCD_ENDED
 from lakehand.functions.scalar import any_of, ts_lit
 from lakehand.operators.joins import DEFAULT_BROADCAST_ROWS, bounded_rows, broadcast_budget
-from lakehand.operators.keys import (_as_list, batch_key, inject_sk, key_time_text,
+from lakehand.operators.keys import (_as_list, batch_key, composite_key, inject_sk, key_time_text,
                                      scd_columns)
 
 ACTION = "_Action"
@@ -39,10 +39,17 @@ def system_columns(sk: str | None, bk) -> set[str]:
     return {c for c in [sk, *_as_list(bk), *[SCD_CREATED, SCD_ENDED, SCD_CURRENT, SCD_BATCH]] if c}
 
 
-def wrap_system_columns(source: DataFrame, bk: str, sk: str, start, end=None,
+def wrap_system_columns(source: DataFrame, bk, sk: str, start, end=None,
                         hash_method: str | None = None, with_batch_key: bool = False) -> DataFrame:
-    """SK first, then the source columns, then the SCD columns (and batch key)."""
-    df = scd_columns(inject_sk(source, sk, bk, _ts(start), hash_method), _ts(start), end)
+    """SK first, then the source columns, then the SCD columns (and batch key).
+
+    The key may be one column or a list; a list's surrogate key is made of the columns'
+    business key text (:func:`~lakehand.operators.keys.business_key`), with the separator
+    ``KEY_SEPARATOR`` so that no two keys share a text.
+    """
+    keys = _as_list(bk)
+    text = keys[0] if len(keys) == 1 else composite_key(keys)
+    df = scd_columns(inject_sk(source, sk, text, _ts(start), hash_method), _ts(start), end)
     if with_batch_key:
         df = df.withColumn(SCD_BATCH, batch_key())
     return df
@@ -118,7 +125,6 @@ def scd2_apply(target: DataFrame, source: DataFrame, bk, sk: str, start, end=Non
     keys = _as_list(bk)
     if evolve:
         target = evolve_target(target, source, keys, sk)
-    bk_col = keys[0]
     has_batch = (SCD_BATCH in target.columns) if with_batch_key is None else with_batch_key
     sys_cols = system_columns(sk, keys)
     attrs = list(compare) if compare else [c for c in target.columns if c not in sys_cols]
@@ -129,7 +135,7 @@ def scd2_apply(target: DataFrame, source: DataFrame, bk, sk: str, start, end=Non
     start_c = _ts(start)
     close_end = start_c - F.expr("INTERVAL 1 SECOND")
 
-    new = wrap_system_columns(source.select(*keys, *[c for c in attrs if c not in keys]), bk_col, sk, start_c, end,
+    new = wrap_system_columns(source.select(*keys, *[c for c in attrs if c not in keys]), keys, sk, start_c, end,
                               hash_method, has_batch)
     new = new.select([F.col(c).cast(target.schema[c].dataType).alias(c) for c in cols])
 
@@ -215,10 +221,10 @@ def scd2_staged_rows(source: DataFrame, target: DataFrame, bk, null_safe: bool =
     """Single-pass merge staging (D10): changed rows with a NULL merge key (forces an
     insert) plus every source row keyed by its business key (closes the match)."""
     keys = _as_list(bk)
-    bk_col = keys[0]
+    key = F.col(keys[0]).cast("string") if len(keys) == 1 else composite_key(keys)
     changed = scd2_changed_rows(source, target, keys, null_safe, sk=sk).select(source.columns)
     return (changed.select(F.lit(None).cast("string").alias(merge_key), *source.columns)
-            .unionByName(source.select(F.col(bk_col).cast("string").alias(merge_key), *source.columns)))
+            .unionByName(source.select(key.alias(merge_key), *source.columns)))
 
 
 def scd1_upsert(target: DataFrame, source: DataFrame, keys,

@@ -457,6 +457,45 @@ def history_replay(spark, sf_dir):
     return replay_periods(periods, BK, SK, days=6)
 
 
+def _line_versions(t: Tables):
+    """Two batches of lines keyed by (l_orderkey, l_linenumber): some leave, some change, some come."""
+    o, n = F.col("l_orderkey"), F.col("l_linenumber")
+    v1 = t.lineitem.where((o + n) % 10 != 9).select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag")
+    v2 = t.lineitem.where(o % 7 != 3).select(
+        "l_orderkey", "l_linenumber", F.when(o % 5 == 0, F.col("l_quantity") + 1).otherwise(F.col("l_quantity")).alias("l_quantity"),
+        F.when(n == 4, F.lit(None)).otherwise(F.col("l_returnflag")).alias("l_returnflag"))
+    return v1, v2
+
+
+@query
+def scd2_composite_key(spark, sf_dir):
+    """D9/D11 on a key of two columns, batch key kept from the first version."""
+    v1, v2 = _line_versions(_t(spark, sf_dir))
+    key = ["l_orderkey", "l_linenumber"]
+    return S.scd2_apply(S.scd2_first_load(v1, key, "Line_SK", TS1, with_batch_key=True), v2, key, "Line_SK", TS2)
+
+
+@query
+def staged_composite_key(spark, sf_dir):
+    """D10 on a key of two columns: the merge key is the text of the whole key."""
+    v1, v2 = _line_versions(_t(spark, sf_dir))
+    key = ["l_orderkey", "l_linenumber"]
+    return S.scd2_staged_rows(v2, S.scd2_first_load(v1, key, "Line_SK", TS1), key, sk="Line_SK")
+
+
+@query
+def replay_snapshot_table(spark, sf_dir):
+    """H2 on a table of yearly snapshots onto a stored target: one pass over all of them."""
+    from lakehand.operators.history import replay_snapshots
+    t = _t(spark, sf_dir)
+    target = S.scd2_apply(dim_first(t), X.customer_entity(X.customer_v2(t)), BK, SK, TS2)
+    later = X.customer_entity(X.customer_v3(t)).select(
+        "*", F.explode(F.array(fx.ts_lit("2024-03-07 00:00:00"), fx.ts_lit("2024-04-07 00:00:00"))).alias("as_at"))
+    moved = F.when((F.col("as_at") > fx.ts_lit(TS3) + F.expr("INTERVAL 20 DAYS")) & (F.col("c_nationkey") % 3 == 0),
+                   F.lit("LATE")).otherwise(F.col("c_mktsegment"))
+    return replay_snapshots(later.withColumn("c_mktsegment", moved), "as_at", BK, SK, days=6, target=target)
+
+
 @query
 def period_filter(spark, sf_dir):
     """keep one year of a yyyyMMdd date key."""

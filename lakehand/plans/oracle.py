@@ -201,7 +201,38 @@ SELECT CAST(CASE WHEN new1.LastSourceID IS NOT NULL THEN new1.LastSourceID + rn
   ExtendedProperties, TRUE AS Enabled, {ts2} AS CreatedDTS
 FROM new1 LEFT JOIN fresh ON new1.SystemCode = fresh.SystemCode"""
 
+_LINE_V1 = "SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag FROM lineitem WHERE (l_orderkey + l_linenumber) % 10 <> 9"
+_LINE_V2 = """SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 5 = 0 THEN l_quantity + 1 ELSE l_quantity END AS l_quantity,
+  CASE WHEN l_linenumber = 4 THEN NULL ELSE l_returnflag END AS l_returnflag FROM lineitem WHERE l_orderkey % 7 <> 3"""
+_LINE_KEY = "CAST({a}.l_orderkey AS VARCHAR) || '|' || CAST({a}.l_linenumber AS VARCHAR)"
+_LINE_CHANGED = "(s.l_quantity IS DISTINCT FROM t.l_quantity OR s.l_returnflag IS DISTINCT FROM t.l_returnflag)"
+_LINE_ON = "s.l_orderkey = t.l_orderkey AND s.l_linenumber = t.l_linenumber"
+
+
+def _line_version(a: str, ts: str, sk_ts: str, ended: str, current: int) -> str:
+    """A version of row ``a``: key texts from ``sk_ts``, dates and batch key."""
+    return (f"strftime({sk_ts}, {FMT}) || '-' || {_LINE_KEY.format(a=a)} AS Line_SK, {a}.l_orderkey, {a}.l_linenumber, "
+            f"{a}.l_quantity, {a}.l_returnflag, {ts} AS _Created, {ended} AS _Ended, {current} AS _Current, "
+            f"{_bkey(ts, ended, str(current))} AS _Batch_SK")
+
+
+_NO_END = "CAST(NULL AS TIMESTAMP)"
+_COMPOSITE = f"""SELECT {_line_version('t', TS1, TS1, f"({TS2} - INTERVAL 1 SECOND)", 0)} FROM v1 t JOIN v2 s ON {_LINE_ON}
+  WHERE {_LINE_CHANGED}
+UNION ALL SELECT {_line_version('t', TS1, TS1, _NO_END, 1)} FROM v1 t LEFT JOIN v2 s ON {_LINE_ON}
+  WHERE s.l_orderkey IS NULL OR NOT {_LINE_CHANGED}
+UNION ALL SELECT {_line_version('s', TS2, TS2, _NO_END, 1)} FROM v2 s LEFT JOIN v1 t ON {_LINE_ON}
+  WHERE t.l_orderkey IS NULL OR {_LINE_CHANGED}"""
+
 ORACLE.update({
+    "scd2_composite_key": with_ctes(_COMPOSITE, v1=_LINE_V1, v2=_LINE_V2),
+    "staged_composite_key": with_ctes(f"""SELECT CAST(NULL AS VARCHAR) AS MergeKey, s.* FROM v2 s JOIN v1 t ON {_LINE_ON}
+        WHERE {_LINE_CHANGED} UNION ALL SELECT {_LINE_KEY.format(a='s')} AS MergeKey, s.* FROM v2 s""", v1=_LINE_V1, v2=_LINE_V2),
+    "replay_snapshot_table": with_ctes("SELECT * FROM d4", **dim_ctes(upto=2), v3=CUSTOMER_V3, s3=entity("v3"),
+        d3=scd2_step_sql("d2", "s3", "TIMESTAMP '2024-03-01 00:00:00'", end="TIMESTAMP '2024-03-07 00:00:00'"),
+        s4="""SELECT Customer_BK, c_name, c_nationkey, c_acctbal,
+          CASE WHEN c_nationkey % 3 = 0 THEN 'LATE' ELSE c_mktsegment END AS c_mktsegment FROM s3""",
+        d4=scd2_step_sql("d3", "s4", "TIMESTAMP '2024-04-01 00:00:00'", end="TIMESTAMP '2024-04-07 00:00:00'")),
     "fact_lookup_sk": with_ctes(_LOOKUP, **dim_ctes(upto=2), fact=_FACT, dim=_DIMC.format(d="d2")),
     "revenue_by_segment": with_ctes(
         """SELECT c_mktsegment, COUNT(*) AS orders, CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS revenue
