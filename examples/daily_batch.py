@@ -28,7 +28,8 @@ def run(spark: SparkSession, sf_dir: str, work: str) -> dict:
     from lakehand.plans.control import batch_init, register_sources
     from lakehand.plans.monitor import batch_status_log, object_lineage
     from lakehand.plans.zones import raw_load, trusted_load
-    from lakehand.sinks.tables import SnapshotTable, land_parquet
+    from lakehand.sinks.keyed import KeyedTable
+    from lakehand.sinks.tables import land_parquet
 
     t = X.Tables(spark, sf_dir)
     out = {}
@@ -48,16 +49,16 @@ def run(spark: SparkSession, sf_dir: str, work: str) -> dict:
     task = {"DestinationSchema": "dbo", "DestinationTableName": "orders", "RawPath": "/raw/erp/dbo_orders/x.parquet",
             "BusinessKeyColumn": "o_orderkey", "ExtendedProperties": None}
     raw = raw_load(spark, task, f"{work}/raw/erp/dbo_orders")
-    trusted = SnapshotTable(spark, f"{work}/trusted/erp/dbo_orders")
+    trusted = KeyedTable(spark, f"{work}/trusted/erp/dbo_orders", "o_orderkey", buckets=8)
     trusted_load(spark, task, raw, trusted)
     out["trusted_rows"] = trusted.read().count()
 
-    # curated type 2 dimension, two batches, stored bucketed on the business key
-    dim = SnapshotTable(spark, f"{work}/curated/Dimension/D_Customer", buckets=8, bucket_keys="Customer_BK")
+    # curated type 2 dimension, two batches, stored in buckets of the business key
+    dim = KeyedTable(spark, f"{work}/curated/Dimension/D_Customer", "Customer_BK", buckets=8)
     for start, version in ((X.TS1, X.customer_v1), (X.TS2, X.customer_v2)):
         ctx = JobContext(spark, "Dimension", "Customer", start=start)
         X.customer_entity(version(t)).createOrReplaceTempView("trusted_dbo_customer")
-        _, run_output = run_entity(ctx, lambda c: c.table("trusted_dbo_customer"), dim)
+        run_output = run_entity(ctx, lambda c: c.table("trusted_dbo_customer"), dim)
     out["dimension_rows"] = dim.read().count()
     out["run_output"] = json.loads(run_output)
 

@@ -66,19 +66,14 @@ class JobContext:
                                                 "Tables": list(self.tables)}})
 
 
-def run_entity(ctx: JobContext, transform, table, on_duplicate: str = "error") -> tuple[int, str]:
+def run_entity(ctx: JobContext, transform, table, on_duplicate: str = "error", **kw) -> str:
     """Build one curated entity: ``transform(ctx) -> DataFrame`` (source rows with
-    ``<Name>_BK``), then a type 2 save into ``table`` (a :class:`SnapshotTable`).
+    ``<Name>_BK``), then a type 2 save into ``table`` (a :class:`~lakehand.sinks.keyed.KeyedTable`).
 
-    Returns the committed version and the run-output JSON.  The counts come from
-    one aggregation over the saved version.
+    Returns the run-output JSON.  Inserted and closed rows were counted by the save itself,
+    the table's rows come from the files' footers.
     """
-    src = transform(ctx)
-    version = table.save_scd2(src, ctx.bk, ctx.sk, ctx.start, ctx.end, on_duplicate=on_duplicate)
-    cur = table.read(version)
-    counts = cur.agg(F.count(F.lit(1)).alias("CuratedCount"),
-                     F.count_if(F.col("_Created") == F.lit(ctx.start).cast("timestamp_ntz")).alias("InsertCount"),
-                     F.count_if((F.col("_Current") == 0) & (F.col("_Ended") == (
-                         F.lit(ctx.start).cast("timestamp_ntz") - F.expr("INTERVAL 1 SECOND")))).alias("UpdateCount"))
-    row = counts.first().asDict()
-    return version, ctx.run_output({k: int(v) for k, v in row.items()})
+    table.save_scd2(transform(ctx), ctx.bk, ctx.sk, ctx.start, ctx.end, on_duplicate=on_duplicate, **kw)
+    done = table.last_metrics
+    return ctx.run_output({"CuratedCount": table.read().count(), "InsertCount": done["InsertCount"],
+                           "UpdateCount": done["UpdateCount"]})

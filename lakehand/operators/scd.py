@@ -6,8 +6,8 @@
 * :func:`scd1_upsert` (D6), :func:`scd1_update` (D12), :func:`seed_if_absent` (D13).
 
 Scale notes: the only large shuffle is the key join of *current* rows with the
-source (and with a bucketed :class:`~lakehand.sinks.tables.SnapshotTable` the
-stored side arrives already partitioned, so only the batch moves).  Business
+source (a :class:`~lakehand.sinks.keyed.KeyedTable` hands in the touched buckets
+alone).  Business
 keys are unique on both sides of it (one current version per key; duplicated
 source keys are rejected by :func:`check_unique_keys` before a save), so no key
 can be hot.  Rows whose key is NULL never match anything, so they are routed

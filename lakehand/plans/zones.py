@@ -14,16 +14,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lakehand.operators.incremental import incremental_load
 from lakehand.operators.shape import sanitize_columns, trusted_query
-from lakehand.sinks.tables import SnapshotTable
+from lakehand.sinks.keyed import KeyedTable
 from lakehand.sources.files import register_raw
 
 
 def raw_load(spark: SparkSession, task: dict, raw_path: str, fmt: str | None = None) -> DataFrame:
-    """(re)register the landed folder of ``raw_path`` as ``raw_<schema>_<table>``."""
-    return register_raw(spark, task, raw_path, fmt=fmt)
+    """(re)register the landed folder of ``raw_path`` as the external table ``raw_<schema>_<table>``."""
+    return register_raw(spark, task, raw_path, fmt=fmt)[0]
 
 
-def trusted_load(spark: SparkSession, task: dict, raw: DataFrame, table: SnapshotTable) -> int:
+def trusted_load(spark: SparkSession, task: dict, raw: DataFrame, table: KeyedTable) -> None:
     """F3 + F4 + D8: clean column names, apply the optional trusted query (which
     sees the cleaned frame, N21), then overwrite (no key) or upsert on the key."""
     df = sanitize_columns(raw, style="trusted")
@@ -31,8 +31,9 @@ def trusted_load(spark: SparkSession, task: dict, raw: DataFrame, table: Snapsho
     df = trusted_query(spark, ext.get("TrustedQuery"), df)
     bk = task.get("BusinessKeyColumn")
     if not bk:
-        return table.overwrite(df)
-    return table.upsert(df, bk)
+        table.overwrite(df)
+    else:
+        table.upsert(df, bk)
 
 
 def incremental_ingest(spark: SparkSession, task: dict, source: DataFrame | None = None,

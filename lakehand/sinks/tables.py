@@ -1,23 +1,9 @@
-"""Table writers.
-
-Delta is not available, so a type 2 table is kept as a *snapshot table*
-(:class:`SnapshotTable`).  Each save writes one folder ``v=<n>/`` partitioned by
-``_part``: ``_part=current`` holds the current versions (one row per key) and
-``_part=closed`` only the rows closed by that batch.  Version ``n`` of the table
-is ``v=<n>/_part=current`` plus every earlier ``_part=closed``; history is never
-rewritten.  The commit is a small ``_version`` file written after the data, so
-readers keep the old version until then and a failed run leaves only a folder
-above ``n``, which the retry overwrites.
-"""
+"""Table writers: files with a registered table over them, appends with schema merge, inserts by name."""
 
 from __future__ import annotations
 
-import json
-
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
-
-from lakehand.constants import SCD_CURRENT
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 
 def union_schema_merge(old: DataFrame, new: DataFrame) -> DataFrame:
@@ -25,19 +11,51 @@ def union_schema_merge(old: DataFrame, new: DataFrame) -> DataFrame:
     return old.unionByName(new, allowMissingColumns=True)
 
 
+def add_columns(spark: SparkSession, name: str, schema: T.StructType) -> list[str]:
+    """K2: add the columns of ``schema`` that the registered table ``name`` lacks; returns their names.
+
+    Rows written before show NULL there.  Names are compared as the catalog does, without
+    regard to case; a column of the same name and another type is an error.
+    """
+    have = {f.name.lower(): f.dataType for f in spark.table(name).schema.fields}
+    for f in schema.fields:
+        known = have.get(f.name.lower())
+        if known is not None and known != f.dataType:
+            raise ValueError(f"{name}.{f.name} is {known.simpleString()}, the new rows have {f.dataType.simpleString()}")
+    new = [f for f in schema.fields if f.name.lower() not in have]
+    if new:
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in new)})")
+    return [f.name for f in new]
+
+
 def write_table(df: DataFrame, path: str, name: str | None = None, mode: str = "overwrite",
                 partition_by=None, fmt: str = "parquet") -> None:
-    """K1/K5: write files then register an external table over them."""
+    """K1/K2/K5: write files, then register an external table over them.
+
+    An append's new columns are added to the registered table, an overwrite's schema
+    replaces it; partitions that the write made are registered too.
+    """
+    spark = df.sparkSession
+    known = bool(name) and spark.catalog.tableExists(name)
+    if known and mode == "append":
+        add_columns(spark, name, df.schema)
     w = df.write.mode(mode).format(fmt).option("compression", "snappy")
-    if mode == "append":
-        w = w.option("mergeSchema", "true")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(path)
-    if name:
-        spark = df.sparkSession
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING {fmt} LOCATION '{path}'")
-        spark.catalog.refreshTable(name)
+    if not name:
+        return
+    if known and mode == "overwrite":
+        spark.sql(f"DROP TABLE {name}")      # external: the files stay
+        known = False
+    if not known:
+        files = spark.read.option("mergeSchema", "true").format(fmt).load(path)
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in files.schema.fields)
+        parts = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
+        spark.sql(f"CREATE TABLE {name} ({columns}) USING {fmt}{parts} LOCATION '{path}'")
+    if partition_by:
+        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+    spark.catalog.refreshTable(name)
 
 
 def save_as_table(df: DataFrame, name: str, mode: str = "overwrite", fmt: str = "parquet") -> None:
@@ -59,154 +77,3 @@ def insert_into(df: DataFrame, table: str, overwrite: bool = False) -> None:
 def land_parquet(df: DataFrame, path: str, partition_by=None) -> None:
     """Landing conversion to snappy Parquet."""
     write_table(df, path, mode="overwrite", partition_by=partition_by)
-
-
-class SnapshotTable:
-    """Versioned Parquet table for SCD2 and overwrite/upsert targets."""
-
-    def __init__(self, spark: SparkSession, root: str, name: str | None = None, buckets: int | None = None,
-                 bucket_keys=None):
-        """``buckets``/``bucket_keys``: store each version bucketed (and sorted) by the
-        business key, so the next merge reads the current versions already
-        partitioned on the join key and only the (small) batch is shuffled."""
-        self.spark, self.root, self.name = spark, root.rstrip("/"), name
-        self.buckets = buckets
-        self.bucket_keys = [bucket_keys] if isinstance(bucket_keys, str) else list(bucket_keys or [])
-        if buckets and not self.bucket_keys:
-            raise ValueError("bucketed snapshot tables need bucket_keys")
-        self._tag = "lh_" + "".join(ch if ch.isalnum() else "_" for ch in self.root)[-60:]
-
-    # -- bucketed layout: one catalog table per version over its folder
-    def _tname(self, n: int) -> str:
-        return f"{self._tag}_v{n}"
-
-    def _table(self, n: int) -> DataFrame:
-        t = self._tname(n)
-        if not self.spark.catalog.tableExists(t):
-            # re-register after a new session: schema from the files, layout from the constructor
-            schema = self.spark.read.parquet(f"{self.root}/v={n}").schema
-            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields if f.name != "_part")
-            keys = ", ".join(f"`{k}`" for k in self.bucket_keys)
-            self.spark.sql(f"CREATE TABLE {t} ({cols}, `_part` string) USING parquet PARTITIONED BY (`_part`) "
-                           f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {self.buckets} BUCKETS "
-                           f"LOCATION '{self.root}/v={n}'")
-            self.spark.sql(f"ALTER TABLE {t} RECOVER PARTITIONS")
-        return self.spark.table(t)
-
-    def _part(self, n: int, part: str) -> DataFrame:
-        if self.buckets:
-            return self._table(n).where(F.col("_part") == part).drop("_part")
-        return self.spark.read.parquet(f"{self.root}/v={n}/_part={part}")
-
-    def _write(self, df: DataFrame, n: int, partitioned: bool = True) -> None:
-        if not partitioned:
-            df = df.withColumn("_part", F.lit("current"))
-        if self.buckets:
-            t = self._tname(n)
-            self.spark.sql(f"DROP TABLE IF EXISTS {t}")
-            (df.write.mode("overwrite").partitionBy("_part").bucketBy(self.buckets, *self.bucket_keys)
-             .sortBy(*self.bucket_keys).option("path", f"{self.root}/v={n}").saveAsTable(t))
-        else:
-            df.write.mode("overwrite").partitionBy("_part").parquet(f"{self.root}/v={n}")
-
-    def _meta(self) -> dict:
-        """Committed state: {"v": last version, "closed": versions with closed rows}."""
-        if not _has(self.spark, f"{self.root}/_version"):
-            return {"v": 0, "closed": []}
-        return json.loads(self.spark.read.text(f"{self.root}/_version").first()[0])
-
-    def version(self) -> int:
-        """Last committed version (0 = table absent)."""
-        return self._meta()["v"]
-
-    def exists(self) -> bool:
-        return self.version() > 0
-
-    def read(self, version: int | None = None) -> DataFrame:
-        meta = self._meta()
-        n = version or meta["v"]
-        if n == 0:
-            raise FileNotFoundError(self.root)
-        cur = self._part(n, "current")
-        closed = [k for k in meta["closed"] if k <= n]
-        if not closed:
-            return cur
-        # closed rows are never joined on the bucket key: one multi-path scan, however
-        # many daily versions there are (bucketed files are plain Parquet underneath)
-        hist = self.spark.read.parquet(*[f"{self.root}/v={k}/_part=closed" for k in closed])
-        return cur.unionByName(hist.select(*cur.columns))
-
-    def _commit(self, n: int, closed: list) -> None:
-        state = json.dumps({"v": n, "closed": closed})
-        self.spark.createDataFrame([(state,)], "v string").coalesce(1).write.mode("overwrite").text(
-            f"{self.root}/_version")
-        if self.name:
-            self.read(n).createOrReplaceTempView(self.name)
-
-    def overwrite(self, df: DataFrame) -> int:
-        """K1/K3: a new full version; earlier history no longer belongs to the table."""
-        n = self.version() + 1
-        self._write(df, n, partitioned=False)
-        self._commit(n, [])
-        return n
-
-    def upsert(self, df: DataFrame, keys) -> int:
-        """Create on the first call, SCD1 merge afterwards."""
-        from lakehand.operators.scd import scd1_upsert
-        if not self.exists():
-            return self.overwrite(df)
-        return self.overwrite(scd1_upsert(self.read(), df, keys))
-
-    def save_scd2(self, source: DataFrame, bk, sk: str, start, end=None, on_duplicate: str = "error",
-                  **kw) -> int:
-        """Type 2 save.  One write per batch: the new current versions and the
-        rows closed by this batch, split by ``_part``.  Stored history is not read
-        back or rewritten.  Run counts are observed on the write itself (A11) and
-        kept in ``self.last_metrics``."""
-        from lakehand.operators.keys import check_unique_keys
-        from lakehand.operators.scd import ACTION, scd2_apply, scd2_first_load
-        check_unique_keys(source, bk, on_duplicate)
-        meta = self._meta()
-        n = meta["v"] + 1
-        if n == 1:
-            merged = scd2_first_load(source, bk, sk, start, end).withColumn(ACTION, F.lit("insert"))
-        else:
-            merged = scd2_apply(self.read(), source, bk, sk, start, end, with_action=True, **kw)
-            merged = merged.where(F.col(ACTION) != "history")
-        obs = Observation(f"scd2_v{n}")
-        staged = merged.observe(obs, F.count_if(F.col(ACTION) == "insert").alias("InsertCount"),
-                                F.count_if(F.col(ACTION) == "close").alias("UpdateCount"),
-                                F.count_if(F.col(SCD_CURRENT) == 1).alias("CurrentCount"),
-                                F.count_if(F.col(SCD_CURRENT) != 1).alias("ClosedCount"))
-        staged = staged.withColumn("_part", F.when(F.col(SCD_CURRENT) == 1, F.lit("current"))
-                                   .otherwise(F.lit("closed"))).drop(ACTION)
-        self._write(staged, n)
-        m = obs.get
-        self.last_metrics = m
-        if not m.get("CurrentCount") and not self.buckets:
-            self.spark.createDataFrame([], staged.drop("_part").schema).write.mode("overwrite").parquet(
-                f"{self.root}/v={n}/_part=current")
-        closed = meta["closed"] + ([n] if m.get("ClosedCount") else [])
-        self._commit(n, closed)
-        return n
-
-    def retain(self, keep: int = 2) -> list[str]:
-        """Delete the current-version folders of old versions (their closed rows stay).
-
-        Deleting folders has no DataFrame API, so this one call uses the Hadoop
-        FileSystem of the path through the JVM gateway."""
-        meta = self._meta()
-        removed = []
-        jvm = self.spark.sparkContext._jvm
-        for v in range(1, meta["v"] - keep + 1):
-            p = jvm.org.apache.hadoop.fs.Path(f"{self.root}/v={v}/_part=current")
-            fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-            if fs.exists(p):
-                fs.delete(p, True)
-                removed.append(str(p))
-        return removed
-
-
-def _has(spark: SparkSession, path: str) -> bool:
-    from lakehand.sources.files import path_exists
-    return path_exists(spark, path)

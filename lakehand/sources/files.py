@@ -12,8 +12,7 @@ from pyspark.sql import types as T
 
 FORMATS = ("xml", "csv", "json", "parquet")
 
-CSV_OPTIONS = {"header": "true", "multiLine": "true", "quote": '"', "escape": "\\"}
-JSON_OPTIONS = {"multiLine": "true"}
+CSV_OPTIONS = {"header": "true", "quote": '"', "escape": "\\"}
 
 
 def detect_format(path: str, fmt: str | None = None, parity: bool = False) -> str:
@@ -35,42 +34,88 @@ def detect_format(path: str, fmt: str | None = None, parity: bool = False) -> st
     raise ValueError(f"cannot tell the format of {path!r}; pass fmt= (N25)")
 
 
+def quotes_span_lines(spark: SparkSession, path: str, quote: str = '"', escape: str = "\\") -> bool:
+    """Whether a quoted CSV field of ``path`` may hold a line break.
+
+    One split scan of the lines: a line with an odd number of unescaped quotes opens or
+    closes a field that goes on in another line.  Lines need no order for that, so every
+    task looks at its own split; the first such line ends the scan.
+    """
+    text = F.col("value")
+    bare = F.replace(F.replace(text, F.lit(2 * escape), F.lit("")), F.lit(escape + quote), F.lit(""))
+    odd = (F.length(bare) - F.length(F.replace(bare, F.lit(quote), F.lit("")))) % 2 == 1
+    return not spark.read.text(path).where(odd).isEmpty()
+
+
+def documents_span_lines(spark: SparkSession, path: str) -> bool:
+    """S3: whether the JSON of ``path`` is other than one object a line (a document over several
+    lines, or an array).  Like :func:`quotes_span_lines`, line by line: a line that is not
+    blank and no whole object tells."""
+    text = F.trim(F.translate("value", "\r\t\ufeff", "  "))
+    whole = text.startswith("{") & text.endswith("}") & F.try_parse_json(text).isNotNull()
+    return not spark.read.text(path).where((text != "") & ~whole).isEmpty()
+
+
+def source_options(spark: SparkSession, path: str, fmt: str, row_tag: str | None = None) -> dict:
+    """The reader's options for a format.  A CSV or JSON file is read in splits unless a scan finds
+    a record that spans lines; only then ``multiLine`` makes each file one task."""
+    if fmt == "csv":
+        return {**CSV_OPTIONS, "multiLine": str(quotes_span_lines(spark, path)).lower()}
+    if fmt == "json":
+        return {"multiLine": str(documents_span_lines(spark, path)).lower()}
+    if fmt == "xml":
+        if not row_tag:
+            raise ValueError("xml needs rowTag (from the manifest's extended properties)")
+        return {"rowTag": row_tag}
+    return {}
+
+
 def read_source(spark: SparkSession, path: str, fmt: str | None = None, options: dict | None = None,
                 schema: T.StructType | str | None = None, row_tag: str | None = None,
                 infer_schema: bool = True) -> DataFrame:
-    """Read a landed file or folder with the options the format needs."""
+    """Read a landed file or folder with the options the format needs.
+
+    ``options`` win; with ``multiLine`` among them the scan for spanning records is left out.
+    """
     fmt = detect_format(path, fmt)
-    opts: dict = {}
+    given = options or {}
+    if fmt in ("csv", "json") and "multiLine" in given:
+        opts = dict(CSV_OPTIONS) if fmt == "csv" else {}
+    else:
+        opts = source_options(spark, path, fmt, row_tag)
     if fmt == "csv":
-        opts.update(CSV_OPTIONS)
         opts["inferSchema"] = "true" if (infer_schema and schema is None) else "false"
-    elif fmt == "json":
-        opts.update(JSON_OPTIONS)
-    elif fmt == "xml":
-        if not row_tag:
-            raise ValueError("xml needs rowTag (from the manifest's extended properties)")
-        opts["rowTag"] = row_tag
-    opts.update(options or {})
-    reader = spark.read.format(fmt).options(**opts)
+    reader = spark.read.format(fmt).options(**{**opts, **given})
     if schema is not None:
         reader = reader.schema(schema)
     return reader.load(path)
 
 
 def register_raw(spark: SparkSession, task: dict, raw_path: str, fmt: str | None = None,
-                 parity_format: bool = False) -> DataFrame:
-    """Register the *folder* of the landed file as ``raw_<schema>_<table>``.
+                 parity_format: bool = False, database: str | None = None, counted: bool = True) -> tuple[DataFrame, int | None]:
+    """Register the *folder* of the landed file as the external table ``raw_<schema>_<table>``
+    (``<database>.<schema>_<table>`` where a database is given); returns it and its row count.
 
     ``task`` is a manifest row as a dict (DestinationSchema, DestinationTableName,
-    RawPath, ExtendedProperties).  Re-registration replaces the previous view.
+    RawPath, ExtendedProperties).  Registering again replaces the table; the files are not
+    touched.
     """
     folder = raw_path.rsplit("/", 1)[0] if os.path.splitext(raw_path)[1] else raw_path
     ext = json.loads(task.get("ExtendedProperties") or "{}")
     fmt = fmt or detect_format(task.get("RawPath") or raw_path, parity=parity_format)
     df = read_source(spark, folder, fmt=fmt, row_tag=ext.get("rowTag"))
-    name = f"raw_{task['DestinationSchema']}_{task['DestinationTableName']}"
-    df.createOrReplaceTempView(name)
-    return df
+    name = f"{task['DestinationSchema']}_{task['DestinationTableName']}"
+    if database:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    name = f"`{database}`.`{name}`" if database else f"`raw_{name}`"
+    options = {**source_options(spark, folder, fmt, ext.get("rowTag")), "path": folder}
+    listed = ", ".join("'{}' '{}'".format(k, str(v).replace("\\", "\\\\").replace("'", "\\'")) for k, v in options.items()
+                       if k != "inferSchema")
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING {fmt} OPTIONS ({listed})")
+    table = spark.table(name)
+    return table, table.count() if counted else None
 
 
 def read_csv_borrowed_schema(spark: SparkSession, path: str, reference: DataFrame | T.StructType,

@@ -9,10 +9,15 @@ The checkpoint must live in the shared checkpoint folder.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakehand.operators.keys import _as_list
+from lakehand.session import cut_lineage
+
 
 def read_landing_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
                         max_files_per_trigger: int | None = None) -> DataFrame:
@@ -22,32 +27,38 @@ def read_landing_stream(spark: SparkSession, path: str, schema: T.StructType, fm
     return r.load(path)
 
 
-def scd2_stream(stream: DataFrame, table, bk: str, sk: str, checkpoint: str, dedupe_by: str | None = None,
+def scd2_stream(stream: DataFrame, table, bk, sk: str, checkpoint: str, dedupe_by: str | None = None,
                 start_col: str | None = None):
     """Start an availableNow query that saves each micro-batch into ``table``
-    (a :class:`lakehand.sinks.tables.SnapshotTable`).
+    (a :class:`lakehand.sinks.keyed.KeyedTable`), each batch once.
 
-    Within a micro-batch the last row per key wins when ``dedupe_by`` names an
-    ordering column (``max_by`` per key, a partial aggregate), so duplicate keys
-    never reach the merge.  The batch start is the micro-batch's max ``start_col``
-    or the wall clock.  Returns the StreamingQuery.
+    A batch that Spark delivers again after a failure has the same id and is skipped if it
+    was finished, repeated without effect if it was not.  Within a micro-batch the last row
+    per key wins when ``dedupe_by`` names an ordering column (``max_by`` per key, a partial
+    aggregate); that column orders and is no attribute.  Rows with a NULL key match nothing
+    and all stay.  The batch start is the micro-batch's largest ``start_col``, else the wall
+    clock.  The batch is read once, into the shared folder.  Returns the StreamingQuery.
     """
+    keys = _as_list(bk)
 
-    def apply(batch: DataFrame, epoch_id: int):
+    def apply(batch: DataFrame, epoch: int):
+        batch_id = f"{checkpoint.rstrip('/').rsplit('/', 1)[-1]}:{epoch}"
+        if table.delivered(batch_id):
+            return
         src = batch
         if dedupe_by:
-            cols = [c for c in batch.columns if c != bk]
-            src = (batch.groupBy(bk).agg(F.max_by(F.struct(*cols), F.col(dedupe_by)).alias("r"))
-                   .select(bk, "r.*"))
-        start = None
-        if start_col:
-            start = src.agg(F.max(start_col)).first()[0]
-        if start is None:
-            import datetime as dt
-            start = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        keep = [c for c in src.columns if c not in (dedupe_by, start_col)] if start_col else src.columns
-        if src.limit(1).count():
-            table.save_scd2(src.select(*keep), bk, sk, str(start)[:19])
+            known = " AND ".join(f"`{k}` IS NOT NULL" for k in keys)
+            rest = [c for c in batch.columns if c not in keys]
+            last = (batch.where(known).groupBy(*keys).agg(F.max_by(F.struct(*rest), F.col(dedupe_by)).alias("r"))
+                    .select(*keys, "r.*"))
+            src = last.unionByName(batch.where(f"NOT ({known})"))
+        src = cut_lineage(src)
+        last = F.max(start_col) if start_col else F.lit(None)
+        shape = src.agg(F.count(F.lit(1)).alias("rows"), last.alias("start")).first()
+        if not shape["rows"]:
+            return
+        start = shape["start"] or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+        table.save_scd2(src.drop(*[c for c in {dedupe_by, start_col} if c]), bk, sk, str(start)[:19], batch_id=batch_id)
 
     return (stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lakehand.plans.control import apply_status_update
 from lakehand.plans.zones import incremental_ingest, raw_load, trusted_load
-from lakehand.sinks.tables import SnapshotTable
+from lakehand.sinks.keyed import KeyedTable
 from lakehand.sources.files import read_json_pages, read_sheet
 from lakehand.sources.metadata import capture_schema, explode_metadata, metadata_json
 
@@ -18,13 +18,13 @@ def test_zone_flow_overwrite_then_keyed(spark, tmp):
     task = {"DestinationSchema": "dbo", "DestinationTableName": "acct", "RawPath": "/raw/crm/dbo_acct/$guid$.csv",
             "ExtendedProperties": '{"TrustedQuery": "SELECT acct_id, upper(acct_name) AS acct_name FROM {tableFqn}"}'}
     raw = raw_load(spark, task, f"{tmp}/raw/crm/dbo_acct/a.csv")
-    t = SnapshotTable(spark, f"{tmp}/trusted/acct")
-    assert trusted_load(spark, task, raw, t) == 1
+    t = KeyedTable(spark, f"{tmp}/trusted/acct", "acct_id")
+    trusted_load(spark, task, raw, t)
     assert sorted(r.acct_name for r in t.read().collect()) == ["X", "Y"]
     with open(f"{tmp}/raw/crm/dbo_acct/a.csv", "w") as f:
         f.write("acct id,acct name\n2,z\n3,w\n")
     raw = raw_load(spark, task, f"{tmp}/raw/crm/dbo_acct/a.csv")
-    assert trusted_load(spark, {**task, "BusinessKeyColumn": "acct_id"}, raw, t) == 2
+    trusted_load(spark, {**task, "BusinessKeyColumn": "acct_id"}, raw, t)
     assert sorted((r.acct_id, r.acct_name) for r in t.read().collect()) == [(1, "X"), (2, "Z"), (3, "W")]
 
 
@@ -54,14 +54,13 @@ def test_pages_sheet_capture(spark, tmp):
     assert back.where("COLUMN_NAME = 'amt'").first().NUMERIC_SCALE == 2
 
 
-def test_overwrite_upsert_retain(spark, tmp):
-    t = SnapshotTable(spark, f"{tmp}/t")
+def test_overwrite_and_upsert(spark, tmp):
+    t = KeyedTable(spark, f"{tmp}/t", "k")
     t.upsert(spark.createDataFrame([(1, "a")], "k int, v string"), "k")
     t.upsert(spark.createDataFrame([(1, "b"), (2, "c")], "k int, v string"), "k")
     assert sorted(map(tuple, t.read().collect())) == [(1, "b"), (2, "c")]
     t.overwrite(spark.createDataFrame([(9, "z")], "k int, v string"))
-    assert t.read().count() == 1 and t.read(2).count() == 2
-    assert len(t.retain(keep=1)) == 2 and t.read().count() == 1
+    assert sorted(map(tuple, t.read().collect())) == [(9, "z")]
 
 
 def test_status_update_and_staged_publish(spark, tmp):
