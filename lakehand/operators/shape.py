@@ -6,6 +6,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakehand.functions.scalar import null_sentinels  # noqa: F401  (re-export, F10)
 
@@ -73,8 +74,17 @@ def tag(df: DataFrame, **literals) -> DataFrame:
 
 
 def period_filter(df: DataFrame, date_key: str, year) -> DataFrame:
-    """keep rows whose yyyyMMdd date key starts with ``year``."""
-    return df.where(F.substring(F.col(date_key).cast("string"), 1, 4) == F.lit(str(year)))
+    """keep the rows of one year, by a range on the column itself, which a scan can push down and
+    prune by.  The column is a date or time, or a yyyyMMdd key as a number or text."""
+    c, y = F.col(date_key), int(year)
+    kind = df.schema[date_key].dataType
+    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        low, high = (F.lit(f"{v:04d}-01-01").cast(kind) for v in (y, y + 1))
+    elif isinstance(kind, T.StringType):
+        low, high = F.lit(f"{y:04d}"), F.lit(f"{y + 1:04d}")
+    else:
+        low, high = (F.lit(v * 10000).cast(kind) for v in (y, y + 1))
+    return df.where((c >= low) & (c < high))
 
 
 def limit_or_all(df: DataFrame, n: int, order_by=None) -> DataFrame:

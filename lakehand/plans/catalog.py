@@ -306,6 +306,14 @@ def wm_batch_init(spark, sf_dir):
     return batch_init(X.extract_status(t), X.extract_manifest(t), "20240201", created_at=TS2)
 
 
+@query
+def wm_batch_status_rows(spark, sf_dir):
+    """M1: the status rows that a batch appends, all columns."""
+    from lakehand.plans.control import new_status_rows
+    t = _t(spark, sf_dir)
+    return new_status_rows(X.extract_status(t), X.extract_manifest(t), "20240201", created_at=TS2)
+
+
 @query
 def wm_full_vs_delta(spark, sf_dir):
     """F7 + F6 + S9: per source, full or incremental query text with its bounds."""
@@ -498,11 +506,10 @@ def replay_snapshot_table(spark, sf_dir):
 
 @query
 def period_filter(spark, sf_dir):
-    """keep one year of a yyyyMMdd date key."""
+    """keep one year; the range is pushed into the scan of the date column."""
     from lakehand.operators.shape import period_filter as pf
-    li = _t(spark, sf_dir).lineitem.select("l_orderkey", "l_linenumber",
-                                           F.date_format("l_shipdate", "yyyyMMdd").alias("DateKey"))
-    return pf(li, "DateKey", 1997)
+    li = pf(_t(spark, sf_dir).lineitem, "l_shipdate", 1997)
+    return li.select("l_orderkey", "l_linenumber", F.date_format("l_shipdate", "yyyyMMdd").alias("DateKey"))
 
 
 @query
@@ -531,9 +538,9 @@ def register_source(spark, sf_dir):
 
 @query
 def limit_or_all(spark, sf_dir):
-    """First N sheet rows in order; 0 means no limit."""
+    """The first 100 sheet rows in order (a preview); 0 would mean no limit."""
     from lakehand.operators.shape import limit_or_all as loa
-    return loa(X.ingestion_sheet(_t(spark, sf_dir)), 0, order_by="SheetRow")
+    return loa(X.ingestion_sheet(_t(spark, sf_dir)), 100, order_by=["SystemCode", "TableSchema", "TableName", "SheetRow"])
 
 
 @query
@@ -573,6 +580,15 @@ def transform_init(spark, sf_dir):
     return ti(existing, tm, "20240201", created_at=TS2)
 
 
+@query
+def transform_status_rows(spark, sf_dir):
+    """M2: the transform status rows that a batch appends, all columns."""
+    from lakehand.plans.control import new_transform_rows
+    t = _t(spark, sf_dir)
+    existing = X.log_table(t).where(F.col("TransformStatusID").isNotNull()).select(F.col("TransformStatusID").alias("ID"))
+    return new_transform_rows(existing, X.transform_manifest(t), "20240201", created_at=TS2)
+
+
 @query
 def status_from_events(spark, sf_dir):
     """M4: last value per (row, property) from appended status events, pivoted."""
@@ -748,7 +764,7 @@ def path_template(spark, sf_dir):
     ts = F.col("CreatedDTS")
     path = fx.fill_template(INGESTION_DEFAULTS["RawPath"], {
         "$SYSTEM$": F.col("SystemCode"), "$SCHEMA$": F.lit("dbo"),
-        "$TABLE$": F.concat(F.lit("T"), (F.col("SourceID") - 20001).cast("string")),
+        "$TABLE$": F.concat(F.lit("T"), X.source_key(F.col("SourceID")).cast("string")),
         "$yyyy$": F.date_format(ts, "yyyy"), "$MM$": F.date_format(ts, "MM"), "$dd$": F.date_format(ts, "dd"),
         "$HH$": F.date_format(ts, "HH"), "$mm$": F.date_format(ts, "mm"),
         "$guid$": F.concat(F.lit("g"), F.col("ID").cast("string")), "$EXT$": F.lit("parquet")})

@@ -63,6 +63,27 @@ def customer_entity(v: DataFrame) -> DataFrame:
                     "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
 
 
+def source_id(p):
+    """SourceID of a part key: five systems take turns; a system's ids fill one prefix of 999 after another."""
+    i = F.floor(p / 5)
+    return ((20 + p % 5 + 5 * F.floor(i / 999)) * 1000 + i % 999 + 1).cast("bigint")
+
+
+def source_key(sid):
+    """The part key of a SourceID."""
+    prefix = F.floor(sid / 1000) - 20
+    return ((F.floor(prefix / 5) * 999 + sid % 1000 - 1) * 5 + prefix % 5).cast("bigint")
+
+
+def event_source(t: Tables, step: int = 0):
+    """Part key of the source an event's task loads: spread over all part keys, of the event type's
+    system; ``step`` sources on."""
+    n = t.part.agg(F.count(F.lit(1))).scalar()
+    key = (F.col("user_id") * 13) % n
+    kind = sum((F.when(F.col("event_type") == s, i).otherwise(0) for i, s in enumerate(SYSTEMS)), F.lit(0))
+    return (key - key % 5 + kind + 5 * step) % n
+
+
 def _plus_seconds(ts, n):
     return F.timestamp_add("SECOND", n, ts)
 
@@ -73,16 +94,17 @@ def extract_status(t: Tables) -> DataFrame:
     raw_end = F.when(e % 29 == 0, ts_lit(None)).otherwise(_plus_seconds(F.col("ts"), e % 90))
     trusted_start = _plus_seconds(raw_end, F.lit(5))
     trusted_end = F.when(e % 31 == 0, ts_lit(None)).otherwise(_plus_seconds(trusted_start, e % 60))
+    p = event_source(t)
     return t.events.select(
         e.alias("ID"),
         F.date_format("ts", "yyyyMMdd").alias("BatchID"),
         F.col("event_type").alias("SystemCode"),
-        (F.lit(20001) + F.col("user_id") % 50).alias("SourceID"),
+        source_id(p).alias("SourceID"),
         F.lit(None).cast("string").alias("LowWatermark"),
         F.when(e % 7 == 0, F.lit(None)).otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).alias("HighWatermark"),
         (e % 1000).alias("SourceRowCount"),
         (e % 1000 - F.when(e % 3 == 0, 1).otherwise(0)).alias("SinkRowCount"),
-        F.concat(F.lit("/raw/"), F.col("event_type"), F.lit("/dbo_T"), (F.col("user_id") % 50).cast("string"),
+        F.concat(F.lit("/raw/"), F.col("event_type"), F.lit("/dbo_T"), p.cast("string"),
                  F.lit("/"), e.cast("string"), F.lit(".parquet")).alias("RawPath"),
         F.when(e % 23 == 0, F.lit("Fail")).otherwise(F.lit("Success")).alias("RawStatus"),
         F.col("ts").alias("RawStartDTS"),
@@ -101,23 +123,35 @@ def _system_code(n):
 
 
 def extract_manifest(t: Tables) -> DataFrame:
-    """ExtractLoadManifest rows for sources 20001..20050 (from part keys 0..49)."""
+    """ExtractLoadManifest rows, one per part key."""
     p = F.col("p_partkey")
     name = F.concat(F.lit("T"), p.cast("string"))
     sysc = _system_code(p)
-    return t.part.where(p < 50).select(
-        (F.lit(20001) + p).alias("SourceID"),
+    none = F.lit(None).cast("string")
+    file = p % 13 == 0
+    return t.part.select(
+        source_id(p).alias("SourceID"),
         sysc.alias("SystemCode"),
         F.lit("dbo").alias("SourceSchema"),
         name.alias("SourceTableName"),
-        F.when(p % 4 == 0, F.lit(None)).otherwise(F.concat(F.lit("SELECT * FROM [dbo].["), name, F.lit("]")))
+        F.when(p % 4 == 0, none).otherwise(F.concat(F.lit("SELECT * FROM [dbo].["), name, F.lit("]")))
          .alias("SourceQuery"),
-        F.lit("sql-load").alias("SourceHandler"),
+        F.when(file, F.concat(F.lit("/in/"), sysc)).alias("SourceFolderPath"),
+        F.when(file, F.concat(name, F.lit(".csv"))).alias("SourceFileName"),
+        F.concat(F.lit("kv-"), sysc).alias("SourceKeyVaultSecret"),
+        none.alias("SourceMetaData"),
+        F.when(file, "csv-load").otherwise("sql-load").alias("SourceHandler"),
+        F.when(p % 3 == 0, "Full").otherwise("Delta").alias("LoadType"),
+        F.when(p % 8 < 5, F.concat(name, F.lit("_ID"))).alias("BusinessKeyColumn"),
         F.when(p % 3 == 0, F.lit(None)).otherwise(F.lit("ModifiedDTS")).alias("WatermarkColumn"),
+        F.lit("raw-load").alias("RawHandler"),
+        F.concat(F.lit("/raw/"), sysc, F.lit("/dbo_"), name, F.lit("/$guid$.parquet")).alias("RawPath"),
+        F.lit("trusted-load").alias("TrustedHandler"),
+        F.concat(F.lit("/trusted/"), sysc, F.lit("/dbo_"), name, F.lit("/")).alias("TrustedPath"),
         F.lit("dbo").alias("DestinationSchema"),
         name.alias("DestinationTableName"),
-        F.concat(F.lit("/trusted/"), sysc, F.lit("/dbo_"), name, F.lit("/")).alias("TrustedPath"),
-        F.lit(None).cast("string").alias("ExtendedProperties"),
+        F.when(p % 17 == 0, F.lit("kv-lake")).alias("DestinationKeyVaultSecret"),
+        none.alias("ExtendedProperties"),
         (p % 7 != 6).alias("Enabled"),
         ts_lit(TS1).alias("CreatedDTS"),
     )
@@ -125,7 +159,7 @@ def extract_manifest(t: Tables) -> DataFrame:
 
 def log_table(t: Tables) -> DataFrame:
     """Log rows, three per event: copy output, stage status, curated run output."""
-    e, u, ty = F.col("event_id"), F.col("user_id"), F.col("event_type")
+    e, ty = F.col("event_id"), F.col("event_type")
     es = e.cast("string")
     crlf = F.when(e % 5 == 0, F.lit("\r\n")).otherwise(F.lit(""))
     copy_msg = F.concat(
@@ -148,8 +182,8 @@ def log_table(t: Tables) -> DataFrame:
         F.lit('{"PipelineRunId":"run-'), es, F.lit('","Status":"Succeeded","Output":{"runOutput":{"Counts":{"SpotCount":'),
         (e % 1000).cast("string"), F.lit(',"InsertCount":-1,"UpdateCount":-1,"CuratedCount":'), (e % 5000).cast("string"),
         F.lit('},"CuratedTransform":{"EntityType":"Dimension","Name":"'), ty, F.lit('","Destination":"curated.D_'), ty,
-        F.lit('","Tables":["trusted.dbo_T'), (u % 50).cast("string"), F.lit('","trusted.dbo_T'),
-        ((u + 1) % 50).cast("string"), F.lit('"]}}}}'))
+        F.lit('","Tables":["trusted.dbo_T'), event_source(t).cast("string"), F.lit('","trusted.dbo_T'),
+        event_source(t, 1).cast("string"), F.lit('"]}}}}'))
     null_id = F.lit(None).cast("bigint")
     ev = t.events
 
@@ -203,8 +237,8 @@ def column_metadata(t: Tables) -> DataFrame:
     dtype = (F.when(size % 6 == 0, "nvarchar").when(size % 6 == 1, "int").when(size % 6 == 2, "decimal")
              .when(size % 6 == 3, "datetime2").when(size % 6 == 4, "varbinary").otherwise("bigint"))
     return t.part.select(
-        F.when(tab % 4 == 0, "D365FO").when(tab % 4 == 1, "EDW1").when(tab % 4 == 2, "EDW2").otherwise("CRM")
-         .alias("SystemCode"),
+        F.when(tab % 8 == 0, "D365FO").when(tab % 8 == 1, "EDW1").when(tab % 8 == 2, "EDW2").when(tab % 8 == 3, "CRM")
+         .otherwise(_system_code(tab)).alias("SystemCode"),
         F.lit("dbo").alias("TABLE_SCHEMA"),
         F.concat(F.lit("T"), tab.cast("string")).alias("TABLE_NAME"),
         F.when(p % 9 == 0, F.concat(F.col("p_name"), F.lit(",("), p.cast("string"), F.lit(")")))
@@ -222,18 +256,20 @@ def column_metadata(t: Tables) -> DataFrame:
 
 
 def ingestion_sheet(t: Tables) -> DataFrame:
-    """New sources to register (part keys 50 and up); keys divisible by 7 name known sources."""
+    """Sources to register, one row per part key: keys divisible by 7 name known sources, and a key of
+    1 modulo 12 repeats the source of the row before it."""
     p = F.col("p_partkey")
-    sysc = (F.when(p % 7 == 0, _system_code(p % 50))
-            .when(p % 10 == 0, F.concat(F.lit("NEWSYS"), (p % 3).cast("string")))
-            .otherwise(_system_code(p)))
-    return t.part.where(p >= 50).select(
+    known = p % 7 == 0
+    k = p - F.when((p % 12 == 1) & ~known, 1).otherwise(0)
+    sysc = (F.when(known, _system_code(p))
+            .when(k % 10 == 0, F.concat(F.lit("NEWSYS"), (k % 3).cast("string")))
+            .otherwise(_system_code(k)))
+    return t.part.select(
         p.alias("SheetRow"),
         sysc.alias("SystemCode"),
-        F.when(p % 7 == 0, F.lit("dbo")).when(p % 11 == 0, F.lit("sales data")).otherwise(F.lit("dbo"))
-         .alias("TableSchema"),
-        F.when(p % 7 == 0, F.concat(F.lit("T"), (p % 50).cast("string")))
-         .otherwise(F.concat(F.lit("T"), p.cast("string"))).alias("TableName"),
+        F.when(known, F.lit("dbo")).when(k % 11 == 0, F.lit("sales data")).otherwise(F.lit("dbo")).alias("TableSchema"),
+        F.when(known, F.concat(F.lit("T"), p.cast("string"))).otherwise(F.concat(F.lit("N"), k.cast("string")))
+         .alias("TableName"),
         F.lit(None).cast("string").alias("SourceQuery"),
         F.when(p % 2 == 0, F.lit("ModifiedDTS")).alias("WatermarkColumn"),
         F.when(p % 13 == 0, F.lit("csv-load")).alias("SourceHandler"),

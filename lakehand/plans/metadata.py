@@ -81,14 +81,13 @@ def generated_sql(manifest: DataFrame) -> DataFrame:
 
 
 def refresh_manifest(manifest: DataFrame, generated: DataFrame) -> DataFrame:
-    """V6: write the generated select back as the source query (schema + table match).
+    """V6: write the generated select back as the source query of the same system, schema and table.
 
-    A table that several systems have takes the select of the first system code, so no
-    manifest row is multiplied.
+    A table generated more than once (its extended properties differ) gives one select,
+    the least text, so no manifest row is multiplied.
     """
-    gen = (generated.groupBy(F.col("TableSchema").alias("__gs"), F.col("TableName").alias("__gt"))
-           .agg(F.min_by("SelectSQL", "SystemCode").alias("SelectSQL")))
-    j = manifest.join(gen, (manifest["SourceSchema"] == gen["__gs"]) & (manifest["SourceTableName"] == gen["__gt"]),
-                      "left")
-    return j.select(*[F.coalesce(F.col("SelectSQL"), F.col("SourceQuery")).alias("SourceQuery")
-                      if c == "SourceQuery" else F.col(c) for c in manifest.columns])
+    keys = {"SystemCode": "SystemCode", "SourceSchema": "TableSchema", "SourceTableName": "TableName"}
+    gen = generated.groupBy(*[F.col(g).alias(f"__{m}") for m, g in keys.items()]).agg(F.min("SelectSQL").alias("__select"))
+    on = [F.col(m) == F.col(f"__{m}") for m in keys]
+    j = manifest.join(gen, on[0] & on[1] & on[2], "left")
+    return j.select(*[F.coalesce("__select", c).alias(c) if c == "SourceQuery" else F.col(c) for c in manifest.columns])

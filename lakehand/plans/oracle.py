@@ -173,33 +173,36 @@ def _upd(ts_first, ts2, ts3, e1, e2, e3):
 _CODE = ("CASE {n} % 5 WHEN 0 THEN 'click' WHEN 1 THEN 'error' WHEN 2 THEN 'purchase' "
          "WHEN 3 THEN 'signup' ELSE 'view' END")
 
+#: Fixed parts of the landing and trusted paths.
+_RAW_PATH = "'/raw/' || SystemCode || '/' || TableSchema || '_' || TableName || '/$yyyy$/$MM$/$dd$/$HH$$mm$/'"
+_TRUSTED_PATH = "'/trusted/' || SystemCode || '/' || TableSchema || '_' || TableName || '/'"
+
+#: New sources take the ids their system's prefixes have left, then those of fresh prefixes.
 _REGISTER = """
 WITH m AS ({m}), sh AS ({sh}),
-new0 AS (SELECT sh.* FROM sh WHERE NOT EXISTS (SELECT 1 FROM m WHERE m.SystemCode = sh.SystemCode
-          AND m.SourceSchema = sh.TableSchema AND m.SourceTableName = sh.TableName)),
-sysm AS (SELECT SystemCode, max(SourceID) AS LastSourceID FROM m GROUP BY SystemCode),
-mo AS (SELECT COALESCE(max(CAST(substring(CAST(SourceID AS VARCHAR), 1, 2) AS INTEGER)), 19) AS max_order FROM m),
-new1 AS (SELECT new0.*, sysm.LastSourceID,
-         ROW_NUMBER() OVER (PARTITION BY new0.SystemCode ORDER BY TableSchema, TableName) AS rn
-         FROM new0 LEFT JOIN sysm ON new0.SystemCode = sysm.SystemCode),
-fresh AS (SELECT SystemCode, DENSE_RANK() OVER (ORDER BY SystemCode) AS sysrank
-          FROM (SELECT DISTINCT SystemCode FROM new1 WHERE LastSourceID IS NULL))
-SELECT CAST(CASE WHEN new1.LastSourceID IS NOT NULL THEN new1.LastSourceID + rn
-            ELSE ((SELECT max_order FROM mo) + fresh.sysrank) * 1000 + rn END AS BIGINT) AS SourceID,
-  new1.SystemCode, TableSchema AS SourceSchema, TableName AS SourceTableName, SourceQuery,
+once AS (SELECT SystemCode, TableSchema, TableName, min(SheetRow) AS SheetRow FROM sh GROUP BY ALL),
+fresh AS (SELECT sh.* FROM sh JOIN once USING (SystemCode, TableSchema, TableName, SheetRow)
+  ANTI JOIN m ON m.SystemCode = sh.SystemCode AND m.SourceSchema = sh.TableSchema AND m.SourceTableName = sh.TableName),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY SystemCode ORDER BY TableSchema, TableName) AS rn FROM fresh),
+tails AS (SELECT SourceID // 1000 AS prefix, max(SourceID) AS taken, arg_max(SystemCode, SourceID) AS SystemCode FROM m GROUP BY ALL),
+leftover AS (SELECT SystemCode, taken, prefix * 1000 + 999 - taken AS n,
+  sum(prefix * 1000 + 999 - taken) OVER (PARTITION BY SystemCode ORDER BY prefix) AS upto FROM tails WHERE taken % 1000 < 999),
+demand AS (SELECT SystemCode, coalesce(max(room), 0) AS room, greatest(0, count(*) - coalesce(max(room), 0)) AS extra
+  FROM fresh LEFT JOIN (SELECT SystemCode, sum(n) AS room FROM leftover GROUP BY ALL) USING (SystemCode) GROUP BY ALL),
+opened AS (SELECT SystemCode, room, coalesce((SELECT max(prefix) FROM tails), 19) + 1
+  + coalesce(sum((extra + 998) // 999) OVER (ORDER BY SystemCode ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS prefix FROM demand)
+SELECT CAST(CASE WHEN rn <= room THEN taken + n - (upto - rn) ELSE (prefix + (rn - room - 1) // 999) * 1000 + (rn - room - 1) % 999 + 1 END
+    AS BIGINT) AS SourceID,
+  SystemCode, TableSchema AS SourceSchema, TableName AS SourceTableName, SourceQuery,
   COALESCE(KeyVaultSecret, '<FILL-ME-IN>') AS SourceKeyVaultSecret,
-  COALESCE(SourceHandler, 'sql-load') AS SourceHandler, WatermarkColumn,
-  replace(replace(replace(replace(replace('/raw/$SYSTEM$/$SCHEMA$_$TABLE$/$yyyy$/$MM$/$dd$/$HH$$mm$/$guid$.$EXT$',
-     '$SYSTEM$', new1.SystemCode), '$SCHEMA$', TableSchema), '$TABLE$', TableName),
-     '$EXT$', COALESCE(RawFileExtension, 'parquet')),
-     '$guid$.', CASE WHEN RawFileExtension = '' THEN '' ELSE '$guid$.' END) AS RawPath,
-  'raw-load' AS RawHandler, 'trusted-load' AS TrustedHandler,
-  replace(replace(replace('/trusted/$SYSTEM$/$SCHEMA$_$TABLE$/', '$SYSTEM$', new1.SystemCode), '$SCHEMA$', TableSchema),
-     '$TABLE$', TableName) AS TrustedPath,
+  COALESCE(SourceHandler, 'sql-load') AS SourceHandler, CAST(NULL AS VARCHAR) AS LoadType, CAST(NULL AS VARCHAR) AS BusinessKeyColumn,
+  WatermarkColumn, """ + _RAW_PATH + """ || CASE WHEN RawFileExtension = '' THEN '' ELSE '$guid$.' END || COALESCE(RawFileExtension, 'parquet') AS RawPath,
+  'raw-load' AS RawHandler, 'trusted-load' AS TrustedHandler, """ + _TRUSTED_PATH + """ AS TrustedPath,
   replace(replace(TableSchema, '\\', ''), ' ', '') AS DestinationSchema,
   replace(replace(TableName, '\\', ''), ' ', '') AS DestinationTableName,
   ExtendedProperties, TRUE AS Enabled, {ts2} AS CreatedDTS
-FROM new1 LEFT JOIN fresh ON new1.SystemCode = fresh.SystemCode"""
+FROM numbered JOIN opened USING (SystemCode)
+LEFT JOIN (SELECT SystemCode AS sc, taken, n, upto FROM leftover) ON sc = SystemCode AND rn <= upto AND rn > upto - n"""
 
 _LINE_V1 = "SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag FROM lineitem WHERE (l_orderkey + l_linenumber) % 10 <> 9"
 _LINE_V2 = """SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 5 = 0 THEN l_quantity + 1 ELSE l_quantity END AS l_quantity,
@@ -246,11 +249,17 @@ ORACLE.update({
     "wm_last_per_source": with_ctes(_LAST_WM, st=EXTRACT_STATUS),
     "wm_batch_init": with_ctes(f"""SELECT '20240201' AS BatchID,
         CAST((SELECT COALESCE(max(ID), 0) FROM st) + ROW_NUMBER() OVER (ORDER BY m.SystemCode, m.SourceID) AS BIGINT) AS ID,
-        l.HighWatermark AS LowWatermark, m.SourceID, m.SystemCode, m.SourceSchema, m.SourceTableName, m.SourceQuery,
-        m.SourceHandler, m.WatermarkColumn, m.DestinationSchema, m.DestinationTableName, m.TrustedPath,
-        m.ExtendedProperties, {TS2} AS CreatedDTS
+        l.HighWatermark AS LowWatermark, m.* EXCLUDE (SourceMetaData, Enabled, CreatedDTS)
         FROM m LEFT JOIN lastwm l ON l.SourceID = m.SourceID WHERE m.Enabled""",
                                st=EXTRACT_STATUS, m=EXTRACT_MANIFEST, lastwm=_LAST_WM),
+    "wm_batch_status_rows": with_ctes(f"""SELECT
+        CAST((SELECT COALESCE(max(ID), 0) FROM st) + ROW_NUMBER() OVER (ORDER BY m.SystemCode, m.SourceID) AS BIGINT) AS ID,
+        '20240201' AS BatchID, m.SystemCode, m.SourceID, l.HighWatermark AS LowWatermark,
+        {', '.join(f"CAST(NULL AS {'VARCHAR' if c in ('HighWatermark', 'RawPath', 'RawStatus', 'TrustedStatus') else 'BIGINT' if c.endswith('Count') else 'TIMESTAMP'}) AS {c}"
+                   for c in ('HighWatermark', 'SourceRowCount', 'SinkRowCount', 'RawPath', 'RawStatus', 'RawStartDTS', 'RawEndDTS',
+                             'TrustedStatus', 'TrustedStartDTS', 'TrustedEndDTS', 'EndedDTS'))}, {TS2} AS CreatedDTS
+        FROM m LEFT JOIN lastwm l ON l.SourceID = m.SourceID WHERE m.Enabled""",
+                                      st=EXTRACT_STATUS, m=EXTRACT_MANIFEST, lastwm=_LAST_WM),
     "wm_full_vs_delta": with_ctes(f"""SELECT m.SourceID, {_INC} AS IsDelta, {_BASEQ} AS BaseQuery,
         l.HighWatermark AS LowWatermark, {_HI} AS HighWatermark,
         CASE WHEN NOT {_INC} THEN {_BASEQ}
@@ -298,8 +307,8 @@ ORACLE.update({
         max(CASE WHEN Key = 'Key1' THEN Value END) AS Key1, max(CASE WHEN Key = 'Key2' THEN Value END) AS Key2,
         max(CASE WHEN Key = 'Key3' THEN Value END) AS Key3 FROM cfg GROUP BY KeyGroup""", cfg=EVENT_CONFIG),
     "register_source": _REGISTER.format(m=EXTRACT_MANIFEST, sh=INGESTION_SHEET, ts2=TS2),
-    "limit_or_all": with_ctes("SELECT * FROM sh", sh=INGESTION_SHEET),
-    "system_selection": with_ctes("""SELECT DISTINCT substring(CAST(SourceID AS VARCHAR), 1, 2) AS "Order", SystemCode
+    "limit_or_all": with_ctes("SELECT * FROM sh ORDER BY SystemCode, TableSchema, TableName, SheetRow LIMIT 100", sh=INGESTION_SHEET),
+    "system_selection": with_ctes("""SELECT DISTINCT CAST(SourceID // 1000 AS VARCHAR) AS "Order", SystemCode
         FROM (SELECT SourceID, SystemCode, Enabled FROM m UNION ALL SELECT SourceID, SystemCode, Enabled FROM reg)
         WHERE Enabled AND SystemCode IN ('click', 'view', 'purchase', 'NEWSYS1')""",
                                   m=EXTRACT_MANIFEST,
@@ -308,11 +317,15 @@ ORACLE.update({
         WHERE Segment <> ''""", st=EXTRACT_STATUS),
     "group_list": with_ctes("""SELECT ParallelGroup, string_agg(CAST(TransformID AS VARCHAR), ',' ORDER BY TransformID) AS Transforms,
         COUNT(*) AS Tasks FROM tm WHERE Enabled GROUP BY ParallelGroup""", tm=TRANSFORM_MANIFEST),
-    "transform_init": with_ctes(f"""SELECT '20240201' AS BatchID,
-        CAST((SELECT COALESCE(max(TransformStatusID), 0) FROM lg) + ROW_NUMBER() OVER (ORDER BY TransformID) AS BIGINT) AS ID,
-        TransformID, EntityType, EntityName, ProcessorType, Command, ParallelGroup,
-        (SELECT string_agg(CAST(g AS VARCHAR), ',' ORDER BY g) FROM (SELECT DISTINCT ParallelGroup AS g FROM tm)) AS List,
-        {TS2} AS CreatedDTS FROM tm WHERE Enabled""", tm=TRANSFORM_MANIFEST, lg=LOG),
+    "transform_init": with_ctes("""SELECT '20240201' AS BatchID,
+        CAST((SELECT COALESCE(max(TransformStatusID), 0) FROM lg) + ROW_NUMBER() OVER (ORDER BY TransformID) AS BIGINT) AS ID, tm.*,
+        (SELECT string_agg(CAST(g AS VARCHAR), ',' ORDER BY g) FROM (SELECT DISTINCT ParallelGroup AS g FROM tm)) AS List
+        FROM tm WHERE Enabled""", tm=TRANSFORM_MANIFEST, lg=LOG),
+    "transform_status_rows": with_ctes(f"""SELECT '20240201' AS BatchID,
+        CAST((SELECT COALESCE(max(TransformStatusID), 0) FROM lg) + ROW_NUMBER() OVER (ORDER BY TransformID) AS BIGINT) AS ID, TransformID,
+        {', '.join(f'CAST(NULL AS BIGINT) AS {c}Count' for c in ('Spot', 'Insert', 'Update', 'Curated'))}, CAST(NULL AS VARCHAR) AS Status,
+        CAST(NULL AS TIMESTAMP) AS StartDTS, CAST(NULL AS TIMESTAMP) AS EndDTS, {TS2} AS CreatedDTS
+        FROM tm WHERE Enabled""", tm=TRANSFORM_MANIFEST, lg=LOG),
     "status_from_events": with_ctes("""SELECT ID, max(CASE WHEN Property = 'RawStatus' THEN v END) AS RawStatus,
         max(CASE WHEN Property = 'TrustedStatus' THEN v END) AS TrustedStatus,
         max(CASE WHEN Property = 'SinkRowCount' THEN v END) AS SinkRowCount

@@ -24,12 +24,18 @@ def entity(v: str) -> str:
     return f"SELECT CAST(c_custkey AS VARCHAR) AS Customer_BK, c_name, c_nationkey, c_acctbal, c_mktsegment FROM {v}"
 
 
+#: Part key of an event's source (``n`` sources on), and the SourceID of a part key.
+EVENT_SOURCE = """((user_id * 13) % (SELECT count(*) FROM part) // 5 * 5
+  + list_position(['click', 'error', 'purchase', 'signup', 'view'], event_type) - 1 + 5 * {n}) % (SELECT count(*) FROM part)"""
+SOURCE_ID = "((20 + {p} % 5 + 5 * ({p} // 5 // 999)) * 1000 + {p} // 5 % 999 + 1)"
+SOURCE_KEY = "(((({s} // 1000 - 20) // 5) * 999 + {s} % 1000 - 1) * 5 + ({s} // 1000 - 20) % 5)"
+
 EXTRACT_STATUS = """SELECT event_id AS ID, strftime(ts, '%Y%m%d') AS BatchID, event_type AS SystemCode,
-  20001 + user_id % 50 AS SourceID, CAST(NULL AS VARCHAR) AS LowWatermark,
+  """ + SOURCE_ID.format(p="p") + """ AS SourceID, CAST(NULL AS VARCHAR) AS LowWatermark,
   CASE WHEN event_id % 7 = 0 THEN NULL ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS HighWatermark,
   event_id % 1000 AS SourceRowCount,
   event_id % 1000 - CASE WHEN event_id % 3 = 0 THEN 1 ELSE 0 END AS SinkRowCount,
-  '/raw/' || event_type || '/dbo_T' || CAST(user_id % 50 AS VARCHAR) || '/' || CAST(event_id AS VARCHAR) || '.parquet' AS RawPath,
+  '/raw/' || event_type || '/dbo_T' || CAST(p AS VARCHAR) || '/' || CAST(event_id AS VARCHAR) || '.parquet' AS RawPath,
   CASE WHEN event_id % 23 = 0 THEN 'Fail' ELSE 'Success' END AS RawStatus,
   ts AS RawStartDTS,
   CASE WHEN event_id % 29 = 0 THEN NULL ELSE ts + to_seconds(event_id % 90) END AS RawEndDTS,
@@ -38,20 +44,29 @@ EXTRACT_STATUS = """SELECT event_id AS ID, strftime(ts, '%Y%m%d') AS BatchID, ev
   CASE WHEN event_id % 31 = 0 OR event_id % 29 = 0 THEN NULL
        ELSE ts + to_seconds(event_id % 90) + to_seconds(5) + to_seconds(event_id % 60) END AS TrustedEndDTS,
   ts AS CreatedDTS, ts + to_seconds(3600) AS EndedDTS
-  FROM events"""
+  FROM (SELECT *, """ + EVENT_SOURCE.format(n=0) + """ AS p FROM events)"""
 
 _SYS = ("CASE {n} % 5 WHEN 0 THEN 'click' WHEN 1 THEN 'error' WHEN 2 THEN 'purchase' "
         "WHEN 3 THEN 'signup' ELSE 'view' END")
 
-EXTRACT_MANIFEST = f"""SELECT 20001 + p_partkey AS SourceID, {_SYS.format(n='p_partkey')} AS SystemCode,
-  'dbo' AS SourceSchema, 'T' || CAST(p_partkey AS VARCHAR) AS SourceTableName,
+_T = "'T' || CAST(p_partkey AS VARCHAR)"
+_S = "(" + _SYS.format(n="p_partkey") + ")"
+EXTRACT_MANIFEST = f"""SELECT {SOURCE_ID.format(p='p_partkey')} AS SourceID, {_S} AS SystemCode,
+  'dbo' AS SourceSchema, {_T} AS SourceTableName,
   CASE WHEN p_partkey % 4 = 0 THEN NULL ELSE 'SELECT * FROM [dbo].[T' || CAST(p_partkey AS VARCHAR) || ']' END AS SourceQuery,
-  'sql-load' AS SourceHandler,
+  CASE WHEN p_partkey % 13 = 0 THEN '/in/' || {_S} END AS SourceFolderPath,
+  CASE WHEN p_partkey % 13 = 0 THEN {_T} || '.csv' END AS SourceFileName,
+  'kv-' || {_S} AS SourceKeyVaultSecret, CAST(NULL AS VARCHAR) AS SourceMetaData,
+  CASE WHEN p_partkey % 13 = 0 THEN 'csv-load' ELSE 'sql-load' END AS SourceHandler,
+  CASE WHEN p_partkey % 3 = 0 THEN 'Full' ELSE 'Delta' END AS LoadType,
+  CASE WHEN p_partkey % 8 < 5 THEN {_T} || '_ID' END AS BusinessKeyColumn,
   CASE WHEN p_partkey % 3 = 0 THEN NULL ELSE 'ModifiedDTS' END AS WatermarkColumn,
-  'dbo' AS DestinationSchema, 'T' || CAST(p_partkey AS VARCHAR) AS DestinationTableName,
-  '/trusted/' || ({_SYS.format(n='p_partkey')}) || '/dbo_T' || CAST(p_partkey AS VARCHAR) || '/' AS TrustedPath,
+  'raw-load' AS RawHandler, '/raw/' || {_S} || '/dbo_' || {_T} || '/$guid$.parquet' AS RawPath,
+  'trusted-load' AS TrustedHandler, '/trusted/' || {_S} || '/dbo_' || {_T} || '/' AS TrustedPath,
+  'dbo' AS DestinationSchema, {_T} AS DestinationTableName,
+  CASE WHEN p_partkey % 17 = 0 THEN 'kv-lake' END AS DestinationKeyVaultSecret,
   CAST(NULL AS VARCHAR) AS ExtendedProperties, p_partkey % 7 <> 6 AS Enabled, {TS1} AS CreatedDTS
-  FROM part WHERE p_partkey < 50"""
+  FROM part"""
 
 _ES = "CAST(event_id AS VARCHAR)"
 _CRLF = "CASE WHEN event_id % 5 = 0 THEN chr(13) || chr(10) ELSE '' END"
@@ -78,7 +93,7 @@ SELECT event_id * 3 + 2, CAST(NULL AS BIGINT), event_id, 'curated-transform',
   '{{"PipelineRunId":"run-' || {_ES} || '","Status":"Succeeded","Output":{{"runOutput":{{"Counts":{{"SpotCount":' ||
   CAST(event_id % 1000 AS VARCHAR) || ',"InsertCount":-1,"UpdateCount":-1,"CuratedCount":' || CAST(event_id % 5000 AS VARCHAR) ||
   '}},"CuratedTransform":{{"EntityType":"Dimension","Name":"' || event_type || '","Destination":"curated.D_' || event_type ||
-  '","Tables":["trusted.dbo_T' || CAST(user_id % 50 AS VARCHAR) || '","trusted.dbo_T' || CAST((user_id + 1) % 50 AS VARCHAR) ||
+  '","Tables":["trusted.dbo_T' || CAST({EVENT_SOURCE.format(n=0)} AS VARCHAR) || '","trusted.dbo_T' || CAST({EVENT_SOURCE.format(n=1)} AS VARCHAR) ||
   '"]}}}}}}}}',
   ts + to_seconds(3)
 FROM events"""
@@ -98,7 +113,8 @@ REPORT_REFRESH = f"""SELECT 'R_' || event_type AS ReportName, 'curated.old_' ||
 
 _TAB = "CAST(floor(p_partkey / 20) AS BIGINT)"
 COLUMN_METADATA = f"""SELECT
-  CASE {_TAB} % 4 WHEN 0 THEN 'D365FO' WHEN 1 THEN 'EDW1' WHEN 2 THEN 'EDW2' ELSE 'CRM' END AS SystemCode,
+  CASE {_TAB} % 8 WHEN 0 THEN 'D365FO' WHEN 1 THEN 'EDW1' WHEN 2 THEN 'EDW2' WHEN 3 THEN 'CRM' ELSE {_SYS.format(n=_TAB)} END
+    AS SystemCode,
   'dbo' AS TABLE_SCHEMA, 'T' || CAST({_TAB} AS VARCHAR) AS TABLE_NAME,
   CASE WHEN p_partkey % 9 = 0 THEN p_name || ',(' || CAST(p_partkey AS VARCHAR) || ')'
        ELSE p_name || ' ' || CAST(p_partkey AS VARCHAR) END AS COLUMN_NAME,
@@ -121,18 +137,16 @@ def with_ctes(body: str, **ctes: str) -> str:
     return "WITH " + ",\n".join(f"{k} AS ({v})" for k, v in ctes.items()) + "\n" + body
 
 INGESTION_SHEET = f"""SELECT p_partkey AS SheetRow,
-  CASE WHEN p_partkey % 7 = 0 THEN {_SYS.format(n='(p_partkey % 50)')}
-       WHEN p_partkey % 10 = 0 THEN 'NEWSYS' || CAST(p_partkey % 3 AS VARCHAR)
-       ELSE {_SYS.format(n='p_partkey')} END AS SystemCode,
-  CASE WHEN p_partkey % 7 = 0 THEN 'dbo' WHEN p_partkey % 11 = 0 THEN 'sales data' ELSE 'dbo' END AS TableSchema,
-  CASE WHEN p_partkey % 7 = 0 THEN 'T' || CAST(p_partkey % 50 AS VARCHAR) ELSE 'T' || CAST(p_partkey AS VARCHAR) END AS TableName,
+  CASE WHEN p_partkey % 7 = 0 THEN {_S} WHEN k % 10 = 0 THEN 'NEWSYS' || CAST(k % 3 AS VARCHAR) ELSE {_SYS.format(n='k')} END AS SystemCode,
+  CASE WHEN p_partkey % 7 <> 0 AND k % 11 = 0 THEN 'sales data' ELSE 'dbo' END AS TableSchema,
+  CASE WHEN p_partkey % 7 = 0 THEN {_T} ELSE 'N' || CAST(k AS VARCHAR) END AS TableName,
   CAST(NULL AS VARCHAR) AS SourceQuery,
   CASE WHEN p_partkey % 2 = 0 THEN 'ModifiedDTS' END AS WatermarkColumn,
   CASE WHEN p_partkey % 13 = 0 THEN 'csv-load' END AS SourceHandler,
   CASE WHEN p_partkey % 13 = 0 THEN 'csv' WHEN p_partkey % 17 = 0 THEN '' END AS RawFileExtension,
   CASE WHEN p_partkey % 19 = 0 THEN 'kv-' || CAST(p_partkey AS VARCHAR) END AS KeyVaultSecret,
   CAST(NULL AS VARCHAR) AS ExtendedProperties
-  FROM part WHERE p_partkey >= 50"""
+  FROM (SELECT *, p_partkey - CASE WHEN p_partkey % 12 = 1 AND p_partkey % 7 <> 0 THEN 1 ELSE 0 END AS k FROM part)"""
 
 EVENT_CONFIG = """SELECT event_type AS KeyGroup, 'Key' || CAST(user_id % 4 AS VARCHAR) AS Key,
   lpad(json_extract_string(props, '$.k'), 3, '0') AS Value FROM events"""
