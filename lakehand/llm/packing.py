@@ -82,13 +82,12 @@ def cut_pieces(path: str, end_id: int, window: int):
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 512):
-                part = batch.slice(lo, 512)
-                rows = []
-                for doc_id, ids in zip(part.column("doc_id").to_pylist(), enc.encode(part.column("text").to_pylist())):
-                    ids = np.append(ids, np.uint32(end_id))
-                    rows += [(doc_id, at, min(window, len(ids) - at), ids_crc32(ids[at:at + window]), len(ids))
-                             for at in range(0, len(ids), window)]
+            rows = []
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), enc.encode(batch.column("text"))):
+                ids = np.append(ids, np.uint32(end_id))
+                rows += [(doc_id, at, min(window, len(ids) - at), ids_crc32(ids[at:at + window]), len(ids))
+                         for at in range(0, len(ids), window)]
+            if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)],
                                                  ["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
     return pieces

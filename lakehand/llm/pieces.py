@@ -21,7 +21,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that are cut at a time; a longer text comes in parts.
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 8_000_000
 
 _CUT = re.compile(r"(?<=\S)(?= )")
 _SPACE = r"[\s\v\x1c-\x1f\x{85}\p{Z}]"
@@ -29,6 +29,11 @@ _SPACE = r"[\s\v\x1c-\x1f\x{85}\p{Z}]"
 _ODD = f"^ |{_SPACE} |{_SPACE}$"
 
 
+def strings(texts: pa.Array) -> list[str | None]:
+    """The array's strings as Python's; ``to_pylist`` takes twenty times as long."""
+    return texts.to_numpy(zero_copy_only=False).tolist()
+
+
 class Slice(NamedTuple):
     """Words of some rows: ``words[codes[offsets[i]:offsets[i + 1]]]`` are those of row ``rows[i]``.
     A long row comes in successive parts: ``begins`` and ``ends`` tell the first and the last.  The
@@ -83,12 +88,12 @@ def slices(texts: pa.Array) -> Iterator[Slice]:
         part = texts.take(pa.array(rows))
         odd = pc.match_substring_regex(part, _ODD).to_numpy(zero_copy_only=False)
         if odd.any():
-            yield _listed(rows[odd].tolist(), [_odd_words(t, True) for t in part.filter(pa.array(odd)).to_pylist()])
+            yield _listed(rows[odd].tolist(), [_odd_words(t, True) for t in strings(part.filter(pa.array(odd)))])
             part, rows = part.filter(pa.array(~odd)), rows[~odd]
         if len(rows):
             split = pc.split_pattern(part, " ")
             flat = split.flatten().dictionary_encode()
-            yield Slice(rows, flat.dictionary.to_pylist(), flat.indices.to_numpy(zero_copy_only=False).astype(np.int64),
+            yield Slice(rows, strings(flat.dictionary), flat.indices.to_numpy(zero_copy_only=False).astype(np.int64),
                         np.asarray(split.offsets).astype(np.int64) - int(split.offsets[0].as_py()))
 
 

@@ -43,9 +43,10 @@ def encode_runs(path: str, end_id: int):
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, shard, run = encoder(path), TaskContext.get().partitionId(), 0
         for batch in batches:
+            encoded = enc.encode(batch.column("text"))
             for at in range(0, batch.num_rows, RUN_DOCS):
                 part = batch.slice(at, RUN_DOCS)
-                docs = [np.append(ids, np.uint32(end_id)) for ids in enc.encode(part.column("text").to_pylist())]
+                docs = [np.append(ids, np.uint32(end_id)) for ids in encoded[at:at + RUN_DOCS]]
                 ids = np.concatenate(docs)
                 words, offsets = simple8b.encode(ids)
                 yield pa.RecordBatch.from_pydict({

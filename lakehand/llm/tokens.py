@@ -1,31 +1,27 @@
-"""Token ids of whole texts by the ``tokenizers`` library, with a cache of pieces.
-
-A byte-level BPE never joins the last character of a run of non-space characters
-with the space after it.  So a text may be cut before every space that follows a
-non-space character, and each piece be encoded by itself with the same result.
-Pieces repeat far more often than texts: every distinct piece goes through the
-library once, then its ids are copied.  ``tests/llm`` compare this with encoding
-whole texts.
-"""
+"""Token ids of whole texts by the ``tokenizers`` library, each distinct piece of text encoded once."""
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
-
-#: Pieces kept by a worker before its cache starts anew; only speed depends on it.
-CACHE_PIECES = 400_000
-#: Characters of text that are cut into pieces at a time.
-CHUNK_CHARS = 1_000_000
-_LONG_PIECE = 200
+import pyarrow as pa
+import pyarrow.compute as pc
+
+from lakehand.llm.pieces import ragged, slices, strings
+
+#: Words kept by a worker before its cache starts anew; only speed depends on it.
+CACHE_WORDS = 700_000
+#: Longer words are encoded wherever they occur, so the cache stays small.
+_LONG_WORD = _LONG_PIECE = 200
+#: Pieces whose neighbours do not change their ids: a space before, no white space at the end.
+_PLAIN = r"(?s)^ .*[^\s\v\x1c-\x1f\x{85}\p{Z}]$"
+#: A word that ends in a letter and punctuation.
+_TAIL = r"(?s)^(?P<stem>.*\p{L})(?P<tail>[.,;:!?]+)$"
 #: New pieces that go through the library as one text.
-_JOINED = 200
+_JOINED = 50
 
-_ODD_SPACE = re.compile(r"\s |\s\Z")
-_CUT = re.compile(r"(?<=\S)(?= )")
 _encoders: dict[str, PieceEncoder] = {}
 
 
@@ -41,142 +37,135 @@ def encoder(path: str) -> PieceEncoder:
     return _encoders[path]
 
 
-class PieceEncoder:
-    def __init__(self, path: str):
+class ByteBpe:
+    """A byte-level BPE from a file of the ``tokenizers`` library."""
+
+    def __init__(self, path: str, plain_special: bool = False):
+        """``plain_special``: special tokens' strings in a text are plain text."""
         import os
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self._tok = Tokenizer.from_file(path)
-        added = [t.content for t in self._tok.get_added_tokens_decoder().values()]
-        self._special = re.compile("|".join(map(re.escape, added))) if added else None
-        vocabulary = self._tok.get_vocab()
-        self._bytes = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
-        for token, i in vocabulary.items():     # one character of a byte-level token is one byte
-            self._bytes[i] = len(token)
-        self._clear()
-
-    def _clear(self):
-        self._row: dict[str, int] = {}
-        self._ids = np.zeros(1 << 16, np.uint32)
-        self._off = np.zeros(1 << 15, np.int64)
-        self._used = self._n = 0
-
-    def _library(self, texts: list[str]) -> list[list[int]]:
+        if plain_special:
+            self._tok.encode_special_tokens = True
+        self.special = [t.content for t in self._tok.get_added_tokens_decoder().values()]
+        self.vocabulary = self._tok.get_vocab()
+        self.bytes = np.zeros(max(self.vocabulary.values(), default=0) + 1, np.int64)
+        for token, i in self.vocabulary.items():     # one character of a byte-level token is one byte
+            self.bytes[i] = len(token)
+
+    def library(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self._tok.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _joint_ids(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
-        """Ids and number of ids of pieces that begin with a space and end without one: a cut
-        between two of them is a cut of their joined text, found again by the tokens' bytes."""
-        texts = ["".join(pieces[i:i + _JOINED]) for i in range(0, len(pieces), _JOINED)]
-        flat = np.fromiter(chain.from_iterable(self._library(texts)), np.uint32)
-        ends = np.cumsum(np.fromiter((len(p) if p.isascii() else len(p.encode()) for p in pieces), np.int64, len(pieces)))
-        token_ends = np.cumsum(self._bytes[flat])
+    def _joint(self, pieces: list[str], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+        """Pieces that begin with a space and end without white space are cuts of their joined
+        text, found again by the tokens' bytes."""
+        flat = np.fromiter(chain.from_iterable(self.library(
+            ["".join(pieces[i:i + _JOINED]) for i in range(0, len(pieces), _JOINED)])), np.uint32)
+        ends = np.cumsum(sizes)
+        token_ends = np.cumsum(self.bytes[flat])
         cuts = np.searchsorted(token_ends, ends)
         if len(cuts) and (cuts[-1] != len(flat) - 1 or np.any(token_ends[cuts] != ends)):
             return None
         return flat, np.diff(cuts, prepend=-1)
 
-    def _learn(self, pieces: list[str]):
-        joint = [p for p in pieces if p[:1] == " " and not p[-1:].isspace()]
-        found = self._joint_ids(joint)
-        single = [p for p in pieces if p[:1] != " " or p[-1:].isspace()] if found else pieces
-        joined, joined_sizes = found or (np.zeros(0, np.uint32), np.zeros(0, np.int64))
-        rows = self._library(single)
-        pieces = [*joint, *single] if found else pieces
-        sizes = np.concatenate([joined_sizes, np.fromiter(map(len, rows), np.int64, len(rows))])
-        flat = np.concatenate([joined, np.fromiter(chain.from_iterable(rows), np.uint32)])
+    def pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces, and how many each has."""
+        texts = pa.array(pieces, pa.large_string())
+        sizes = pc.binary_length(texts).to_numpy()
+        plain = pc.match_substring_regex(texts, _PLAIN).to_numpy(zero_copy_only=False) & (sizes <= _LONG_PIECE)
+        joint = self._joint(pieces if plain.all() else strings(texts.filter(pa.array(plain))), sizes[plain])
+        if joint is None:
+            plain[:] = False
+            joint = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        alone = self.library(strings(texts.filter(pa.array(~plain))))
+        size = np.empty(len(pieces), np.int64)
+        size[plain], size[~plain] = joint[1], list(map(len, alone))
+        if not alone:
+            return joint[0], size
+        both = np.concatenate([joint[0], np.fromiter(chain.from_iterable(alone), np.uint32)])
+        start = np.empty(len(pieces), np.int64)
+        start[plain] = np.cumsum(size[plain]) - size[plain]
+        start[~plain] = len(joint[0]) + np.cumsum(size[~plain]) - size[~plain]
+        return both[ragged(start, size)], size
+
+
+class PieceEncoder:
+    """Encodes texts; a letter and punctuation behind it are never one token, so a word's last
+    punctuation is left out of the worker's cache of words."""
+
+    def __init__(self, path: str):
+        self._bpe = ByteBpe(path)
+        self._special = "|".join(map(re.escape, self._bpe.special)) or None
+        self._clear()
+
+    def _clear(self):
+        self._word: dict[str, int] = {}
+        self._tail: dict[str, int] = {"": 0}
+        self._ids = np.zeros(1 << 16, np.uint32)
+        self._off = np.zeros(1 << 15, np.int64)
+        self._used, self._n = 0, 1      # row 0 is empty
+
+    def _learn(self, row: dict[str, int], words: list[str], pieces: list[str]):
+        flat, size = self._bpe.pieces(pieces)
         if self._used + len(flat) > len(self._ids):
             self._ids = np.concatenate([self._ids, np.zeros(max(len(self._ids), len(flat)), np.uint32)])
-        if self._n + len(pieces) + 1 > len(self._off):
-            self._off = np.concatenate([self._off, np.zeros(max(len(self._off), len(pieces) + 1), np.int64)])
+        if self._n + len(words) + 1 > len(self._off):
+            self._off = np.concatenate([self._off, np.zeros(max(len(self._off), len(words) + 1), np.int64)])
         self._ids[self._used:self._used + len(flat)] = flat
-        self._off[self._n + 1:self._n + 1 + len(pieces)] = self._used + np.cumsum(sizes)
-        self._row.update(zip(pieces, range(self._n, self._n + len(pieces)), strict=True))
+        self._off[self._n + 1:self._n + 1 + len(words)] = self._used + np.cumsum(size)
+        row.update(zip(words, range(self._n, self._n + len(words))))
         self._used += len(flat)
-        self._n += len(pieces)
-
-    @staticmethod
-    def _pieces(text: str) -> list[str]:
-        if _ODD_SPACE.search(text):
-            return _CUT.split(text)
-        first, *rest = text.split(" ")
-        return [first, *[" " + x for x in rest]] if first else [" " + x for x in rest]
-
-    @staticmethod
-    def _chunks(text: str) -> Iterator[str]:
-        at = 0
-        while len(text) - at > CHUNK_CHARS:
-            cut = _CUT.search(text, at + CHUNK_CHARS)
-            if not cut:
-                break
-            yield text[at:cut.start()]
-            at = cut.start()
-        yield text[at:] if at else text
-
-    def _cached(self, pieces: list[str]) -> np.ndarray:
-        unknown = set(pieces).difference(self._row)
-        if unknown:
-            if self._n > CACHE_PIECES:
-                self._clear()
-                unknown = set(pieces)
-            self._learn(sorted(unknown))
-        rows = np.fromiter(map(self._row.__getitem__, pieces), np.int64, len(pieces))
+        self._n += len(words)
+
+    def _rows(self, row: dict[str, int], words: list[str], before: str) -> np.ndarray:
+        rows = np.array(list(map(row.get, words, repeat(-1))), np.int64)
+        new = np.flatnonzero(rows < 0)
+        if len(new):
+            unknown = list(dict.fromkeys(words[i] for i in new))
+            self._learn(row, unknown, [before + w for w in unknown])
+            rows[new] = [row[words[i]] for i in new]
+            for w in unknown:
+                if len(w) > _LONG_WORD:
+                    del row[w]
         return rows
 
-    def _gather(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        start = self._off[rows]
-        size = self._off[rows + 1] - start
-        total = np.zeros(len(rows) + 1, np.int64)
-        np.cumsum(size, out=total[1:])
-        at = np.arange(total[-1]) + np.repeat(start - total[:-1], size)
-        return self._ids[at], total
-
-    def _one(self, text: str) -> np.ndarray:
-        """A long text, chunk by chunk."""
-        out = []
-        for chunk in self._chunks(text):
-            pieces = self._pieces(chunk)
-            if max(map(len, pieces)) > _LONG_PIECE:
-                ids = [i for one in self._library(pieces) for i in one]
-                out.append(np.array(ids, np.uint32))
-            else:
-                out.append(self._gather(self._cached(pieces))[0])
-        return np.concatenate(out)
-
-    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
+    def _table(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of words that stand behind a space: all ids, each word's start and number."""
+        if self._n > CACHE_WORDS:
+            self._clear()
+        texts = pa.array(words, pa.large_string())
+        parts = pc.extract_regex(texts, _TAIL)
+        has = pc.is_valid(parts)
+        stem = self._rows(self._word, strings(pc.if_else(has, parts.field("stem"), texts)), " ")
+        ends = pc.if_else(has, parts.field("tail"), "").dictionary_encode()     # a few hundred
+        tail = self._rows(self._tail, strings(ends.dictionary), "")[ends.indices.to_numpy(zero_copy_only=False)]
+        start = np.stack([self._off[stem], self._off[tail]], 1).ravel()
+        size = np.stack([self._off[stem + 1], self._off[tail + 1]], 1).ravel() - start
+        ids = self._ids[ragged(start, size)]
+        size = size.reshape(-1, 2).sum(1)
+        return ids, np.cumsum(size) - size, size
+
+    def encode(self, texts: pa.Array | list[str | None]) -> list[np.ndarray]:
         """Ids of every text (null: empty) as unsigned 32-bit arrays."""
-        out: list[np.ndarray | None] = [None] * len(texts)
-        pieces: list[str] = []
-        counts, rows = [], []
-
-        def flush():
-            nonlocal pieces, counts, rows
-            if rows:
-                ids, total = self._gather(self._cached(pieces))
-                bound = total[np.cumsum([0, *counts])]
-                for k, row in enumerate(rows):
-                    out[row] = ids[bound[k]:bound[k + 1]]
-            pieces, counts, rows = [], [], []
-
-        size = 0
-        for row, text in enumerate(texts):
-            if not text:
-                out[row] = np.zeros(0, np.uint32)
-            elif self._special is not None and self._special.search(text):
-                out[row] = np.array(self._library([text])[0], np.uint32)
-            elif len(text) > CHUNK_CHARS:
-                out[row] = self._one(text)
-            else:
-                own = self._pieces(text)
-                if max(map(len, own)) > _LONG_PIECE:
-                    out[row] = np.array([i for one in self._library(own) for i in one], np.uint32)
-                    continue
-                pieces += own
-                counts.append(len(own))
-                rows.append(row)
-                size += len(text)
-                if size > CHUNK_CHARS:
-                    flush()
-                    size = 0
-        flush()
+        if not isinstance(texts, pa.Array):
+            texts = pa.array(texts, pa.large_string())
+        out: list[np.ndarray] = [np.zeros(0, np.uint32)] * len(texts)
+        for part in slices(texts):
+            known, start, size = self._table(part.words)
+            size = size[part.codes]
+            starts = part.offsets[:-1]
+            heads = None
+            if part.begins:     # what a text begins with has no space before it
+                flat, head_size = self._bpe.pieces([part.words[c] for c in part.codes[starts]])
+                heads = np.split(flat, np.cumsum(head_size)[:-1])
+                size[starts] = 0
+            ids = known[ragged(start[part.codes], size)]
+            bound = np.concatenate([[0], np.cumsum(size)])[part.offsets]
+            for k, row in enumerate(part.rows):
+                found = ids[bound[k]:bound[k + 1]]
+                out[row] = np.concatenate([out[row] if heads is None else heads[k], found])
+        if self._special is not None:
+            for row in np.flatnonzero(pc.fill_null(pc.match_substring_regex(texts, self._special), False)):
+                out[row] = np.array(self._bpe.library([texts[int(row)].as_py()])[0], np.uint32)
         return out
