@@ -16,10 +16,13 @@ common phrase), the windows go by their own hash to as many further blocks as th
 asks for; equal windows still meet.  So a block grows with the input only through one
 and the same window, by one posting a batch.
 
-Parsing then walks a document's runs greedily: a factor grows while the next window
-continues in the same source, the next factor starts where it ends, and the windows
-across a factor's boundary, which the walk jumps over, are looked up as well (they may
-stand whole in a third document).  Words under any window found are duplicate spans.
+Parsing walks a document from left to right: a factor grows while the next window
+continues in the same source; where it ends, the longest match that goes on past its end
+gives the next one.  That match may begin inside the factor before (the windows across
+the boundary are looked up as well, they may stand whole in a third document), and then
+the next factor is what lies behind the boundary; without such a match the words up to
+the next match stay.  Every factor is part of a match of ``width`` words or more, and
+every word of such a match is in a factor: the factors are the duplicate spans.
 
 Windows are compared by 40 hash bits within 32 bits of the anchor's hash and the
 block's number: over 72 bits.
@@ -251,19 +254,32 @@ def found_windows(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 def parse(runs: list[tuple[int, int, int, int]], width: int) -> list[tuple[int, int, int, int]]:
     """Greedy factors (start, words, source document, source start) of one document.
 
-    ``runs``: (start, windows, source, source start).  A run that begins inside the
-    factor before it is cut at that factor's end, unless less than a window is left.
+    ``runs``: (start, windows, source, source start), the matches the index found.  Of the
+    matches that reach past the last factor's end and begin no later than there, the
+    longest gives the next factor, from that end on.
     """
-    out, end = [], 0
-    for start, n, src, src_start in sorted(runs):
-        if out and src == out[-1][2] and start - src_start == out[-1][0] - out[-1][3] and start <= end:
-            end = max(end, start + n + width - 1)
-            out[-1] = (out[-1][0], end - out[-1][0], src, out[-1][3])
-            continue
-        cut = max(end - start, 0)
-        if n - cut > 0:
-            end = start + n + width - 1
-            out.append((start + cut, n + width - 1 - cut, src, src_start + cut))
+    out, end, best, todo = [], 0, None, sorted(runs)
+
+    def close(best):
+        nonlocal end
+        start, stop, src, src_start = best
+        begin = max(start, end)
+        last = out[-1] if out else None
+        if last and begin == end and last[2] == src and last[3] + last[1] == src_start + begin - start:
+            out[-1] = (last[0], stop - last[0], src, last[3])       # goes on in the same source
+        else:
+            out.append((begin, stop - begin, src, src_start + begin - start))
+        end = stop
+
+    for start, n, src, src_start in todo:
+        if best and start > max(end, best[0]):
+            close(best)
+            best = None
+        stop = start + n + width - 1
+        if stop > end and (best is None or stop > best[1]):
+            best = (start, stop, src, src_start)
+    if best:
+        close(best)
     return out
 
 
@@ -275,17 +291,13 @@ def clean_texts(width: int):
                                           batch.column("text").cast(pa.large_binary()).to_pylist(),
                                           batch.column("runs").to_pylist(), strict=True):
                 words = (text or b"").split()
-                n, factors, kept = len(words), [], words
-                if runs:
-                    runs = [(r["start"], r["n"], r["src_doc"], r["src_start"]) for r in runs]
-                    cover = np.zeros(n + 1, np.int64)
-                    for start, count, _, _ in runs:
-                        cover[start] += 1
-                        cover[start + count + width - 1] -= 1
-                    gone = np.cumsum(cover)[:n] > 0
-                    kept = [w for w, x in zip(words, gone.tolist()) if not x]
-                    factors = parse(runs, width)
-                out.append((doc_id, n, n - len(kept), hashlib.sha256(b" ".join(kept)).hexdigest(),
+                factors = parse([(r["start"], r["n"], r["src_doc"], r["src_start"]) for r in runs or []], width)
+                kept, at = [], 0
+                for start, size, _, _ in factors:
+                    kept += words[at:start]
+                    at = start + size
+                kept += words[at:]
+                out.append((doc_id, len(words), len(words) - len(kept), hashlib.sha256(b" ".join(kept)).hexdigest(),
                             [dict(zip(("start", "words", "src_doc", "src_start"), f)) for f in factors]))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 5, (
