@@ -1,53 +1,16 @@
-"""Join helpers: dimension lookups with a proven broadcast bound."""
+"""Dimension lookups (J1): a plain join that AQE plans, and one that salts measured hot keys."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakehand.constants import SCD_CURRENT
 
-DEFAULT_BROADCAST_ROWS = 2_000_000
-DEFAULT_BROADCAST_BYTES = 256 * 1024 * 1024
-_STRING_BYTES = 64          # assumed average width of a string/binary value
-
-
-def row_bytes(df: DataFrame) -> int:
-    """Estimated bytes per row from the schema (fixed-width types exact)."""
-    from pyspark.sql import types as T
-    total = 0
-    for f in df.schema.fields:
-        dt = f.dataType
-        if isinstance(dt, (T.StringType, T.BinaryType)):
-            total += _STRING_BYTES
-        elif isinstance(dt, (T.ArrayType, T.MapType, T.StructType)):
-            total += 4 * _STRING_BYTES
-        elif isinstance(dt, (T.BooleanType, T.ByteType)):
-            total += 1
-        elif isinstance(dt, T.ShortType):
-            total += 2
-        elif isinstance(dt, (T.IntegerType, T.FloatType, T.DateType)):
-            total += 4
-        elif isinstance(dt, T.DecimalType):
-            total += 16
-        else:                                   # long, double, timestamps
-            total += 8
-    return max(total, 8)
-
-
-def broadcast_budget(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                     max_bytes: int = DEFAULT_BROADCAST_BYTES) -> int:
-    """Row bound for broadcasting ``df``: the row cap, tightened for wide rows."""
-    return max(1, min(max_rows, max_bytes // row_bytes(df)))
-
-
-def bounded_rows(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    The probe reads at most ``max_rows + 1`` rows (a LIMIT job), so it stays cheap
-    even when the side turns out to be large.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
+#: A key with more than this share of all rows is hot; there are at most 1 / HOT_SHARE of them.
+HOT_SHARE = 1 / 1000
 
 
 def salted_join(fact: DataFrame, dim: DataFrame, on, how: str = "inner", salt_buckets: int = 16) -> DataFrame:
@@ -62,25 +25,47 @@ def salted_join(fact: DataFrame, dim: DataFrame, on, how: str = "inner", salt_bu
     return salted.join(rep, on + ["__salt"], how).drop("__salt")
 
 
+def hot_keys(fact: DataFrame, on: list[str], share: float = HOT_SHARE) -> DataFrame:
+    """The keys that more than ``share`` of all rows hold, so ``1 / share`` rows at most.
+
+    Rows are counted per key, combined before the shuffle, and compared with their number in
+    one plan; nothing comes to the driver.
+    """
+    counts = fact.groupBy(*on).agg(F.count(F.lit(1)).alias("__n"))
+    return counts.where(F.col("__n") > fact.agg(F.count(F.lit(1))).scalar() * F.lit(share)).select(*on)
+
+
+def hot_salted_join(fact: DataFrame, dim: DataFrame, on, how: str = "inner", salt_buckets: int = 16,
+                    share: float = HOT_SHARE) -> DataFrame:
+    """Equi-join in which only measured hot keys are salted: their rows go to ``salt_buckets`` tasks by a
+    hash of the row, and the dimension's rows of these keys alone are copied.  The hot keys are
+    broadcast; their number is bounded by ``share``, whatever the fact's size."""
+    on = [on] if isinstance(on, str) else list(on)
+    hot = F.broadcast(hot_keys(fact, on, share).select(*[F.col(c).alias(f"__h{i}") for i, c in enumerate(on)], F.lit(True).alias("__hot")))
+    is_hot = reduce(lambda x, y: x & y, [F.col(c) == F.col(f"__h{i}") for i, c in enumerate(on)])
+    drop = ["__hot", *[f"__h{i}" for i in range(len(on))]]
+    salt = F.when(F.col("__hot"), F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in fact.columns]), F.lit(salt_buckets))).otherwise(0)
+    copies = F.when(F.col("__hot"), F.sequence(F.lit(0).cast("long"), F.lit(salt_buckets - 1).cast("long"))).otherwise(F.array(F.lit(0).cast("long")))
+    salted = fact.join(hot, is_hot, "left").withColumn("__salt", salt.cast("long")).drop(*drop)
+    spread = dim.join(hot, is_hot, "left").withColumn("__salt", F.explode(copies)).drop(*drop)
+    return salted.join(spread, [*on, "__salt"], how).drop("__salt")
+
+
 def lookup(fact: DataFrame, dim: DataFrame, on, how: str = "inner", versions: str = "current",
-           max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, dim_columns=None,
-           salt_buckets: int | None = None) -> DataFrame:
+           dim_columns=None, salt_buckets: int | None = None) -> DataFrame:
     """Fact -> dimension lookup on (natural key, organisation) columns.
 
     ``versions="current"`` joins only current dimension rows, so dimension history
-    cannot multiply facts; ``"all"`` keeps the reference behaviour (N6).  The
-    dimension is broadcast only after :func:`bounded_rows` proves its size; beyond
-    the bound it is a shuffle join, where AQE's skew handling splits hot fact keys
-    (the dimension side has one row per key, so hot keys live on the fact side);
-    ``salt_buckets`` salts the fact side explicitly instead (:func:`salted_join`).
+    cannot multiply facts; ``"all"`` keeps the reference behaviour (N6).  The join is
+    AQE's to plan: it broadcasts a dimension whose measured size allows it and splits skewed
+    partitions.  ``salt_buckets`` spreads measured hot keys before that
+    (:func:`hot_salted_join`), for keys that one split of a partition cannot relieve.
     """
     on = [on] if isinstance(on, str) else list(on)
     if versions == "current" and SCD_CURRENT in dim.columns:
         dim = dim.where(F.col(SCD_CURRENT) == 1)
     if dim_columns:
         dim = dim.select(*on, *[c for c in dim_columns if c not in on])
-    if bounded_rows(dim, broadcast_budget(dim, max_broadcast_rows)):
-        return fact.join(F.broadcast(dim), on, how)
     if salt_buckets and how in ("inner", "left", "left_outer", "left_semi", "left_anti"):
-        return salted_join(fact, dim, on, how, salt_buckets)
+        return hot_salted_join(fact, dim, on, how, salt_buckets)
     return fact.join(dim, on, how)

@@ -12,9 +12,8 @@ keys are unique on both sides of it (one current version per key; duplicated
 source keys are rejected by :func:`check_unique_keys` before a save), so no key
 can be hot.  Rows whose key is NULL never match anything, so they are routed
 around the join instead of all hashing into one partition.  Stored history is
-only consulted for the batch's keys: a proven-small batch is broadcast and the
-history filtered map-side.  The SCD1 merges broadcast a proven-small batch the
-same way, so the target is never shuffled for them.
+only consulted for the batch's keys.  Which side of these joins is broadcast is left to
+the planner, which knows the sizes.
 """
 
 from __future__ import annotations
@@ -24,7 +23,6 @@ from pyspark.sql import functions as F
 
 from lakehand.constants import SCD_BATCH, SCD_CREATED, SCD_CURRENT, SCD_ENDED
 from lakehand.functions.scalar import any_of, ts_lit
-from lakehand.operators.joins import DEFAULT_BROADCAST_ROWS, bounded_rows, broadcast_budget
 from lakehand.operators.keys import (_as_list, batch_key, composite_key, inject_sk, key_time_text,
                                      scd_columns)
 
@@ -108,8 +106,7 @@ def evolve_target(target: DataFrame, source: DataFrame, bk, sk: str | None = Non
 def scd2_apply(target: DataFrame, source: DataFrame, bk, sk: str, start, end=None, *,
                null_safe: bool = True, with_batch_key: bool | None = None, reopen: bool = False,
                hash_method: str | None = None, close_batch_from: str = "closed",
-               compare=None, with_action: bool = False, evolve: bool = False,
-               max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+               compare=None, with_action: bool = False, evolve: bool = False) -> DataFrame:
     """Type 2 merge of ``source`` (plain rows with the business key) into ``target``.
 
     Per business key:
@@ -148,12 +145,10 @@ def scd2_apply(target: DataFrame, source: DataFrame, bk, sk: str, start, end=Non
     kcols = [f"__k{i}" for i in range(len(keys))]
     s = src_nn.select(*[F.col(k).alias(a) for k, a in zip(keys, kcols)], F.struct(*cols).alias("s"))
     if not reopen:
-        # keys with stored history: only those the batch mentions matter, so a
-        # proven-small batch's keys are broadcast and the history is filtered map-side
+        # keys with stored history: only those the batch mentions matter (a small batch's keys are
+        # broadcast by their size, and the history filtered where it is read)
         hist = target.where(~is_cur & nn).select(*[F.col(k).alias(a) for k, a in zip(keys, kcols)])
-        batch_keys = s.select(*kcols)
-        if bounded_rows(batch_keys, broadcast_budget(batch_keys, max_broadcast_rows)):
-            hist = hist.join(F.broadcast(batch_keys), kcols, "left_semi")
+        hist = hist.join(s.select(*kcols), kcols, "left_semi")
         closed_keys = hist.distinct().withColumn("__hist", F.lit(True))
         s = s.join(closed_keys, kcols, "left")
     else:
@@ -227,30 +222,23 @@ def scd2_staged_rows(source: DataFrame, target: DataFrame, bk, null_safe: bool =
             .unionByName(source.select(key.alias(merge_key), *source.columns)))
 
 
-def scd1_upsert(target: DataFrame, source: DataFrame, keys,
-                max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def scd1_upsert(target: DataFrame, source: DataFrame, keys) -> DataFrame:
     """Update-all / insert-all merge on the key columns (D6).  The key is required."""
     keys = _as_list(keys)
     if not keys:
         raise ValueError("scd1_upsert needs the business key columns")
     src = source.select(target.columns)
     nn = _key_not_null(keys)
-    src_keys = src.where(nn).select(*keys)
-    if bounded_rows(src_keys, broadcast_budget(src_keys, max_broadcast_rows)):   # small batch: no target shuffle
-        src_keys = F.broadcast(src_keys)
-    kept = target.where(nn).join(src_keys, keys, "left_anti").select(target.columns)
+    kept = target.where(nn).join(src.where(nn).select(*keys), keys, "left_anti").select(target.columns)
     return kept.unionByName(target.where(~nn)).unionByName(src)
 
 
-def scd1_update(target: DataFrame, source: DataFrame, bk, sk: str | None = None,
-                max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def scd1_update(target: DataFrame, source: DataFrame, bk, sk: str | None = None) -> DataFrame:
     """Overwrite non-key columns on a key match in *every* version; no inserts."""
     keys = _as_list(bk)
     sys_cols = system_columns(sk, keys)
     attrs = [c for c in target.columns if c not in sys_cols and c in source.columns]
     s = source.select(*keys, *[F.col(c).alias(f"__s_{c}") for c in attrs]).withColumn("__m", F.lit(True))
-    if bounded_rows(s, broadcast_budget(s, max_broadcast_rows)):   # small batch: every version stays in place
-        s = F.broadcast(s)
     j = target.join(s, keys, "left")
     return j.select([
         F.when(F.col("__m"), F.col(f"__s_{c}")).otherwise(F.col(c)).cast(target.schema[c].dataType).alias(c)

@@ -50,33 +50,45 @@ def partition_agg(df: DataFrame, keys, aggs: dict[str, Column]) -> DataFrame:
     return df.join(g, on, "left").drop(*[f"__g_{k}" for k in keys])
 
 
-SMALL_ROWS = 2_000_000
+def rank_in_buckets(values: DataFrame, keys, value: str, bucket: Column, out: str, desc: bool = False) -> DataFrame:
+    """DENSE_RANK of distinct ``values`` (columns ``keys`` and ``value``) per key, without a task that
+    holds a whole key: rows are numbered inside their bucket, and the buckets before it, a
+    small table of counts, are added.  ``bucket`` must rise with the value (NULL for NULL):
+    the hour of a time, the high digits of a number.  NULL is first, or last with ``desc``.
+    """
+    keys = _cols(keys)
+    direction = (lambda c: F.col(c).desc_nulls_last()) if desc else (lambda c: F.col(c).asc_nulls_first())
+    inside = Window.partitionBy(*keys, "__b").orderBy(direction(value))
+    rows = values.withColumn("__b", bucket).withColumn("__rn", F.row_number().over(inside))
+    names = [f"__k{i}" for i in range(len(keys))]
+    held = values.withColumn("__b", bucket).groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names)], "__b").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.partitionBy(*(names or [F.lit(1)])).orderBy(direction("__b")).rowsBetween(Window.unboundedPreceding, -1)
+    held = held.withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n").withColumnRenamed("__b", "__hb")
+    on = F.col("__b").eqNullSafe(F.col("__hb"))
+    for k, n in zip(keys, names):
+        on = on & F.col(k).eqNullSafe(F.col(n))
+    return rows.join(held, on).select(*keys, value, (F.col("__rn") + F.col("__before")).cast("int").alias(out))
 
 
 def rank_within(df: DataFrame, group, order, out: str, method: str = "dense_rank",
-                num_partitions: int | None = None, small_rows: int = SMALL_ROWS) -> DataFrame:
-    """RANK-family number per group that does not put a hot group into one task.
+                num_partitions: int | None = None) -> DataFrame:
+    """RANK-family number per group that does not put a hot group into one task, for orders that
+    :func:`rank_in_buckets` has no bucket for.
 
     1. range-partition on (group, order): a hot group spans several partitions and
        equal (group, order) keys always share one;
     2. number rows locally per (group, partition);
     3. per (group, partition) counts -> prefix sums over the partitions of a group
        (a tiny table) -> add as offsets.
-    ``method`` is ``dense_rank`` or ``row_number``.
-
-    When the whole input is proven to hold at most ``small_rows`` rows a plain
-    window is used (no group can be larger).  The range-split frame is
+    ``method`` is ``dense_rank`` or ``row_number``.  The range-split frame is
     checkpointed to the shared checkpoint folder: range bounds come from sampling,
     so both uses of the frame must read one materialisation.
     """
-    from lakehand.operators.joins import bounded_rows
     from lakehand.session import cut_lineage
     group = _cols(group)
     orders = order if isinstance(order, (list, tuple)) else [order]
     o = [F.col(x) if isinstance(x, str) else x for x in orders]
     local = F.dense_rank() if method == "dense_rank" else F.row_number()
-    if small_rows and bounded_rows(df, small_rows):
-        return df.withColumn(out, local.over(Window.partitionBy(*group).orderBy(*o)).cast("int"))
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     r = df.repartitionByRange(n, *[F.col(g) for g in group], *o).withColumn("__pid", F.spark_partition_id())
     w = Window.partitionBy(*group, "__pid").orderBy(*o)
@@ -95,11 +107,10 @@ def rank_within(df: DataFrame, group, order, out: str, method: str = "dense_rank
         "__pid", "__opid", "__local", "__off", *[f"__g_{g}" for g in group])
 
 
-def dense_rank_global(df: DataFrame, order_col: str, out: str, desc: bool = False,
-                      small_rows: int = SMALL_ROWS) -> DataFrame:
+def dense_rank_global(df: DataFrame, order_col: str, out: str, desc: bool = False) -> DataFrame:
     """DENSE_RANK() over the whole table (W8) without a one-partition window:
     the distinct values are ranked by :func:`rank_within` and joined back."""
     vals = df.select(order_col).distinct().withColumn("__all", F.lit(1))
     o = F.col(order_col).desc_nulls_last() if desc else F.col(order_col).asc_nulls_first()
-    ranked = rank_within(vals, "__all", o, out, small_rows=small_rows).drop("__all").withColumnRenamed(order_col, "__v")
+    ranked = rank_within(vals, "__all", o, out).drop("__all").withColumnRenamed(order_col, "__v")
     return df.join(ranked, df[order_col].eqNullSafe(ranked["__v"]), "left").drop("__v")

@@ -264,6 +264,16 @@ def fact_lookup_sk(spark, sf_dir):
                   dim_columns=[SK, "c_mktsegment"])
 
 
+@query
+def fact_lookup_hot_key(spark, sf_dir):
+    """J1 with measured hot keys: half of the orders are of one customer, only its key is salted."""
+    from lakehand.operators.joins import lookup
+    t = _t(spark, sf_dir)
+    key = F.when(F.col("o_orderkey") % 2 == 0, F.lit(1)).otherwise(F.col("o_custkey"))
+    fact = t.orders.select("o_orderkey", key.cast("string").alias(BK), "o_totalprice")
+    return lookup(fact, dim_merge(t), BK, dim_columns=[SK, "c_mktsegment"], salt_buckets=16)
+
+
 @query
 def revenue_by_segment(spark, sf_dir):
     """Flagship: sentinels -> keys -> SCD2 x2 -> current SK lookup -> revenue by segment."""
@@ -690,6 +700,19 @@ def batch_rollup(spark, sf_dir):
         "BatchTaskRank", "BatchSystemRank", "BatchRank")
 
 
+@query
+def rollup_from_deltas(spark, sf_dir):
+    """V2/V3: the roll-up state after three deltas of status rows, merged one into the other."""
+    from lakehand.plans.monitor import levels, merge_states, source_state, task_status
+    s, m, _ = _mon(_t(spark, sf_dir))
+    tasks = task_status(s, m, TS2)
+    part = lambda k: tasks.where(F.col("ID") % 3 == k)  # noqa: E731  (all three are merged)
+    state = source_state(part(0))
+    for k in (1, 2):
+        state = merge_states(state, source_state(part(k)))
+    return levels(state, TS2)
+
+
 @query
 def latest_batch_flag(spark, sf_dir):
     """Global dense rank of batch ends and the latest-batch flag."""

@@ -3,50 +3,32 @@
 ``as_of`` replaces the reference's "now" so results are reproducible; durations
 are whole seconds (bigint) instead of TIME values that wrap at 24 h (N11).
 
-Scale: one job measures the largest batch (``batch_shape``).  When it is within
-``GROUP_ROWS_LIMIT`` rows, the PARTITION BY aggregates and DENSE_RANKs are plain
-windows that share one shuffle.  Otherwise, the aggregates become grouped
-aggregates joined back (:func:`partition_agg`), and the ranks use
-:func:`rank_within`, which spreads a batch or system holding a third of all rows
-over many tasks.  The per-task log facts are always one grouped pass with
-``max_by``/``min_by`` (partial aggregation, no sort of a task's logs).  Each log
-message is parsed once into a fixed schema.
+One plan at every size.  Task counts become a *state*: one row per (batch, system,
+source) with sums, counts, least and greatest times (:func:`source_state`).  States merge
+by adding up, so new status rows are rolled up alone and merged into the stored state
+(:func:`merge_states`).  System and batch figures are sums over a batch's state rows, a
+row per source however many tasks, and one join brings all levels back to the tasks.
+Stage ranks number the distinct times hour by hour (:func:`rank_in_buckets`), so a batch or
+system that holds a third of all tasks is in no task as a whole.  Log facts are numbers
+first (greatest and least ids per task, a hash aggregate), then two lookups by log id.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakehand.constants import COPY_ACTIVITY, STATUS_FAIL_ALIASES, STATUS_IN_PROGRESS, STATUS_SUCCESS
 from lakehand.functions.scalar import (duration_seconds, fixed2, json_value, quarter_label, scaled_units,
                                        strip_crlf, ts_lit)
-from lakehand.operators.joins import bounded_rows, broadcast_budget, lookup
-from lakehand.operators.windows import dense_rank_global, latest_per_key, partition_agg, rank_within
+from lakehand.operators.joins import lookup
+from lakehand.operators.windows import latest_per_key, rank_in_buckets
 
 MB = 1048576
 RUN_OUTPUT_SCHEMA = ("struct<Output: struct<runOutput: struct<CuratedTransform: "
                      "struct<Destination: string, Tables: array<string>>>>>")
-# A window over one partition key group runs in one task; above this many rows in
-# the largest batch the skew-safe (range-split) path is used instead.
-GROUP_ROWS_LIMIT = 2_000_000
-
-
-def batch_shape(tasks: DataFrame) -> tuple[int, int]:
-    """(rows in the largest batch, number of distinct batch end times) in one job:
-    a partial-aggregated count and MAX(EndedDTS) per batch, reduced to two numbers."""
-    per = tasks.groupBy("BatchID").agg(F.count(F.lit(1)).alias("n"), F.max("EndedDTS").alias("e"))
-    r = per.agg(F.max("n").alias("mx"), F.count_distinct("e").alias("ends"),
-                F.count_if(F.col("e").isNull()).alias("null_ends")).first()
-    return int(r["mx"] or 0), int(r["ends"] or 0) + (1 if r["null_ends"] else 0)
-
-
-def hot_groups(tasks: DataFrame, limit: int = GROUP_ROWS_LIMIT) -> bool:
-    """True when the largest batch (the widest PARTITION BY used here) exceeds ``limit``
-    rows.  One partial-aggregated count per batch; one number reaches the driver."""
-    return batch_shape(tasks)[0] > limit
-
-
 _COUNTERS = "dataRead string, dataWritten string, rowsRead string, rowsCopied string, copyDuration string, " \
             "throughput string"
 # Fields the views read from a log message.  String-typed fields keep the JSON text
@@ -105,28 +87,25 @@ def log_parsed(log: DataFrame, size_path: str = "$", divisor: int = MB) -> DataF
 
 
 def task_log_facts(log: DataFrame, divisor: int = MB) -> DataFrame:
-    """W2 + W3 + W4 on the log: per extract task its last log (run id, status,
-    error), its log count and the sizes from its first copy log - one grouped pass."""
+    """W2 + W3 + W4 on the log: per extract task its last log (run id, status, error), its log count and
+    the sizes from its first copy log.
+
+    The ids are a hash aggregate over numbers; a task with a third of all logs is one partial
+    row per input partition.  The two logs are then found by their id, which no two share.
+    """
     lg = log.where(F.col("ExtractLoadStatusID").isNotNull())
     is_copy = F.col("ActivityType").isin(COPY_ACTIVITY)
-    g = lg.groupBy("ExtractLoadStatusID").agg(
-        F.max_by(strip_crlf("Message"), F.col("ID")).alias("__last"),
-        F.count(F.lit(1)).alias("Logs"),
-        F.min_by(F.col("Message"), F.when(is_copy, F.col("ID"))).alias("__copy"),
-        F.max(F.col("ID")).alias("LastLogID"),
-        F.min(F.when(is_copy, F.col("ID"))).alias("FirstCopyLogID"),
-    )
-    # parse each message once in its own projection, then read fields
-    g = g.select("*", parse_message(F.col("__last")).alias("__pl"), parse_message(F.col("__copy")).alias("__pc"))
-    last, copy = F.col("__pl"), F.col("__pc")
-    return g.select(
-        "ExtractLoadStatusID", "Logs", "LastLogID", "FirstCopyLogID",
-        _scalar(last["PipelineRunId"]).alias("JsonPipelineRunId"),
-        _scalar(last["Status"]).alias("Status"),
-        _error(last).alias("Error"),
-        scaled_units(_scalar(copy["Output"]["dataRead"]).try_cast("decimal(16,2)"), divisor).alias("DataRead"),
-        scaled_units(_scalar(copy["Output"]["dataWritten"]).try_cast("decimal(16,2)"), divisor).alias("DataWritten"),
-    )
+    ids = lg.groupBy("ExtractLoadStatusID").agg(F.count(F.lit(1)).alias("Logs"), F.max("ID").alias("LastLogID"),
+                                                F.min(F.when(is_copy, F.col("ID"))).alias("FirstCopyLogID"))
+    msg = lg.select("ID", "ActivityType", parse_message(strip_crlf("Message")).alias("__p"))
+    p = F.col("__p")
+    last = msg.select(F.col("ID").alias("LastLogID"), _scalar(p["PipelineRunId"]).alias("JsonPipelineRunId"),
+                      _scalar(p["Status"]).alias("Status"), _error(p).alias("Error"))
+    size = lambda k: scaled_units(_scalar(p["Output"][k]).try_cast("decimal(16,2)"), divisor)
+    copy = msg.where(is_copy).select(F.col("ID").alias("FirstCopyLogID"), size("dataRead").alias("DataRead"),
+                                     size("dataWritten").alias("DataWritten"))
+    return ids.join(last, "LastLogID", "left").join(copy, "FirstCopyLogID", "left").select(
+        "ExtractLoadStatusID", "Logs", "LastLogID", "FirstCopyLogID", "JsonPipelineRunId", "Status", "Error", "DataRead", "DataWritten")
 
 
 def task_status(status: DataFrame, manifest: DataFrame, as_of) -> DataFrame:
@@ -167,108 +146,100 @@ STAGE_RANKS = {"RawStartRank": "RawStartDTS", "RawEndRank": "RawEndDTS",
                "TrustedStartRank": "TrustedStartDTS", "TrustedEndRank": "TrustedEndDTS"}
 
 
-def stage_ranks(tasks: DataFrame, skew_safe: bool | None = None) -> DataFrame:
-    """DENSE_RANK of each stage start/end within (BatchID, SystemCode), NULLs first.
-
-    Bounded groups: four windows sharing one shuffle.  Hot groups: ranked on the
-    distinct (batch, system, time) values with :func:`rank_within` and joined back.
-    """
+def stage_ranks(tasks: DataFrame) -> DataFrame:
+    """DENSE_RANK of each stage start/end within (BatchID, SystemCode), NULLs first."""
     g = ["BatchID", "SystemCode"]
-    if skew_safe is None:
-        skew_safe = hot_groups(tasks)
-    if not skew_safe:
-        w = Window.partitionBy(*g)
-        return tasks.withColumns({n: F.dense_rank().over(w.orderBy(F.col(c).asc_nulls_first()))
-                                  for n, c in STAGE_RANKS.items()})
     out = tasks
     for name, col in STAGE_RANKS.items():
-        vals = tasks.select(*g, F.col(col).alias("__v")).distinct()
-        r = rank_within(vals, g, F.col("__v").asc_nulls_first(), name, small_rows=0)
-        r = r.select(*[F.col(x).alias(f"__r_{x}") for x in g], F.col("__v").alias("__rv"), name)
-        on = out[col].eqNullSafe(r["__rv"])
-        for x in g:
-            on = on & out[x].eqNullSafe(r[f"__r_{x}"])
-        out = out.join(r, on, "left").drop("__rv", *[f"__r_{x}" for x in g])
+        times = tasks.select(*g, F.col(col).alias("__t")).distinct()
+        r = rank_in_buckets(times, g, "__t", F.date_trunc("HOUR", "__t"), name)
+        r = r.select(F.col("BatchID").alias("__rb"), F.col("SystemCode").alias("__rs"), "__t", name)
+        on = (F.col("BatchID").eqNullSafe(F.col("__rb")) & F.col("SystemCode").eqNullSafe(F.col("__rs")) & F.col(col).eqNullSafe(F.col("__t")))
+        out = out.join(r, on).drop("__rb", "__rs", "__t")
     return out
 
 
-def _windowed(df: DataFrame, keys, aggs: dict) -> DataFrame:
-    w = Window.partitionBy(*keys)
-    return df.withColumns({n: c.over(w) for n, c in aggs.items()})
+STATE_KEYS = ["BatchID", "SystemCode", "SourceID"]
+_FLAGS = ["Pending", "InProgress", "Success", "Fail"]
+_SUMS = [*[f"{c}Tasks" for c in _FLAGS], "FinishedTasks", "TotalTasks", "Rows"]
 
 
-def system_rollup(tasks: DataFrame, as_of, skew_safe: bool | None = None) -> DataFrame:
-    """W4-W6 at system level (BatchID, SystemCode), with the reference's completed count.
+def source_state(tasks: DataFrame) -> DataFrame:
+    """V2: the mergeable state of tasks, a row per (batch, system, source): sums of the flags, finished and
+    counted tasks, rows, first start and last end."""
+    return tasks.groupBy(*STATE_KEYS).agg(
+        *[F.sum(c).alias(f"{c}Tasks") for c in _FLAGS], F.sum(F.col("Success") + F.col("Fail")).alias("FinishedTasks"),
+        F.count("ID").alias("TotalTasks"), F.count(F.lit(1)).alias("Rows"), F.min("CreatedDTS").alias("StartDTS"),
+        F.max("EndedDTS").alias("EndDTS"))
 
-    ``skew_safe``: grouped aggregates joined back instead of window aggregates.
-    """
-    now = ts_lit(as_of)
-    g = ["BatchID", "SystemCode"]
-    if skew_safe is None:
-        skew_safe = hot_groups(tasks)
-    agg = partition_agg if skew_safe else _windowed
-    t = agg(tasks, g, {
-        "SystemPendingTasks": F.sum("Pending"), "SystemInProgressTasks": F.sum("InProgress"),
-        "SystemSuccessTasks": F.sum("Success"), "SystemFailTasks": F.sum("Fail"),
-        "SystemTotalTasks": F.count("ID"), "SystemStartDTS": F.min("CreatedDTS"),
-        "SystemEndDTS": F.max("EndedDTS"), "SystemFinishedTasks": F.sum(F.col("Success") + F.col("Fail")),
-    })
-    t = agg(t, g + ["SourceID"], {"__n_src": F.count(F.lit(1))})
-    # SUM(COALESCE(SystemSuccessTasks, SystemFailTasks)) OVER (batch, system, source): a constant summed per row
-    t = t.withColumn("SystemCompletedTasks",
-                     F.coalesce(F.col("SystemSuccessTasks"), F.col("SystemFailTasks")) * F.col("__n_src")).drop("__n_src")
-    done = (F.col("SystemCompletedTasks") == F.col("SystemTotalTasks")) & F.col("SystemEndDTS").isNotNull()
-    return t.withColumns({
-        "SystemDuration": duration_seconds("SystemStartDTS", "SystemEndDTS", now),
-        "SystemStatus": F.when(done, F.lit("Completed")).otherwise(F.lit(STATUS_IN_PROGRESS)),
-    })
 
+def merge_states(*states: DataFrame) -> DataFrame:
+    """The state of the tasks of all ``states`` together; a new batch of status rows is rolled up alone
+    and merged in, no earlier row is read again."""
+    return reduce(DataFrame.unionByName, states).groupBy(*STATE_KEYS).agg(
+        *[F.sum(c).alias(c) for c in _SUMS], F.min("StartDTS").alias("StartDTS"), F.max("EndDTS").alias("EndDTS"))
 
-def batch_rollup(tasks: DataFrame, as_of, skew_safe: bool | None = None,
-                 ends_small: bool | None = None) -> DataFrame:
-    """W4-W6 at batch level, batch status, and the batch-level ranks."""
-    now = ts_lit(as_of)
-    if skew_safe is None:
-        skew_safe = hot_groups(tasks)
-    agg = partition_agg if skew_safe else _windowed
-    t = agg(tasks, ["BatchID"], {
-        "BatchPendingTasks": F.sum("Pending"), "BatchInProgressTasks": F.sum("InProgress"),
-        "BatchSuccessTasks": F.sum("Success"), "BatchFailTasks": F.sum("Fail"),
-        "BatchCompletedTasks": F.sum(F.col("Success") + F.col("Fail")), "BatchTotalTasks": F.count("ID"),
-        "BatchStartDTS": F.min("CreatedDTS"), "BatchEndDTS": F.max("EndedDTS"),
-    })
-    done = (F.col("BatchCompletedTasks") == F.col("BatchTotalTasks")) & F.col("BatchEndDTS").isNotNull()
-    t = t.withColumns({
-        "BatchDuration": duration_seconds("BatchStartDTS", "BatchEndDTS", now),
-        "BatchStatus": F.when(done, F.lit("Completed")).otherwise(F.lit(STATUS_IN_PROGRESS)),
-        # DENSE_RANK over (batch, system) ordered by SystemEndDTS, constant in that partition.
-        "BatchSystemRank": F.lit(1),
-    })
-    if "TrustedEndRank" in t.columns:
-        # DENSE_RANK over the batch ordered by TrustedEndRank: every system's ranks are
-        # dense from 1, so the batch's distinct values are 1..max and the rank is the value.
-        t = t.withColumn("BatchTaskRank", F.col("TrustedEndRank"))
-    return batch_rank(t, tasks, small=ends_small)
 
+def without_batches(state: DataFrame, batches: DataFrame) -> DataFrame:
+    """A state without some batches: tasks that changed after they were counted are rolled up again with
+    all tasks of their batch (least and greatest times cannot be taken back)."""
+    return state.join(batches.select("BatchID").distinct(), "BatchID", "left_anti")
 
-def batch_rank(t: DataFrame, tasks: DataFrame | None = None, limit: int = GROUP_ROWS_LIMIT,
-               small: bool | None = None) -> DataFrame:
-    """DENSE_RANK() OVER (ORDER BY BatchEndDTS DESC) without ranking every row.
 
-    The distinct batch ends (one MAX(EndedDTS) per batch, a cheap aggregate of the
-    input tasks) are ranked - one window when their count is proven small, else
-    :func:`dense_rank_global` - and joined back (broadcast when small).
+def levels(state: DataFrame, as_of) -> DataFrame:
+    """V2/V3: system and batch figures from a state, on a row per (batch, system, source).
+
+    A batch's rows here are its sources, so its window is as large as the manifest at most.
     """
-    if tasks is not None:
-        ends = tasks.groupBy("BatchID").agg(F.max("EndedDTS").alias("__e")).select("__e").distinct()
-    else:
-        ends = t.select(F.col("BatchEndDTS").alias("__e")).distinct()
-    if small is None:
-        small = bounded_rows(ends, min(limit, broadcast_budget(ends)))
-    if small:
-        ranked = ends.withColumn("BatchRank", F.dense_rank().over(Window.orderBy(F.col("__e").desc_nulls_last())))
-        return t.join(F.broadcast(ranked), t["BatchEndDTS"].eqNullSafe(ranked["__e"]), "left").drop("__e")
-    return dense_rank_global(t, "BatchEndDTS", "BatchRank", desc=True)
+    now = ts_lit(as_of)
+    out = state
+    for level, keys in (("System", ["BatchID", "SystemCode"]), ("Batch", ["BatchID"])):
+        w = Window.partitionBy(*keys)
+        names = {c: f"{level}{c}" for c in _SUMS if c != "Rows"}
+        out = out.withColumns({n: F.sum(c).over(w) for c, n in names.items()}
+                              | {f"{level}StartDTS": F.min("StartDTS").over(w), f"{level}EndDTS": F.max("EndDTS").over(w)})
+    # a system's completed count is its success count once for every task of the source
+    out = out.withColumn("SystemCompletedTasks", F.coalesce("SystemSuccessTasks", "SystemFailTasks") * F.col("Rows"))
+    out = out.withColumnRenamed("BatchFinishedTasks", "BatchCompletedTasks")
+    for level in ("System", "Batch"):
+        done = (F.col(f"{level}CompletedTasks") == F.col(f"{level}TotalTasks")) & F.col(f"{level}EndDTS").isNotNull()
+        out = out.withColumns({
+            f"{level}Duration": duration_seconds(f"{level}StartDTS", f"{level}EndDTS", now),
+            f"{level}Status": F.when(done, F.lit("Completed")).otherwise(F.lit(STATUS_IN_PROGRESS))})
+    ends = state.groupBy("BatchID").agg(F.max("EndDTS").alias("__e")).select("__e").distinct()
+    ranked = rank_in_buckets(ends, [], "__e", F.date_trunc("MONTH", "__e"), "BatchRank", desc=True)
+    out = out.join(ranked, F.col("BatchEndDTS").eqNullSafe(F.col("__e"))).drop("__e")
+    # DENSE_RANK over (batch, system) ordered by SystemEndDTS is constant in that partition
+    return out.withColumn("BatchSystemRank", F.lit(1)).drop(*_SUMS, "StartDTS", "EndDTS")
+
+
+SYSTEM_COLUMNS = [f"System{c}" for c in ("PendingTasks", "InProgressTasks", "SuccessTasks", "FailTasks", "TotalTasks", "StartDTS", "EndDTS",
+                                         "FinishedTasks", "CompletedTasks", "Duration", "Status")]
+BATCH_COLUMNS = [f"Batch{c}" for c in ("PendingTasks", "InProgressTasks", "SuccessTasks", "FailTasks", "CompletedTasks", "TotalTasks",
+                                       "StartDTS", "EndDTS", "Duration", "Status", "SystemRank", "Rank")]
+
+
+def with_levels(tasks: DataFrame, figures: DataFrame, columns: list[str]) -> DataFrame:
+    """Tasks with the figures of their system and batch: one join."""
+    names = [f"__{k}" for k in STATE_KEYS]
+    right = figures.select(*[F.col(k).alias(n) for k, n in zip(STATE_KEYS, names)], *columns)
+    on = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(STATE_KEYS, names)])
+    out = tasks.join(right, on).drop(*names)
+    # DENSE_RANK over the batch ordered by TrustedEndRank: every system's ranks are dense from 1, so the
+    # batch's distinct values are 1..max and the rank is the value
+    if "TrustedEndRank" in tasks.columns and "BatchRank" in columns:
+        out = out.withColumn("BatchTaskRank", F.col("TrustedEndRank"))
+    return out
+
+
+def system_rollup(tasks: DataFrame, as_of) -> DataFrame:
+    """W4-W6 at system level (BatchID, SystemCode), with the reference's completed count."""
+    return with_levels(tasks, levels(source_state(tasks), as_of), SYSTEM_COLUMNS)
+
+
+def batch_rollup(tasks: DataFrame, as_of) -> DataFrame:
+    """W4-W6 at batch level, batch status, and the batch-level ranks."""
+    return with_levels(tasks, levels(source_state(tasks), as_of), BATCH_COLUMNS)
 
 
 def latest_batches(tasks_with_batch: DataFrame) -> DataFrame:
@@ -278,16 +249,16 @@ def latest_batches(tasks_with_batch: DataFrame) -> DataFrame:
 
 
 def batch_status_log(status: DataFrame, manifest: DataFrame, log: DataFrame, as_of,
-                     divisor: int = MB) -> DataFrame:
+                     divisor: int = MB, state: DataFrame | None = None) -> DataFrame:
     """V2: task stage/status/durations -> system roll-up -> batch roll-up -> ranks,
-    with the last log, the first copy log's sizes and the latest-batch flag."""
+    with the last log, the first copy log's sizes and the latest-batch flag.
+
+    With a stored ``state`` of all tasks (:func:`merge_states`) the roll-ups come from it, and
+    ``status`` may be the rows of the batches to show alone.
+    """
     t = task_status(status, manifest, as_of)
-    # one job sizes both decisions; the raw rows bound the joined ones
-    max_batch, n_ends = batch_shape(status)
-    hot = max_batch > GROUP_ROWS_LIMIT
-    t = stage_ranks(t, hot)
-    t = system_rollup(t, as_of, hot)
-    t = batch_rollup(t, as_of, hot, ends_small=n_ends <= min(GROUP_ROWS_LIMIT, 1_000_000))
+    figures = levels(source_state(t) if state is None else state, as_of)
+    t = with_levels(stage_ranks(t), figures, SYSTEM_COLUMNS + BATCH_COLUMNS)
     facts = task_log_facts(log, divisor).select(
         F.col("ExtractLoadStatusID").alias("__lid"), "Logs", "DataRead", "DataWritten", "Error")
     out = t.join(facts, t["ID"] == facts["__lid"], "left").drop("__lid")
@@ -336,11 +307,7 @@ def health_dashboard(batch_log: DataFrame, lineage: DataFrame, transform_manifes
     ``SuccessRatio`` is the plain ratio.
     """
     l = lineage.select(F.col("SourceID").alias("__sid"), "TransformID", "CuratedTable", "ReportName")
-    # few sources carry every task row: a shuffle join on SourceID would make each
-    # one a hot key, so the (report x table sized) lineage side is broadcast once
-    # its size is proven
-    side = F.broadcast(l) if bounded_rows(l, broadcast_budget(l)) else l
-    j = batch_log.join(side, batch_log["SourceID"] == side["__sid"]).drop("__sid")
+    j = batch_log.join(l, batch_log["SourceID"] == l["__sid"]).drop("__sid")
     j = j.join(transform_manifest.select("TransformID"), "TransformID", "left_semi")
     j = j.join(extract_manifest.select(F.col("SourceID").alias("__e")), F.col("SourceID") == F.col("__e"),
                "left_semi")

@@ -237,6 +237,9 @@ ORACLE.update({
           CASE WHEN c_nationkey % 3 = 0 THEN 'LATE' ELSE c_mktsegment END AS c_mktsegment FROM s3""",
         d4=scd2_step_sql("d3", "s4", "TIMESTAMP '2024-04-01 00:00:00'", end="TIMESTAMP '2024-04-07 00:00:00'")),
     "fact_lookup_sk": with_ctes(_LOOKUP, **dim_ctes(upto=2), fact=_FACT, dim=_DIMC.format(d="d2")),
+    "fact_lookup_hot_key": with_ctes("""SELECT Customer_BK, o_orderkey, o_totalprice, Customer_SK, c_mktsegment
+        FROM (SELECT o_orderkey, CAST(CASE WHEN o_orderkey % 2 = 0 THEN 1 ELSE o_custkey END AS VARCHAR) AS Customer_BK, o_totalprice FROM orders)
+        JOIN (SELECT Customer_SK, Customer_BK, c_mktsegment FROM d2 WHERE _Current = 1) USING (Customer_BK)""", **dim_ctes(upto=2)),
     "revenue_by_segment": with_ctes(
         """SELECT c_mktsegment, COUNT(*) AS orders, CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS revenue
            FROM (""" + _LOOKUP + ") GROUP BY c_mktsegment",

@@ -34,12 +34,12 @@ def test_lookup_versions(spark):
     fact = spark.createDataFrame([("1", 10)], "K string, amount int")
     assert lookup(fact, dim, "K").count() == 1
     assert lookup(fact, dim, "K", versions="all").count() == 2                                # N6
-    assert lookup(fact, dim, "K", max_broadcast_rows=0).count() == 1                          # shuffle path
+    assert lookup(fact, dim, "K", salt_buckets=4).count() == 1
     hot = spark.range(500).select(F.when(F.col("id") % 10 < 7, "1").otherwise(F.col("id").cast("string")).alias("K"),
                                   F.col("id").alias("amount"))
     d = spark.range(500).select(F.col("id").cast("string").alias("K"), F.lit(1).alias("_Current"), F.col("id").alias("x"))
-    plain = sorted(map(tuple, lookup(hot, d, "K", max_broadcast_rows=0).collect()))
-    salted = sorted(map(tuple, lookup(hot, d, "K", max_broadcast_rows=0, salt_buckets=8).collect()))
+    plain = sorted(map(tuple, lookup(hot, d, "K").collect()))
+    salted = sorted(map(tuple, lookup(hot, d, "K", salt_buckets=8).collect()))
     assert plain == salted and len(plain) == 500
 
 

@@ -3,7 +3,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from lakehand.operators.windows import dense_rank_global, latest_per_key, partition_agg, rank_within
+from lakehand.operators.windows import dense_rank_global, latest_per_key, partition_agg, rank_in_buckets, rank_within
 
 
 def _hot(spark):
@@ -18,20 +18,18 @@ def test_rank_within_matches_window(spark):
     df = _hot(spark)
     w = Window.partitionBy("g").orderBy(F.col("v").asc_nulls_first())
     exp = {(r.id, r.r) for r in df.withColumn("r", F.dense_rank().over(w)).collect()}
-    got = {(r.id, r.r) for r in rank_within(df, "g", F.col("v").asc_nulls_first(), "r", num_partitions=7,
-                                              small_rows=0).collect()}
+    got = {(r.id, r.r) for r in rank_within(df, "g", F.col("v").asc_nulls_first(), "r", num_partitions=7).collect()}
     assert got == exp
     w2 = Window.partitionBy("g").orderBy("v", "id")
     exp2 = {(r.id, r.r) for r in df.withColumn("r", F.row_number().over(w2)).collect()}
-    got2 = {(r.id, r.r) for r in rank_within(df, "g", ["v", "id"], "r", method="row_number", num_partitions=5,
-                                               small_rows=0).collect()}
+    got2 = {(r.id, r.r) for r in rank_within(df, "g", ["v", "id"], "r", method="row_number", num_partitions=5).collect()}
     assert got2 == exp2
 
 
 def test_dense_rank_global_desc(spark):
     df = _hot(spark)
     exp = {(r.id, r.r) for r in df.withColumn("r", F.dense_rank().over(Window.orderBy(F.col("v").desc()))).collect()}
-    got = {(r.id, r.r) for r in dense_rank_global(df, "v", "r", desc=True, small_rows=0).collect()}
+    got = {(r.id, r.r) for r in dense_rank_global(df, "v", "r", desc=True).collect()}
     assert got == exp
 
 
@@ -51,33 +49,76 @@ def test_partition_agg_matches_window(spark):
     assert got == exp
 
 
-def test_batch_status_log_paths_agree(spark):
-    """The skew-safe monitoring path gives the same rows as the window path."""
+def test_rank_in_buckets_matches_window(spark):
+    vals = _hot(spark).select("g", "v").distinct()
+    for desc in (False, True):
+        order = F.col("v").desc_nulls_last() if desc else F.col("v").asc_nulls_first()
+        exp = {(r.g, r.v, r.r) for r in vals.withColumn("r", F.dense_rank().over(Window.partitionBy("g").orderBy(order))).collect()}
+        got = rank_in_buckets(vals, "g", "v", F.floor(F.col("v") / 50), "r", desc=desc)
+        assert {(r.g, r.v, r.r) for r in got.collect()} == exp
+    alone = vals.select("v").distinct()
+    exp = {(r.v, r.r) for r in alone.withColumn("r", F.dense_rank().over(Window.orderBy(F.col("v").asc_nulls_first()))).collect()}
+    assert {(r.v, r.r) for r in rank_in_buckets(alone, [], "v", F.floor(F.col("v") / 9), "r").collect()} == exp
+
+
+def _tasks(spark):
     from tests.conftest import SF_SMALL
     from lakehand.plans import fixtures as X
     from lakehand.plans import monitor as M
     t = X.Tables(spark, SF_SMALL)
-    ts = M.task_status(X.extract_status(t), X.extract_manifest(t), X.TS2)
-    a = M.batch_rollup(M.system_rollup(M.stage_ranks(ts, False), X.TS2, False), X.TS2, False)
-    b = M.batch_rollup(M.system_rollup(M.stage_ranks(ts, True), X.TS2, True), X.TS2, True)
-    cols = sorted(a.columns)
-    assert sorted(map(tuple, a.select(cols).collect()), key=str) == sorted(map(tuple, b.select(cols).collect()), key=str)
+    return M.task_status(X.extract_status(t), X.extract_manifest(t), X.TS2)
 
 
-def test_batch_status_log_switches_to_skew_safe_plan(spark, monkeypatch):
-    """With a tiny row bound every batch counts as hot: the automatic choice takes the
-    range-split ranks and grouped aggregates, and the view is unchanged."""
+def test_stage_ranks_match_windows_and_hold_no_whole_group(spark):
+    from lakehand.plans import monitor as M
+    tasks = _tasks(spark)
+    w = Window.partitionBy("BatchID", "SystemCode")
+    exp = tasks.withColumns({n: F.dense_rank().over(w.orderBy(F.col(c).asc_nulls_first())) for n, c in M.STAGE_RANKS.items()})
+    cols = ["ID", *M.STAGE_RANKS]
+    got = M.stage_ranks(tasks)
+    assert sorted(map(tuple, got.select(cols).collect())) == sorted(map(tuple, exp.select(cols).collect()))
+
+
+def test_state_of_deltas_equals_the_whole(spark):
+    """Three deltas of new rows, then a batch that changed after it was counted."""
+    from functools import reduce
+    from lakehand.plans import monitor as M
+    tasks = _tasks(spark)
+    whole = M.source_state(tasks)
+    rows = lambda df: sorted((tuple(r) for r in df.select(sorted(df.columns)).collect()), key=repr)
+    deltas = [M.source_state(tasks.where(F.col("ID") % 4 == k)) for k in range(4)]
+    assert rows(reduce(M.merge_states, deltas)) == rows(whole)
+    assert rows(M.levels(reduce(M.merge_states, deltas), "2024-02-01 00:00:00")) == rows(M.levels(whole, "2024-02-01 00:00:00"))
+    batch = tasks.first()["BatchID"]
+    later = tasks.where(F.col("BatchID") == batch).withColumn("EndedDTS", F.lit(None).cast("timestamp_ntz"))
+    kept = M.without_batches(whole, later)
+    assert rows(M.merge_states(kept, M.source_state(later))) == rows(M.source_state(tasks.where(F.col("BatchID") != batch).unionByName(later)))
+
+
+def test_log_facts_need_no_sorted_aggregate(spark):
+    import contextlib
+    import io
     from tests.conftest import SF_SMALL
     from lakehand.plans import fixtures as X
     from lakehand.plans import monitor as M
-    t = X.Tables(spark, SF_SMALL)
-    s, m, lg = X.extract_status(t), X.extract_manifest(t), X.log_table(t)
-    default = M.batch_status_log(s, m, lg, X.TS2)
-    cols = sorted(default.columns)
-    expected = sorted(map(tuple, default.select(cols).collect()), key=str)
-    monkeypatch.setattr(M, "GROUP_ROWS_LIMIT", 3)
-    hot = M.batch_status_log(s, m, lg, X.TS2)
-    assert sorted(map(tuple, hot.select(cols).collect()), key=str) == expected
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        M.task_log_facts(X.log_table(X.Tables(spark, SF_SMALL))).explain("formatted")
+    assert "SortAggregate" not in buf.getvalue() and "HashAggregate" in buf.getvalue()
+
+
+def test_hot_keys_are_measured_and_salted_alone(spark):
+    from lakehand.operators.joins import hot_keys, hot_salted_join
+    fact = spark.range(8000).select(F.when(F.col("id") % 2 == 0, F.lit(7)).otherwise(F.col("id")).alias("k"),
+                                    F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.lit("a")).alias("o"), "id")
+    dim = spark.range(9000).select(F.col("id").alias("k"), F.lit("a").alias("o"), (F.col("id") * 2).alias("v"))
+    assert [r.k for r in hot_keys(fact, ["k"]).collect()] == [7]
+    for how in ("inner", "left"):
+        for on in (["k"], ["k", "o"]):
+            got = hot_salted_join(fact, dim.select(*on, "v"), on, how)
+            exp = fact.join(dim.select(*on, "v"), on, how)
+            assert got.columns == exp.columns
+            assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, exp.collect()), key=repr)
 
 
 from hypothesis import HealthCheck, given, settings  # noqa: E402
@@ -95,6 +136,5 @@ def test_rank_within_random(spark, rows, parts, dense):
     order = [F.col("v").asc_nulls_first()] + ([] if dense else [F.col("id")])
     fn = F.dense_rank() if dense else F.row_number()
     exp = {(r.id, r.r) for r in df.withColumn("r", fn.over(Window.partitionBy("g").orderBy(*order))).collect()}
-    got = {(r.id, r.r) for r in rank_within(df, "g", order, "r", method=method, num_partitions=parts,
-                                            small_rows=0).collect()}
+    got = {(r.id, r.r) for r in rank_within(df, "g", order, "r", method=method, num_partitions=parts).collect()}
     assert got == exp
