@@ -68,26 +68,53 @@ def open_folder(uri: str):
     return fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
 
 
-def discard(*frames: DataFrame) -> None:
-    """Delete the files of frames made by ``written`` that nothing will read again."""
-    for df in frames:
-        for file in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-            store, path = open_folder(file)
+class Scratch:
+    """Frames that an operator writes to read them again; ``clear`` deletes them when nothing will."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.path = f"{shared_dir(spark)}/lakehand-{name}-{uuid.uuid4().hex}"
+        self._spark, self._made, self._tables = spark, 0, []
+
+    def written(self, df: DataFrame, name: str = "part") -> DataFrame:
+        """As ``written``, in a folder of this scratch."""
+        path = f"{self.path}/{self._made}-{name}"
+        self._made += 1
+        df.write.mode("errorifexists").parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+
+    def bucketed(self, df: DataFrame, key: str, only: DataFrame, name: str = "rows") -> DataFrame:
+        """The rows of ``df`` whose ``key`` is in ``only``, written in hash buckets of the key: the rows
+        are shuffled once, later joins on the key read them where they lie."""
+        n = int(self._spark.conf.get("spark.sql.shuffle.partitions"))
+        table = f"lakehand_{name}_{uuid.uuid4().hex}"
+        rows = df.where(F.col(key).isNotNull()).repartition(n, key).join(only.select(key).distinct().repartition(n, key), key, "left_semi")
+        self._tables.append(table)
+        self._made += 1
+        rows.write.bucketBy(n, key).sortBy(key).option("path", f"{self.path}/{name}").saveAsTable(table)
+        return self._spark.table(table)
+
+    def clear(self) -> None:
+        for table in self._tables:
+            self._spark.sql(f"DROP TABLE IF EXISTS {table}")
+        self._tables.clear()
+        store, path = open_folder(self.path)
+        if self._made:
             store.delete_dir(path)
+        self._made = 0
 
 
 #: A key with more than this share of all rows is hot, so there are at most 1 / HOT_SHARE hot keys.
 HOT_SHARE = 1 / 1000
 
 
-def hot_safe_lookup(rows: DataFrame, table: DataFrame, key: str, spread: str) -> DataFrame:
+def hot_safe_lookup(rows: DataFrame, table: DataFrame, key: str, spread: str, scratch: Scratch | None = None) -> DataFrame:
     """``rows`` left joined with ``table`` on ``key`` without a hot task.
 
     ``table`` has one row per key, the number of rows that hold it as ``n`` and columns ``rows`` does
     not have.  Keys with more than a thousandth of these rows, so a thousand keys at most, are
     broadcast; their rows are dealt by ``spread`` in the join of the others.
     """
-    table = written(table, "lookup")
+    table = (scratch or Scratch(rows.sparkSession, "lookup")).written(table, "lookup")
     held = table.agg(F.sum("n")).first()[0] or 0
     values = [c for c in table.columns if c not in (key, "n")]
     names = ["hot" + c for c in values]
@@ -111,15 +138,72 @@ def word_array(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE), "")
 
 
+def free(columns: list[str], name: str) -> str:
+    """``name``, with underscores behind it until no column has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+#: Elements of an array that ``running`` takes at a time.
+_RUN = 128
+
+
+def running(values: Column, combine, zero: Column) -> Column:
+    """Running ``combine`` of an array, each element with all before it.
+
+    An array grows by copying, so one that grows by an element for each of a million
+    values would take half a trillion copies.  Runs of ``_RUN`` elements are made first,
+    then what stands before each run, then both are put together.
+    """
+    kind = F.array(zero)
+
+    def grow(index: Column, value) -> Column:
+        start = F.struct(zero.alias("last"), F.slice(kind, 1, 0).alias("out"))
+        return F.aggregate(index, start, lambda a, i: F.struct(
+            combine(a["last"], value(i)).alias("last"), F.concat(a["out"], F.array(combine(a["last"], value(i)))).alias("out")), lambda a: a["out"])
+
+    def whole(v: Column) -> Column:
+        n = F.size(v)
+        runs = F.transform(F.sequence(F.lit(0), F.floor((n - 1) / _RUN).cast("int")), lambda k: grow(
+            F.sequence(k * _RUN, F.least((k + 1) * _RUN, n) - 1), lambda i: F.get(v, i)))
+
+        def joined(r: Column) -> Column:
+            before = grow(F.sequence(F.lit(0), F.size(r) - 1), lambda k: F.when(k == 0, zero).otherwise(F.element_at(F.get(r, k - 1), -1)))
+            return let(before, lambda b: F.flatten(F.transform(r, lambda x, k: F.transform(x, lambda y: combine(F.get(b, k), y)))))
+        return F.when(n == 0, F.slice(kind, 1, 0)).otherwise(let(runs, joined))
+
+    return let(values, whole)
+
+
+#: Characters of a block of ``blocks``.
+BLOCK = 4096
+
+
+def blocks(text: Column) -> Column:
+    """A text in blocks of ``BLOCK`` characters, so that a place in it is found without counting from its start."""
+    return F.when(F.length(text) <= BLOCK, F.array(text)).otherwise(
+        F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0)))
+
+
+def cut(pieces: Column, start: Column, length: Column) -> Column:
+    """``length`` characters from ``start`` (0-based) of a text in ``blocks``."""
+    def part(k: Column) -> Column:
+        begin = F.greatest(start - k * BLOCK, F.lit(0))
+        return F.substring(F.get(pieces, k), begin + 1, F.least(start + length - k * BLOCK, F.lit(BLOCK)) - begin)
+
+    of = lambda at: F.floor(at / BLOCK).cast("int")
+    last = F.least(of(start + length - 1), F.size(pieces) - 1)
+    return F.when((length <= 0) | (of(start) > last), F.lit("")).otherwise(
+        F.array_join(F.transform(F.sequence(of(start), last), part), ""))
+
+
 def span_starts(gaps: Column, hits: Column) -> Column:
     """Start of every match in code points: the text before, between and after the matches
     (``split``) and the matches themselves (``regexp_extract_all``) alternate."""
-    steps = F.zip_with(F.slice(gaps, 1, F.size(hits)), hits,
-                       lambda g, h: F.struct(F.length(g).alias("g"), F.length(h).alias("h")))
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
-    return F.aggregate(steps, zero, lambda a, s: F.struct(
-        (a["at"] + s["g"] + s["h"]).alias("at"),
-        F.concat(a["out"], F.array(a["at"] + s["g"])).alias("out")), lambda a: a["out"])
+    steps = F.zip_with(F.slice(gaps, 1, F.size(hits)), hits, lambda g, h: F.length(g) + F.length(h))
+    return F.zip_with(running(steps, lambda x, y: x + y, F.lit(0)), hits, lambda end, h: end - F.length(h))
 
 
 def matches(text: Column, pattern: str, group: int = 0) -> Column:

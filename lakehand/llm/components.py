@@ -5,17 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakehand.llm.common import written
+from lakehand.llm.common import Scratch
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     """(id, label): the smallest id reachable from every id of ``edges`` (a, b).
 
     Each round an id takes the least label among its neighbours (a grouped minimum,
     combined before the shuffle, so a hub with millions of edges is no hot key) and
     then the label of that label; the rounds grow with the logarithm of the diameter.
-    Labels are written to the shared folder after each round.
+    Labels are written to the shared folder after each round.  Null ids and self-loops link
+    nothing, an id that has no other edge is in no row, repeated edges count once, and a
+    table without edges gives no rows.
     """
+    written = (scratch or Scratch(edges.sparkSession, "components")).written
+    edges = edges.where("a <> b")
     both = written(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(),
                    "edges")
     labels = written(both.groupBy("a").agg(F.min("b").alias("b"))

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lakehand.llm.common import word_array, written
+from lakehand.llm.common import free, word_array, written
 
 SEED = 7
 EPOCHS = 2
@@ -58,9 +58,10 @@ def weight(column: str, weights: dict[str, int]) -> Column:
     return F.coalesce(*[F.when(F.col(column) == k, F.lit(v)) for k, v in weights.items()], F.lit(1))
 
 
-def tree_columns(docs: DataFrame) -> DataFrame:
+def tree_columns(docs: DataFrame, names: list[str]) -> DataFrame:
+    """``docs`` with the tree's three levels under ``names``."""
     source = F.coalesce("source", F.lit(""))
-    return docs.withColumns({"_lang": F.coalesce("lang", F.lit("")), "_source": source, "_domain": domain(source)})
+    return docs.withColumns(dict(zip(names, (domain(source), F.coalesce("lang", F.lit("")), source), strict=True)))
 
 
 def order_hash(epoch: Column) -> Column:
@@ -126,8 +127,9 @@ def leaf_cuts(sized: DataFrame, epochs: int, percent: int) -> DataFrame:
 
 def sized_docs(docs: DataFrame) -> DataFrame:
     """doc_id, the tree's columns and the number of words, written once."""
-    d = tree_columns(docs.select(F.col("doc_id").cast("long"), "text", "lang", "source"))
-    return written(d.select("doc_id", F.col("_domain").alias("domain"), F.col("_lang").alias("lang"), F.col("_source").alias("source"),
+    tree = [f"_{c}" for c in LEVELS]
+    d = tree_columns(docs.select(F.col("doc_id").cast("long"), "text", "lang", "source"), tree)
+    return written(d.select("doc_id", *[F.col(t).alias(c) for c, t in zip(LEVELS, tree, strict=True)],
                             F.size(word_array(F.col("text"))).cast("long").alias("tokens")), "sizes")
 
 
@@ -144,11 +146,13 @@ def selection(docs: DataFrame, epochs: int = EPOCHS, percent: int = BUDGET_PERCE
 
 
 def mixed(docs: DataFrame, epochs: int = EPOCHS, percent: int = BUDGET_PERCENT) -> DataFrame:
-    """``docs`` with every row repeated as often as it is taken (or left out)."""
-    tree = [f"_{c}" for c in LEVELS]
+    """``docs`` with every row repeated as often as it is taken (or left out); all columns keep their values."""
+    tree = [free(docs.columns, f"_{c}") for c in LEVELS]
+    full, cut, often = (free(docs.columns, c) for c in ("_full", "_cut", "_taken"))
     # A row per leaf; its known size lets the join broadcast it, so that no text is shuffled.
     cuts = written(leaf_cuts(sized_docs(docs), epochs, percent).select(
-        *[F.col(c).alias(t) for c, t in zip(LEVELS, tree, strict=True)], F.col("full").alias("_full"), F.col("cut").alias("_cut")), "cuts")
-    taken = F.col("_full") + (order_hash(F.col("_full")) <= F.col("_cut")).cast("long")
-    rows = tree_columns(docs).join(cuts, tree).withColumn("_taken", taken).where("_taken > 0")
-    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_taken")))).select(*docs.columns)
+        *[F.col(c).alias(t) for c, t in zip(LEVELS, tree, strict=True)], F.col("full").alias(full), F.col("cut").alias(cut)), "cuts")
+    taken = F.col(full) + (order_hash(F.col(full)) <= F.col(cut)).cast("long")
+    rows = tree_columns(docs, tree).join(cuts, tree).withColumn(often, taken).where(F.col(often) > 0)
+    one = free(rows.columns, "_copy")
+    return rows.withColumn(one, F.explode(F.sequence(F.lit(1).cast("long"), F.col(often)))).select(*docs.columns)

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakehand.llm.common import let, matches
+from lakehand.llm.common import blocks, cut, free, let, matches, running
 
 NEAR = 40
 LEAST = 0.6
@@ -108,24 +108,24 @@ def found(text: Column) -> dict[str, Column]:
     }
 
 
-def score(text: Column, kind: str, span: Column) -> Column:
+def score(pieces: Column, kind: str, span: Column) -> Column:
+    """From the words around a span; ``pieces`` are the text's ``blocks``."""
     prior, good, bad = SCORES[kind]
     start = F.greatest(span["start"] - NEAR, F.lit(0))
-    near = F.lower(F.concat(F.substring(text, start + 1, span["start"] - start), F.lit(" "),
-                            F.substring(text, span["end"] + 1, F.lit(NEAR))))
+    near = F.lower(F.concat(cut(pieces, start, span["start"] - start), F.lit(" "), cut(pieces, span["end"], F.lit(NEAR))))
     return F.lit(prior) + F.when(near.rlike(good), 0.3).otherwise(0.0) - F.when(near.rlike(bad), 0.3).otherwise(0.0)
 
 
-def spans(docs: DataFrame) -> DataFrame:
-    """``docs`` with the column ``pii``: array<struct<kind,start,end,score>> by kind, then start."""
+def spans(docs: DataFrame, name: str = "pii") -> DataFrame:
+    """``docs`` with the column ``name``: array<struct<kind,start,end,score>> by kind, then start."""
     text = F.coalesce(F.col("text"), F.lit(""))
 
-    def scored(kind: str, column: Column) -> Column:
+    def scored(kind: str, column: Column, pieces: Column) -> Column:
         rows = F.transform(column, lambda x: F.struct(F.lit(kind).alias("kind"), x["start"].alias("start"), x["end"].alias("end"),
-                                                      F.round(score(text, kind, x), 2).alias("score")))
+                                                      F.round(score(pieces, kind, x), 2).alias("score")))
         return F.filter(rows, lambda x: x["score"] >= LEAST) if kind in ADDED else rows
 
-    return docs.withColumn("pii", F.concat(*[scored(k, c) for k, c in found(text).items()]))
+    return docs.withColumn(name, let(blocks(text), lambda pieces: F.concat(*[scored(k, c, pieces) for k, c in found(text).items()])))
 
 
 def joined(rows: Column) -> Column:
@@ -142,30 +142,38 @@ def report(docs: DataFrame) -> DataFrame:
         F.array_join(F.transform("pii", lambda x: x["score"].cast("string")), ",").alias("scores"))
 
 
+def merged(rows: Column) -> Column:
+    """Spans (start, end, kind) that overlap as one, under the kind of the one that starts first; by start."""
+    order = F.sort_array(F.transform(rows, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind"))))
+
+    def ends(r: Column) -> Column:
+        def heads(upto: Column) -> Column:
+            first = F.filter(F.sequence(F.lit(0), F.size(r) - 1), lambda i: (i == 0) | (F.get(r, i)["start"] >= F.get(upto, i - 1)))
+            return let(first, lambda h: F.transform(h, lambda i, k: F.struct(
+                F.get(r, i)["start"].alias("start"), F.get(upto, F.coalesce(F.get(h, k + 1), F.size(r)) - 1).alias("end"),
+                F.get(r, i)["kind"].alias("kind"))))
+        return let(running(F.transform(r, lambda x: x["end"]), F.greatest, F.lit(0)), heads)
+
+    return let(order, ends)
+
+
 def redacted(docs: DataFrame) -> DataFrame:
     """``docs`` with every span of the text replaced by its kind in brackets and n_chars to match.
 
     Overlapping spans are replaced together under the kind of the one that starts first.
+    All other columns keep their values, whatever their names.
     """
-    def merge(rows: Column) -> Column:
-        empty = F.array().cast("array<struct<start:int,end:int,kind:string>>")
-
-        def step(a: Column, x: Column) -> Column:
-            last = F.get(a, F.size(a) - 1)
-            longer = F.struct(last["start"].alias("start"), F.greatest(last["end"], x["end"]).alias("end"), last["kind"].alias("kind"))
-            return F.when((F.size(a) > 0) & (x["start"] < last["end"]), F.concat(F.slice(a, 1, F.size(a) - 1), F.array(longer))).otherwise(
-                F.concat(a, F.array(x)))
-        order = F.sort_array(F.transform(rows, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind"))))
-        return F.aggregate(order, empty, step)
-
-    def replace(m: Column) -> Column:
-        parts = F.transform(m, lambda x, i: F.concat(
-            F.substring("text", F.coalesce(F.get(m, i - 1)["end"], F.lit(0)) + 1, x["start"] - F.coalesce(F.get(m, i - 1)["end"], F.lit(0))),
-            F.lit("["), F.upper(x["kind"]), F.lit("]")))
-        tail = F.substring(F.col("text"), F.get(m, F.size(m) - 1)["end"] + 1, F.length("text"))
-        return F.concat(F.array_join(parts, ""), tail)
-
-    found_some = spans(docs).withColumn("text", F.when(F.size("pii") > 0, let(merge(F.col("pii")), replace)).otherwise(F.col("text")))
-    out = found_some.withColumn("n_chars", F.when(F.size("pii") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))) \
-        if "n_chars" in docs.columns else found_some
+    name = free(docs.columns, "pii")
+
+    def replace(m: Column, pieces: Column) -> Column:
+        end = lambda i: F.coalesce(F.get(m, i)["end"], F.lit(0))
+        parts = F.transform(m, lambda x, i: F.concat(cut(pieces, end(i - 1), x["start"] - end(i - 1)), F.lit("["), F.upper(x["kind"]), F.lit("]")))
+        last = end(F.size(m) - 1)
+        return F.concat(F.array_join(parts, ""), cut(pieces, last, F.length("text") - last))
+
+    some = F.size(name) > 0
+    clean = let(merged(F.col(name)), lambda m: let(blocks(F.col("text")), lambda pieces: replace(m, pieces)))
+    out = spans(docs, name).withColumn("text", F.when(some, clean).otherwise(F.col("text")))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(some, F.length("text").cast("long")).otherwise(F.col("n_chars")))
     return out.select(*docs.columns)

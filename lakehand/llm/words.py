@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes hashed at a time; temporary arrays take about twenty times as much.
-SLICE_BYTES = 1_000_000
+SLICE_BYTES = 400_000
 
 _U = np.uint64
 _BASE = (_U(0x9E3779B97F4A7C15), _U(0xD1B54A32D192ED03))
