@@ -20,7 +20,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakehand.llm.common import let, matches
+from lakehand.llm.common import blocks, cut, let, matches
 
 ASSIGN = (r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ACCESS = r"AKIA[A-Z0-9]{16,}+"
@@ -34,20 +34,26 @@ CLASSES = {
     "hex": (r"^(?=.*[0-9])(?=.*[A-Fa-f])[0-9A-Fa-f]+$", 2.8),
     "mixed": (r"^(?=.*[0-9])(?=.*[A-Z])(?=.*[a-z])[A-Za-z0-9+/_=-]+$", 3.6),
     "one_case": (r"^(?=.*[0-9])(?=.*[A-Za-z])[A-Za-z0-9+/_=-]+$", 3.7),
+    "letters": (r"^(?=.*[A-Z])(?=.*[a-z])[A-Za-z+/_=-]+$", 3.85),
+    "one_case_letters": (r"^(?=.*[A-Za-z])[A-Za-z+/_=-]+$", 3.95),
 }
-ALLOWED = (r"(?i)example|sample|placeholder|changeme|dummy|lorem|xxxx|0123456|1234567|abcdefg|"
-           r"^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$")
+#: Placeholders, looked for in the window that scores highest and ``AROUND`` characters on either side.
+ALLOWED = r"(?i)example|sample|placeholder|changeme|dummy|lorem|xxxx|0123456|1234567|abcdefg"
+AROUND = 8
+IDENTIFIER = r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
 _ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 _CLOGC = [0.0, *[c * math.log2(c) for c in range(1, WINDOW + 2)]]
 
 
-def top_entropy(s: Column) -> Column:
-    """Highest Shannon entropy of ``WINDOW`` successive characters of a candidate."""
+def top_window(s: Column) -> Column:
+    """struct<entropy,start>: the highest Shannon entropy of ``WINDOW`` successive characters of a
+    candidate, and where the first such window begins."""
     clogc = F.array(*map(F.lit, _CLOGC))
     code = F.transform(F.split(s, ""), lambda c: F.instr(F.lit(_ALPHABET), c))
 
     def slide(codes: Column) -> Column:
-        zero = F.struct(F.array_repeat(F.lit(0), len(_ALPHABET) + 1).alias("n"), F.lit(0.0).alias("sum"), F.lit(99.0).alias("least"))
+        zero = F.struct(F.array_repeat(F.lit(0), len(_ALPHABET) + 1).alias("n"), F.lit(0.0).alias("sum"), F.lit(99.0).alias("least"),
+                        F.lit(0).alias("at"))
 
         def step(a: Column, i: Column) -> Column:
             new, old = F.get(codes, i), F.when(i >= WINDOW, F.get(codes, i - WINDOW)).otherwise(-1)
@@ -55,23 +61,29 @@ def top_entropy(s: Column) -> Column:
             change = F.get(clogc, up + 1) - F.get(clogc, up) + F.when(old >= 0, F.get(clogc, down - 1) - F.get(clogc, down)).otherwise(0.0)
             total = F.when(new == old, a["sum"]).otherwise(a["sum"] + change)
             counts = F.transform(a["n"], lambda c, k: c + (k == new).cast("int") - (k == old).cast("int"))
-            return F.struct(counts.alias("n"), total.alias("sum"),
-                            F.when(i >= WINDOW - 1, F.least(a["least"], total)).otherwise(a["least"]).alias("least"))
+            better = (i >= WINDOW - 1) & (total < a["least"] - 1e-9)
+            return F.struct(counts.alias("n"), total.alias("sum"), F.when(better, total).otherwise(a["least"]).alias("least"),
+                            F.when(better, i - (WINDOW - 1)).otherwise(a["at"]).alias("at"))
 
-        return F.aggregate(F.sequence(F.lit(0), F.size(codes) - 1), zero, step,
-                           lambda a: F.lit(math.log2(WINDOW)) - a["least"] / WINDOW)
+        return F.aggregate(F.sequence(F.lit(0), F.size(codes) - 1), zero, step, lambda a: F.struct(
+            (F.lit(math.log2(WINDOW)) - a["least"] / WINDOW).alias("entropy"), a["at"].alias("start")))
 
     return let(code, slide)
 
 
-def _suspect(text: Column, x: Column) -> Column:
-    """Entropy over the class's limit, and nothing on the allow-list."""
+def _suspect(pieces: Column, x: Column) -> Column:
+    """Entropy over the class's limit, and nothing on the allow-list about the window that has it."""
     hit = x["hit"]
     # A candidate may itself begin with the slashes of an address.
-    before = F.substring(text, F.greatest(x["start"] - 10, F.lit(0)) + 1, F.least(x["start"], F.lit(10)) + 2)
-    allowed = hit.rlike(ALLOWED) | before.rlike("://|www\\.")
+    start = F.greatest(x["start"] - 10, F.lit(0))
+    before = cut(pieces, start, x["start"] - start + 2)
+    allowed = hit.rlike(IDENTIFIER) | before.rlike("://|www\\.")
     limit = F.coalesce(*[F.when(hit.rlike(p), F.lit(v)) for p, v in CLASSES.values()])
-    return F.when(limit.isNull() | allowed, F.lit(False)).otherwise(top_entropy(hit) >= limit)
+
+    def high(w: Column) -> Column:
+        begin = F.greatest(w["start"] - AROUND, F.lit(0))
+        return (w["entropy"] >= limit) & ~F.substring(hit, begin + 1, w["start"] - begin + WINDOW + AROUND).rlike(ALLOWED)
+    return F.when(limit.isNull() | allowed, F.lit(False)).otherwise(let(top_window(hit), high))
 
 
 def found(text: Column) -> dict[str, Column]:
@@ -82,7 +94,7 @@ def found(text: Column) -> dict[str, Column]:
                          F.filter(matches(text, ASSIGN, 1), lambda x: F.length(x["part"]) >= 6)),
         "access": if_any(F.contains(text, F.lit("AKIA")), matches(text, ACCESS)),
         "hex": matches(text, HEX),
-        "entropy": F.filter(matches(text, CANDIDATE), lambda x: _suspect(text, x)),
+        "entropy": let(blocks(text), lambda pieces: F.filter(matches(text, CANDIDATE), lambda x: _suspect(pieces, x))),
     }
 
 
