@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lakehand.llm import (alignment, filter_audit, fingerprints, mixing, near_dedup, packing, pii, quality_classifier, quality_rules, secret_scan,
                           substring_dedup, token_binary, warc)
 from lakehand.llm.common import documents
-from lakehand.llm.oracles import ORACLE  # noqa: F401 - read by __spark_entry__
+from lakehand.llm.oracles import NO_SQL, ORACLE  # noqa: F401 - read by __spark_entry__ and the tests
 from lakehand.session import shared_dir
 
 

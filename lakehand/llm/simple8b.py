@@ -109,6 +109,15 @@ def decode(words: np.ndarray) -> np.ndarray:
     return out
 
 
+def decode_range(words: np.ndarray, offsets: np.ndarray, start: int, stop: int) -> np.ndarray:
+    """Values ``start`` to ``stop``, from the blocks that hold them alone."""
+    if stop <= start:
+        return np.zeros(0, np.uint64)
+    first, last = start // BLOCK, (stop - 1) // BLOCK + 1
+    to = offsets[last] if last < len(offsets) else len(words)
+    return decode(words[offsets[first]:to])[start - first * BLOCK:stop - first * BLOCK]
+
+
 def decode_block(words: np.ndarray, offsets: np.ndarray, block: int) -> np.ndarray:
     """Values of one block, without reading the others."""
     to = offsets[block + 1] if block + 1 < len(offsets) else len(words)

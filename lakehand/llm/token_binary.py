@@ -27,8 +27,8 @@ from lakehand.llm import simple8b
 from lakehand.llm.common import ship
 from lakehand.llm.tokens import default_path, encoder
 
-#: Documents per run; a run is decoded as a whole.
-RUN_DOCS = 512
+#: Documents per run, and ids decoded at a time: the blocks that hold some successive documents.
+RUN_DOCS, DECODE_IDS = 512, 1 << 18
 
 _RUNS = ("shard int, run int, doc_ids array<long>, doc_tokens array<long>, n_ids long, "
          "block_words binary, words binary")
@@ -71,15 +71,21 @@ def write_tokens(docs: DataFrame, out: str, tokenizer: str | None = None, end_id
 def decode_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
-            ids = simple8b.decode(np.frombuffer(row["words"], "<u8")).astype("<u4")
+            words, offsets = np.frombuffer(row["words"], "<u8"), np.frombuffer(row["block_words"], "<u4")
             bounds = np.concatenate([[0], np.cumsum(row["doc_tokens"])]).astype(np.int64)
-            n = len(bounds) - 1
+            n, crcs, at = len(bounds) - 1, [], 0
+            while at < n:       # documents of DECODE_IDS ids, or one that has more
+                to = max(at + 1, int(np.searchsorted(bounds, bounds[at] + DECODE_IDS, "right")) - 1)
+                ids = simple8b.decode_range(words, offsets, int(bounds[at]), int(bounds[to])).astype("<u4")
+                own = bounds[at:to + 1] - bounds[at]
+                crcs += [ids_crc32(ids[a:b]) for a, b in zip(own[:-1], own[1:])]
+                at = to
             yield pa.RecordBatch.from_pydict({
                 "shard": pa.array([row["shard"]] * n, pa.int32()), "run": pa.array([row["run"]] * n, pa.int32()),
                 "pos": pa.array(range(n), pa.int32()),
                 "doc_id": pa.array(row["doc_ids"], pa.int64()), "local_start": pa.array(bounds[:-1]),
                 "n_tokens": pa.array(np.diff(bounds)),
-                "ids_crc32": pa.array([ids_crc32(ids[a:b]) for a, b in zip(bounds[:-1], bounds[1:])], pa.int64())})
+                "ids_crc32": pa.array(crcs, pa.int64())})
 
 
 def read_tokens(spark, folder: str) -> DataFrame:

@@ -21,6 +21,34 @@ def test_held_out_quality(spark):
     assert len(both) > 20 and (both.predicted == both.quality).mean() >= 0.9
 
 
+def test_normal_equations_equal_one_solve(spark):
+    """Sums over partitions and folds against numpy's least squares with the ridge as extra rows."""
+    import random
+    rng = random.Random(11)
+    rows = [(i, " ".join(rng.choices(["good", "text", "###", "of", "words,", "A1"], k=rng.randint(1, 80)))) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    labels = {i: float("###" not in t) for i, t in rows}
+    stats = quality_classifier.document_stats(docs)
+    model = quality_classifier.fit(stats, spark.createDataFrame(list(labels.items()), "doc_id long, label double"))
+    table = stats.toPandas().set_index("doc_id").sort_index()
+    train = [i for i in table.index if zlib.crc32(str(i).encode()) % 5]
+    x = table.to_numpy()
+    z = quality_classifier.fourier(table.loc[train].to_numpy(), x.mean(axis=0), np.maximum(x.std(axis=0), 1e-6))
+    extra = np.sqrt(quality_classifier.RIDGE * len(train) / quality_classifier.FEATURES) * np.eye(z.shape[1])
+    expected, *_ = np.linalg.lstsq(np.vstack([z, extra]), np.append([labels[i] for i in train], np.zeros(len(extra))), rcond=None)
+    assert np.allclose(model.weights, expected, atol=1e-6)
+
+
+def test_isotonic_equals_brute_force():
+    """Pooled values against the largest of least averages (the min-max formula)."""
+    rng = np.random.default_rng(4)
+    y, n = rng.integers(0, 9, 30).astype(float), rng.integers(9, 20, 30).astype(float)
+    at, value = quality_classifier.isotonic(np.arange(30.0), y, n)
+    mean = lambda a, b: y[a:b].sum() / n[a:b].sum()
+    exact = np.array([max(min(mean(a, b) for b in range(i + 1, 31)) for a in range(i + 1)) for i in range(30)])
+    assert np.allclose(sorted(set(np.round(exact, 9))), np.round(value, 9))
+
+
 def test_isotonic_blocks_rise():
     at, value = quality_classifier.isotonic(np.arange(6.0), np.array([0, 3, 1, 4, 2, 5.0]), np.full(6, 5.0))
     assert (np.diff(value) > 0).all() and (np.diff(at) > 0).all() and abs(value[-1] - 1) < 1e-9

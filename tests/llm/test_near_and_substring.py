@@ -7,6 +7,8 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from lakehand.llm import fingerprints, near_dedup, substring_dedup
 from lakehand.llm.words import window_hashes, word_slices
 from pyspark.sql import functions as F
@@ -112,9 +114,29 @@ def test_substring_dedup_is_the_brute_force_one(make_docs):
         rows = corpus(seed)
         got = substring_dedup.dedup(make_docs(rows)).collect()
         assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in got} == brute_substring([r[:2] for r in rows])
+        texts = {i: words(t) for i, t, *_ in rows}
+        for r in got:       # factors are what is removed, one after the other, and stand in their sources
+            assert sum(f.words for f in r.factors) == r.n_removed
+            for f, after in zip(r.factors, [*r.factors[1:], None]):
+                assert texts[r.doc_id][f.start:f.start + f.words] == texts[f.src_doc][f.src_start:f.src_start + f.words]
+                assert f.src_doc < r.doc_id and (after is None or f.start + f.words <= after.start)
         assert any(r.factors for r in got)
 
 
+@given(st.lists(st.tuples(st.integers(0, 40), st.integers(1, 9), st.integers(0, 3), st.integers(0, 50)), max_size=12, unique_by=lambda r: r[0]))
+@settings(max_examples=200, deadline=None)
+def test_factors_tile_all_matches(runs):
+    width = 5
+    factors = substring_dedup.parse(runs, width)
+    covered = {w for start, n, _, _ in runs for w in range(start, start + n + width - 1)}
+    spans = [range(start, start + size) for start, size, _, _ in factors]
+    assert all(len(x) > 0 for x in spans) and all(x.stop <= y.start for x, y in zip(spans, spans[1:]))
+    assert {w for x in spans for w in x} == covered
+    for start, size, src, src_start in factors:     # each lies in a match with its source, at its place
+        assert all(any(s <= w < s + n + width - 1 and d == src and t + w - s == src_start + w - start for s, n, d, t in runs)
+                   for w in range(start, start + size))
+
+
 def test_common_phrase_is_dealt_over_blocks(spark, make_docs, monkeypatch):
     rng = random.Random(9)
     # The phrase of the least hash among many, so that it is the anchor of the windows around it.

@@ -115,6 +115,90 @@ def test_redacted_text(make_docs):
     assert rows[1].text == "mail [EMAIL] now" and rows[1].n_chars == 16 and rows[2].text == "clean" and rows[3].text is None
 
 
+def test_extra_columns_keep_their_values(spark, make_docs):
+    """Columns named like those the operators make for themselves."""
+    from lakehand.llm import mixing, near_dedup
+    names = ["pii", "_gone", "gone", "_lang", "_source", "_domain", "_taken", "_copy", "_full", "_cut", "Pii_", "secrets", "label"]
+    docs = make_docs([(i, f"mail a{i}@x.org now {'word ' * 9}{i}", "en", "src0") for i in range(6)])
+    docs = docs.select("*", *[F.concat(F.lit(n), F.col("doc_id").cast("string")).alias(n) for n in names])
+    for stage in (pii.redacted, mixing.mixed, near_dedup.deduplicated):
+        rows = stage(docs)
+        assert rows.columns == docs.columns and not rows.isEmpty()
+        assert all(r[n] == f"{n}{r.doc_id}" for r in rows.collect() for n in names), stage
+
+
+def test_texts_of_many_matches(make_docs):
+    n = 20_000
+    text = " ".join(f"a{i}@b.co" if i % 2 else f"token=abc{i}def é" for i in range(n))
+    docs = make_docs([(1, text, "en", "s")])
+    found = pii.report(docs).first()
+    spans = [tuple(map(int, s.split(":")[1:])) for s in found.spans.split(",")]
+    assert found.n_email == n // 2 == len(spans) and found.base_sha256 == base(text, PII, False)[1]
+    clean = pii.redacted(docs).first()
+    assert clean.text == re.sub(PII[0][1], "[EMAIL]", text) and clean.n_chars == len(clean.text)
+    secrets = secret_scan.report(docs).first()
+    assert secrets.n_assign == n // 2 and secrets.base_sha256 == base(text, SECRETS, True)[1]
+
+
+def test_running_equals_accumulate(spark):
+    import itertools
+    import random
+    from lakehand.llm.common import running
+    rng = random.Random(2)
+    rows = [([rng.randint(0, 9) for _ in range(n)],) for n in (0, 1, 127, 128, 129, 256, 1000)]
+    df = spark.createDataFrame(rows, "v array<int>")
+    got = df.select("v", running(F.col("v"), lambda x, y: x + y, F.lit(0)).alias("s"), running(F.col("v"), F.greatest, F.lit(0)).alias("m"))
+    for r in got.collect():
+        assert r.s == list(itertools.accumulate(r.v)) and r.m == list(itertools.accumulate(r.v, max))
+
+
+def test_overlapping_spans_merge(spark):
+    rows = [([(0, 5, "a"), (3, 9, "b"), (8, 9, "c"), (9, 12, "d"), (20, 22, "e")],), ([(1, 2, "z")],)]
+    df = spark.createDataFrame(rows, "r array<struct<start:int,end:int,kind:string>>")
+    got = [[tuple(x) for x in r[0]] for r in df.select(pii.merged(F.col("r"))).collect()]
+    assert got == [[(0, 9, "a"), (9, 12, "d"), (20, 22, "e")], [(1, 2, "z")]]
+
+
+def test_scores_follow_the_words_nearby(make_docs):
+    far = "x" * 60
+    cases = {"call 030 123 4567 now": True, f"call {far} 030 123 4567 now": False, "order 030 123 4567": False,
+             "ssn 123-45-6789": True, "version 123-45-6789": False}
+    docs = make_docs([(i, t, "en", "s") for i, t in enumerate(cases)])
+    found = {r.doc_id: r.spans for r in pii.report(docs).collect()}
+    assert [bool(found[i]) for i in range(len(cases))] == list(cases.values())
+
+
+def plain_entropy(s):
+    import math
+    best = (-1.0, 0)
+    for i in range(len(s) - secret_scan.WINDOW + 1):
+        n = Counter(s[i:i + secret_scan.WINDOW]).values()
+        e = -sum(c / secret_scan.WINDOW * math.log2(c / secret_scan.WINDOW) for c in n)
+        if e > best[0] + 1e-9:
+            best = (e, i)
+    return best
+
+
+def test_sliding_entropy_equals_counting_each_window(spark):
+    import random
+    rng = random.Random(6)
+    words = ["".join(rng.choices("abcXYZ0189+/_-=qrstuvw"[:rng.randint(2, 22)], k=rng.randint(20, 90))) for _ in range(80)]
+    df = spark.createDataFrame([(w,) for w in words], "s string").select("s", secret_scan.top_window(F.col("s")).alias("w"))
+    for r in df.collect():
+        entropy, start = plain_entropy(r.s)
+        assert abs(r.w.entropy - entropy) < 1e-6 and r.w.start == start, r.s
+
+
+def test_keys_of_letters_and_long_runs_with_placeholders(make_docs):
+    key, letters = "q8Zr2Lk9Xw4Tn7Bv1Yp6", "QwErTyUiOpAsDfGhJkLz"
+    cases = {letters: True, letters.lower(): True, "x" * 30: False, "thisIsAnOrdinaryIdentifierName": False,
+             "internationalizationalization": False, "xxxx" * 6 + "aaaaaaaa" + key: True, f"example{key[:13]}": False,
+             "sample" + "a" * 30 + key + "b" * 30: True, "SampleClassNameGeneratorFactory": False}
+    docs = make_docs([(i, f"is {t} it", "en", "s") for i, t in enumerate(cases)])
+    found = {r.doc_id: "entropy:" in r.spans for r in secret_scan.report(docs).collect()}
+    assert {t: found[i] for i, t in enumerate(cases)} == cases
+
+
 def test_scans_odd_rows(odd_docs, no_docs):
     for scan in (pii.report, secret_scan.report):
         assert scan(odd_docs).count() == odd_docs.count()

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from lakehand.llm import packing, simple8b, token_binary
+from lakehand.llm import packing, pieces, simple8b, token_binary
 from lakehand.llm.tokens import PieceEncoder, default_path
 from tokenizers import Tokenizer
 
@@ -42,17 +42,35 @@ def test_simple8b_blocks_decode_by_themselves(ids, zeros):
         assert simple8b.decode_block(words, offsets, b).tolist() == whole[b * simple8b.BLOCK:(b + 1) * simple8b.BLOCK]
 
 
+@given(st.lists(st.one_of(st.integers(0, 3), st.integers(0, 2**64 - 1)), min_size=1, max_size=900), st.data())
+@settings(max_examples=40, deadline=None)
+def test_simple8b_ranges_read_their_blocks_alone(ids, data):
+    words, offsets = simple8b.encode(np.array(ids, np.uint64))
+    start = data.draw(st.integers(0, len(ids)))
+    stop = data.draw(st.integers(start, len(ids)))
+    first, last = start // simple8b.BLOCK, max(stop - 1, 0) // simple8b.BLOCK + 1
+    spoilt = words.copy()
+    spoilt[:offsets[first] if first < len(offsets) else 0] = 0      # other blocks are not looked at
+    spoilt[offsets[last] if last < len(offsets) else len(words):] = 0
+    assert simple8b.decode_range(spoilt, offsets, start, stop).tolist() == ids[start:stop]
+
+
 def test_simple8b_packs_small_ids():
     words, _ = simple8b.encode(np.ones(6000, np.uint32))
     assert len(words) < 300
 
 
-def test_pieces_encode_like_whole_texts(library):
+def test_pieces_encode_like_whole_texts(library, monkeypatch):
     rng = random.Random(1)
     alphabet = ["a", "B", "the", " ", "  ", "\n", "\t", ".", ",", "don't", "9", "123", "é", "\U0001f600", "'s", "-", "<|endoftext|>", " "]
-    texts = ["".join(rng.choices(alphabet, k=rng.randint(0, 60))) for _ in range(400)] + [None, "", " ", "x" * 5000]
-    for text, ids in zip(texts, PieceEncoder(default_path()).encode(texts), strict=True):
-        assert ids.tolist() == library(text), repr(text)
+    alphabet += ["word,", "Émile.", "a.b", "中文。", "x1!", "(y);", "\x0b", "\x1c", "\x85", "\u3000", "\u200b", "\u0301"]
+    texts = ["".join(rng.choices(alphabet, k=rng.randint(0, 60))) for _ in range(600)] + [None, "", " ", "x" * 5000, "a ", "é, é, é,"]
+    for size in (pieces.SLICE_BYTES, 50):       # whole texts, and texts in parts
+        monkeypatch.setattr(pieces, "SLICE_BYTES", size)
+        encoder = PieceEncoder(default_path())
+        for _ in range(2):                      # learnt, then known
+            for text, ids in zip(texts, encoder.encode(texts), strict=True):
+                assert ids.tolist() == library(text), repr(text)
 
 
 def test_token_files_read_back(spark, make_docs, library, tmp):
@@ -109,6 +127,22 @@ def test_best_fit_takes_the_tightest_window():
     assert [fit.put(n) for n in (7, 6, 4, 3, 10)] == [(0, 0), (1, 0), (1, 6), (0, 7), (2, 0)]
 
 
+@given(st.lists(st.integers(1, 40), max_size=200))
+@settings(max_examples=60, deadline=None)
+def test_best_fit_equals_a_scan_of_all_windows(lengths):
+    fit, room, made = packing.BestFit(40), {}, 0
+    for n in sorted(lengths, reverse=True):
+        window, offset = fit.put(n)
+        fits = [r for r in room.values() if r >= n]
+        if fits:        # the tightest open window, whichever of equal ones
+            assert room[window] == min(fits) and offset == 40 - room[window]
+        else:
+            assert window == made and offset == 0
+            room[window], made = 40, made + 1
+        room[window] -= n
+    assert fit.made == made
+
+
 def test_packing_odd_rows(odd_docs, no_docs):
     got = packing.pack(odd_docs).collect()
     assert sum(r.doc_id is None for r in got) == 2
