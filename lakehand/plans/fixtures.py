@@ -75,13 +75,14 @@ def source_key(sid):
     return ((F.floor(prefix / 5) * 999 + sid % 1000 - 1) * 5 + prefix % 5).cast("bigint")
 
 
-def event_source(t: Tables, step: int = 0):
-    """Part key of the source an event's task loads: spread over all part keys, of the event type's
-    system; ``step`` sources on."""
-    n = t.part.agg(F.count(F.lit(1))).scalar()
-    key = (F.col("user_id") * 13) % n
-    kind = sum((F.when(F.col("event_type") == s, i).otherwise(0) for i, s in enumerate(SYSTEMS)), F.lit(0))
-    return (key - key % 5 + kind + 5 * step) % n
+def sourced_events(t: Tables) -> DataFrame:
+    """Events with ``p``, the part key of the source their task loads (spread over all part keys, of the
+    event type's system), and ``p_next``, the next source of that system."""
+    keys = t.part.agg(F.count(F.lit(1))).scalar()
+    kind = F.array_position(F.array(*map(F.lit, SYSTEMS)), F.col("event_type")) - 1
+    events = t.events.withColumn("n_keys", keys)
+    at = F.col("user_id") * 13 % F.col("n_keys")
+    return events.withColumn("p", (at - at % 5 + kind) % F.col("n_keys")).withColumn("p_next", (F.col("p") + 5) % F.col("n_keys"))
 
 
 def _plus_seconds(ts, n):
@@ -94,8 +95,8 @@ def extract_status(t: Tables) -> DataFrame:
     raw_end = F.when(e % 29 == 0, ts_lit(None)).otherwise(_plus_seconds(F.col("ts"), e % 90))
     trusted_start = _plus_seconds(raw_end, F.lit(5))
     trusted_end = F.when(e % 31 == 0, ts_lit(None)).otherwise(_plus_seconds(trusted_start, e % 60))
-    p = event_source(t)
-    return t.events.select(
+    p = F.col("p")
+    return sourced_events(t).select(
         e.alias("ID"),
         F.date_format("ts", "yyyyMMdd").alias("BatchID"),
         F.col("event_type").alias("SystemCode"),
@@ -182,10 +183,10 @@ def log_table(t: Tables) -> DataFrame:
         F.lit('{"PipelineRunId":"run-'), es, F.lit('","Status":"Succeeded","Output":{"runOutput":{"Counts":{"SpotCount":'),
         (e % 1000).cast("string"), F.lit(',"InsertCount":-1,"UpdateCount":-1,"CuratedCount":'), (e % 5000).cast("string"),
         F.lit('},"CuratedTransform":{"EntityType":"Dimension","Name":"'), ty, F.lit('","Destination":"curated.D_'), ty,
-        F.lit('","Tables":["trusted.dbo_T'), event_source(t).cast("string"), F.lit('","trusted.dbo_T'),
-        event_source(t, 1).cast("string"), F.lit('"]}}}}'))
+        F.lit('","Tables":["trusted.dbo_T'), F.col("p").cast("string"), F.lit('","trusted.dbo_T'),
+        F.col("p_next").cast("string"), F.lit('"]}}}}'))
     null_id = F.lit(None).cast("bigint")
-    ev = t.events
+    ev = sourced_events(t)
 
     def part(i, ext, tr, activity, msg):
         return ev.select((e * 3 + i).alias("ID"), ext.alias("ExtractLoadStatusID"), tr.alias("TransformStatusID"),

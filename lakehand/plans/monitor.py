@@ -147,16 +147,22 @@ STAGE_RANKS = {"RawStartRank": "RawStartDTS", "RawEndRank": "RawEndDTS",
 
 
 def stage_ranks(tasks: DataFrame) -> DataFrame:
-    """DENSE_RANK of each stage start/end within (BatchID, SystemCode), NULLs first."""
+    """DENSE_RANK of each stage start/end within (BatchID, SystemCode), NULLs first.
+
+    The four times of a task are four rows of (batch, system, which, time); their distinct
+    values are ranked once, and the ranks come back to the task by its ID.
+    """
     g = ["BatchID", "SystemCode"]
-    out = tasks
-    for name, col in STAGE_RANKS.items():
-        times = tasks.select(*g, F.col(col).alias("__t")).distinct()
-        r = rank_in_buckets(times, g, "__t", F.date_trunc("HOUR", "__t"), name)
-        r = r.select(F.col("BatchID").alias("__rb"), F.col("SystemCode").alias("__rs"), "__t", name)
-        on = (F.col("BatchID").eqNullSafe(F.col("__rb")) & F.col("SystemCode").eqNullSafe(F.col("__rs")) & F.col(col).eqNullSafe(F.col("__t")))
-        out = out.join(r, on).drop("__rb", "__rs", "__t")
-    return out
+    stacked = tasks.select("ID", *g, F.explode(F.array(*[
+        F.struct(F.lit(k).alias("which"), F.col(c).alias("time")) for k, c in enumerate(STAGE_RANKS.values())])).alias("x")).select(
+        "ID", *g, "x.which", "x.time")
+    r = rank_in_buckets(stacked.drop("ID").distinct(), [*g, "which"], "time", F.date_trunc("HOUR", "time"), "rank")
+    names = {c: f"__{c}" for c in (*g, "which", "time")}
+    r = r.select(*[F.col(c).alias(n) for c, n in names.items()], "rank")
+    on = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(n)) for c, n in names.items()])
+    ranks = stacked.join(r, on).groupBy("ID").agg(*[F.max(F.when(F.col("which") == k, F.col("rank"))).alias(n)
+                                                    for k, n in enumerate(STAGE_RANKS)])
+    return tasks.join(ranks, "ID")
 
 
 STATE_KEYS = ["BatchID", "SystemCode", "SourceID"]
