@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakehand.llm import mixing, near_dedup, packing, pii, quality_classifier
-from lakehand.llm.common import documents
+from lakehand.llm.common import documents, free, open_folder
 from lakehand.session import shared_dir
 
 
@@ -27,9 +27,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     stats = quality_classifier.document_stats(docs)
     model = quality_classifier.fit(stats, quality_classifier.quality_labels(labels))
-    name = "_score"
-    while name in docs.columns:
-        name = "_" + name
+    name = free(docs.columns, "_score")
     kept = quality_classifier.scored(docs, model, name).where(F.col(name) >= quality_classifier.THRESHOLD)
     return kept.select(*docs.columns)
 
@@ -67,12 +65,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
+    """All stages over ``documents``; a stage's files go when the next one's are written."""
     folder = f"{shared_dir(spark)}/corpus-pipeline-{uuid.uuid4().hex}"
+    store, root = open_folder(folder)
     docs = documents(spark, sf_dir)
     for k, (_, stage) in enumerate(STAGES):
         path = f"{folder}/{k}"
         out = stage(spark, docs, sf_dir)
         out.write.parquet(path)
         docs = spark.read.schema(out.schema).parquet(path)
+        if k:
+            store.delete_dir(f"{root}/{k - 1}")
     return docs
