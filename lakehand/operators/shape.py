@@ -88,12 +88,10 @@ def period_filter(df: DataFrame, date_key: str, year) -> DataFrame:
 
 
 def limit_or_all(df: DataFrame, n: int, order_by=None) -> DataFrame:
-    """L2: first ``n`` rows in order; 0 means no limit (all rows, unsorted)."""
-    if not n:
-        return df
+    """L2: first ``n`` rows in order; 0 means no limit (all rows in order)."""
     if order_by:
         df = df.orderBy(*([order_by] if isinstance(order_by, str) else order_by))
-    return df.limit(int(n))
+    return df.limit(int(n)) if n else df
 
 
 def empty_clone(df: DataFrame) -> DataFrame:

@@ -548,9 +548,9 @@ def register_source(spark, sf_dir):
 
 @query
 def limit_or_all(spark, sf_dir):
-    """The first 100 sheet rows in order (a preview); 0 would mean no limit."""
+    """All sheet rows in order; 0 means no limit."""
     from lakehand.operators.shape import limit_or_all as loa
-    return loa(X.ingestion_sheet(_t(spark, sf_dir)), 100, order_by=["SystemCode", "TableSchema", "TableName", "SheetRow"])
+    return loa(X.ingestion_sheet(_t(spark, sf_dir)), 0, order_by=["SystemCode", "TableSchema", "TableName", "SheetRow"])
 
 
 @query

@@ -310,7 +310,7 @@ ORACLE.update({
         max(CASE WHEN Key = 'Key1' THEN Value END) AS Key1, max(CASE WHEN Key = 'Key2' THEN Value END) AS Key2,
         max(CASE WHEN Key = 'Key3' THEN Value END) AS Key3 FROM cfg GROUP BY KeyGroup""", cfg=EVENT_CONFIG),
     "register_source": _REGISTER.format(m=EXTRACT_MANIFEST, sh=INGESTION_SHEET, ts2=TS2),
-    "limit_or_all": with_ctes("SELECT * FROM sh ORDER BY SystemCode, TableSchema, TableName, SheetRow LIMIT 100", sh=INGESTION_SHEET),
+    "limit_or_all": with_ctes("SELECT * FROM sh ORDER BY SystemCode, TableSchema, TableName, SheetRow", sh=INGESTION_SHEET),
     "system_selection": with_ctes("""SELECT DISTINCT CAST(SourceID // 1000 AS VARCHAR) AS "Order", SystemCode
         FROM (SELECT SourceID, SystemCode, Enabled FROM m UNION ALL SELECT SourceID, SystemCode, Enabled FROM reg)
         WHERE Enabled AND SystemCode IN ('click', 'view', 'purchase', 'NEWSYS1')""",

@@ -76,6 +76,18 @@ def test_limits_and_years(spark):
         assert [r.k for r in period_filter(both, column, 1997).collect()] == ["19970101", "19971231"]
 
 
+def test_the_whole_sheet_comes_in_order(spark, tmp):
+    """More rows than any preview, keys repeated and null; a limit of 0 keeps the order too."""
+    from lakehand.plans.catalog import QUERIES
+    keys = [*range(1200, 0, -1), 7, 7, None]
+    spark.createDataFrame([(k,) for k in keys], "p_partkey long").write.parquet(f"{tmp}/part.parquet")
+    rows = QUERIES["limit_or_all"](spark, tmp).collect()
+    assert sorted(r.SheetRow or 0 for r in rows) == sorted(k or 0 for k in keys)
+    order = [((r.SystemCode or ""), (r.TableSchema or ""), (r.TableName or ""), r.SheetRow or 0) for r in rows]
+    assert order == sorted(order)
+    assert [r.id for r in limit_or_all(spark.range(5, 0, -1), 0, "id").collect()] == [1, 2, 3, 4, 5]
+
+
 def test_lineage_is_no_cross_product(spark):
     """Each report's tables are of the sources its event type loads."""
     from lakehand.plans.catalog import QUERIES
