@@ -12,15 +12,20 @@ import pyarrow.compute as pc
 from lakehand.llm.pieces import ragged, slices, strings
 
 #: Words kept by a worker before its cache starts anew; only speed depends on it.
-CACHE_WORDS = 700_000
+CACHE_WORDS = 400_000
 #: Longer words are encoded wherever they occur, so the cache stays small.
 _LONG_WORD = _LONG_PIECE = 200
-#: Pieces whose neighbours do not change their ids: a space before, no white space at the end.
-_PLAIN = r"(?s)^ .*[^\s\v\x1c-\x1f\x{85}\p{Z}]$"
+_INK = r"[^\s\v\x1c-\x1f\x{85}\p{Z}]"
+#: Pieces whose neighbours do not change their ids: a space or line break before, no white space at the end.
+_PLAIN = rf"(?s)^[ \n].*{_INK}$"
 #: A word that ends in a letter and punctuation.
-_TAIL = r"(?s)^(?P<stem>.*\p{L})(?P<tail>[.,;:!?]+)$"
-#: New pieces that go through the library as one text.
-_JOINED = 50
+_TAIL = r"(?s)^(?P<stem>.*\p{L})(?P<tail>[!-/:-@\[-`{-~]{1,8})$"
+#: Two words with nothing but a line break between them.
+_BROKEN = rf"^(?P<word>{_INK}+)\n(?P<line>{_INK}+)$"
+#: New pieces that go through the library as one text, and such texts at a time.
+_JOINED, _TEXTS = 50, 200
+#: Words whose ids are put together at a time.
+_GATHERED = 100_000
 
 _encoders: dict[str, PieceEncoder] = {}
 
@@ -57,11 +62,15 @@ class ByteBpe:
     def library(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self._tok.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _flat(self, texts: list[str]) -> np.ndarray:
+        """Ids of all texts; the library's results take some thirty times as much memory."""
+        return np.concatenate([np.zeros(0, np.uint32), *(
+            np.fromiter(chain.from_iterable(self.library(texts[i:i + _TEXTS])), np.uint32) for i in range(0, len(texts), _TEXTS))])
+
     def _joint(self, pieces: list[str], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
-        """Pieces that begin with a space and end without white space are cuts of their joined
-        text, found again by the tokens' bytes."""
-        flat = np.fromiter(chain.from_iterable(self.library(
-            ["".join(pieces[i:i + _JOINED]) for i in range(0, len(pieces), _JOINED)])), np.uint32)
+        """Pieces that begin with white space and end without it are cuts of their joined text,
+        found again by the tokens' bytes."""
+        flat = self._flat(["".join(pieces[i:i + _JOINED]) for i in range(0, len(pieces), _JOINED)])
         ends = np.cumsum(sizes)
         token_ends = np.cumsum(self.bytes[flat])
         cuts = np.searchsorted(token_ends, ends)
@@ -91,8 +100,9 @@ class ByteBpe:
 
 
 class PieceEncoder:
-    """Encodes texts; a letter and punctuation behind it are never one token, so a word's last
-    punctuation is left out of the worker's cache of words."""
+    """Encodes texts; a letter and punctuation behind it are never one token, nor are a line break
+    and what stands about it, so the worker's cache holds words without their last punctuation and
+    the two words about a line break each by itself."""
 
     def __init__(self, path: str):
         self._bpe = ByteBpe(path)
@@ -101,6 +111,7 @@ class PieceEncoder:
 
     def _clear(self):
         self._word: dict[str, int] = {}
+        self._line: dict[str, int] = {"": 0}
         self._tail: dict[str, int] = {"": 0}
         self._ids = np.zeros(1 << 16, np.uint32)
         self._off = np.zeros(1 << 15, np.int64)
@@ -130,20 +141,33 @@ class PieceEncoder:
                     del row[w]
         return rows
 
-    def _table(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids of words that stand behind a space: all ids, each word's start and number."""
-        if self._n > CACHE_WORDS:
-            self._clear()
-        texts = pa.array(words, pa.large_string())
+    def _ends(self, row: dict[str, int], texts: pa.Array, before: str) -> list[np.ndarray]:
+        """Rows of the words in the cache and of their last punctuation."""
         parts = pc.extract_regex(texts, _TAIL)
         has = pc.is_valid(parts)
-        stem = self._rows(self._word, strings(pc.if_else(has, parts.field("stem"), texts)), " ")
+        stem = self._rows(row, strings(pc.if_else(has, parts.field("stem"), texts)), before)
         ends = pc.if_else(has, parts.field("tail"), "").dictionary_encode()     # a few hundred
-        tail = self._rows(self._tail, strings(ends.dictionary), "")[ends.indices.to_numpy(zero_copy_only=False)]
-        start = np.stack([self._off[stem], self._off[tail]], 1).ravel()
-        size = np.stack([self._off[stem + 1], self._off[tail + 1]], 1).ravel() - start
+        return [stem, self._rows(self._tail, strings(ends.dictionary), "")[ends.indices.to_numpy(zero_copy_only=False)]]
+
+    def _table(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of words that stand behind a space: all ids, each word's start and number."""
+        if self._n > CACHE_WORDS:
+            self._clear()
+        rows = np.zeros((len(texts), 4), np.int64)      # word, its end, the line behind it, its end
+        breaks = np.flatnonzero(pc.match_substring(texts, "\n").to_numpy(zero_copy_only=False))
+        if len(breaks):
+            parts = pc.extract_regex(texts.take(pa.array(breaks)), _BROKEN)
+            has = pc.is_valid(parts)
+            broken = np.zeros(len(texts), bool)
+            broken[breaks] = has.to_numpy(zero_copy_only=False)
+            parts = parts.filter(has)
+            texts = pc.replace_with_mask(texts, pa.array(broken), parts.field("word"))
+            rows[broken, 2:] = np.stack(self._ends(self._line, parts.field("line"), "\n"), 1)
+        rows[:, :2] = np.stack(self._ends(self._word, texts, " "), 1)
+        start = self._off[rows].ravel()
+        size = self._off[rows + 1].ravel() - start
         ids = self._ids[ragged(start, size)]
-        size = size.reshape(-1, 2).sum(1)
+        size = size.reshape(rows.shape).sum(1)
         return ids, np.cumsum(size) - size, size
 
     def encode(self, texts: pa.Array | list[str | None]) -> list[np.ndarray]:
@@ -152,7 +176,7 @@ class PieceEncoder:
             texts = pa.array(texts, pa.large_string())
         out: list[np.ndarray] = [np.zeros(0, np.uint32)] * len(texts)
         for part in slices(texts):
-            known, start, size = self._table(part.words)
+            known, start, size = self._table(pa.array(part.words, pa.large_string()))
             size = size[part.codes]
             starts = part.offsets[:-1]
             heads = None
@@ -160,7 +184,8 @@ class PieceEncoder:
                 flat, head_size = self._bpe.pieces([part.words[c] for c in part.codes[starts]])
                 heads = np.split(flat, np.cumsum(head_size)[:-1])
                 size[starts] = 0
-            ids = known[ragged(start[part.codes], size)]
+            ids = np.concatenate([known[ragged(start[part.codes[i:i + _GATHERED]], size[i:i + _GATHERED])]
+                                  for i in range(0, len(size), _GATHERED)])
             bound = np.concatenate([[0], np.cumsum(size)])[part.offsets]
             for k, row in enumerate(part.rows):
                 found = ids[bound[k]:bound[k + 1]]

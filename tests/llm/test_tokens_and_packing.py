@@ -1,6 +1,7 @@
 """Token files and packing against the tokenizers library on whole texts."""
 
 import random
+import tracemalloc
 import zlib
 from collections import defaultdict
 
@@ -9,7 +10,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from lakehand.llm import packing, pieces, simple8b, token_binary
-from lakehand.llm.tokens import PieceEncoder, default_path
+from lakehand.llm.tokens import ByteBpe, PieceEncoder, default_path
 from tokenizers import Tokenizer
 
 
@@ -73,6 +74,45 @@ def test_pieces_encode_like_whole_texts(library, monkeypatch):
                 assert ids.tolist() == library(text), repr(text)
 
 
+def test_words_are_learnt_without_punctuation_and_line_breaks(library):
+    encoder = PieceEncoder(default_path())
+    encoder.encode(["x alpha beta\nalpha", "x alpha$$$ beta!!"])
+    learnt = encoder._n
+    texts = ["x beta$$$ beta$$$\nalpha!! alpha!!\nalpha", "x alpha\nalpha$$$"]
+    for text, ids in zip(texts, encoder.encode(texts), strict=True):
+        assert ids.tolist() == library(text)
+    assert encoder._n == learnt
+
+
+def test_words_about_line_breaks_encode_like_whole_texts(library):
+    rng = random.Random(4)
+    words = ["the", "Émile", "don't", "we'", "'s", "ll", "x1", "a_b", "9", "中文", "(y)", "é", "\u0301", "q" * 250]
+    ends = ["", ".", "$$$", "!!", "'", "\"'", "_", "*" * 9, "…", "\u200b"]
+    gaps = [" ", " ", "\n", "\n", "\n\n", " \n", "\n ", "\r\n", "\t", "\u3000", "\x85", "\x1c\n"]
+    texts = ["".join(rng.choice(words) + rng.choice(ends) + rng.choice(gaps) for _ in range(rng.randint(1, 30))).rstrip(rng.choice(["", " \n"]))
+             for _ in range(800)]
+    encoder = PieceEncoder(default_path())
+    for _ in range(2):
+        for text, ids in zip(texts, encoder.encode(texts), strict=True):
+            assert ids.tolist() == library(text), repr(text)
+
+
+def test_a_batch_is_encoded_in_bounded_memory(monkeypatch):
+    """The library gets few texts at a time, and arrays beside the ids grow with the words, not the ids."""
+    most, library = [0], ByteBpe.library
+    monkeypatch.setattr(ByteBpe, "library", lambda self, texts: most.append(sum(map(len, texts))) or library(self, texts))
+    encoder = PieceEncoder(default_path())
+    encoder.encode([f"x {' '.join(f'w{i}q{i * 7919}z' for i in range(60_000))}"])
+    assert max(most) < 300_000
+    text = "x " + "incomprehensibilitiesandmore123456789 " * 20_000 + "x"
+    encoder.encode([text])
+    tracemalloc.start()
+    ids = encoder.encode([text] * 8)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 6 * sum(i.nbytes for i in ids)
+
+
 def test_token_files_read_back(spark, make_docs, library, tmp):
     rng = random.Random(2)
     rows = [(i * 3, " ".join(rng.choices(["alpha", "beta,", "x1", "Émile\n"], k=rng.randint(0, 80))), "en", "s") for i in range(90)]
