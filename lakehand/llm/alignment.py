@@ -313,7 +313,7 @@ class Block:
                    "places": packed(places[at], "<u2"), "links": packed(links[at], "<u4")}
 
 
-_aligners: dict[tuple[str, str], Aligner] = {}
+_aligners: dict[tuple[str, str], Aligner] = worker_cache()
 
 
 def spill(path_a: str, path_b: str):

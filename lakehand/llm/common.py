@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
 import lakehand
+import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,6 +46,45 @@ def ship(spark: SparkSession) -> None:
     sc._lakehand_shipped = True
 
 
+#: Caches that tasks keep in their Python worker for the next task.
+_caches: list[dict] = []
+
+
+def worker_cache() -> dict:
+    """A dict that lives as long as its Python worker, which Spark reuses for tasks of any operator, or
+    until ``release``."""
+    _caches.append({})
+    return _caches[-1]
+
+
+def trim() -> None:
+    """Hand memory that is free, but held by Arrow's or C's allocator, back to the system."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(ctypes.CDLL(None), "malloc_trim"):     # glibc
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def release() -> None:
+    """Give back what earlier tasks, other operators' too, keep in this worker."""
+    for cache in _caches:
+        cache.clear()
+    trim()
+
+
+def released(rows: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``rows`` for ``mapInArrow``, run in a worker that holds nothing of earlier tasks.
+
+    For operators that keep nothing themselves: beside them, an executor need not hold an
+    earlier operator's tokenizer and words, nor after them what their batches took.
+    """
+    @functools.wraps(rows)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
+        yield from rows(batches)
+        trim()
+    return run
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

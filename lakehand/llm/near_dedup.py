@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lakehand.llm.common import Scratch, free, hot_safe_lookup, ship
+from lakehand.llm.common import Scratch, free, hot_safe_lookup, released, ship
 from lakehand.llm.components import components
 from lakehand.llm.words import shingle_sets
 
@@ -63,6 +63,7 @@ _FLIP = np.uint64(1 << 63)
 
 
 def profiles(width: int, k: int):
+    @released
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             size, sign, low = [], [], []
@@ -110,6 +111,7 @@ def estimated(pairs: DataFrame, reps: DataFrame, least: float, k: int, scratch:
 
 def check_pairs(width: int, percent: int):
     """Rows come sorted by (hub, part), the hub's text first; the links among them go out."""
+    @released
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, hub_sets = None, []
         for batch in batches:
@@ -171,6 +173,7 @@ def open_members(members: DataFrame, scratch: Scratch) -> DataFrame:
 
 def list_sets(width: int):
     """(id, n, label, s): every document's full shingle set, row by row of the set."""
+    @released
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k, s in enumerate(shingle_sets(batch.column("text"), width, lower=True)):

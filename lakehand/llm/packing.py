@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakehand.llm.common import ship, written
+from lakehand.llm.common import ship, trim, written
 from lakehand.llm.token_binary import ids_crc32
 from lakehand.llm.tokens import default_path, encoder
 
@@ -90,6 +90,7 @@ def cut_pieces(path: str, end_id: int, window: int):
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)],
                                                  ["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+            trim()      # two workers' leavings of a batch count beside the executor's heap
     return pieces
 
 

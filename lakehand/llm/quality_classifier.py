@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakehand.llm.common import ship, written
+from lakehand.llm.common import released, ship, written
 from lakehand.llm.words import window_hashes, word_slices
 
 #: Random features of the kernel.
@@ -122,6 +122,7 @@ def isotonic(at: np.ndarray, total: np.ndarray, n: np.ndarray) -> tuple[np.ndarr
     return b[:, 0] / b[:, 2], b[:, 1] / b[:, 2]
 
 
+@released
 def stat_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         stats = statistics(batch.column("text"))
@@ -238,6 +239,7 @@ def quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) ->
 
 def scored(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
     """``docs`` with a score for each row, all columns kept; the text is neither joined nor shuffled."""
+    @released
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             score = model.score(statistics(batch.column("text")))

@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from lakehand.llm.common import worker_cache
 from lakehand.llm.pieces import ragged, slices, strings
 
 #: Words kept by a worker before its cache starts anew; only speed depends on it.
@@ -27,7 +28,7 @@ _JOINED, _TEXTS = 50, 200
 #: Words whose ids are put together at a time.
 _GATHERED = 100_000
 
-_encoders: dict[str, PieceEncoder] = {}
+_encoders: dict[str, PieceEncoder] = worker_cache()
 
 
 def default_path() -> str:

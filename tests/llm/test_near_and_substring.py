@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from lakehand.llm import fingerprints, near_dedup, substring_dedup
+from lakehand.llm import fingerprints, near_dedup, quality_classifier, substring_dedup, tokens
 from lakehand.llm.words import window_hashes, word_slices
 from pyspark.sql import functions as F
 
@@ -199,3 +199,21 @@ def test_fingerprints_odd_rows(odd_docs, no_docs):
     same = {r.fingerprint for r in got if r.doc_id in (5, 6)}
     assert len(same) == 1 and all(0 <= r.near_next <= 1 and 0 <= r.near_edited <= 1 for r in got)
     assert fingerprints.report(no_docs).count() == 0
+
+
+def test_workers_of_other_operators_hold_no_tokenizer():
+    texts = ["one two three four five six", "", None]
+    ids, label = pa.array([1, 2, 3], pa.int64()), pa.array([1, 2, 3], pa.int64())
+    plain = pa.RecordBatch.from_arrays([ids, label, pa.array(texts)], ["doc_id", "label", "text"])
+    pairs = pa.RecordBatch.from_arrays([pa.array([1, 1], pa.int64()), pa.array([0, 0], pa.int32()), pa.array([1, 2], pa.int64()),
+                                        pa.array(texts[:1] * 2)], ["b", "part", "id", "text"])
+    listed = plain.rename_columns(["id", "label", "text"])
+    for rows, batch, column, out in [(near_dedup.profiles(5, 32), plain, "n_shingles", [2, 0, 0]), (near_dedup.check_pairs(5, 80), pairs, "a", [2]),
+                                     (near_dedup.list_sets(5), listed, "size", [2, 2]), (quality_classifier.stat_rows, plain, "doc_id", [1, 2, 3])]:
+        held = tokens.encoder(tokens.default_path())
+        held.encode(["some words in the cache"])
+        made = [x for b in rows(iter([batch])) for x in b.column(column).to_pylist()]
+        assert not tokens._encoders, rows.__name__
+        assert made == out
+        again = tokens.encoder(tokens.default_path())      # made anew where it is asked for
+        assert again is not held and [x.tolist() for x in again.encode(["some words"])] == [x.tolist() for x in held.encode(["some words"])]
