@@ -40,7 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakehand.llm.common import ship, written
+from lakehand.llm.common import ship, worker_cache, written
 from lakehand.llm.pieces import ragged, slices
 from lakehand.llm.tokens import ByteBpe, default_path
 
